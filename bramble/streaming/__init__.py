@@ -1,0 +1,8 @@
+"""Streaming support.
+
+The case studies this library rebuilds are batch reports: there is no stream,
+watermark, event-time window or per-key state in any of them. Every operator in
+``bramble.operators`` is a plain DataFrame transformation, so it can also be applied
+inside ``foreachBatch`` of a Structured Streaming query when the inputs arrive
+incrementally; no streaming-only operator is provided.
+"""
