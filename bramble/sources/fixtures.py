@@ -307,6 +307,8 @@ def with_views(body: str, extra: list[tuple[str, str]] | None = None) -> str:
     if not parts:
         return body
     head = body.lstrip()
+    if head[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ",\n".join(parts) + ",\n" + head[15:]
     if head[:5].upper() == "WITH ":
         # merge the body's own CTE list into ours
         return "WITH " + ",\n".join(parts) + ",\n" + head[5:]
