@@ -10,7 +10,19 @@ from pyspark.sql import functions as F
 from bramble.functions.columns import ratio
 
 
-def drift_month_dates(d0: Column, i: Column, anchor: str = "drift") -> Column:
+def drift_anchor(d0: Column) -> Column:
+    """Per-start calendar facts for :func:`drift_month_dates`, computed once per plan row
+    (before the month expansion): months until the first 30-day month and the first
+    February after ``d0``'s month, and that February's length."""
+    m0 = F.trunc(d0, "month")
+    # lengths of the 12 months after d0's month
+    dims = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda j: F.dayofmonth(F.last_day(F.add_months(m0, j))))
+    j_feb = F.array_position(F.transform(dims, lambda x: x < 30), True).cast("int")
+    return F.struct(F.array_position(dims, 30).cast("int").alias("j30"), j_feb.alias("jfeb"),
+                    F.element_at(dims, j_feb).alias("feb"))
+
+
+def drift_month_dates(d0: Column, i: Column, anchor: str = "drift", facts: Column | None = None) -> Column:
     """Date of the i-th monthly payment after ``d0``.
 
     ``anchor='start'``: ADD_MONTHS(d0, i) (same day of month as the start, clamped).
@@ -19,18 +31,14 @@ def drift_month_dates(d0: Column, i: Column, anchor: str = "drift") -> Column:
     ``DATE_ADD(prev, INTERVAL 1 MONTH)`` gives). Closed form: the day is
     min(day(d0), shortest month length among the months 1..i after d0's month), and that
     minimum only changes at the first 30-day month and at the first (and second) February.
+    ``facts`` is :func:`drift_anchor` of ``d0`` (pass it precomputed to share it).
     """
     if anchor == "start":
         return F.add_months(d0, i)
-    m0 = F.trunc(d0, "month")
-    # lengths of the 12 months after d0's month
-    dims = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda j: F.dayofmonth(F.last_day(F.add_months(m0, j))))
-    j30 = F.array_position(dims, 30)
-    j_feb = F.array_position(F.transform(dims, lambda x: x < 30), True)
-    feb_len = F.element_at(dims, j_feb.cast("int"))
-    shortest = (F.when(i >= j_feb + 12, F.lit(28)).when(i >= j_feb, feb_len)
-                .when(i >= j30, F.lit(30)).otherwise(F.lit(31)))
-    mi = F.add_months(m0, i)
+    f = facts if facts is not None else drift_anchor(d0)
+    shortest = (F.when(i >= f["jfeb"] + 12, F.lit(28)).when(i >= f["jfeb"], f["feb"])
+                .when(i >= f["j30"], F.lit(30)).otherwise(F.lit(31)))
+    mi = F.add_months(F.trunc(d0, "month"), i)
     day = F.least(F.dayofmonth(d0), shortest)
     return F.when(i == 0, d0).otherwise(F.make_date(F.year(mi), F.month(mi), day))
 
@@ -70,8 +78,11 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     paying = base.where(F.col("amount").isNotNull())
     n = F.when(F.col("plan_name").isin(*once_plans), F.lit(0)).otherwise(
         F.months_between(F.trunc("_end", "month"), F.trunc("start_date", "month")).cast("int"))
+    if anchor == "drift":
+        paying = paying.withColumn("_cal", drift_anchor(F.col("start_date")))
     exp = paying.withColumn("_i", F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(0)))))
-    exp = exp.withColumn("payment_date", drift_month_dates(F.col("start_date"), F.col("_i"), anchor))
+    facts = F.col("_cal") if anchor == "drift" else None
+    exp = exp.withColumn("payment_date", drift_month_dates(F.col("start_date"), F.col("_i"), anchor, facts))
     in_range = (F.col("payment_date") <= F.col("_end")) if inclusive_end else (F.col("payment_date") < F.col("_end"))
     exp = exp.where((F.col("_i") == 0) | in_range)
     w2 = Window.partitionBy(customer).orderBy("payment_date", *order[1:])

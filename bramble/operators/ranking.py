@@ -51,11 +51,13 @@ def nearest_rank(values: DataFrame, value: str, percentiles: Sequence[int],
     or NULL when that position is 0. Exact, deterministic and lazy:
 
     1. one aggregate gives N, min and max;
-    2. every value gets an equal-width bin over [min, max]; a histogram of at most
-       ``bins`` rows and its running sum (a tiny frame) tells which bin holds each rank;
-    3. ``levels - 1`` more rounds split that bin again over its own [min, max];
+    2. every value gets an equal-width bin over [min, max]; a histogram (count, min, max
+       per bin; at most ``bins`` rows) and its running sum tell which bin holds each rank;
+    3. ``levels - 1`` more rounds split the chosen bin over its own [min, max];
     4. in the last bin the distinct values are counted and ranked.
 
+    The only windows run over histogram rows (at most ``bins`` per percentile) and over
+    the distinct values of one final bin (about N / bins**levels for spread-out data).
     Returns rows (percentile INT, value) for every requested p.
     """
     v = values.where(F.col(value).isNotNull()).select(
@@ -64,47 +66,43 @@ def nearest_rank(values: DataFrame, value: str, percentiles: Sequence[int],
     pct = spark.createDataFrame([(int(p),) for p in percentiles],
                                 T.StructType([T.StructField("percentile", T.IntegerType())]))
     stats = v.agg(F.count(F.lit(1)).alias("_n"), F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
-    # rank = ROUND(p * N / 100) half up, in exact integer arithmetic
-    targets = (pct.crossJoin(stats)
-               .select("percentile", "_lo", "_hi",
-                       F.floor((F.col("_n") * F.col("percentile") + 50) / F.lit(100)).cast("bigint")
-                       .alias("_k")))
 
     def bin_of(lo, hi):
         width = hi - lo
         raw = F.floor((F.col("_d") - lo) / width * F.lit(bins)).cast("int")
         return F.when(width > 0, F.least(raw, F.lit(bins - 1))).otherwise(F.lit(0))
 
-    def locate(hist: DataFrame, tgt: DataFrame, keys: list[str]) -> DataFrame:
-        """Join targets to the histogram bin holding rank _k; _k becomes the rank inside it."""
-        w = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-        cum = hist.withColumn("_end", F.sum("_cnt").over(w))
-        cond = [cum[k] == tgt[k] for k in keys] + [
-            cum["_end"] - cum["_cnt"] < tgt["_k"], tgt["_k"] <= cum["_end"]]
-        return (tgt.join(cum, cond)
-                .select(*[tgt[k] for k in keys], *[c for c in tgt.columns if c not in keys and c != "_k"],
-                        cum["_bin"], (tgt["_k"] - (cum["_end"] - cum["_cnt"])).alias("_k")))
-
-    # level 1: bins over the global range (histogram is shared by all percentiles)
-    one_row = stats.select("_lo", "_hi")
-    v1 = v.crossJoin(F.broadcast(one_row)).withColumn("_bin", bin_of(F.col("_lo"), F.col("_hi")))
-    hist = v1.groupBy("_bin").agg(F.count(F.lit(1)).alias("_cnt")).withColumn("_one", F.lit(1))
-    tgt = locate(hist, targets.where(F.col("_k") >= 1).withColumn("_one", F.lit(1)), ["_one"])
-    cand = (v1.join(F.broadcast(tgt.select("percentile", "_bin", "_k")), "_bin")
-            .select("percentile", "_val", "_d", "_k"))
-
-    # levels 2..: split the selected bin of each percentile over its own range
+    def histogram(df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_cnt"),
+                                             F.min("_d").alias("_blo"), F.max("_d").alias("_bhi"))
+
+    def locate(hist: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
+        """The histogram bin holding rank _k of each target; _k becomes the rank inside it."""
+        w = Window.partitionBy(key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+        cum = hist.withColumn("_end", F.sum("_cnt").over(w)).withColumnRenamed(key, "_key")
+        hit = tgt.join(cum, (cum["_key"] == tgt[key]) & (cum["_end"] - cum["_cnt"] < tgt["_k"])
+                       & (tgt["_k"] <= cum["_end"]))
+        return hit.select("percentile", "_bin", (F.col("_k") - (F.col("_end") - F.col("_cnt"))).alias("_k"),
+                          F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"))
+
+    # rank = ROUND(p * N / 100) half up, in exact integer arithmetic; rank 0 has no row
+    targets = (pct.crossJoin(stats.select("_n"))
+               .select("percentile", F.lit(1).alias("_one"),
+                       F.floor((F.col("_n") * F.col("percentile") + 50) / F.lit(100)).cast("bigint").alias("_k"))
+               .where(F.col("_k") >= 1))
+    # level 1: bins over the global range, one histogram shared by all percentiles
+    v1 = (v.crossJoin(F.broadcast(stats.select("_lo", "_hi")))
+          .select("_val", "_d", bin_of(F.col("_lo"), F.col("_hi")).alias("_bin")))
+    tgt = locate(histogram(v1.withColumn("_one", F.lit(1)), ["_one"]), targets, "_one")
+    cand = (v1.join(F.broadcast(tgt), "_bin")
+            .select("percentile", "_val", "_d", "_k", "_lo", "_hi"))
+    # levels 2..: split the chosen bin of each percentile over its own range
     for _ in range(levels - 1):
-        rng = cand.groupBy("percentile").agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
-        cb = (cand.join(F.broadcast(rng), "percentile")
-              .withColumn("_bin", bin_of(F.col("_lo"), F.col("_hi"))))
-        hist = cb.groupBy("percentile", "_bin").agg(F.count(F.lit(1)).alias("_cnt"))
-        ks = cand.groupBy("percentile").agg(F.first("_k").alias("_k"))
-        tgt = locate(hist, ks, ["percentile"])
-        cand = (cb.join(F.broadcast(tgt.select("percentile", "_bin", F.col("_k").alias("_k2"))),
-                        ["percentile", "_bin"])
-                .select("percentile", "_val", "_d", F.col("_k2").alias("_k")))
-
+        cb = cand.withColumn("_bin", bin_of(F.col("_lo"), F.col("_hi")))
+        tgt = locate(histogram(cb, ["percentile"]),
+                     cand.select("percentile", "_k").dropDuplicates(["percentile"]), "percentile")
+        cand = (cb.drop("_k", "_lo", "_hi").join(F.broadcast(tgt), ["percentile", "_bin"])
+                .select("percentile", "_val", "_d", "_k", "_lo", "_hi"))
     # last bin: distinct values with multiplicity, ranked
     dv = cand.groupBy("percentile", "_val").agg(F.count(F.lit(1)).alias("_cnt"), F.first("_k").alias("_k"))
     w = Window.partitionBy("percentile").orderBy("_val").rowsBetween(Window.unboundedPreceding, 0)

@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bramble.plans import sales as S
+from bramble.plans.clicks import QUERIES as CLICK_QUERIES
+from bramble.plans.subscriptions import QUERIES as SUB_QUERIES
 from bramble.sources.fixtures import REPORT_MONTH, with_views
 from bramble.sources.tables import Tables
 
@@ -109,27 +111,13 @@ QUERIES: dict[str, Query] = {
 
 
 def _oracles() -> dict[str, str]:
+    from bramble.plans.oracle_clicks import CLICKS_SQL
     from bramble.plans.oracle_sales import SALES_SQL
-    raw: dict[str, str] = {}
-    raw.update(SALES_SQL)
-    for mod, name in (("bramble.plans.oracle_clicks", "CLICKS_SQL"),
-                      ("bramble.plans.oracle_subs", "SUBS_SQL")):
-        try:
-            m = __import__(mod, fromlist=[name])
-            raw.update(getattr(m, name))
-        except ImportError:
-            pass
+    from bramble.plans.oracle_subs import SUBS_SQL
+    raw = {**SALES_SQL, **CLICKS_SQL, **SUBS_SQL}
     return {k: with_views(v) for k, v in raw.items()}
 
 
-def _extend():
-    for mod in ("bramble.plans.clicks", "bramble.plans.subscriptions"):
-        try:
-            m = __import__(mod, fromlist=["QUERIES"])
-        except ImportError:
-            continue
-        QUERIES.update(getattr(m, "QUERIES", {}))
-
-
-_extend()
+QUERIES.update(CLICK_QUERIES)
+QUERIES.update(SUB_QUERIES)
 ORACLE_SQL: dict[str, str] = _oracles()

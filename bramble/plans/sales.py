@@ -28,7 +28,11 @@ from bramble.operators.ranking import nearest_rank, pivot_percentiles, top_n, to
 from bramble.operators.shares import share_of_parent, share_of_total
 
 PERCENTILES = (25, 50, 75)
-DISC = F.col("gross") * F.col("discount")  # discount amount in 1/100 units (exact)
+
+
+def _disc():
+    """Discount amount in 1/100 units (exact DECIMAL): gross * discount percent."""
+    return F.col("gross") * F.col("discount")
 
 
 def _disc_total(c: str = "disc_c"):
@@ -39,7 +43,7 @@ def _disc_total(c: str = "disc_c"):
 def totals(sales: DataFrame) -> DataFrame:
     return sales.agg(F.sum("qty").cast("bigint").alias("total_quantity"),
                      money(F.sum("gross")).alias("total_rev_before_discount"),
-                     (F.sum(DISC).cast("double") / F.lit(100.0)).alias("total_discount"))
+                     (F.sum(_disc()).cast("double") / F.lit(100.0)).alias("total_discount"))
 
 
 # -- part 2: transactions ---------------------------------------------------
@@ -64,7 +68,7 @@ def txn_revenue_percentiles(sales: DataFrame, percentiles: Sequence[int] = PERCE
 
 
 def txn_avg_discount(sales: DataFrame) -> DataFrame:
-    return avg_of_group(sales, "txn_id", F.sum(DISC), alias="discount_per_transac", scale=100)
+    return avg_of_group(sales, "txn_id", F.sum(_disc()), alias="discount_per_transac", scale=100)
 
 
 def txn_member_split(sales: DataFrame) -> DataFrame:
@@ -84,7 +88,7 @@ def txn_member_avg_revenue(sales: DataFrame) -> DataFrame:
 def _by_product(sales: DataFrame, products: DataFrame, attrs: Sequence[str]) -> DataFrame:
     """Sales aggregated to prod_id, then the product attributes joined (left)."""
     agg = sales.groupBy("prod_id").agg(F.sum("qty").alias("qty"), F.sum("gross").alias("rev"),
-                                       F.sum(DISC).alias("disc_c"))
+                                       F.sum(_disc()).alias("disc_c"))
     dim = products.select(F.col("product_id"), *attrs)
     return agg.join(dim, agg["prod_id"] == dim["product_id"], "left").drop("product_id")
 
@@ -171,9 +175,9 @@ def report_scalars(ms: DataFrame, percentiles: Sequence[int] = PERCENTILES) -> D
     aggregate per transaction; percentiles read the same per-transaction frame."""
     sums = ms.agg(F.sum("qty").cast("bigint").alias("total_qty"),
                   round_int(F.sum("gross")).alias("rev_before_discount"),
-                  round_int(F.sum(DISC) / F.lit(100)).alias("total_discount"))
+                  round_int(F.sum(_disc()) / F.lit(100)).alias("total_discount"))
     per_txn = ms.groupBy("txn_id").agg(F.count_distinct("prod_id").alias("uniq"),
-                                       F.sum("gross").alias("rev"), F.sum(DISC).alias("disc_c"))
+                                       F.sum("gross").alias("rev"), F.sum(_disc()).alias("disc_c"))
     txn = per_txn.agg(
         F.count(F.lit(1)).alias("total_unique_transac"),
         round_int(F.when(F.count(F.lit(1)) > 0,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 # AQE coalesces the small ones; tests: a handful).
 BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
