@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
+from bramble.operators.skew import sequence_columns
 
 
 def drift_anchor(d0: Column) -> Column:
@@ -49,7 +50,7 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
                      skip_plans: Sequence[str] = ("trial",),
                      credit_from: Sequence[str] = ("pro monthly", "basic monthly"),
                      credit_to: Sequence[str] = ("pro annual",),
-                     anchor: str = "drift", inclusive_end: bool = True) -> DataFrame:
+                     anchor: str = "drift", inclusive_end: bool = True, **split_kw) -> DataFrame:
     """Payments implied by plan changes.
 
     Each non-skipped plan row (optionally only rows starting in ``year``) runs until the
@@ -59,9 +60,11 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     previous plan. Payments are numbered per customer; a payment of a ``credit_to`` plan
     right after a ``credit_from`` payment is reduced by that previous amount.
 
-    Plan: broadcast join to the plan lookup, one hash exchange on ``customer`` that serves
-    the LEAD window and, after a narrow ``explode(sequence)`` of the month indexes, the
-    numbering / previous-payment window (same partitioning, new sort only).
+    Plan: broadcast join to the plan lookup; the LEAD window over plan rows, a narrow
+    ``explode(sequence)`` of the month indexes, then the numbering / previous-payment
+    window. Both windows run per (customer, bucket) via
+    :func:`bramble.operators.skew.sequence_columns`, so a customer with a very large
+    share of the rows is split by date range instead of sorted in one task.
     """
     order = list(order)
     base = subs.join(F.broadcast(plans.select("plan_id", "plan_name", F.col("price").alias("amount"))),
@@ -73,8 +76,9 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     if isinstance(horizon, DataFrame):  # one-row frame, e.g. MAX(start_date) of all rows
         base = base.crossJoin(F.broadcast(horizon.toDF("_horizon")))
         horizon = F.col("_horizon")
-    w = Window.partitionBy(customer).orderBy(*order)
-    base = base.withColumn("_end", F.coalesce(F.lead("start_date").over(w), horizon))
+    base = sequence_columns(base, customer, order, F.unix_date("start_date"),
+                            lead={"_next_start": "start_date"}, **split_kw)
+    base = base.withColumn("_end", F.coalesce(F.col("_next_start"), horizon))
     paying = base.where(F.col("amount").isNotNull())
     n = F.when(F.col("plan_name").isin(*once_plans), F.lit(0)).otherwise(
         F.months_between(F.trunc("_end", "month"), F.trunc("start_date", "month")).cast("int"))
@@ -85,10 +89,9 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     exp = exp.withColumn("payment_date", drift_month_dates(F.col("start_date"), F.col("_i"), anchor, facts))
     in_range = (F.col("payment_date") <= F.col("_end")) if inclusive_end else (F.col("payment_date") < F.col("_end"))
     exp = exp.where((F.col("_i") == 0) | in_range)
-    w2 = Window.partitionBy(customer).orderBy("payment_date", *order[1:])
-    exp = (exp.withColumn("payment_order", F.row_number().over(w2).cast("bigint"))
-           .withColumn("_prev_plan", F.lag("plan_name").over(w2))
-           .withColumn("_prev_amount", F.lag("amount").over(w2)))
+    exp = sequence_columns(exp, customer, ["payment_date", *order[1:]], F.unix_date("payment_date"),
+                           row_number="payment_order",
+                           lag={"_prev_plan": "plan_name", "_prev_amount": "amount"}, **split_kw)
     credit = F.col("_prev_plan").isin(*credit_from) & F.col("plan_name").isin(*credit_to)
     amount = F.when(credit, F.col("amount") - F.col("_prev_amount")).otherwise(F.col("amount"))
     # amount stays DECIMAL so sums over payments are exact; present it with money()

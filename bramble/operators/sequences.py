@@ -8,33 +8,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def time_rank(ts) -> Column:
+    """Seconds since 1970-01-01 of a timestamp (NTZ or not), non-decreasing in ``ts`` and
+    independent of the session time zone; used to bucket hot keys by time."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return (F.unix_date(ts.cast("date")).cast("double") * 86400.0
+            + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))
+
+
 def later_pairs(df: DataFrame, partition: str, time: str, first: Column, then: Column,
-                group: Sequence[str] = ()) -> DataFrame:
+                group: Sequence[str] = (), **split_kw) -> DataFrame:
     """Count (A, B) pairs with A matching ``first``, B matching ``then``, same
     ``partition`` and B strictly later than A. Per ``group`` (columns of the A rows):
     ``a_rows`` (number of A rows) and ``pairs``.
 
     Same result as the self-join A JOIN B ON partition AND b.time > a.time, without the
     join: A and B rows are first aggregated to (partition, time[, group]) with map-side
-    combine, then one window per partition gives, at each time, the B rows at or before
-    it; B strictly later = B total - that running count (RANGE frame, so equal times count
-    as not later).
+    combine; then, for each time, B strictly later = B total - B at or before it (RANGE
+    frame, equal times are not later). A partition holding a large share of the rows is
+    split into time buckets (:func:`bramble.operators.skew.later_sums`).
     """
+    from bramble.operators.skew import later_sums
     group = list(group)
     a = (df.where(first).groupBy(partition, time, *group)
-         .agg(F.count(F.lit(1)).alias("_a")).withColumn("_b", F.lit(0).cast("bigint")))
+         .agg(F.count(F.lit(1)).alias("_ac")).withColumn("_bc", F.lit(0).cast("bigint")))
     b = (df.where(then).groupBy(partition, time)
-         .agg(F.count(F.lit(1)).alias("_b")).withColumn("_a", F.lit(0).cast("bigint")))
+         .agg(F.count(F.lit(1)).alias("_bc")).withColumn("_ac", F.lit(0).cast("bigint")))
     for g in group:
         b = b.withColumn(g, F.lit(None).cast(df.schema[g].dataType))
-    u = a.unionByName(b)
-    upto = (Window.partitionBy(partition).orderBy(time)
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy(partition)
-    u = u.withColumn("_later", F.sum("_b").over(whole) - F.sum("_b").over(upto))
-    res = u.where(F.col("_a") > 0)
-    aggs = [F.sum("_a").cast("bigint").alias("a_rows"),
-            F.coalesce(F.sum(F.col("_a") * F.col("_later")), F.lit(0)).cast("bigint").alias("pairs")]
+    u = later_sums(a.unionByName(b), partition, time, time_rank(time), {"_later": "_bc"}, **split_kw)
+    res = u.where(F.col("_ac") > 0)
+    aggs = [F.sum("_ac").cast("bigint").alias("a_rows"),
+            F.coalesce(F.sum(F.col("_ac") * F.col("_later")), F.lit(0)).cast("bigint").alias("pairs")]
     return res.groupBy(*group).agg(*aggs) if group else res.agg(*aggs)
 
 

@@ -240,3 +240,46 @@ def test_pct1_half_up(spark):
     df = spark.createDataFrame([(1, 8), (307, 1000), (1, 3), (0, 5), (1, 0)], "a long, b long")
     got = [r.p for r in df.select(pct1("a", "b").alias("p")).collect()]
     assert got == [12.5, 30.7, 33.3, 0.0, None]
+
+
+# -- hot-key split (thresholds forced low so the split path runs) -----------------
+HOT = dict(hot_share=0.0, min_hot_rows=20, rows_per_bucket=7)
+
+
+def test_sequence_columns_hot_split_matches_window(spark):
+    from bramble.operators.skew import sequence_columns
+    rnd = random.Random(11)
+    rows = [(0 if rnd.random() < 0.6 else rnd.randint(1, 15), rnd.randint(0, 50), rnd.randint(0, 3), i, rnd.random())
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, t long, p int, id long, x double")
+    order = ["t", "p", "id"]
+    got = sequence_columns(df, "k", order, F.col("t"), row_number="rn", lag={"px": "x"},
+                           lead={"nt": "t", "nx": "x"}, **HOT)
+    w = Window.partitionBy("k").orderBy(*order)
+    want = (df.withColumn("rn", F.row_number().over(w)).withColumn("px", F.lag("x").over(w))
+            .withColumn("nt", F.lead("t").over(w)).withColumn("nx", F.lead("x").over(w)))
+    cols = ["k", "t", "p", "id", "x", "rn", "px", "nt", "nx"]
+    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+
+
+def test_later_pairs_hot_split_matches_brute_force(spark):
+    rnd = random.Random(12)
+    rows = [("hot" if rnd.random() < 0.7 else f"v{rnd.randint(0, 5)}", T(2024, 1, 1, rnd.randint(0, 23)),
+             rnd.randint(1, 3)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "visit string, t timestamp_ntz, e int")
+    r = later_pairs(df, "visit", "t", F.col("e") == 2, F.col("e") == 3, **HOT).first()
+    a = [x for x in rows if x[2] == 2]
+    b = [x for x in rows if x[2] == 3]
+    pairs = sum(1 for x in a for y in b if x[0] == y[0] and y[1] > x[1])
+    assert (r.a_rows, r.pairs) == (len(a), pairs)
+
+
+def test_payment_schedule_hot_split_matches_default(spark):
+    rnd = random.Random(13)
+    rows = [(0 if rnd.random() < 0.5 else rnd.randint(1, 20), rnd.randint(0, 4),
+             D(2019, 1, 1) + dt.timedelta(days=rnd.randint(0, 700))) for _ in range(300)]
+    subs = _subs(spark, rows)
+    h = F.lit(D(2021, 6, 30))
+    a = payment_schedule(subs, _plans(spark), h).collect()
+    b = payment_schedule(subs, _plans(spark), h, **HOT).collect()
+    assert len(a) > 100 and sorted(a) == sorted(b)
