@@ -6,25 +6,84 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def basket_combinations(df: DataFrame, basket: str, item: str, k: int = 3) -> DataFrame:
-    """Number of distinct baskets containing each set of ``k`` distinct items.
+def _items(df: DataFrame, basket: str, item: str) -> DataFrame:
+    return df.where(F.col(item).isNotNull()).select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct()
 
-    Output columns ``item_1 .. item_k`` (ascending, so each set appears once) and
-    ``baskets``. Counting unordered sets instead of the k! orderings of a literal
-    self-join gives the same counts with k! times fewer rows.
 
-    Plan: dedup (basket, item) with map-side partial aggregation, then k-1 equi self-joins
-    on ``basket`` with ``item_j < item_{j+1}``; both join inputs share one exchange on
-    ``basket`` (exchange reuse), and a basket holding a large share of rows is split
-    across tasks by AQE's skew-join handling. The final count is a partial + final hash
-    aggregate on the item set.
-    """
-    items = df.where(F.col(item).isNotNull()).select(
-        F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct()
+def _enumerate(items: DataFrame, k: int) -> DataFrame:
+    """Every ascending k-set of items inside each basket: k-1 equi self-joins on the
+    basket with item_j < item_{j+1}; both join sides share one exchange on the basket."""
     combo = items.select("_b", F.col("_i").alias("item_1"))
     for j in range(2, k + 1):
         nxt = items.select(F.col("_b").alias("_bn"), F.col("_i").alias(f"item_{j}"))
         combo = (combo.join(nxt, (combo["_b"] == nxt["_bn"]) & (combo[f"item_{j-1}"] < nxt[f"item_{j}"]))
                  .drop("_bn"))
+    return combo
+
+
+def basket_combinations(df: DataFrame, basket: str, item: str, k: int = 3) -> DataFrame:
+    """Number of distinct baskets containing each set of ``k`` distinct items.
+
+    Output ``item_1 .. item_k`` (ascending, so each set appears once) and ``baskets``.
+    Counting unordered sets instead of the k! orderings of a literal self-join gives the
+    same counts with k! times fewer rows. Every set of every basket is produced, so use
+    :func:`top_basket_combinations` when only the most frequent sets are wanted: it does
+    not enumerate inside very large baskets.
+    """
+    cols = [f"item_{j}" for j in range(1, k + 1)]
+    return _enumerate(_items(df, basket, item), k).groupBy(*cols).agg(F.count(F.lit(1)).alias("baskets"))
+
+
+def top_basket_combinations(df: DataFrame, basket: str, item: str, n: int, k: int = 3,
+                            max_basket: int = 200) -> DataFrame:
+    """The ``n`` most frequent k-item sets (count desc, then item ids asc), exact, without
+    enumerating the sets inside baskets of more than ``max_basket`` distinct items.
+
+    * Baskets of at most ``max_basket`` items ("small") enumerate their sets as usual, at
+      most C(max_basket, k) per basket.
+    * ``ts`` = the n-th largest small-basket count (0 if there are fewer than n sets) is a
+      lower bound of the true n-th largest count; ``nb`` = number of big baskets.
+    * A set seen in a small basket can reach the top only if small count + nb >= ts; only
+      those candidates get their big-basket count, by semi joins against the big
+      baskets' (basket, item) rows: no enumeration inside big baskets.
+    * A set seen only in big baskets has count <= nb; it is looked for only when
+      nb >= ts, and then only among items that occur in at least ts big baskets
+      (Apriori pruning). The gate is a one-row flag joined in below the enumeration, so
+      when it is closed that branch reads no rows.
+
+    A basket holding a large share of all rows is therefore one big basket: it adds one
+    semi-join probe per candidate instead of C(size, k) rows.
+    """
     cols = [f"item_{j}" for j in range(1, k + 1)]
-    return combo.groupBy(*cols).agg(F.count(F.lit(1)).alias("baskets"))
+    items = _items(df, basket, item)
+    sizes = items.groupBy("_b").agg(F.count(F.lit(1)).alias("_k"))
+    sized = items.join(sizes, "_b")
+    small = sized.where(F.col("_k") <= max_basket).select("_b", "_i")
+    big = sized.where(F.col("_k") > max_basket).select("_b", "_i")
+    nb = sizes.agg(F.count(F.when(F.col("_k") > max_basket, 1)).alias("_nb"))
+
+    sc = _enumerate(small, k).groupBy(*cols).agg(F.count(F.lit(1)).alias("_small"))
+    top_small = sc.orderBy(F.col("_small").desc(), *cols).limit(n)
+    ts = top_small.agg(F.when(F.count(F.lit(1)) >= n, F.min("_small")).otherwise(F.lit(0)).alias("_ts"))
+    bounds = F.broadcast(ts.crossJoin(nb))  # one row
+
+    # sets seen in small baskets that can still reach the top: add their big-basket count
+    cand = sc.crossJoin(bounds).where(F.col("_small") + F.col("_nb") >= F.col("_ts")).select(*cols, "_small")
+    hits = cand.select(*cols).join(big.select(F.col("_b"), F.col("_i").alias("item_1")), "item_1")
+    for j in range(2, k + 1):
+        hits = hits.join(big.select(F.col("_b"), F.col("_i").alias(f"item_{j}")), ["_b", f"item_{j}"], "left_semi")
+    big_counts = hits.groupBy(*cols).agg(F.count(F.lit(1)).alias("_big"))
+    totals = (cand.join(big_counts, cols, "left")
+              .select(*cols, (F.col("_small") + F.coalesce(F.col("_big"), F.lit(0))).alias("baskets")))
+
+    # sets seen only in big baskets: gated on nb >= ts, items pruned to big support >= ts
+    gate = bounds.where((F.col("_nb") >= F.col("_ts")) & (F.col("_nb") > 0)).select("_ts")
+    big_open = big.crossJoin(gate)
+    support = big_open.groupBy("_i", "_ts").agg(F.count(F.lit(1)).alias("_s"))
+    frequent = support.where(F.col("_s") >= F.greatest(F.col("_ts"), F.lit(1))).select("_i")
+    pruned = big_open.select("_b", "_i").join(frequent, "_i", "left_semi")
+    only_big = _enumerate(pruned, k).groupBy(*cols).agg(F.count(F.lit(1)).alias("baskets"))
+
+    # a set present in both branches keeps its full (larger) count
+    allc = totals.unionByName(only_big).groupBy(*cols).agg(F.max("baskets").alias("baskets"))
+    return allc.orderBy(F.col("baskets").desc(), *cols).limit(n)

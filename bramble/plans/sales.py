@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from bramble.functions.columns import money, month_filter, ratio, round_int
 from bramble.operators.aggregates import avg_of_group, count_distinct, distinct_flags
-from bramble.operators.basket import basket_combinations
+from bramble.operators.basket import top_basket_combinations
 from bramble.operators.hierarchy import flatten_hierarchy
 from bramble.operators.ranking import nearest_rank, pivot_percentiles, top_n, top_per_group
 from bramble.operators.shares import share_of_parent, share_of_total
@@ -147,9 +147,8 @@ def product_penetration(sales: DataFrame, products: DataFrame) -> DataFrame:
     return out.orderBy(F.col("penetration").desc(), "prod_id")
 
 
-def basket_top_triples(sales: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
-    combos = basket_combinations(sales, "txn_id", "prod_id", k=3)
-    top = top_n(combos, [F.col("baskets").desc(), "item_1", "item_2", "item_3"], n)
+def basket_top_triples(sales: DataFrame, products: DataFrame, n: int = 10, max_basket: int = 200) -> DataFrame:
+    top = top_basket_combinations(sales, "txn_id", "prod_id", n, k=3, max_basket=max_basket)
     names = products.select("product_id", "product_name")
     out = top
     for j in (1, 2, 3):

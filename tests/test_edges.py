@@ -283,3 +283,38 @@ def test_payment_schedule_hot_split_matches_default(spark):
     a = payment_schedule(subs, _plans(spark), h).collect()
     b = payment_schedule(subs, _plans(spark), h, **HOT).collect()
     assert len(a) > 100 and sorted(a) == sorted(b)
+
+
+def _brute_top_sets(rows, n, k=3):
+    baskets = {}
+    for t, i in rows:
+        baskets.setdefault(t, set()).add(i)
+    cnt = {}
+    for items in baskets.values():
+        for c in itertools.combinations(sorted(items), k):
+            cnt[c] = cnt.get(c, 0) + 1
+    return sorted(((-v, c) for c, v in cnt.items()))[:n]
+
+
+@pytest.mark.parametrize("seed,hot_items,n", [(21, 40, 10), (22, 25, 3), (23, 60, 1)])
+def test_top_sets_with_big_baskets_match_brute_force(spark, seed, hot_items, n):
+    from bramble.operators.basket import top_basket_combinations
+    rnd = random.Random(seed)
+    rows = [(t, rnd.randint(1, 15)) for t in range(150) for _ in range(rnd.randint(1, 6))]
+    rows += [(1000, i) for i in range(1, hot_items)]            # one huge basket
+    rows += [(1001 + j, i) for j in range(3) for i in rnd.sample(range(1, 30), 12)]  # a few more big ones
+    df = spark.createDataFrame(rows, "txn long, item long")
+    got = [(-r.baskets, (r.item_1, r.item_2, r.item_3))
+           for r in top_basket_combinations(df, "txn", "item", n, max_basket=8).collect()]
+    assert got == _brute_top_sets(rows, n)
+
+
+def test_top_sets_only_in_big_baskets(spark):
+    from bramble.operators.basket import top_basket_combinations
+    # the winning set {1,2,3} appears only in big baskets; small baskets have weak sets
+    rows = [(b, i) for b in range(5) for i in [1, 2, 3] + list(range(10 + 20 * b, 30 + 20 * b))]
+    rows += [(100 + t, i) for t in range(4) for i in (200 + t, 300 + t, 400 + t)]
+    df = spark.createDataFrame(rows, "txn long, item long")
+    got = [(-r.baskets, (r.item_1, r.item_2, r.item_3))
+           for r in top_basket_combinations(df, "txn", "item", 2, max_basket=8).collect()]
+    assert got == _brute_top_sets(rows, 2)
