@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,11 +149,18 @@ class Fixtures:
             code.alias("event_type"),
             F.col("ts").alias("event_time"),
         )
-        # sequence_number is only materialised when a query selects it (column pruning
-        # drops the window otherwise); queries that need visit order use
-        # (event_time, event_id), which is the same order.
-        w = Window.partitionBy("visit_id").orderBy("event_time", "event_id")
-        return df.withColumn("sequence_number", F.row_number().over(w))
+        return df
+
+    @property
+    def clicks_sequenced(self) -> DataFrame:
+        """``clicks`` plus sequence_number: position of the event in its visit by
+        (event_time, event_id). Numbered with the hot-key split of
+        :mod:`bramble.operators.skew`, so a very long visit is not sorted in one task.
+        Queries that only need visit order sort by (event_time, event_id) directly."""
+        from bramble.operators.skew import sequence_columns
+        from bramble.operators.sequences import time_rank
+        return sequence_columns(self.clicks, "visit_id", ["event_time", "event_id"], time_rank("event_time"),
+                                row_number="sequence_number")
 
     @property
     def users(self) -> DataFrame:

@@ -318,3 +318,13 @@ def test_top_sets_only_in_big_baskets(spark):
     got = [(-r.baskets, (r.item_1, r.item_2, r.item_3))
            for r in top_basket_combinations(df, "txn", "item", 2, max_basket=8).collect()]
     assert got == _brute_top_sets(rows, 2)
+
+
+def test_clicks_sequence_number_matches_sql_view(spark, duck_small):
+    from bramble.sources.fixtures import with_views
+    from bramble.sources.tables import Tables
+    from conftest import SF_SMALL
+    got = {(r.event_id, r.sequence_number) for r in
+           Tables(spark, SF_SMALL).fixtures.clicks_sequenced.select("event_id", "sequence_number").collect()}
+    want = set(duck_small.execute(with_views("SELECT event_id, sequence_number FROM clicks")).fetchall())
+    assert got == want
