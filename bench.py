@@ -22,7 +22,8 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus,
-                      extra={"spark.driver.memory": "16g"})
+                      extra={"spark.driver.memory": "16g", "spark.sql.ui.retainedExecutions": "20",
+                             "spark.ui.retainedJobs": "50", "spark.ui.retainedStages": "50"})
     spark.sparkContext.setLogLevel("ERROR")
     from bramble.plans.registry import QUERIES
 

@@ -72,18 +72,20 @@ def nearest_rank(values: DataFrame, value: str, percentiles: Sequence[int],
         raw = F.floor((F.col("_d") - lo) / width * F.lit(bins)).cast("int")
         return F.when(width > 0, F.least(raw, F.lit(bins - 1))).otherwise(F.lit(0))
 
-    def histogram(df: DataFrame, keys: list[str]) -> DataFrame:
+    def histogram(df: DataFrame, keys: list[str], carry: Sequence[str] = ()) -> DataFrame:
         return df.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_cnt"),
-                                             F.min("_d").alias("_blo"), F.max("_d").alias("_bhi"))
+                                             F.min("_d").alias("_blo"), F.max("_d").alias("_bhi"),
+                                             *[F.first(c).alias(c) for c in carry])
 
-    def locate(hist: DataFrame, tgt: DataFrame, key: str) -> DataFrame:
-        """The histogram bin holding rank _k of each target; _k becomes the rank inside it."""
+    def running(hist: DataFrame, key: str) -> DataFrame:
         w = Window.partitionBy(key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-        cum = hist.withColumn("_end", F.sum("_cnt").over(w)).withColumnRenamed(key, "_key")
-        hit = tgt.join(cum, (cum["_key"] == tgt[key]) & (cum["_end"] - cum["_cnt"] < tgt["_k"])
-                       & (tgt["_k"] <= cum["_end"]))
-        return hit.select("percentile", "_bin", (F.col("_k") - (F.col("_end") - F.col("_cnt"))).alias("_k"),
-                          F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"))
+        return hist.withColumn("_end", F.sum("_cnt").over(w))
+
+    def pick(cum: DataFrame) -> DataFrame:
+        """Keep the bin holding rank _k; _k becomes the rank inside that bin."""
+        return (cum.where((F.col("_end") - F.col("_cnt") < F.col("_k")) & (F.col("_k") <= F.col("_end")))
+                .select("percentile", "_bin", (F.col("_k") - (F.col("_end") - F.col("_cnt"))).alias("_k"),
+                        F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi")))
 
     # rank = ROUND(p * N / 100) half up, in exact integer arithmetic; rank 0 has no row
     targets = (pct.crossJoin(stats.select("_n"))
@@ -93,14 +95,15 @@ def nearest_rank(values: DataFrame, value: str, percentiles: Sequence[int],
     # level 1: bins over the global range, one histogram shared by all percentiles
     v1 = (v.crossJoin(F.broadcast(stats.select("_lo", "_hi")))
           .select("_val", "_d", bin_of(F.col("_lo"), F.col("_hi")).alias("_bin")))
-    tgt = locate(histogram(v1.withColumn("_one", F.lit(1)), ["_one"]), targets, "_one")
+    cum = running(histogram(v1.withColumn("_one", F.lit(1)), ["_one"]), "_one")
+    tgt = pick(cum.join(F.broadcast(targets), "_one"))   # <= bins x percentiles rows
     cand = (v1.join(F.broadcast(tgt), "_bin")
             .select("percentile", "_val", "_d", "_k", "_lo", "_hi"))
-    # levels 2..: split the chosen bin of each percentile over its own range
+    # levels 2..: split the chosen bin of each percentile over its own range; the target
+    # rank rides along in the histogram rows
     for _ in range(levels - 1):
         cb = cand.withColumn("_bin", bin_of(F.col("_lo"), F.col("_hi")))
-        tgt = locate(histogram(cb, ["percentile"]),
-                     cand.select("percentile", "_k").dropDuplicates(["percentile"]), "percentile")
+        tgt = pick(running(histogram(cb, ["percentile"], carry=["_k"]), "percentile"))
         cand = (cb.drop("_k", "_lo", "_hi").join(F.broadcast(tgt), ["percentile", "_bin"])
                 .select("percentile", "_val", "_d", "_k", "_lo", "_hi"))
     # last bin: distinct values with multiplicity, ranked

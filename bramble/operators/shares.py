@@ -26,7 +26,12 @@ def share_of_parent(df: DataFrame, parent: Sequence[str] | str, measure: str,
     """
     parent = _cols(parent)
     totals = df.groupBy(*parent).agg(F.sum(measure).alias("_parent_total"))
-    joined = df.join(totals, parent, "left") if parent else df.crossJoin(totals)
+    if not parent:
+        joined = df.crossJoin(F.broadcast(totals))
+    else:  # null-safe: rows without a parent share one NULL parent, as a window would
+        tot = totals.select(*[F.col(p).alias(f"_p_{p}") for p in parent], "_parent_total")
+        cond = [df[p].eqNullSafe(tot[f"_p_{p}"]) for p in parent]
+        joined = df.join(tot, cond, "left").drop(*[f"_p_{p}" for p in parent])
     return joined.withColumn(alias, ratio(F.col(measure), F.col("_parent_total"))).drop("_parent_total")
 
 

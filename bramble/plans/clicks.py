@@ -35,9 +35,9 @@ def users_count(users: DataFrame) -> DataFrame:
 
 
 def cookies_per_user(users: DataFrame) -> DataFrame:
-    cookies = users.agg(F.count("cookie_id").alias("_c"))
-    people = count_distinct(users, "user_id", alias="_u")
-    return cookies.crossJoin(people).select(ratio("_c", "_u").alias("avg_cookies"))
+    # one pass: cookies per user id, then total cookies and non-null user ids
+    per_user = users.groupBy("user_id").agg(F.count("cookie_id").alias("_c"))
+    return per_user.agg(ratio(F.sum("_c"), F.count("user_id")).alias("avg_cookies"))
 
 
 def visits_by_month(clicks: DataFrame) -> DataFrame:

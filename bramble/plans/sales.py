@@ -170,23 +170,23 @@ def month_sales(sales: DataFrame, month: int, year: int | None = None) -> DataFr
 
 def report_scalars(ms: DataFrame, percentiles: Sequence[int] = PERCENTILES) -> DataFrame:
     """The nine scalar results of the monthly report in one row (INT results rounded half
-    up as the routines do). Sums share one aggregate; the txn-level metrics share one
-    aggregate per transaction; percentiles read the same per-transaction frame."""
-    sums = ms.agg(F.sum("qty").cast("bigint").alias("total_qty"),
-                  round_int(F.sum("gross")).alias("rev_before_discount"),
-                  round_int(F.sum(_disc()) / F.lit(100)).alias("total_discount"))
-    per_txn = ms.groupBy("txn_id").agg(F.count_distinct("prod_id").alias("uniq"),
+    up as the routines do). One aggregate per transaction feeds all of them: the sums,
+    counts and means in one global aggregate, the percentiles through nearest_rank."""
+    per_txn = ms.groupBy("txn_id").agg(F.count_distinct("prod_id").alias("uniq"), F.sum("qty").alias("qty"),
                                        F.sum("gross").alias("rev"), F.sum(_disc()).alias("disc_c"))
+    n = F.count(F.lit(1))
+    # every scalar comes from the one per-transaction aggregate (one scan of the input)
     txn = per_txn.agg(
-        F.count(F.lit(1)).alias("total_unique_transac"),
-        round_int(F.when(F.count(F.lit(1)) > 0,
-                         F.sum("uniq").cast("double") / F.count(F.lit(1)))).alias("avg_unique_product"),
-        round_int(F.when(F.count(F.lit(1)) > 0,
-                         F.sum("disc_c").cast("double") / 100.0 / F.count(F.lit(1)))).alias("avg_discount"))
+        F.sum("qty").cast("bigint").alias("total_qty"),
+        round_int(F.sum("rev")).alias("rev_before_discount"),
+        round_int(F.sum("disc_c") / F.lit(100)).alias("total_discount"),
+        n.alias("total_unique_transac"),
+        round_int(F.when(n > 0, F.sum("uniq").cast("double") / n)).alias("avg_unique_product"),
+        round_int(F.when(n > 0, F.sum("disc_c").cast("double") / 100.0 / n)).alias("avg_discount"))
     pct = pivot_percentiles(nearest_rank(per_txn, "rev", percentiles), percentiles,
                             "revenue_at_percentile_")
     pct = pct.select(*[money(c).alias(c) for c in pct.columns])
-    out = sums.crossJoin(txn).crossJoin(pct)
+    out = txn.crossJoin(pct)
     return out.select("total_qty", "rev_before_discount", "total_discount", "total_unique_transac",
                       "avg_unique_product", *[f"revenue_at_percentile_{p}" for p in percentiles],
                       "avg_discount")

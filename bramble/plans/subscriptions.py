@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from bramble.functions.columns import in_year, money, pct1
 from bramble.operators.aggregates import count_distinct, counts_with_totals, distinct_flags
-from bramble.operators.funnel import ordered_concat
+from bramble.operators.funnel import join_list, ordered_list
 from bramble.operators.payments import churn_over, payment_schedule
 from bramble.operators.sequences import last_as_of, nth_in_order
 from bramble.sources.fixtures import CHURN, PRO_ANNUAL, REPORT_YEAR, SINCE_DATE, TRIAL, BASIC_MONTHLY, PRO_MONTHLY
@@ -36,9 +36,10 @@ def _customers(subs: DataFrame) -> DataFrame:
 def customer_journey(subs: DataFrame, plans: DataFrame) -> DataFrame:
     s = _named(subs, plans)
     order = [F.col(c) for c in ORDER]
-    j = ordered_concat(s, "customer_id", F.col("plan_name"), order, " -> ", "journey")
-    t = ordered_concat(s, "customer_id", F.col("start_date").cast("string"), order, " -> ", "time_line")
-    return j.join(t, "customer_id")
+    # one aggregate per customer builds both strings
+    return s.groupBy("customer_id").agg(
+        join_list(ordered_list(F.col("plan_name"), order), " -> ").alias("journey"),
+        join_list(ordered_list(F.col("start_date").cast("string"), order), " -> ").alias("time_line"))
 
 
 # -- B: questions ----------------------------------------------------------------

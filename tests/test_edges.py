@@ -328,3 +328,10 @@ def test_clicks_sequence_number_matches_sql_view(spark, duck_small):
            Tables(spark, SF_SMALL).fixtures.clicks_sequenced.select("event_id", "sequence_number").collect()}
     want = set(duck_small.execute(with_views("SELECT event_id, sequence_number FROM clicks")).fetchall())
     assert got == want
+
+
+def test_share_of_parent_null_parent_grouped(spark):
+    from bramble.operators.shares import share_of_parent
+    df = spark.createDataFrame([(None, "a", 1.0), (None, "b", 3.0), ("x", "c", 2.0)], "p string, c string, m double")
+    got = {r.c: r.share for r in share_of_parent(df, "p", "m").collect()}
+    assert got == {"a": 0.25, "b": 0.75, "c": 1.0}
