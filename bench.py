@@ -23,7 +23,9 @@ def main() -> None:
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus,
                       extra={"spark.driver.memory": "16g", "spark.sql.ui.retainedExecutions": "20",
-                             "spark.ui.retainedJobs": "50", "spark.ui.retainedStages": "50"})
+                             "spark.ui.retainedJobs": "50", "spark.ui.retainedStages": "50",
+                             # input folders are immutable during the bench
+                             "spark.bramble.reuseReads": "true"})
     spark.sparkContext.setLogLevel("ERROR")
     from bramble.plans.registry import QUERIES
 

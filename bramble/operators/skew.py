@@ -5,9 +5,10 @@ A plain ``Window.partitionBy(key)`` sorts every key inside one task; a key with
 the data would then run on one core. Here keys are split first:
 
 * one hash aggregate counts rows per key (map-side combine, only the key and three numbers
-  are shuffled) and finds the *hot* keys: more than ``max(min_hot_rows, hot_share * N)``
-  rows. There are at most ``1 / hot_share`` of them, so the hot-key table has a proven size
-  bound and is broadcast;
+  are shuffled); the *hot* keys are the ``max_hot`` (10^4) keys with the most rows among
+  those above ``min_hot_rows`` (a top-k, no sort of the data). The hot-key table has at
+  most ``max_hot`` rows, so it is broadcast; every key left out holds at most
+  N / ``max_hot`` rows (at least ``max_hot`` keys are at least as large);
 * rows of a hot key get a bucket ``_b``: an equal-width slice of the key's ordering value
   (``rank``, a number that is non-decreasing in the window order), about
   ``rows_per_bucket`` rows each; all other rows get ``_b = 0``;
@@ -27,19 +28,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1e-4
+MAX_HOT = 10_000
 MIN_HOT_ROWS = 1_000_000
 ROWS_PER_BUCKET = 200_000
 
 
-def split_hot_keys(df: DataFrame, key: str, rank: Column, *, hot_share: float = HOT_SHARE,
+def split_hot_keys(df: DataFrame, key: str, rank: Column, *, max_hot: int = MAX_HOT,
                    min_hot_rows: int = MIN_HOT_ROWS, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``df`` plus ``_b`` (bucket inside the key) and ``_hot`` (key was split)."""
     r = rank.cast("double")
     stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"), F.min(r).alias("_lo"), F.max(r).alias("_hi"))
-    total = df.agg(F.count(F.lit(1)).alias("_n"))  # partial counts per partition, one row
-    hot = (stats.crossJoin(F.broadcast(total))
-           .where(F.col("_cnt") > F.greatest(F.lit(min_hot_rows), F.col("_n") * F.lit(hot_share)))
+    # the (at most) max_hot keys with the most rows, among keys above min_hot_rows: a key
+    # left out has no more rows than each of max_hot kept keys, so at most N / max_hot
+    hot = (stats.where(F.col("_cnt") > F.lit(min_hot_rows))
+           .orderBy(F.col("_cnt").desc(), F.col(key)).limit(max_hot)
            .select(key, "_lo", "_hi", F.ceil(F.col("_cnt") / F.lit(rows_per_bucket)).alias("_nb")))
     d = df.join(F.broadcast(hot), key, "left")
     width = F.col("_hi") - F.col("_lo") + F.lit(1.0)

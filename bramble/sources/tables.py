@@ -12,6 +12,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+REUSE_CONF = "spark.bramble.reuseReads"
+
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -27,7 +29,14 @@ class Tables:
 
     def read(self, name: str) -> DataFrame:
         path = os.path.join(self.sf_dir, f"{name}.parquet")
-        return self.spark.read.parquet(path)
+        if self.spark.conf.get(REUSE_CONF, "false").lower() != "true":
+            return self.spark.read.parquet(path)
+        # Opt-in for immutable input folders: reuse the DataFrame (its file listing and
+        # Parquet schema) across queries of this session instead of listing again.
+        cache = self.spark.__dict__.setdefault("_bramble_reads", {})
+        if path not in cache:
+            cache[path] = self.spark.read.parquet(path)
+        return cache[path]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:

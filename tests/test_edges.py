@@ -243,7 +243,7 @@ def test_pct1_half_up(spark):
 
 
 # -- hot-key split (thresholds forced low so the split path runs) -----------------
-HOT = dict(hot_share=0.0, min_hot_rows=20, rows_per_bucket=7)
+HOT = dict(max_hot=3, min_hot_rows=20, rows_per_bucket=7)
 
 
 def test_sequence_columns_hot_split_matches_window(spark):
