@@ -78,17 +78,18 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
         horizon = F.col("_horizon")
     base = sequence_columns(base, customer, order, F.unix_date("start_date"),
                             lead={"_next_start": "start_date"}, **split_kw)
-    base = base.withColumn("_end", F.coalesce(F.col("_next_start"), horizon))
-    paying = base.where(F.col("amount").isNotNull())
+    end = F.coalesce(F.col("_next_start"), horizon)
+    paying = base.where(F.col("amount").isNotNull()).select(
+        customer, *order[1:], "plan_name", "amount", "start_date", end.alias("_end"),
+        *([drift_anchor(F.col("start_date")).alias("_cal")] if anchor == "drift" else []))
     n = F.when(F.col("plan_name").isin(*once_plans), F.lit(0)).otherwise(
         F.months_between(F.trunc("_end", "month"), F.trunc("start_date", "month")).cast("int"))
-    if anchor == "drift":
-        paying = paying.withColumn("_cal", drift_anchor(F.col("start_date")))
     exp = paying.withColumn("_i", F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(0)))))
     facts = F.col("_cal") if anchor == "drift" else None
     exp = exp.withColumn("payment_date", drift_month_dates(F.col("start_date"), F.col("_i"), anchor, facts))
     in_range = (F.col("payment_date") <= F.col("_end")) if inclusive_end else (F.col("payment_date") < F.col("_end"))
-    exp = exp.where((F.col("_i") == 0) | in_range)
+    # only what numbering and output need crosses the next shuffle
+    exp = exp.where((F.col("_i") == 0) | in_range).select(customer, *order[1:], "plan_name", "payment_date", "amount")
     exp = sequence_columns(exp, customer, ["payment_date", *order[1:]], F.unix_date("payment_date"),
                            row_number="payment_order",
                            lag={"_prev_plan": "plan_name", "_prev_amount": "amount"}, **split_kw)

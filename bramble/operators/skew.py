@@ -46,8 +46,9 @@ def split_hot_keys(df: DataFrame, key: str, rank: Column, *, max_hot: int = MAX_
     d = df.join(F.broadcast(hot), key, "left")
     width = F.col("_hi") - F.col("_lo") + F.lit(1.0)
     b = F.least(F.floor((r - F.col("_lo")) / width * F.col("_nb")), F.col("_nb") - 1).cast("long")
-    return (d.withColumn("_b", F.when(F.col("_nb").isNull(), F.lit(0).cast("long")).otherwise(b))
-            .withColumn("_hot", F.col("_nb").isNotNull()).drop("_lo", "_hi", "_nb"))
+    return d.select(*[F.col(c) for c in df.columns],
+                    F.when(F.col("_nb").isNull(), F.lit(0).cast("long")).otherwise(b).alias("_b"),
+                    F.col("_nb").isNotNull().alias("_hot"))
 
 
 def sequence_columns(df: DataFrame, key: str, order: Sequence[str], rank: Column, *,
@@ -76,19 +77,19 @@ def sequence_columns(df: DataFrame, key: str, order: Sequence[str], rank: Column
                        F.lag("_last").over(ws).alias("_prev_last"),
                        F.lead("_first").over(ws).alias("_next_first"))
     w = Window.partitionBy(key, "_b").orderBy(*order)
-    d = split.withColumn("_rn", F.row_number().over(w)).withColumn("_more", F.lead(F.lit(1)).over(w).isNotNull())
-    for out, src in lag.items():
-        d = d.withColumn(out, F.lag(src).over(w))
-    for out, src in lead.items():
-        d = d.withColumn(out, F.lead(src).over(w))
-    d = d.join(summ, [key, "_b"], "left")
+    local = {"_rn": F.row_number().over(w), "_more": F.lead(F.lit(1)).over(w).isNotNull()}
+    local.update({out: F.lag(src).over(w) for out, src in lag.items()})
+    local.update({out: F.lead(src).over(w) for out, src in lead.items()})
+    d = split.withColumns(local).join(summ, [key, "_b"], "left")
+    fixed = {}
     if row_number:
-        d = d.withColumn(row_number, (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint"))
-    for out, src in lag.items():
-        d = d.withColumn(out, F.when(F.col("_rn") == 1, F.col("_prev_last")[src]).otherwise(F.col(out)))
-    for out, src in lead.items():
-        d = d.withColumn(out, F.when(~F.col("_more"), F.col("_next_first")[src]).otherwise(F.col(out)))
-    return d.drop("_b", "_hot", "_rn", "_more", "_off", "_prev_last", "_next_first")
+        fixed[row_number] = (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint")
+    fixed.update({out: F.when(F.col("_rn") == 1, F.col("_prev_last")[src]).otherwise(F.col(out))
+                  for out, src in lag.items()})
+    fixed.update({out: F.when(~F.col("_more"), F.col("_next_first")[src]).otherwise(F.col(out))
+                  for out, src in lead.items()})
+    keep = [c for c in df.columns if c not in fixed]
+    return d.select(*keep, *[v.alias(k) for k, v in fixed.items()])
 
 
 def later_sums(df: DataFrame, key: str, order: str, rank: Column, sums: dict[str, str],
@@ -99,14 +100,13 @@ def later_sums(df: DataFrame, key: str, order: str, rank: Column, sums: dict[str
     split = split_hot_keys(df, key, rank, **split_kw)
     whole = Window.partitionBy(key, "_b")
     upto = whole.orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    d = split
-    for out, src in sums.items():
-        d = d.withColumn(out, F.coalesce(F.sum(src).over(whole) - F.sum(src).over(upto), F.lit(0)))
+    d = split.withColumns({out: F.coalesce(F.sum(src).over(whole) - F.sum(src).over(upto), F.lit(0))
+                           for out, src in sums.items()})
     summ = split.where("_hot").groupBy(key, "_b").agg(*[F.sum(src).alias(f"_bs_{out}") for out, src in sums.items()])
     after = Window.partitionBy(key).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
     summ = summ.select(key, "_b", *[F.coalesce(F.sum(f"_bs_{out}").over(after), F.lit(0)).alias(f"_after_{out}")
                                     for out in sums])
     d = d.join(summ, [key, "_b"], "left")
-    for out in sums:
-        d = d.withColumn(out, F.col(out) + F.coalesce(F.col(f"_after_{out}"), F.lit(0)))
-    return d.drop("_b", "_hot", *[f"_after_{out}" for out in sums])
+    keep = [c for c in df.columns if c not in sums]
+    return d.select(*keep, *[(F.col(out) + F.coalesce(F.col(f"_after_{out}"), F.lit(0))).alias(out)
+                             for out in sums])
