@@ -90,3 +90,48 @@ def counts_with_totals(df: DataFrame, key: str, label: str, entity: str,
             F.struct(F.lit(distinct_label).alias(label), F.col("_dist").alias(count_alias)),
         )).alias("t")).select("t.*")
     return per_key.unionByName(totals)
+
+
+_PERIODS = {"month": F.month, "year": F.year, "day": F.dayofmonth, "quarter": F.quarter}
+
+
+def distinct_by_period(df: DataFrame, ts: str, entity: str, period: str = "month",
+                       alias: str = "n") -> DataFrame:
+    """COUNT(DISTINCT entity) per calendar part of ``ts`` (MONTH(ts) etc., all years
+    together, like GROUP BY MONTH(ts)); the period column is named after ``period``."""
+    return count_distinct(df.withColumn(period, _PERIODS[period](ts)), entity, by=period, alias=alias)
+
+
+def count_by_lookup(df: DataFrame, key: str, lookup: DataFrame, name: str, counted: str,
+                    alias: str) -> DataFrame:
+    """COUNT(counted) per ``lookup.name`` after a left join on ``key``. Counted per key
+    first, so the (bounded, broadcast) lookup joins one row per key, then summed per name."""
+    per_key = df.groupBy(key).agg(F.count(counted).alias("_n"))
+    return (per_key.join(F.broadcast(lookup.select(key, name)), key, "left")
+            .groupBy(name).agg(F.sum("_n").cast("bigint").alias(alias)))
+
+
+def conditional_counts(df: DataFrame, by: Sequence[str] | str, counts: Mapping[str, Column],
+                       value: str | None = None) -> DataFrame:
+    """COUNT(CASE WHEN cond THEN value END) per group for each named condition."""
+    v = F.col(value) if value else F.lit(1)
+    return df.groupBy(*_cols(by)).agg(*[F.count(F.when(c, v)).alias(n) for n, c in counts.items()])
+
+
+def distinct_share(df: DataFrame, entity: str, pred: Column, count_alias: str, pct_alias: str) -> DataFrame:
+    """Distinct entities with a row matching ``pred`` and their share of all distinct
+    entities, as ROUND(100 * part / whole, 1) half up."""
+    from bramble.functions.columns import pct1
+    flags = distinct_flags(df, entity, {count_alias: pred}, total="_all")
+    return flags.select(count_alias, pct1(count_alias, "_all").alias(pct_alias))
+
+
+def bucketize(df: DataFrame, value: str, width: int, entity: str, label_alias: str,
+              count_alias: str) -> DataFrame:
+    """Histogram of ``value`` in bins of ``width`` (bin b covers b*width .. b*width+width-1,
+    labelled 'lo-hi days'), counting distinct ``entity`` per bin."""
+    binned = df.withColumn("_bin", F.floor(F.col(value) / F.lit(width)).cast("bigint"))
+    per = count_distinct(binned, entity, by="_bin", alias=count_alias)
+    label = F.concat((F.col("_bin") * width).cast("string"), F.lit("-"),
+                     (F.col("_bin") * width + width - 1).cast("string"), F.lit(" days"))
+    return per.select(label.alias(label_alias), count_alias)

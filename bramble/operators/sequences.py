@@ -75,3 +75,26 @@ def last_as_of(df: DataFrame, key: str, order: Sequence[str], as_of_col: str, as
     st = F.struct(*[F.col(c) for c in order + carry])
     return (df.where(F.col(as_of_col) <= F.lit(as_of)).groupBy(key).agg(F.max(st).alias("_m"))
             .select(key, *[F.col(f"_m.{c}").alias(c) for c in order + carry]))
+
+
+def time_since_first(df: DataFrame, key: str, date: str, pred: Column, alias: str = "days") -> DataFrame:
+    """Rows matching ``pred`` with the days since their key's first ``date`` (over all
+    rows of the key). The first dates are one row per key (hash aggregate), joined back;
+    a key with very many rows is a skewed join key on one side only, which AQE splits."""
+    first = df.groupBy(key).agg(F.min(date).alias("_first"))
+    return (df.where(pred).join(first, key)
+            .withColumn(alias, F.datediff(F.col(date), F.col("_first"))).drop("_first"))
+
+
+def mean_time_since_first(df: DataFrame, key: str, date: str, pred: Column,
+                          count_alias: str, mean_alias: str) -> DataFrame:
+    """Distinct keys with a row matching ``pred`` and ROUND(AVG(days since the key's first
+    date)) over those rows, from one aggregate per key (first date, number and date sum
+    of matching rows) and one global aggregate: no join back."""
+    per = df.groupBy(key).agg(
+        F.unix_date(F.min(date)).alias("_first"),
+        F.count(F.when(pred, 1)).alias("_n"),
+        F.sum(F.when(pred, F.unix_date(date))).alias("_sum")).where(F.col("_n") > 0)
+    days = F.sum(F.col("_sum") - F.col("_n") * F.col("_first"))
+    return per.agg(F.count(F.lit(1)).alias(count_alias),
+                   F.round(days.cast("double") / F.sum("_n").cast("double")).alias(mean_alias))

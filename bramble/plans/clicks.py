@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
-from bramble.operators.aggregates import count_distinct
+from bramble.operators.aggregates import conditional_counts, count_by_lookup, count_distinct, distinct_by_period
 from bramble.operators.funnel import (attribute_interval, conversion_metrics, funnel, join_list,
                                       ordered_concat, ordered_list)
 from bramble.operators.ranking import leaders, top_n
@@ -41,14 +41,11 @@ def cookies_per_user(users: DataFrame) -> DataFrame:
 
 
 def visits_by_month(clicks: DataFrame) -> DataFrame:
-    return count_distinct(clicks.withColumn("month", F.month("event_time")), "visit_id",
-                          by="month", alias="visits")
+    return distinct_by_period(clicks, "event_time", "visit_id", "month", alias="visits")
 
 
 def _events_per_name(clicks: DataFrame, names: DataFrame, alias: str) -> DataFrame:
-    per_type = clicks.groupBy("event_type").agg(F.count("visit_id").alias("_n"))
-    return (per_type.join(F.broadcast(names), "event_type", "left")
-            .groupBy("event_name").agg(F.sum("_n").cast("bigint").alias(alias)))
+    return count_by_lookup(clicks, "event_type", names, "event_name", "visit_id", alias)
 
 
 def events_by_type(clicks: DataFrame, names: DataFrame) -> DataFrame:
@@ -81,9 +78,8 @@ def top_pages_by_views(clicks: DataFrame, pages: DataFrame, n: int = 3) -> DataF
 
 
 def category_views_and_adds(clicks: DataFrame, pages: DataFrame) -> DataFrame:
-    per_page = clicks.groupBy("page_id").agg(
-        F.count(F.when(F.col("event_type") == VIEW, F.col("visit_id"))).alias("_v"),
-        F.count(F.when(F.col("event_type") == ADD, F.col("visit_id"))).alias("_a"))
+    per_page = conditional_counts(clicks, "page_id", {"_v": F.col("event_type") == VIEW,
+                                                      "_a": F.col("event_type") == ADD}, value="visit_id")
     cats = F.broadcast(pages.where(F.col("product_category").isNotNull())
                        .select("page_id", "product_category"))
     return (per_page.join(cats, "page_id").groupBy("product_category")

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import in_year, money, pct1
-from bramble.operators.aggregates import count_distinct, counts_with_totals, distinct_flags
+from bramble.operators.aggregates import (bucketize, count_distinct, counts_with_totals, distinct_by_period,
+                                          distinct_flags, distinct_share)
 from bramble.operators.funnel import join_list, ordered_list
 from bramble.operators.payments import churn_over, payment_schedule
-from bramble.operators.sequences import last_as_of, nth_in_order
+from bramble.operators.sequences import last_as_of, mean_time_since_first, nth_in_order, time_since_first
 from bramble.sources.fixtures import CHURN, PRO_ANNUAL, REPORT_YEAR, SINCE_DATE, TRIAL, BASIC_MONTHLY, PRO_MONTHLY
 from bramble.sources.tables import Tables
 
@@ -48,8 +49,8 @@ def customers_by_plan_with_totals(subs: DataFrame, plans: DataFrame) -> DataFram
 
 
 def trials_by_month(subs: DataFrame) -> DataFrame:
-    t = subs.where(F.col("plan_id") == TRIAL).withColumn("month", F.month("start_date"))
-    return count_distinct(t, "customer_id", by="month", alias="num_customer")
+    return distinct_by_period(subs.where(F.col("plan_id") == TRIAL), "start_date", "customer_id",
+                              "month", alias="num_customer")
 
 
 def plan_events_by_year(subs: DataFrame, plans: DataFrame, since: str = SINCE_DATE) -> DataFrame:
@@ -61,9 +62,7 @@ def plan_events_by_year(subs: DataFrame, plans: DataFrame, since: str = SINCE_DA
 
 
 def churn_rate(subs: DataFrame) -> DataFrame:
-    churned = count_distinct(subs.where(F.col("plan_id") == CHURN), "customer_id", alias="churn_count")
-    return (churned.crossJoin(_customers(subs))
-            .select("churn_count", pct1("churn_count", "_customers").alias("churn_pct")))
+    return distinct_share(subs, "customer_id", F.col("plan_id") == CHURN, "churn_count", "churn_pct")
 
 
 def second_plans(subs: DataFrame) -> DataFrame:
@@ -107,28 +106,14 @@ def annual_upgrades_in_year(subs: DataFrame, plans: DataFrame, year: int = REPOR
 
 def days_to_upgrade(subs: DataFrame) -> DataFrame:
     """Customers on pro annual and the rounded mean of days from their first start to each
-    pro annual start. One aggregate per customer (first start, number and date sum of
-    annual rows), then one global aggregate: no join back."""
-    is_annual = F.col("plan_id") == PRO_ANNUAL
-    per = subs.groupBy("customer_id").agg(
-        F.unix_date(F.min("start_date")).alias("_first"),
-        F.count(F.when(is_annual, 1)).alias("_n"),
-        F.sum(F.when(is_annual, F.unix_date("start_date"))).alias("_sum"))
-    per = per.where(F.col("_n") > 0)
-    days = F.sum(F.col("_sum") - F.col("_n") * F.col("_first"))
-    return per.agg(F.count(F.lit(1)).alias("pro_annual_customer"),
-                   F.round(days.cast("double") / F.sum("_n").cast("double")).alias("avg_days_to_upgrade"))
+    pro annual start."""
+    return mean_time_since_first(subs, "customer_id", "start_date", F.col("plan_id") == PRO_ANNUAL,
+                                 "pro_annual_customer", "avg_days_to_upgrade")
 
 
 def days_to_upgrade_buckets(subs: DataFrame, width: int = 30) -> DataFrame:
-    first = subs.groupBy("customer_id").agg(F.min("start_date").alias("_first"))
-    annual = subs.where(F.col("plan_id") == PRO_ANNUAL).select("customer_id", "start_date")
-    d = annual.join(first, "customer_id").withColumn(
-        "_bucket", F.floor(F.datediff("start_date", "_first") / F.lit(width)).cast("bigint"))
-    per = count_distinct(d, "customer_id", by="_bucket", alias="num_customer")
-    label = F.concat((F.col("_bucket") * width).cast("string"), F.lit("-"),
-                     (F.col("_bucket") * width + width - 1).cast("string"), F.lit(" days"))
-    return per.select(label.alias("days_to_upgrade_range"), "num_customer")
+    d = time_since_first(subs, "customer_id", "start_date", F.col("plan_id") == PRO_ANNUAL, alias="_days")
+    return bucketize(d, "_days", width, "customer_id", "days_to_upgrade_range", "num_customer")
 
 
 def downgrades_in_year(subs: DataFrame, year: int = REPORT_YEAR) -> DataFrame:
