@@ -17,7 +17,7 @@ def time_rank(ts) -> Column:
 
 
 def later_pairs(df: DataFrame, partition: str, time: str, first: Column, then: Column,
-                group: Sequence[str] = (), **split_kw) -> DataFrame:
+                group: Sequence[str] = (), per_partition: bool = False, **split_kw) -> DataFrame:
     """Count (A, B) pairs with A matching ``first``, B matching ``then``, same
     ``partition`` and B strictly later than A. Per ``group`` (columns of the A rows):
     ``a_rows`` (number of A rows) and ``pairs``.
@@ -27,6 +27,9 @@ def later_pairs(df: DataFrame, partition: str, time: str, first: Column, then: C
     combine; then, for each time, B strictly later = B total - B at or before it (RANGE
     frame, equal times are not later). A partition holding a large share of the rows is
     split into time buckets (:func:`bramble.operators.skew.later_sums`).
+
+    With ``per_partition`` the counts are distinct partitions instead: ``a_rows`` =
+    partitions with an A row, ``pairs`` = partitions with an A row followed by a B row.
     """
     from bramble.operators.skew import later_sums
     group = list(group)
@@ -38,6 +41,11 @@ def later_pairs(df: DataFrame, partition: str, time: str, first: Column, then: C
         b = b.withColumn(g, F.lit(None).cast(df.schema[g].dataType))
     u = later_sums(a.unionByName(b), partition, time, time_rank(time), {"_later": "_bc"}, **split_kw)
     res = u.where(F.col("_ac") > 0)
+    if per_partition:
+        # distinct partitions with an A row, and with an A row followed by a later B row
+        flags = res.groupBy(*group, partition).agg(F.max((F.col("_later") > 0).cast("int")).alias("_f"))
+        aggs = [F.count(F.lit(1)).alias("a_rows"), F.coalesce(F.sum("_f"), F.lit(0)).cast("bigint").alias("pairs")]
+        return flags.groupBy(*group).agg(*aggs) if group else flags.agg(*aggs)
     aggs = [F.sum("_ac").cast("bigint").alias("a_rows"),
             F.coalesce(F.sum(F.col("_ac") * F.col("_later")), F.lit(0)).cast("bigint").alias("pairs")]
     return res.groupBy(*group).agg(*aggs) if group else res.agg(*aggs)

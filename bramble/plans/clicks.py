@@ -52,17 +52,31 @@ def events_by_type(clicks: DataFrame, names: DataFrame) -> DataFrame:
     return _events_per_name(clicks, names, "counts").orderBy(F.col("counts").desc(), "event_name")
 
 
-def event_type_share(clicks: DataFrame, names: DataFrame) -> DataFrame:
+def event_type_share(clicks: DataFrame, names: DataFrame, unit: str = "event") -> DataFrame:
+    """Per event name: count and share of all. ``unit='event'`` counts events (what the
+    case study's query does); ``unit='visit'`` counts distinct visits with that event
+    (what its question asks), as a share of all distinct visits."""
+    if unit == "visit":
+        named = clicks.join(F.broadcast(names), "event_type", "left")
+        per = count_distinct(named, "visit_id", by="event_name", alias="visits")
+        total = count_distinct(clicks, "visit_id", alias="_t")
+        return (share_of_total(per, "visits", alias="visit_pct", total=total)
+                .orderBy(F.col("visits").desc(), "event_name"))
     per = _events_per_name(clicks, names, "visits")
     total = clicks.agg(F.count("visit_id"))
     return (share_of_total(per, "visits", alias="visit_pct", total=total)
             .orderBy(F.col("visits").desc(), "event_name"))
 
 
-def checkout_without_purchase(clicks: DataFrame, pages: DataFrame) -> DataFrame:
+def checkout_without_purchase(clicks: DataFrame, pages: DataFrame, unit: str = "pairs") -> DataFrame:
+    """Checkout-page events and purchases after them in the same visit. ``unit='pairs'``
+    (as the case study's self-join counts): checkout events and (checkout, later purchase)
+    pairs, so shares may leave 0..1. ``unit='visits'``: visits with a checkout view, and
+    those with a purchase after one."""
     ev = _with_page(clicks, pages)
     p = later_pairs(ev.where(F.col("visit_id").isNotNull()), "visit_id", "event_time",
-                    first=F.col("page_name") == "Checkout", then=F.col("event_type") == PURCHASE)
+                    first=F.col("page_name") == "Checkout", then=F.col("event_type") == PURCHASE,
+                    per_partition=(unit == "visits"))
     return p.select(F.col("a_rows").alias("checkout_visits"), F.col("pairs").alias("purchase_visits"),
                     ratio("pairs", "a_rows").alias("purchase_pct"),
                     (F.col("a_rows") - F.col("pairs")).alias("nonpurchase_visits"),

@@ -168,21 +168,23 @@ def month_sales(sales: DataFrame, month: int, year: int | None = None) -> DataFr
     return sales.where(month_filter("start_txn_time", month, year))
 
 
-def report_scalars(ms: DataFrame, percentiles: Sequence[int] = PERCENTILES) -> DataFrame:
+def report_scalars(ms: DataFrame, percentiles: Sequence[int] = PERCENTILES, rounded: bool = True) -> DataFrame:
     """The nine scalar results of the monthly report in one row (INT results rounded half
     up as the routines do). One aggregate per transaction feeds all of them: the sums,
     counts and means in one global aggregate, the percentiles through nearest_rank."""
     per_txn = ms.groupBy("txn_id").agg(F.count_distinct("prod_id").alias("uniq"), F.sum("qty").alias("qty"),
                                        F.sum("gross").alias("rev"), F.sum(_disc()).alias("disc_c"))
     n = F.count(F.lit(1))
+    # the report routines return INT (rounded half up); rounded=False keeps exact values
+    as_int = round_int if rounded else (lambda c: c.cast("double"))
     # every scalar comes from the one per-transaction aggregate (one scan of the input)
     txn = per_txn.agg(
         F.sum("qty").cast("bigint").alias("total_qty"),
-        round_int(F.sum("rev")).alias("rev_before_discount"),
-        round_int(F.sum("disc_c") / F.lit(100)).alias("total_discount"),
+        as_int(F.sum("rev")).alias("rev_before_discount"),
+        as_int(F.sum("disc_c") / F.lit(100)).alias("total_discount"),
         n.alias("total_unique_transac"),
-        round_int(F.when(n > 0, F.sum("uniq").cast("double") / n)).alias("avg_unique_product"),
-        round_int(F.when(n > 0, F.sum("disc_c").cast("double") / 100.0 / n)).alias("avg_discount"))
+        as_int(F.when(n > 0, F.sum("uniq").cast("double") / n)).alias("avg_unique_product"),
+        as_int(F.when(n > 0, F.sum("disc_c").cast("double") / 100.0 / n)).alias("avg_discount"))
     pct = pivot_percentiles(nearest_rank(per_txn, "rev", percentiles), percentiles,
                             "revenue_at_percentile_")
     pct = pct.select(*[money(c).alias(c) for c in pct.columns])
@@ -193,7 +195,7 @@ def report_scalars(ms: DataFrame, percentiles: Sequence[int] = PERCENTILES) -> D
 
 
 def monthly_report(sales: DataFrame, products: DataFrame, month: int, year: int | None = None,
-                   top: int = 3, persist: bool = True) -> dict[str, DataFrame]:
+                   top: int = 3, persist: bool = True, rounded: bool = True) -> dict[str, DataFrame]:
     """All 21 results of the monthly report as lazy DataFrames over one filtered input.
 
     The month filter runs once; with ``persist`` the filtered rows are cached
@@ -203,7 +205,7 @@ def monthly_report(sales: DataFrame, products: DataFrame, month: int, year: int
     ms = month_sales(sales, month, year)
     if persist:
         ms = ms.persist()
-    scal = report_scalars(ms)
+    scal = report_scalars(ms, rounded=rounded)
     out = {c: scal.select(c) for c in scal.columns}
     out.update({
         "member_split": txn_member_split(ms),

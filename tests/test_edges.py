@@ -335,3 +335,25 @@ def test_share_of_parent_null_parent_grouped(spark):
     df = spark.createDataFrame([(None, "a", 1.0), (None, "b", 3.0), ("x", "c", 2.0)], "p string, c string, m double")
     got = {r.c: r.share for r in share_of_parent(df, "p", "m").collect()}
     assert got == {"a": 0.25, "b": 0.75, "c": 1.0}
+
+
+def test_checkout_unit_visits_and_event_share_unit_visit(spark):
+    pages = spark.createDataFrame([(2, "Checkout", None, None), (4, "Item 1", "A", 1)],
+                                  "page_id int, page_name string, product_category string, product_id int")
+    names = spark.createDataFrame([(1, "Page View"), (3, "Purchase")], "event_type int, event_name string")
+    rows = [(1, "v1", 2, 1, T(2024, 1, 1, 1)), (2, "v1", 2, 1, T(2024, 1, 1, 2)), (3, "v1", 4, 3, T(2024, 1, 1, 3)),
+            (4, "v1", 4, 3, T(2024, 1, 1, 4)), (5, "v2", 2, 1, T(2024, 1, 1, 5)), (6, "v3", 4, 1, T(2024, 1, 1, 1))]
+    clicks = spark.createDataFrame(rows, "event_id long, visit_id string, page_id int, event_type int, event_time timestamp_ntz")
+    pairs = C.checkout_without_purchase(clicks, pages).first()
+    assert (pairs.checkout_visits, pairs.purchase_visits) == (3, 4)       # 2 checkouts x 2 later purchases
+    visits = C.checkout_without_purchase(clicks, pages, unit="visits").first()
+    assert (visits.checkout_visits, visits.purchase_visits, visits.nonpurchase_visits) == (2, 1, 1)
+    share = {r.event_name: (r.visits, r.visit_pct) for r in C.event_type_share(clicks, names, unit="visit").collect()}
+    assert share == {"Page View": (3, 1.0), "Purchase": (1, 1 / 3)}
+
+
+def test_report_unrounded(spark):
+    rows = [(1, 1, 1, Decimal("10.50"), 10, "t", T(2020, 3, 1)),
+            (1, 2, 1, Decimal("0.01"), 50, "t", T(2020, 3, 1))]
+    r = S.report_scalars(S.month_sales(_sales(spark, rows), 3), rounded=False).first()
+    assert (r.rev_before_discount, r.total_discount, r.avg_unique_product) == (10.51, 1.055, 2.0)
