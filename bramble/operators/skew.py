@@ -33,16 +33,30 @@ MIN_HOT_ROWS = 1_000_000
 ROWS_PER_BUCKET = 200_000
 
 
-def split_hot_keys(df: DataFrame, key: str, rank: Column, *, max_hot: int = MAX_HOT,
-                   min_hot_rows: int = MIN_HOT_ROWS, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``df`` plus ``_b`` (bucket inside the key) and ``_hot`` (key was split)."""
+def key_stats(df: DataFrame, key: str, rank: Column) -> DataFrame:
+    """Rows per key and the range of the ordering value (one hash aggregate)."""
+    r = rank.cast("double")
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"), F.min(r).alias("_lo"), F.max(r).alias("_hi"))
+
+
+def hot_keys(stats: DataFrame, key: str, count: str = "_cnt", lo: str = "_lo", hi: str = "_hi", *,
+             max_hot: int = MAX_HOT, min_hot_rows: int = MIN_HOT_ROWS,
+             rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """The (at most) ``max_hot`` keys with the most rows among keys above
+    ``min_hot_rows``: a key left out has no more rows than each of ``max_hot`` kept keys,
+    so at most N / max_hot. Output (key, _lo, _hi, _nb = number of buckets), at most
+    ``max_hot`` rows. ``count`` may be an upper bound of the rows per key: buckets only
+    need to be non-decreasing in the ordering value, so the bound affects balance only."""
+    return (stats.where(F.col(count) > F.lit(min_hot_rows))
+            .orderBy(F.col(count).desc(), F.col(key)).limit(max_hot)
+            .select(key, F.col(lo).cast("double").alias("_lo"), F.col(hi).cast("double").alias("_hi"),
+                    F.ceil(F.col(count) / F.lit(rows_per_bucket)).alias("_nb")))
+
+
+def assign_buckets(df: DataFrame, key: str, rank: Column, hot: DataFrame) -> DataFrame:
+    """``df`` plus ``_b`` (equal-width bucket of ``rank`` inside a hot key, else 0) and
+    ``_hot``. ``hot`` has at most ``max_hot`` rows, so it is broadcast."""
     r = rank.cast("double")
-    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"), F.min(r).alias("_lo"), F.max(r).alias("_hi"))
-    # the (at most) max_hot keys with the most rows, among keys above min_hot_rows: a key
-    # left out has no more rows than each of max_hot kept keys, so at most N / max_hot
-    hot = (stats.where(F.col("_cnt") > F.lit(min_hot_rows))
-           .orderBy(F.col("_cnt").desc(), F.col(key)).limit(max_hot)
-           .select(key, "_lo", "_hi", F.ceil(F.col("_cnt") / F.lit(rows_per_bucket)).alias("_nb")))
     d = df.join(F.broadcast(hot), key, "left")
     width = F.col("_hi") - F.col("_lo") + F.lit(1.0)
     b = F.least(F.floor((r - F.col("_lo")) / width * F.col("_nb")), F.col("_nb") - 1).cast("long")
@@ -51,22 +65,34 @@ def split_hot_keys(df: DataFrame, key: str, rank: Column, *, max_hot: int = MAX_
                     F.col("_nb").isNotNull().alias("_hot"))
 
 
+def split_hot_keys(df: DataFrame, key: str, rank: Column, **split_kw) -> DataFrame:
+    """``df`` plus ``_b`` (bucket inside the key) and ``_hot`` (key was split)."""
+    return assign_buckets(df, key, rank, hot_keys(key_stats(df, key, rank), key, **split_kw))
+
+
 def sequence_columns(df: DataFrame, key: str, order: Sequence[str], rank: Column, *,
                      row_number: str | None = None, lag: dict[str, str] | None = None,
-                     lead: dict[str, str] | None = None, **split_kw) -> DataFrame:
+                     lead: dict[str, str] | None = None, hot: DataFrame | None = None,
+                     hot_rows: DataFrame | None = None, **split_kw) -> DataFrame:
     """ROW_NUMBER / LAG(col) / LEAD(col) over (PARTITION BY key ORDER BY order), hot keys
-    split by :func:`split_hot_keys`. ``order`` must be a total order inside a key
-    (end it with a row id); ``rank`` must be non-decreasing along it.
+    split into buckets. ``order`` must be a total order inside a key (end it with a row
+    id); ``rank`` must be non-decreasing along it. ``lag`` / ``lead`` map output column ->
+    source column.
 
-    ``lag`` / ``lead`` map output column -> source column.
+    ``hot`` (from :func:`hot_keys`) may be given when a cheaper source already knows the
+    hot keys; ``hot_rows`` may give the rows of the hot keys by a cheaper path than
+    filtering ``df`` (same rows, same columns), e.g. when ``df`` is the end of a long plan.
     """
     order, lag, lead = list(order), dict(lag or {}), dict(lead or {})
-    split = split_hot_keys(df, key, rank, **split_kw)
+    if hot is None:
+        hot = hot_keys(key_stats(df, key, rank), key, **split_kw)
+    split = assign_buckets(df, key, rank, hot)
     carry_last = order + [c for c in lag.values() if c not in order]
     carry_first = order + [c for c in lead.values() if c not in order]
-    # the bucket summary reads the split rows directly (not the window output), so the
-    # window runs once; with no hot key it is empty and AQE drops the join below
-    summ = (split.where("_hot").groupBy(key, "_b")
+    # the bucket summary reads only the hot keys' rows (a broadcast semi join first), not
+    # the window output, so the window runs once; with no hot key it is empty
+    src = (hot_rows if hot_rows is not None else df).join(F.broadcast(hot.select(key)), key, "left_semi")
+    summ = (assign_buckets(src, key, rank, hot).groupBy(key, "_b")
             .agg(F.count(F.lit(1)).alias("_cnt"),
                  F.min(F.struct(*[F.col(c) for c in carry_first])).alias("_first"),
                  F.max(F.struct(*[F.col(c) for c in carry_last])).alias("_last")))
@@ -78,16 +104,16 @@ def sequence_columns(df: DataFrame, key: str, order: Sequence[str], rank: Column
                        F.lead("_first").over(ws).alias("_next_first"))
     w = Window.partitionBy(key, "_b").orderBy(*order)
     local = {"_rn": F.row_number().over(w), "_more": F.lead(F.lit(1)).over(w).isNotNull()}
-    local.update({out: F.lag(src).over(w) for out, src in lag.items()})
-    local.update({out: F.lead(src).over(w) for out, src in lead.items()})
+    local.update({out: F.lag(src_col).over(w) for out, src_col in lag.items()})
+    local.update({out: F.lead(src_col).over(w) for out, src_col in lead.items()})
     d = split.withColumns(local).join(summ, [key, "_b"], "left")
     fixed = {}
     if row_number:
         fixed[row_number] = (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint")
-    fixed.update({out: F.when(F.col("_rn") == 1, F.col("_prev_last")[src]).otherwise(F.col(out))
-                  for out, src in lag.items()})
-    fixed.update({out: F.when(~F.col("_more"), F.col("_next_first")[src]).otherwise(F.col(out))
-                  for out, src in lead.items()})
+    fixed.update({out: F.when(F.col("_rn") == 1, F.col("_prev_last")[c]).otherwise(F.col(out))
+                  for out, c in lag.items()})
+    fixed.update({out: F.when(~F.col("_more"), F.col("_next_first")[c]).otherwise(F.col(out))
+                  for out, c in lead.items()})
     keep = [c for c in df.columns if c not in fixed]
     return d.select(*keep, *[v.alias(k) for k, v in fixed.items()])
 

@@ -140,11 +140,16 @@ def _present(p: DataFrame) -> DataFrame:
 
 
 def revenue_by_month(payments: DataFrame) -> DataFrame:
+    """Per (year, month): distinct paying customers and total amount, plan <> trial. One
+    pass: amount per (month, customer) then counts and sums per month (both aggregates
+    combine on the mappers)."""
     p = (payments.where(F.col("plan_id") != TRIAL)
-         .withColumn("year", F.year("payment_date")).withColumn("month", F.month("payment_date")))
-    n = count_distinct(p, "customer_id", by=["year", "month"], alias="num_pay")
-    s = p.groupBy("year", "month").agg(money(F.sum("amount")).alias("total_amount"))
-    return n.join(s, ["year", "month"])
+         .select(F.year("payment_date").alias("year"), F.month("payment_date").alias("month"),
+                 "customer_id", "amount"))
+    # NULL customers form one group: COUNT(customer_id) skips it, SUM still adds its amount
+    per = p.groupBy("year", "month", "customer_id").agg(F.sum("amount").alias("_a"))
+    return per.groupBy("year", "month").agg(F.count("customer_id").alias("num_pay"),
+                                            money(F.sum("_a")).alias("total_amount"))
 
 
 def monthly_churn(payments: DataFrame, subs: DataFrame) -> DataFrame:
