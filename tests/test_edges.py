@@ -357,3 +357,31 @@ def test_report_unrounded(spark):
             (1, 2, 1, Decimal("0.01"), 50, "t", T(2020, 3, 1))]
     r = S.report_scalars(S.month_sales(_sales(spark, rows), 3), rounded=False).first()
     assert (r.rev_before_discount, r.total_discount, r.avg_unique_product) == (10.51, 1.055, 2.0)
+
+
+def test_generic_counts(spark):
+    from bramble.operators.aggregates import (bucketize, conditional_counts, count_by_lookup,
+                                              distinct_by_period, distinct_share)
+    df = spark.createDataFrame([(1, "a", T(2020, 1, 5), 1), (1, "a", T(2021, 1, 9), 2), (2, "b", T(2020, 2, 1), 2),
+                                (3, None, T(2020, 2, 3), 9)], "k int, e string, t timestamp_ntz, c int")
+    assert {(r.month, r.n) for r in distinct_by_period(df, "t", "e").collect()} == {(1, 1), (2, 1)}
+    assert {(r.year, r.n) for r in distinct_by_period(df, "t", "e", "year").collect()} == {(2020, 2), (2021, 1)}
+    look = spark.createDataFrame([(1, "one"), (2, "two")], "c int, name string")
+    assert {(r.name, r.n) for r in count_by_lookup(df, "c", look, "name", "e", "n").collect()} == \
+        {("one", 1), ("two", 2), (None, 0)}
+    cc = {r.k: (r.x, r.y) for r in conditional_counts(df, "k", {"x": F.col("c") == 2, "y": F.col("c") > 0},
+                                                       value="e").collect()}
+    assert cc == {1: (1, 2), 2: (1, 1), 3: (0, 0)}
+    ds = distinct_share(df, "e", F.col("c") == 2, "n", "pct").first()
+    assert (ds.n, ds.pct) == (2, 100.0)
+    days = spark.createDataFrame([(1, 0), (2, 29), (3, 30), (3, 61)], "e int, d int")
+    assert {(r.lbl, r.n) for r in bucketize(days, "d", 30, "e", "lbl", "n").collect()} == \
+        {("0-29 days", 2), ("30-59 days", 1), ("60-89 days", 1)}
+
+
+def test_time_rank_orders_microseconds(spark):
+    from bramble.operators.sequences import time_rank
+    ts = [T(2024, 1, 1, 0, 0, 1, 5), T(2024, 1, 1, 0, 0, 1, 6), T(2024, 1, 1, 0, 0, 2), T(1999, 12, 31, 23, 59, 59, 999999)]
+    df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz").withColumn("r", time_rank("t"))
+    got = [r.t for r in df.orderBy("r").collect()]
+    assert got == sorted(ts) and df.select("r").distinct().count() == 4
