@@ -84,6 +84,12 @@ def top_basket_combinations(df: DataFrame, basket: str, item: str, n: int, k: in
     pruned = big_open.select("_b", "_i").join(frequent, "_i", "left_semi")
     only_big = _enumerate(pruned, k).groupBy(*cols).agg(F.count(F.lit(1)).alias("baskets"))
 
-    # a set present in both branches keeps its full (larger) count
-    allc = totals.unionByName(only_big).groupBy(*cols).agg(F.max("baskets").alias("baskets"))
-    return allc.orderBy(F.col("baskets").desc(), *cols).limit(n)
+    # Top n of each branch first (per-partition top-n, no aggregate over all candidates).
+    # Exact: a true top-n set is in the top n of the branch holding its true count, since
+    # any set ranked above it there (a set of both kinds shows a lower count in the
+    # big-only branch) also ranks above it in the true order. A set in both lists keeps
+    # its full (larger) count.
+    rank = [F.col("baskets").desc(), *cols]
+    best = totals.orderBy(*rank).limit(n).unionByName(only_big.orderBy(*rank).limit(n))
+    allc = best.groupBy(*cols).agg(F.max("baskets").alias("baskets"))
+    return allc.orderBy(*rank).limit(n)
