@@ -1,6 +1,6 @@
-"""Independent SQL (DuckDB) for the sales keys, written in the direct form of the case
-study queries on the mapped views. Tie-breaks the case study leaves open are stated the
-same way as in the Spark operators."""
+"""Independent SQL (DuckDB) for the sales keys on the mapped views: plain aggregates and
+brute-force forms (whole-set ROW_NUMBER for percentiles, full triple enumeration). Tie-breaks
+the case study leaves open are stated the same way as in the Spark operators."""
 
 from __future__ import annotations
 
@@ -23,84 +23,91 @@ SELECT {cols}"""
 
 def _top_products(src: str, n: int) -> str:
     return f"""
-SELECT pd.product_name, CAST(SUM(s.gross) AS DOUBLE) AS rev
-FROM {src} s LEFT JOIN product_details pd ON s.prod_id = pd.product_id
-GROUP BY pd.product_name ORDER BY SUM(s.gross) DESC, pd.product_name NULLS FIRST LIMIT {n}"""
+SELECT d.product_name, CAST(SUM(x.gross) AS DOUBLE) AS rev
+FROM {src} x LEFT JOIN product_details d ON d.product_id = x.prod_id
+GROUP BY d.product_name
+ORDER BY SUM(x.gross) DESC, d.product_name NULLS FIRST LIMIT {n}"""
 
 
 def _level_totals(src: str, level: str) -> str:
     return f"""
-SELECT pd.{level}, CAST(SUM(s.qty) AS BIGINT) AS qty, CAST(SUM(s.gross) AS DOUBLE) AS rev,
-       CAST(SUM(s.gross * s.discount) AS DOUBLE) / 100.0 AS discount
-FROM {src} s LEFT JOIN product_details pd ON s.prod_id = pd.product_id
-GROUP BY pd.{level}"""
+SELECT d.{level}, CAST(SUM(x.qty) AS BIGINT) AS qty, CAST(SUM(x.gross) AS DOUBLE) AS rev,
+       CAST(SUM(x.gross * x.discount) AS DOUBLE) / 100.0 AS discount
+FROM {src} x LEFT JOIN product_details d ON d.product_id = x.prod_id
+GROUP BY d.{level}"""
 
 
 def _top_seller(src: str, level: str) -> str:
     return f"""
 WITH q AS (
-  SELECT pd.{level}, pd.product_name, SUM(s.qty) AS qty
-  FROM {src} s LEFT JOIN product_details pd ON s.prod_id = pd.product_id
-  GROUP BY pd.{level}, pd.product_name),
-ranked AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY {level}
-                               ORDER BY qty DESC, product_name NULLS FIRST) AS rn FROM q)
-SELECT {level}, product_name AS top_selling, CAST(qty AS BIGINT) AS max_qty FROM ranked WHERE rn = 1"""
+  SELECT d.{level} AS grp, d.product_name AS item, SUM(x.qty) AS q
+  FROM {src} x LEFT JOIN product_details d ON d.product_id = x.prod_id
+  GROUP BY 1, 2),
+best AS (
+  SELECT grp, item, q, ROW_NUMBER() OVER (PARTITION BY grp ORDER BY q DESC, item NULLS FIRST) AS pos FROM q)
+SELECT grp AS {level}, item AS top_selling, CAST(q AS BIGINT) AS max_qty FROM best WHERE pos = 1"""
 
 
 def _share(src: str, parent: str, child: str) -> str:
-    # the literal window form: SUM over child and over parent, collapsed by GROUP BY
+    # child totals over all rows of the child, parent totals over all rows of the parent
     return f"""
-SELECT {parent}, {child}, CAST(MAX(rev) AS DOUBLE) / NULLIF(CAST(MAX(total_rev) AS DOUBLE), 0) AS rev_pct
-FROM (
-  SELECT pd.{parent}, pd.{child},
-         SUM(s.gross) OVER (PARTITION BY pd.{child}) AS rev,
-         SUM(s.gross) OVER (PARTITION BY pd.{parent}) AS total_rev
-  FROM {src} s LEFT JOIN product_details pd ON s.prod_id = pd.product_id) x
-GROUP BY {parent}, {child}"""
+WITH r AS (
+  SELECT d.{parent} AS p, d.{child} AS c, x.gross
+  FROM {src} x LEFT JOIN product_details d ON d.product_id = x.prod_id),
+by_child AS (SELECT c, SUM(gross) AS v FROM r GROUP BY c),
+by_parent AS (SELECT p, SUM(gross) AS v FROM r GROUP BY p),
+pairs AS (SELECT DISTINCT p, c FROM r)
+SELECT pairs.p AS {parent}, pairs.c AS {child},
+       CAST(bc.v AS DOUBLE) / NULLIF(CAST(bp.v AS DOUBLE), 0) AS rev_pct
+FROM pairs
+JOIN by_child bc ON bc.c IS NOT DISTINCT FROM pairs.c
+JOIN by_parent bp ON bp.p IS NOT DISTINCT FROM pairs.p"""
 
 
 def _category_share(src: str) -> str:
     return f"""
-SELECT pd.category_name,
-       CAST(SUM(s.gross) AS DOUBLE) / NULLIF(CAST((SELECT SUM(gross) FROM {src}) AS DOUBLE), 0) AS rev_pct
-FROM {src} s LEFT JOIN product_details pd ON s.prod_id = pd.product_id
-GROUP BY pd.category_name"""
+WITH g AS (SELECT SUM(gross) AS v FROM {src})
+SELECT d.category_name, CAST(SUM(x.gross) AS DOUBLE) / NULLIF(CAST(MAX(g.v) AS DOUBLE), 0) AS rev_pct
+FROM {src} x LEFT JOIN product_details d ON d.product_id = x.prod_id CROSS JOIN g
+GROUP BY d.category_name"""
 
 
 def _penetration(src: str) -> str:
     return f"""
-SELECT s.prod_id, MAX(pd.product_name) AS product_name, COUNT(DISTINCT s.txn_id) AS transac,
-       CAST(COUNT(DISTINCT s.txn_id) AS DOUBLE)
-         / NULLIF(CAST((SELECT COUNT(DISTINCT txn_id) FROM {src}) AS DOUBLE), 0) AS penetration
-FROM {src} s LEFT JOIN product_details pd ON s.prod_id = pd.product_id
-GROUP BY s.prod_id"""
+WITH n AS (SELECT COUNT(DISTINCT txn_id) AS all_txn FROM {src}),
+per AS (SELECT prod_id, COUNT(DISTINCT txn_id) AS transac FROM {src} GROUP BY prod_id)
+SELECT per.prod_id, d.product_name, per.transac,
+       CAST(per.transac AS DOUBLE) / NULLIF(CAST(n.all_txn AS DOUBLE), 0) AS penetration
+FROM per LEFT JOIN product_details d ON d.product_id = per.prod_id CROSS JOIN n"""
 
 
 def _triples(src: str, n: int) -> str:
-    # literal ordered self-join with <> (each set 6 times), reduced to one ordering
+    # brute force: every ascending product triple inside each transaction
     return f"""
-WITH cte AS (
-  SELECT s1.prod_id AS p1, s2.prod_id AS p2, s3.prod_id AS p3, COUNT(DISTINCT s1.txn_id) AS time
-  FROM {src} s1 JOIN {src} s2 ON s2.txn_id = s1.txn_id JOIN {src} s3 ON s3.txn_id = s1.txn_id
-  WHERE s1.prod_id <> s2.prod_id AND s1.prod_id <> s3.prod_id AND s2.prod_id <> s3.prod_id
+WITH bi AS (SELECT DISTINCT txn_id, prod_id FROM {src}),
+sets AS (
+  SELECT a.prod_id AS i1, b.prod_id AS i2, c.prod_id AS i3, COUNT(*) AS k
+  FROM bi a JOIN bi b ON b.txn_id = a.txn_id AND b.prod_id > a.prod_id
+            JOIN bi c ON c.txn_id = a.txn_id AND c.prod_id > b.prod_id
   GROUP BY 1, 2, 3),
-canon AS (SELECT * FROM cte WHERE p1 < p2 AND p2 < p3 ORDER BY time DESC, p1, p2, p3 LIMIT {n})
-SELECT pd1.product_name AS p1, pd2.product_name AS p2, pd3.product_name AS p3, time
-FROM canon c
-LEFT JOIN product_details pd1 ON c.p1 = pd1.product_id
-LEFT JOIN product_details pd2 ON c.p2 = pd2.product_id
-LEFT JOIN product_details pd3 ON c.p3 = pd3.product_id"""
+top AS (SELECT * FROM sets ORDER BY k DESC, i1, i2, i3 LIMIT {n})
+SELECT n1.product_name AS p1, n2.product_name AS p2, n3.product_name AS p3, top.k AS time
+FROM top
+LEFT JOIN product_details n1 ON n1.product_id = top.i1
+LEFT JOIN product_details n2 ON n2.product_id = top.i2
+LEFT JOIN product_details n3 ON n3.product_id = top.i3"""
 
 
 def _member_split(src: str) -> str:
     return f"""
-SELECT total, member_transac, CAST(member_transac AS DOUBLE) / NULLIF(total, 0) AS member_transac_pct,
-       nonmember_transac, CAST(nonmember_transac AS DOUBLE) / NULLIF(total, 0) AS nonmember_transac_pct
-FROM (SELECT COUNT(DISTINCT txn_id) AS total,
-             COUNT(DISTINCT CASE WHEN member = 't' THEN txn_id END) AS member_transac,
-             COUNT(DISTINCT CASE WHEN member = 'f' THEN txn_id END) AS nonmember_transac
-      FROM {src}) g"""
+WITH c AS (
+  SELECT COUNT(DISTINCT txn_id) AS total,
+         COUNT(DISTINCT txn_id) FILTER (WHERE member = 't') AS m,
+         COUNT(DISTINCT txn_id) FILTER (WHERE member = 'f') AS nm
+  FROM {src})
+SELECT total, m AS member_transac, m / NULLIF(total, 0) AS member_transac_pct,
+       nm AS nonmember_transac, nm / NULLIF(total, 0) AS nonmember_transac_pct
+FROM c"""
 
 
 def _member_avg(src: str) -> str:
@@ -171,16 +178,16 @@ FROM (SELECT txn_id, SUM(gross * discount) AS d FROM sales GROUP BY txn_id) x"""
     "product_penetration": _penetration("sales"),
     "basket_top_triples": _triples("sales", 10),
     "hierarchy_flatten": """
-WITH pd AS (
-  SELECT ph3.level_text || ' ' || ph2.level_text || ' ' || ph1.level_text AS product_name,
-         ph1.id AS category_id, ph2.id AS segment_id, ph3.id AS style_id,
-         ph1.level_text AS category_name, ph2.level_text AS segment_name, ph3.level_text AS style_name
-  FROM product_hierarchy ph1
-  JOIN product_hierarchy ph2 ON ph1.id = ph2.parent_id
-  JOIN product_hierarchy ph3 ON ph2.id = ph3.parent_id)
-SELECT pp.product_id, CAST(pp.price AS DOUBLE) AS price, pd.product_name, pd.category_id,
-       pd.segment_id, pd.style_id, pd.category_name, pd.segment_name, pd.style_name
-FROM pd LEFT JOIN product_prices pp ON pd.style_id = pp.id""",
+WITH wide AS (
+  SELECT sty.level_text || ' ' || seg.level_text || ' ' || cat.level_text AS product_name,
+         cat.id AS category_id, seg.id AS segment_id, sty.id AS style_id,
+         cat.level_text AS category_name, seg.level_text AS segment_name, sty.level_text AS style_name
+  FROM product_hierarchy cat
+  JOIN product_hierarchy seg ON seg.parent_id = cat.id
+  JOIN product_hierarchy sty ON sty.parent_id = seg.id)
+SELECT pr.product_id, CAST(pr.price AS DOUBLE) AS price, w.product_name, w.category_id, w.segment_id,
+       w.style_id, w.category_name, w.segment_name, w.style_name
+FROM wide w LEFT JOIN product_prices pr ON pr.id = w.style_id""",
     # monthly report (month only, all years, as the routines filter)
     "report_total_qty": _scalar("total_qty"),
     "report_gross_revenue": _scalar("rev_before_discount"),
