@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
-from bramble.operators.aggregates import count_distinct, distinct_flags
+from bramble.operators.aggregates import count_distinct
 
 
 def funnel(events: DataFrame, item: Sequence[str], visit: str, view: Column, add: Column,
@@ -81,21 +81,26 @@ def conversion_metrics(df: DataFrame, by: Sequence[str], user: str, visit: str,
                        steps: dict[str, str], means: dict[str, str],
                        rates: dict[str, tuple[str, str]]) -> DataFrame:
     """Per group: distinct users, distinct visits reaching each step (step column != 0),
-    means of count columns, and ratios between step counts."""
+    means of count columns, and ratios between step counts.
+
+    Two branches: distinct users per group, and one (group, visit) aggregate that yields
+    both the per-visit step flags and the partial sums / counts of the means (a NULL
+    visit forms its own row: it counts for the means, not for the distinct visits).
+    """
     by = list(by)
     users = count_distinct(df, user, by=by, alias="user_count")
-    flags = distinct_flags(df, visit, {k: F.col(c) != 0 for k, c in steps.items()}, by=by, total=None)
-    avgs = df.groupBy(*by).agg(*[
-        (F.sum(c).cast("double") / F.count(c).cast("double")).alias(k) for k, c in means.items()])
-    out = users
-    for other in (flags, avgs):
-        ren = other.select(*[F.col(b).alias(f"_r_{b}") for b in by],
-                           *[c for c in other.columns if c not in by])
-        cond = [out[b].eqNullSafe(ren[f"_r_{b}"]) for b in by]
-        out = out.join(ren, cond, "full").select(
-            *[F.coalesce(out[b], ren[f"_r_{b}"]).alias(b) for b in by],
-            *[out[c] for c in out.columns if c not in by],
-            *[ren[c] for c in ren.columns if not c.startswith("_r_")])
-    out = out.fillna(0, subset=["user_count", *steps])
+    pv = df.groupBy(*by, visit).agg(
+        *[F.max(F.coalesce(F.col(c) != 0, F.lit(False)).cast("int")).alias(f"_f_{k}") for k, c in steps.items()],
+        *[F.sum(c).alias(f"_s_{k}") for k, c in means.items()],
+        *[F.count(c).alias(f"_n_{k}") for k, c in means.items()])
+    has_visit = F.col(visit).isNotNull()
+    g = pv.groupBy(*by).agg(
+        *[F.coalesce(F.sum(F.when(has_visit, F.col(f"_f_{k}"))), F.lit(0)).cast("bigint").alias(k) for k in steps],
+        *[(F.sum(f"_s_{k}").cast("double") / F.sum(f"_n_{k}").cast("double")).alias(k) for k in means])
+    ren = g.select(*[F.col(b).alias(f"_r_{b}") for b in by], *[c for c in g.columns if c not in by])
+    out = users.join(ren, [users[b].eqNullSafe(ren[f"_r_{b}"]) for b in by], "full").select(
+        *[F.coalesce(users[b], ren[f"_r_{b}"]).alias(b) for b in by],
+        F.coalesce(F.col("user_count"), F.lit(0)).alias("user_count"),
+        *[F.coalesce(F.col(k), F.lit(0)).cast("bigint").alias(k) for k in steps], *means)
     return out.select(*by, "user_count", *steps, *means,
                       *[ratio(n, d).alias(k) for k, (n, d) in rates.items()])
