@@ -385,3 +385,16 @@ def test_time_rank_orders_microseconds(spark):
     df = spark.createDataFrame([(t,) for t in ts], "t timestamp_ntz").withColumn("r", time_rank("t"))
     got = [r.t for r in df.orderBy("r").collect()]
     assert got == sorted(ts) and df.select("r").distinct().count() == 4
+
+
+def test_conversion_metrics_distinct_visits_and_null_visit(spark):
+    from bramble.operators.funnel import conversion_metrics
+    rows = [("g", 1, "v1", 2, 1), ("g", 2, "v1", 0, 0),   # one visit seen under two users
+            ("g", 1, "v2", 0, 3), ("g", 3, None, 4, 0),   # a row without a visit
+            ("h", 5, "v9", 0, 0)]
+    df = spark.createDataFrame(rows, "grp string, user long, visit string, views long, adds long")
+    out = {r.grp: r for r in conversion_metrics(df, ["grp"], "user", "visit", {"vc": "views", "ac": "adds"},
+                                                 {"mv": "views"}, {"rate": ("ac", "vc")}).collect()}
+    g, h = out["g"], out["h"]
+    assert (g.user_count, g.vc, g.ac, g.mv, g.rate) == (3, 1, 2, 1.5, 2.0)
+    assert (h.user_count, h.vc, h.ac, h.mv, h.rate) == (1, 0, 0, 0.0, None)
