@@ -30,19 +30,26 @@ def main() -> None:
     from bramble.plans.registry import QUERIES
 
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name, q in QUERIES.items():
         if only and name not in only:
             continue
         runs = []
-        for i in range(reps + 1):
-            t0 = time.perf_counter()
-            q(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # first run warms up
-                runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 4)
+        try:
+            for i in range(reps + 1):
+                t0 = time.perf_counter()
+                q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:  # first run warms up
+                    runs.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(runs), 4)
+        except Exception as e:  # noqa: BLE001 - report and go on, the JSON line must be printed
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "sum of per-query median seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "reps": reps}))
+    out = {"metric": "sum of per-query median seconds", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "reps": reps}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
