@@ -60,3 +60,17 @@ def test_known_values_sf001(spark):
     assert pa.count() == 57762
     assert pa.where("plan_name = 'pro annual' AND amount <> 199.0").count() == 1678
     assert _q(spark, "cart_contents").count() == 809
+
+
+def test_entry_module_imports_without_spark():
+    """The driver may import the contract before it starts Spark."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import __spark_entry__ as e; q = e.queries(); o = e.oracle_sql(); "
+            "from pyspark import SparkContext; assert SparkContext._active_spark_context is None; "
+            "print(len(q), len(o))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.split()[-2:] == ["76", "76"]
