@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 _SEED = 20240229
+_PIECE = 1 << 20  # bytes hashed at once
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -65,18 +66,20 @@ class Words:
         start, end = edge[0::2], edge[1::2]
         ends_at = np.cumsum([len(t) + 1 for t in texts])
         docs = np.concatenate([[0], np.searchsorted(start, ends_at)])
-        p = self.of_bytes.prefix(self.byte_value[joined])
-        return docs, self.of_bytes.spans(p, start, end), start
+        hashes = np.empty(len(start), np.uint64)
+        for i, j in chunks(np.diff(np.concatenate([[0], end])), _PIECE):  # bounds the wide arrays
+            lo, hi = start[i], end[j - 1]
+            p = self.of_bytes.prefix(self.byte_value[joined[lo:hi]])
+            hashes[i:j] = self.of_bytes.spans(p, start[i:j] - lo, end[i:j] - lo)
+        return docs, hashes, start
 
 
-def chunks(lengths, limit: int):
-    """(first, last) index ranges whose lengths add up to ``limit`` or so; a longer item
+def chunks(lengths: np.ndarray, limit: int):
+    """(first, last) index ranges whose lengths add up to ``limit`` at most; a longer item
     stands alone."""
-    first, total = 0, 0
-    for i, n in enumerate(lengths):
-        if total and total + n > limit:
-            yield first, i
-            first, total = i, 0
-        total += n
-    if first < len(lengths):
-        yield first, len(lengths)
+    total = np.concatenate([[0], np.cumsum(lengths)])
+    first = 0
+    while first < len(lengths):
+        last = max(first + 1, int(np.searchsorted(total, total[first] + limit, "right")) - 1)
+        yield first, last
+        first = last
