@@ -7,14 +7,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bramble.llm import exact_dedup, license_scan, quality_rules
+from bramble.llm import (exact_dedup, license_scan, packing, quality_classifier, quality_rules, simhash,
+                         substring_dedup)
 from bramble.llm.shared import table
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -23,10 +36,18 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_license_scan": op3_license_scan,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
