@@ -138,7 +138,7 @@ def pack_group(lengths: list[int], length: int = LENGTH) -> list[list[Piece]]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-         group_docs: int = 2048, group_tokens: int = 1 << 22, ranks_path: str | None = None) -> DataFrame:
+         group_docs: int = 512, group_tokens: int = 1 << 22, ranks_path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     groups = max(1, -(-docs.count() // group_docs))
     id_type = docs.schema[id_col].dataType.simpleString()

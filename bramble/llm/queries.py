@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bramble.llm import (exact_dedup, license_scan, packing, quality_classifier, quality_rules, simhash,
-                         substring_dedup)
+from bramble.llm import (exact_dedup, html_extract, license_scan, line_dedup, packing, quality_classifier,
+                         quality_rules, sentencepiece_codec, simhash, substring_dedup)
 from bramble.llm.shared import table
 
 
@@ -16,6 +16,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -36,17 +44,24 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_html_extract": op2_html_extract,
     "op3_license_scan": op3_license_scan,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
