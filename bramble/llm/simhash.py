@@ -168,6 +168,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b), a < b: all pairs of distinct fingerprints within ``max_bits`` bits."""
     if max_bits > MAX_BITS:
         raise ValueError(f"the cover finds pairs within {MAX_BITS} bits")
+    # a task writes a hundred rows per fingerprint, so let no small partitions be merged
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     home = _place(fps, False).withColumnRenamed("fp", "a")
     visitor = _place(fps, True).withColumnRenamed("fp", "b")
     near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
