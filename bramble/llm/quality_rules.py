@@ -92,7 +92,7 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def rule_values() -> dict[str, Column]:
     def share(a: str, b: str) -> Column:
-        return F.coalesce(F.col(a) / F.col(b), F.lit(0.0))
+        return F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
     return {"symbol_share": share("n_symbols", "word_chars"), "upper_share": share("n_upper", "word_chars"),
             "mark_share": share("n_marks", "word_chars"), "dup_line_share": share("n_dup_lines", "n_lines"),
             "repeat_share": share("n_repeat_words", "n_words"), "echo_share": share("n_echoes", "n_words"),
