@@ -7,14 +7,14 @@ pages: the child sequences of the element (presentation) and the texts that stan
 same and 1 where all differ. The importance of a node mixes its presentation with its
 children's importance and content as in the published method:
 (1 - DECAY^l) * presentation + DECAY^l * mean importance below, l the number of its
-different child sequences; a leaf's importance is that of its content. Branches below
-``low`` on at least ``min_pages`` pages are the host's template and are removed.
+different child sequences; a leaf's importance is that of its content. A branch is the host's
+template, and removed, where its node and all nodes below stay under ``low`` on at least
+``min_pages`` pages while other texts of the host vary; a host full of copies keeps its text.
 
 Besides, elements that say what they are go first: navigation, header, footer, aside, forms,
 scripts, styles, and classes, ids or roles such as advert, menu, sidebar, notice or comments.
-Where a page has an article (or main) element, its text is what is left in there; a template
-branch inside is removed only where the rest of the article varies between pages, so that a
-host full of copies keeps its text.
+Where a page has an article (or main) element, its text is what is left in there; branches
+inside are removed only under ``LOW_IN_ARTICLE``.
 
 Text: character references are decoded, white space in a block becomes one space, blocks are
 trimmed and joined in page order by a line break. Unclosed and stray tags are tolerated, raw
@@ -42,6 +42,7 @@ DECAY = 0.9
 LOW = 0.15
 LOW_IN_ARTICLE = 0.05
 MIN_PAGES = 8
+VARIED = 0.3
 
 # HTML's own element classes, and words by which pages mark what is not text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -244,8 +245,9 @@ def _entropy() -> Column:
 
 
 def importance(counts: DataFrame, depth: int = 8) -> DataFrame:
-    """(host, path, parent, pages, importance, in_article) for every node. Children's values
-    reach their parents in ``depth`` steps; deeper nodes count with their own entropy."""
+    """(host, path, parent, pages, importance, best, in_article) for every node; best is the
+    greatest importance of the node and those below. Children's values reach their parents
+    in ``depth`` steps."""
     nodes = counts.groupBy("host", "path", "kind").agg(
         F.min("parent").alias("parent"), F.sum("n").alias("pages"), F.count("*").alias("styles"), _entropy().alias("h"),
         F.max("article").alias("article"))
@@ -256,15 +258,17 @@ def importance(counts: DataFrame, depth: int = 8) -> DataFrame:
         F.max(F.when(F.col("kind") == "C", F.col("h"))).alias("content"),
         F.max(F.when(F.col("kind") == "C", F.col("pages"))).alias("texts"))
     own = F.coalesce("content", "presentation")
-    now = write_shared(by_path.withColumn("importance", own), "style-nodes")
+    now = write_shared(by_path.withColumn("importance", own).withColumn("best", own), "style-nodes")
     for step in range(depth):
         below = now.where("path <> parent").groupBy("host", F.col("parent").alias("path")).agg(
-            (F.sum(F.col("importance") * F.col("pages")) / F.sum("pages")).alias("below"), F.sum("pages").alias("weight"))
+            (F.sum(F.col("importance") * F.col("pages")) / F.sum("pages")).alias("below"), F.sum("pages").alias("weight"),
+            F.max("best").alias("best_below"))
         fade = F.pow(F.lit(DECAY), F.least("styles", F.lit(50)))
         mixed = F.when(F.col("below").isNull(), own).otherwise(
             (1 - fade) * F.coalesce("presentation", F.lit(0.0)) + fade * F.when(F.col("content").isNull(), F.col("below")).otherwise(
                 (F.col("below") * F.col("weight") + F.col("content") * F.col("texts")) / (F.col("weight") + F.col("texts"))))
-        now = now.join(below, ["host", "path"], "left").withColumn("importance", mixed).select(*now.columns)
+        now = now.join(below, ["host", "path"], "left").withColumn("importance", mixed).withColumn(
+            "best", F.greatest("importance", "best_below")).select(*now.columns)
         if step % 3 == 2:
             now = write_shared(now, "style-nodes")
     return now
@@ -272,10 +276,9 @@ def importance(counts: DataFrame, depth: int = 8) -> DataFrame:
 
 def templates(nodes: DataFrame, min_pages: int, low: float) -> DataFrame:
     """(host, low_paths): the branches to remove of each host that has any."""
-    varied = nodes.where("in_article").groupBy("host").agg(F.max("importance").alias("article_importance"))
-    cut = nodes.join(varied, "host", "left").where(
-        (F.col("pages") >= min_pages) & F.when(F.col("in_article"), (F.col("importance") < LOW_IN_ARTICLE)
-                                                & (F.col("article_importance") > 0.3)).otherwise(F.col("importance") < low))
+    varied = nodes.where("content is not null").groupBy("host").agg(F.max("importance").alias("most")).where(F.col("most") > VARIED)
+    cut = nodes.join(varied, "host").where(
+        (F.col("pages") >= min_pages) & (F.col("best") < F.when(F.col("in_article"), LOW_IN_ARTICLE).otherwise(low)))
     return cut.groupBy("host").agg(F.collect_set("path").alias("low_paths"))
 
 
