@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+CORE_ITEMS = 30
+
 
 def _items(df: DataFrame, basket: str, item: str) -> DataFrame:
-    return df.where(F.col(item).isNotNull()).select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct()
+    return df.where(F.col(item).isNotNull()).select(F.col(basket).alias("_b"), F.col(item).alias("item_1")).distinct()
+
+
+def _cols(k: int) -> list[str]:
+    return [f"item_{j}" for j in range(1, k + 1)]
+
+
+def _grow(sets: DataFrame, size: int) -> DataFrame:
+    """Sets one item larger: two sets of a basket that agree on all items but the last. The
+    join key is (basket, all items but the last), so a basket's work spreads over tasks as
+    soon as sets have two items."""
+    same = _cols(size - 1)
+    nxt = sets.select("_b", *same, F.col(f"item_{size}").alias(f"item_{size + 1}"))
+    return sets.join(nxt, ["_b", *same]).where(F.col(f"item_{size}") < F.col(f"item_{size + 1}")).select("_b", *_cols(size + 1))
 
 
 def _enumerate(items: DataFrame, k: int) -> DataFrame:
-    """Every ascending k-set of items inside each basket: k-1 equi self-joins on the
-    basket with item_j < item_{j+1}; both join sides share one exchange on the basket."""
-    combo = items.select("_b", F.col("_i").alias("item_1"))
-    for j in range(2, k + 1):
-        nxt = items.select(F.col("_b").alias("_bn"), F.col("_i").alias(f"item_{j}"))
-        combo = (combo.join(nxt, (combo["_b"] == nxt["_bn"]) & (combo[f"item_{j-1}"] < nxt[f"item_{j}"]))
-                 .drop("_bn"))
-    return combo
+    sets = items
+    for size in range(1, k):
+        sets = _grow(sets, size)
+    return sets
 
 
 def basket_combinations(df: DataFrame, basket: str, item: str, k: int = 3) -> DataFrame:
@@ -27,69 +38,52 @@ def basket_combinations(df: DataFrame, basket: str, item: str, k: int = 3) -> Da
     Output ``item_1 .. item_k`` (ascending, so each set appears once) and ``baskets``.
     Counting unordered sets instead of the k! orderings of a literal self-join gives the
     same counts with k! times fewer rows. Every set of every basket is produced, so use
-    :func:`top_basket_combinations` when only the most frequent sets are wanted: it does
-    not enumerate inside very large baskets.
+    :func:`top_basket_combinations` when only the most frequent sets are wanted.
     """
-    cols = [f"item_{j}" for j in range(1, k + 1)]
-    return _enumerate(_items(df, basket, item), k).groupBy(*cols).agg(F.count(F.lit(1)).alias("baskets"))
+    return _enumerate(_items(df, basket, item), k).groupBy(*_cols(k)).agg(F.count(F.lit(1)).alias("baskets"))
 
 
 def top_basket_combinations(df: DataFrame, basket: str, item: str, n: int, k: int = 3,
-                            max_basket: int = 200) -> DataFrame:
-    """The ``n`` most frequent k-item sets (count desc, then item ids asc), exact, without
-    enumerating the sets inside baskets of more than ``max_basket`` distinct items.
-
-    * Baskets of at most ``max_basket`` items ("small") enumerate their sets as usual, at
-      most C(max_basket, k) per basket.
-    * ``ts`` = the n-th largest small-basket count (0 if there are fewer than n sets) is a
-      lower bound of the true n-th largest count; ``nb`` = number of big baskets.
-    * A set seen in a small basket can reach the top only if small count + nb >= ts; only
-      those candidates get their big-basket count, by semi joins against the big
-      baskets' (basket, item) rows: no enumeration inside big baskets.
-    * A set seen only in big baskets has count <= nb; it is looked for only when
-      nb >= ts, and then only among items that occur in at least ts big baskets
-      (Apriori pruning). The gate is a one-row flag joined in below the enumeration, so
-      when it is closed that branch reads no rows.
-
-    A basket holding a large share of all rows is therefore one big basket: it adds one
-    semi-join probe per candidate instead of C(size, k) rows.
+                            core_items: int = CORE_ITEMS) -> DataFrame:
+    """The ``n`` most frequent k-item sets (count desc, then item ids asc), exact; one plan
+    for baskets of any size.
+
+    * The sets among the ``core_items`` most frequent items are counted exactly (a basket
+      has at most that many of them). The n-th largest of these counts, ``least``, is a lower
+      bound of the true n-th largest; 1 if there are fewer than n sets.
+    * With t = max(least, 2): items in fewer than t baskets are dropped everywhere, then
+      sets grow by one item at a time, and at each size those in fewer than t baskets are
+      dropped before the next (a set is never more frequent than its parts).
+    * Sets of one basket only can rank when ``least`` is 1. Of those, only the first n of a
+      basket in id order can, and they lie among its n + k - 1 smallest items.
+
+    So a basket with very many items adds only sets that other baskets share, and its sets
+    are spread over tasks by (basket, leading items).
     """
-    cols = [f"item_{j}" for j in range(1, k + 1)]
-    items = _items(df, basket, item)
-    sizes = items.groupBy("_b").agg(F.count(F.lit(1)).alias("_k"))
-    sized = items.join(sizes, "_b")
-    small = sized.where(F.col("_k") <= max_basket).select("_b", "_i")
-    big = sized.where(F.col("_k") > max_basket).select("_b", "_i")
-    nb = sizes.agg(F.count(F.when(F.col("_k") > max_basket, 1)).alias("_nb"))
-
-    sc = _enumerate(small, k).groupBy(*cols).agg(F.count(F.lit(1)).alias("_small"))
-    top_small = sc.orderBy(F.col("_small").desc(), *cols).limit(n)
-    ts = top_small.agg(F.when(F.count(F.lit(1)) >= n, F.min("_small")).otherwise(F.lit(0)).alias("_ts"))
-    bounds = F.broadcast(ts.crossJoin(nb))  # one row
-
-    # sets seen in small baskets that can still reach the top: add their big-basket count
-    cand = sc.crossJoin(bounds).where(F.col("_small") + F.col("_nb") >= F.col("_ts")).select(*cols, "_small")
-    hits = cand.select(*cols).join(big.select(F.col("_b"), F.col("_i").alias("item_1")), "item_1")
-    for j in range(2, k + 1):
-        hits = hits.join(big.select(F.col("_b"), F.col("_i").alias(f"item_{j}")), ["_b", f"item_{j}"], "left_semi")
-    big_counts = hits.groupBy(*cols).agg(F.count(F.lit(1)).alias("_big"))
-    totals = (cand.join(big_counts, cols, "left")
-              .select(*cols, (F.col("_small") + F.coalesce(F.col("_big"), F.lit(0))).alias("baskets")))
-
-    # sets seen only in big baskets: gated on nb >= ts, items pruned to big support >= ts
-    gate = bounds.where((F.col("_nb") >= F.col("_ts")) & (F.col("_nb") > 0)).select("_ts")
-    big_open = big.crossJoin(gate)
-    support = big_open.groupBy("_i", "_ts").agg(F.count(F.lit(1)).alias("_s"))
-    frequent = support.where(F.col("_s") >= F.greatest(F.col("_ts"), F.lit(1))).select("_i")
-    pruned = big_open.select("_b", "_i").join(frequent, "_i", "left_semi")
-    only_big = _enumerate(pruned, k).groupBy(*cols).agg(F.count(F.lit(1)).alias("baskets"))
-
-    # Top n of each branch first (per-partition top-n, no aggregate over all candidates).
-    # Exact: a true top-n set is in the top n of the branch holding its true count, since
-    # any set ranked above it there (a set of both kinds shows a lower count in the
-    # big-only branch) also ranks above it in the true order. A set in both lists keeps
-    # its full (larger) count.
+    cols = _cols(k)
     rank = [F.col("baskets").desc(), *cols]
-    best = totals.orderBy(*rank).limit(n).unionByName(only_big.orderBy(*rank).limit(n))
-    allc = best.groupBy(*cols).agg(F.max("baskets").alias("baskets"))
-    return allc.orderBy(*rank).limit(n)
+    items = _items(df, basket, item)
+    support = items.groupBy("item_1").agg(F.count(F.lit(1)).alias("_s"))
+    core = support.orderBy(F.col("_s").desc(), "item_1").limit(core_items).select("item_1")
+    counted = (_enumerate(items.join(F.broadcast(core), "item_1", "left_semi"), k)  # core_items rows
+               .groupBy(*cols).agg(F.count(F.lit(1)).alias("baskets")))
+    least = counted.orderBy(*rank).limit(n).agg(
+        F.when(F.count(F.lit(1)) >= n, F.min("baskets")).otherwise(F.lit(1)).alias("_least"))
+    bound = F.broadcast(least.select("_least", F.greatest("_least", F.lit(2)).alias("_t")))  # one row
+
+    def frequent(sets: DataFrame, size: int) -> DataFrame:
+        counts = sets.groupBy(*_cols(size)).agg(F.count(F.lit(1)).alias("baskets"))
+        return counts.crossJoin(bound).where(F.col("baskets") >= F.col("_t")).select(*_cols(size), "baskets")
+
+    sets = items
+    for size in range(1, k):
+        sets = _grow(sets.join(frequent(sets, size).drop("baskets"), _cols(size), "left_semi"), size)
+    shared = frequent(sets, k).orderBy(*rank).limit(n)
+
+    by_id = Window.partitionBy("_b").orderBy("item_1")
+    smallest = (items.crossJoin(bound).where("_least = 1").select("_b", "item_1")
+                .withColumn("_r", F.row_number().over(by_id)).where(F.col("_r") <= n + k - 1).drop("_r"))
+    single = _enumerate(smallest, k).select(*cols).distinct().orderBy(*cols).limit(n).withColumn("baskets", F.lit(1).cast("bigint"))
+    # a set of both kinds keeps its full count
+    best = shared.unionByName(single).groupBy(*cols).agg(F.max("baskets").alias("baskets"))
+    return best.orderBy(*rank).limit(n)

@@ -44,73 +44,69 @@ def leaders(df: DataFrame, measures: Sequence[tuple[str, str]], label: str = "to
 
 
 def nearest_rank(values: DataFrame, value: str, percentiles: Sequence[int],
-                 bins: int = 4096, levels: int = 2) -> DataFrame:
+                 accuracy: int = 10_000, splitters: int = 64) -> DataFrame:
     """Nearest-rank percentile without a global sort.
 
     For each p the answer is the value at position ROUND(p/100 * N) (1-based, ascending),
     or NULL when that position is 0. Exact, deterministic and lazy:
 
-    1. one aggregate gives N, min and max;
-    2. every value gets an equal-width bin over [min, max]; a histogram (count, min, max
-       per bin; at most ``bins`` rows) and its running sum tell which bin holds each rank;
-    3. ``levels - 1`` more rounds split the chosen bin over its own [min, max];
-    4. in the last bin the distinct values are counted and ranked.
-
-    The only windows run over histogram rows (at most ``bins`` per percentile) and over
-    the distinct values of one final bin (about N / bins**levels for spread-out data).
-    Returns rows (percentile INT, value) for every requested p.
+    1. one aggregate sketches the quantiles just below and above each p (``accuracy`` bounds
+       the rank error by N / accuracy, so the answer lies between them);
+    2. one aggregate counts the values below the lower one; what lies between is a slice of
+       about 4 N / accuracy rows, and the position inside it is known;
+    3. the slice's own quantiles, ``splitters`` of them, cut it into parts whose counts tell
+       which one holds the position;
+    4. in that part the distinct values are counted and ranked.
+
+    All cuts follow the data, so outliers and clusters don't matter. Windows run over at
+    most ``splitters`` + 1 counts per percentile, and over the distinct values of one part:
+    a millionth of the data or so. Returns rows (percentile INT, value) for every p.
     """
     v = values.where(F.col(value).isNotNull()).select(
         F.col(value).alias("_val"), F.col(value).cast("double").alias("_d"))
-    spark = values.sparkSession
-    pct = spark.createDataFrame([(int(p),) for p in percentiles],
-                                T.StructType([T.StructField("percentile", T.IntegerType())]))
-    stats = v.agg(F.count(F.lit(1)).alias("_n"), F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
-
-    def bin_of(lo, hi):
-        width = hi - lo
-        raw = F.floor((F.col("_d") - lo) / width * F.lit(bins)).cast("int")
-        return F.when(width > 0, F.least(raw, F.lit(bins - 1))).otherwise(F.lit(0))
-
-    def histogram(df: DataFrame, keys: list[str], carry: Sequence[str] = ()) -> DataFrame:
-        return df.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_cnt"),
-                                             F.min("_d").alias("_blo"), F.max("_d").alias("_bhi"),
-                                             *[F.first(c).alias(c) for c in carry])
-
-    def running(hist: DataFrame, key: str) -> DataFrame:
-        w = Window.partitionBy(key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-        return hist.withColumn("_end", F.sum("_cnt").over(w))
-
-    def pick(cum: DataFrame) -> DataFrame:
-        """Keep the bin holding rank _k; _k becomes the rank inside that bin."""
-        return (cum.where((F.col("_end") - F.col("_cnt") < F.col("_k")) & (F.col("_k") <= F.col("_end")))
-                .select("percentile", "_bin", (F.col("_k") - (F.col("_end") - F.col("_cnt"))).alias("_k"),
-                        F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi")))
+    ps = sorted({int(p) for p in percentiles})
+    pct = values.sparkSession.createDataFrame(
+        [(p,) for p in ps], T.StructType([T.StructField("percentile", T.IntegerType())]))
+    slack = 2.0 / accuracy
+
+    def sketch(at: Sequence[float]) -> Column:
+        return F.percentile_approx("_d", [float(x) for x in at], accuracy)
+
+    def edge(q: str, i: int, inside: bool, outside: float) -> Column:
+        return F.get(q, F.lit(i)) if inside else F.lit(outside)
 
     # rank = ROUND(p * N / 100) half up, in exact integer arithmetic; rank 0 has no row
-    targets = (pct.crossJoin(stats.select("_n"))
-               .select("percentile", F.lit(1).alias("_one"),
-                       F.floor((F.col("_n") * F.col("percentile") + 50) / F.lit(100)).cast("bigint").alias("_k"))
-               .where(F.col("_k") >= 1))
-    # level 1: bins over the global range, one histogram shared by all percentiles
-    v1 = (v.crossJoin(F.broadcast(stats.select("_lo", "_hi")))
-          .select("_val", "_d", bin_of(F.col("_lo"), F.col("_hi")).alias("_bin")))
-    cum = running(histogram(v1.withColumn("_one", F.lit(1)), ["_one"]), "_one")
-    tgt = pick(cum.join(F.broadcast(targets), "_one"))   # <= bins x percentiles rows
-    cand = (v1.join(F.broadcast(tgt), "_bin")
-            .select("percentile", "_val", "_d", "_k", "_lo", "_hi"))
-    # levels 2..: split the chosen bin of each percentile over its own range; the target
-    # rank rides along in the histogram rows
-    for _ in range(levels - 1):
-        cb = cand.withColumn("_bin", bin_of(F.col("_lo"), F.col("_hi")))
-        tgt = pick(running(histogram(cb, ["percentile"], carry=["_k"]), "percentile"))
-        cand = (cb.drop("_k", "_lo", "_hi").join(F.broadcast(tgt), ["percentile", "_bin"])
-                .select("percentile", "_val", "_d", "_k", "_lo", "_hi"))
-    # last bin: distinct values with multiplicity, ranked
-    dv = cand.groupBy("percentile", "_val").agg(F.count(F.lit(1)).alias("_cnt"), F.first("_k").alias("_k"))
+    stats = v.agg(F.count(F.lit(1)).alias("_n"), sketch([max(0.0, p / 100 - slack) for p in ps]).alias("_ql"),
+                  sketch([min(1.0, p / 100 + slack) for p in ps]).alias("_qh"))
+    bounds = stats.select(F.array(*[F.struct(
+        F.lit(p).alias("percentile"),
+        F.floor((F.col("_n") * p + 50) / F.lit(100)).cast("bigint").alias("k"),
+        edge("_ql", i, p / 100 - slack > 0, float("-inf")).alias("lo"),
+        edge("_qh", i, p / 100 + slack < 1, float("inf")).alias("hi")) for i, p in enumerate(ps)]).alias("_t"))
+    one_row = F.broadcast(bounds)
+    near = v.crossJoin(one_row)
+    below = near.agg(F.array(*[F.count_if(F.col("_d") < F.col("_t")[i]["lo"]) for i in range(len(ps))]).alias("_below"))
+    targets = (bounds.crossJoin(F.broadcast(below))
+               .select(F.explode(F.zip_with("_t", "_below", lambda t, b: F.struct(
+                   t["percentile"].alias("percentile"), (t["k"] - b).alias("_k"), t["k"].alias("_all")))).alias("x"))
+               .select("x.percentile", "x._k").where("x._all >= 1"))
+    cut = (near.select("_val", "_d", F.explode(F.filter("_t", lambda t: F.col("_d").between(t["lo"], t["hi"]))).alias("t"))
+           .select("_val", "_d", F.col("t.percentile").alias("percentile")))
+
+    splits = cut.groupBy("percentile").agg(sketch([j / (splitters + 1) for j in range(1, splitters + 1)]).alias("_s"))
+    parts = cut.join(F.broadcast(splits), "percentile").select(  # one row per percentile
+        "percentile", "_val", F.size(F.filter("_s", lambda s: s < F.col("_d"))).alias("_part"))
+    w = Window.partitionBy("percentile").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    held = (parts.groupBy("percentile", "_part").agg(F.count(F.lit(1)).alias("_cnt")).withColumn("_end", F.sum("_cnt").over(w))
+            .join(F.broadcast(targets), "percentile")
+            .where((F.col("_end") - F.col("_cnt") < F.col("_k")) & (F.col("_k") <= F.col("_end")))
+            .select("percentile", "_part", (F.col("_k") - F.col("_end") + F.col("_cnt")).alias("_k")))
+    # distinct values of the part with multiplicity, ranked
+    dv = (parts.join(F.broadcast(held), ["percentile", "_part"])
+          .groupBy("percentile", "_val").agg(F.count(F.lit(1)).alias("_cnt"), F.max("_k").alias("_k")))
     w = Window.partitionBy("percentile").orderBy("_val").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = dv.withColumn("_end", F.sum("_cnt").over(w))
-    picked = (ranked.where((F.col("_end") - F.col("_cnt") < F.col("_k")) & (F.col("_k") <= F.col("_end")))
+    picked = (dv.withColumn("_end", F.sum("_cnt").over(w))
+              .where((F.col("_end") - F.col("_cnt") < F.col("_k")) & (F.col("_k") <= F.col("_end")))
               .select("percentile", F.col("_val").alias("value")))
     return pct.join(picked, "percentile", "left")
 

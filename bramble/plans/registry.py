@@ -23,31 +23,45 @@ def _fx(spark: SparkSession, sf_dir: str):
     return Tables(spark, sf_dir).fixtures
 
 
-def _sales(fn, *args, **kw) -> Query:
+def _lines(fn, *args, **kw) -> Query:
+    """Lines only: nothing of the transaction is read."""
+    return lambda spark, sf_dir: fn(_fx(spark, sf_dir).sales_lines, *args, **kw)
+
+
+def _lines_prod(fn, *args, **kw) -> Query:
+    def q(spark, sf_dir):
+        fx = _fx(spark, sf_dir)
+        return fn(fx.sales_lines, fx.product_details, *args, **kw)
+    return q
+
+
+def _txn(fn, *args, **kw) -> Query:
     def q(spark, sf_dir):
         fx = _fx(spark, sf_dir)
-        return fn(fx.sales, *args, **kw)
+        return fn(fx.sales_lines, *args, txns=fx.transactions, **kw)
     return q
 
 
-def _sales_prod(fn, *args, **kw) -> Query:
+def _month_txn(fn, *args, **kw) -> Query:
+    """Lines are combined per transaction before they meet the month's transactions."""
     def q(spark, sf_dir):
         fx = _fx(spark, sf_dir)
-        return fn(fx.sales, fx.product_details, *args, **kw)
+        return fn(fx.sales_lines, *args, txns=S.month_sales(fx.transactions, REPORT_MONTH), **kw)
     return q
 
 
-def _month_sales(fn, *args, **kw) -> Query:
+def _month_txn_prod(fn, *args, **kw) -> Query:
     def q(spark, sf_dir):
         fx = _fx(spark, sf_dir)
-        return fn(S.month_sales(fx.sales, REPORT_MONTH), *args, **kw)
+        return fn(fx.sales_lines, fx.product_details, *args, txns=S.month_sales(fx.transactions, REPORT_MONTH), **kw)
     return q
 
 
 def _month_sales_prod(fn, *args, **kw) -> Query:
     def q(spark, sf_dir):
         fx = _fx(spark, sf_dir)
-        return fn(S.month_sales(fx.sales, REPORT_MONTH), fx.product_details, *args, **kw)
+        month = S.month_sales(fx.transactions, REPORT_MONTH).select("txn_id")
+        return fn(fx.sales_lines.join(month, "txn_id", "left_semi"), fx.product_details, *args, **kw)
     return q
 
 
@@ -60,42 +74,42 @@ def _hierarchy(spark, sf_dir):
     return S.hierarchy_flatten(fx.product_hierarchy, fx.product_prices)
 
 
-_scalars = _month_sales(S.report_scalars)
+_scalars = _month_txn(S.report_scalars)
+_totals = _month_txn(S.report_totals)
 
 QUERIES: dict[str, Query] = {
     # sales: high level and transactions
-    "sales_total_qty": _select(_sales(S.totals), "total_quantity"),
-    "sales_gross_revenue": _select(_sales(S.totals), "total_rev_before_discount"),
-    "sales_total_discount": _select(_sales(S.totals), "total_discount"),
-    "txn_unique": _sales(S.txn_unique),
-    "txn_avg_unique_products": _sales(S.txn_avg_unique_products),
-    "txn_revenue_percentiles": _sales(S.txn_revenue_percentiles),
-    "txn_avg_discount": _sales(S.txn_avg_discount),
-    "txn_member_split": _sales(S.txn_member_split),
-    "txn_member_avg_revenue": _sales(S.txn_member_avg_revenue),
+    "sales_total_qty": _select(_lines(S.totals), "total_quantity"),
+    "sales_gross_revenue": _select(_lines(S.totals), "total_rev_before_discount"),
+    "sales_total_discount": _select(_lines(S.totals), "total_discount"),
+    "txn_unique": _lines(S.txn_unique),
+    "txn_avg_unique_products": _lines(S.txn_avg_unique_products),
+    "txn_revenue_percentiles": _lines(S.txn_revenue_percentiles),
+    "txn_avg_discount": _lines(S.txn_avg_discount),
+    "txn_member_split": _txn(S.txn_member_split),
+    "txn_member_avg_revenue": _txn(S.txn_member_avg_revenue),
     # sales: products
-    "top_products_by_revenue": _sales_prod(S.top_products_by_revenue, 3),
-    "segment_totals": _sales_prod(S.level_totals, "segment_name"),
-    "segment_top_seller": _sales_prod(S.level_top_seller, "segment_name"),
-    "category_totals": _sales_prod(S.level_totals, "category_name"),
-    "category_top_seller": _sales_prod(S.level_top_seller, "category_name"),
-    "product_share_in_segment": _sales_prod(S.product_share_in_segment),
-    "segment_share_in_category": _sales_prod(S.segment_share_in_category),
-    "category_share_of_total": _sales_prod(S.category_share_of_total),
-    "product_penetration": _sales_prod(S.product_penetration),
-    "basket_top_triples": _sales_prod(S.basket_top_triples, 10),
+    "top_products_by_revenue": _lines_prod(S.top_products_by_revenue, 3),
+    "segment_totals": _lines_prod(S.level_totals, "segment_name"),
+    "segment_top_seller": _lines_prod(S.level_top_seller, "segment_name"),
+    "category_totals": _lines_prod(S.level_totals, "category_name"),
+    "category_top_seller": _lines_prod(S.level_top_seller, "category_name"),
+    "product_share_in_segment": _lines_prod(S.product_share_in_segment),
+    "segment_share_in_category": _lines_prod(S.segment_share_in_category),
+    "category_share_of_total": _lines_prod(S.category_share_of_total),
+    "product_penetration": _lines_prod(S.product_penetration),
+    "basket_top_triples": _lines_prod(S.basket_top_triples, 10),
     "hierarchy_flatten": _hierarchy,
     # sales: monthly report
-    "report_total_qty": _select(_scalars, "total_qty"),
-    "report_gross_revenue": _select(_scalars, "rev_before_discount"),
-    "report_total_discount": _select(_scalars, "total_discount"),
-    "report_unique_txn": _select(_scalars, "total_unique_transac"),
-    "report_avg_unique_products": _select(_scalars, "avg_unique_product"),
-    "report_revenue_percentile": _select(_scalars, "revenue_at_percentile_25",
-                                         "revenue_at_percentile_50", "revenue_at_percentile_75"),
-    "report_avg_discount": _select(_scalars, "avg_discount"),
-    "report_member_split": _month_sales(S.txn_member_split),
-    "report_member_avg_revenue": _month_sales(S.txn_member_avg_revenue),
+    "report_total_qty": _select(_totals, "total_qty"),
+    "report_gross_revenue": _select(_totals, "rev_before_discount"),
+    "report_total_discount": _select(_totals, "total_discount"),
+    "report_unique_txn": _select(_totals, "total_unique_transac"),
+    "report_avg_unique_products": _select(_totals, "avg_unique_product"),
+    "report_revenue_percentile": _month_txn(S.txn_revenue_percentiles),
+    "report_avg_discount": _select(_totals, "avg_discount"),
+    "report_member_split": _month_txn(S.txn_member_split),
+    "report_member_avg_revenue": _month_txn(S.txn_member_avg_revenue),
     "report_top_products": _month_sales_prod(S.top_products_by_revenue, 3),
     "report_segment_totals": _month_sales_prod(S.level_totals, "segment_name"),
     "report_segment_top_seller": _month_sales_prod(S.level_top_seller, "segment_name"),
@@ -104,8 +118,8 @@ QUERIES: dict[str, Query] = {
     "report_product_share": _month_sales_prod(S.product_share_in_segment),
     "report_segment_share": _month_sales_prod(S.segment_share_in_category),
     "report_category_share": _month_sales_prod(S.category_share_of_total),
-    "report_penetration": _month_sales_prod(S.product_penetration),
-    "report_top_triples": _month_sales_prod(S.basket_top_triples, 1),
+    "report_penetration": _month_txn_prod(S.product_penetration),
+    "report_top_triples": _month_txn_prod(S.basket_top_triples, 1),
     "monthly_report": _scalars,
 }
 

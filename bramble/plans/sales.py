@@ -6,6 +6,12 @@ product_name, segment_name, category_name, ...). Money stays DECIMAL through eve
 and is converted to DOUBLE once at the end; the discount amount is
 SUM(gross * discount) / 100.
 
+The functions also take the two halves of ``sales``: the lines alone (no member, no time) and
+``txns`` (txn_id, member, start_txn_time; one row per transaction). Lines are then combined
+per transaction first (partial aggregation on the mappers), and one row per transaction meets
+``txns``, so a transaction with very many lines never crosses a join unsplit. Results that read
+neither member nor time need no ``txns`` at all, given that every line has its transaction.
+
 Fact rows are always aggregated to the product (or transaction) before the product
 dimension is joined, so the join sees one row per product instead of one per sale.
 The product dimension grows with the data (it is the supplier table), so it gets no
@@ -21,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import money, month_filter, ratio, round_int
-from bramble.operators.aggregates import avg_of_group, count_distinct, distinct_flags
+from bramble.operators.aggregates import avg_of_group, count_distinct
 from bramble.operators.basket import top_basket_combinations
 from bramble.operators.hierarchy import flatten_hierarchy
 from bramble.operators.ranking import nearest_rank, pivot_percentiles, top_n, top_per_group
@@ -47,6 +53,15 @@ def totals(sales: DataFrame) -> DataFrame:
 
 
 # -- part 2: transactions ---------------------------------------------------
+def per_transaction(sales: DataFrame, aggs: Sequence, txns: DataFrame | None = None) -> DataFrame:
+    """One row per transaction: ``aggs``, and member where it is known. With ``txns`` only its
+    transactions stay."""
+    if txns is not None:
+        return sales.groupBy("txn_id").agg(*aggs).join(txns, "txn_id")
+    member = [F.max("member").alias("member")] if "member" in sales.columns else []
+    return sales.groupBy("txn_id").agg(*member, *aggs)
+
+
 def txn_unique(sales: DataFrame) -> DataFrame:
     return count_distinct(sales, "txn_id", alias="total_unique_transac")
 
@@ -56,12 +71,13 @@ def txn_avg_unique_products(sales: DataFrame) -> DataFrame:
     return avg_of_group(per_txn, "txn_id", F.count(F.lit(1)), alias="avg_unique_prod")
 
 
-def txn_revenue(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("txn_id").agg(F.sum("gross").alias("rev"))
+def txn_revenue(sales: DataFrame, txns: DataFrame | None = None) -> DataFrame:
+    return per_transaction(sales, [F.sum("gross").alias("rev")], txns)
 
 
-def txn_revenue_percentiles(sales: DataFrame, percentiles: Sequence[int] = PERCENTILES) -> DataFrame:
-    long = nearest_rank(txn_revenue(sales), "rev", percentiles)
+def txn_revenue_percentiles(sales: DataFrame, percentiles: Sequence[int] = PERCENTILES,
+                            txns: DataFrame | None = None) -> DataFrame:
+    long = nearest_rank(txn_revenue(sales, txns), "rev", percentiles)
     wide = pivot_percentiles(long, percentiles, "revenue_at_percentile_")
     return wide.select(*[money(f"revenue_at_percentile_{p}").alias(f"revenue_at_percentile_{p}")
                          for p in percentiles])
@@ -71,17 +87,21 @@ def txn_avg_discount(sales: DataFrame) -> DataFrame:
     return avg_of_group(sales, "txn_id", F.sum(_disc()), alias="discount_per_transac", scale=100)
 
 
-def txn_member_split(sales: DataFrame) -> DataFrame:
-    c = distinct_flags(sales, "txn_id", {"member_transac": F.col("member") == "t",
-                                          "nonmember_transac": F.col("member") == "f"})
+def txn_member_split(sales: DataFrame, txns: DataFrame | None = None) -> DataFrame:
+    per_txn = per_transaction(sales.where(F.col("txn_id").isNotNull()), [F.lit(1).alias("_one")], txns)
+    c = per_txn.agg(F.count(F.lit(1)).alias("total"),
+                    F.coalesce(F.count_if(F.col("member") == "t"), F.lit(0)).alias("member_transac"),
+                    F.coalesce(F.count_if(F.col("member") == "f"), F.lit(0)).alias("nonmember_transac"))
     return c.select("total", "member_transac",
                     ratio("member_transac", "total").alias("member_transac_pct"),
                     "nonmember_transac",
                     ratio("nonmember_transac", "total").alias("nonmember_transac_pct"))
 
 
-def txn_member_avg_revenue(sales: DataFrame) -> DataFrame:
-    return avg_of_group(sales, "txn_id", F.sum("gross"), by="member", alias="avg_rev")
+def txn_member_avg_revenue(sales: DataFrame, txns: DataFrame | None = None) -> DataFrame:
+    per_txn = txn_revenue(sales, txns)
+    mean = F.when(F.count("rev") > 0, F.sum("rev").cast("double") / F.count("rev").cast("double"))
+    return per_txn.groupBy("member").agg(mean.alias("avg_rev"))
 
 
 # -- part 3: products -------------------------------------------------------
@@ -132,13 +152,15 @@ def segment_share_in_category(sales: DataFrame, products: DataFrame) -> DataFram
 def category_share_of_total(sales: DataFrame, products: DataFrame) -> DataFrame:
     per = (_by_product(sales, products, ["category_name"])
            .groupBy("category_name").agg(F.sum("rev").alias("rev")))
-    total = sales.agg(F.sum("gross"))
-    return share_of_total(per, "rev", alias="rev_pct", total=total).select("category_name", "rev_pct")
+    return share_of_total(per, "rev", alias="rev_pct").select("category_name", "rev_pct")
 
 
-def product_penetration(sales: DataFrame, products: DataFrame) -> DataFrame:
-    per = count_distinct(sales, "txn_id", by="prod_id", alias="transac")
-    total = count_distinct(sales, "txn_id", alias="_all")
+def product_penetration(sales: DataFrame, products: DataFrame, txns: DataFrame | None = None) -> DataFrame:
+    pairs = sales.where(F.col("txn_id").isNotNull()).select("txn_id", "prod_id").distinct()
+    if txns is not None:
+        pairs = pairs.join(txns.select("txn_id"), "txn_id", "left_semi")
+    per = pairs.groupBy("prod_id").agg(F.count(F.lit(1)).alias("transac"))
+    total = count_distinct(pairs, "txn_id", alias="_all")
     dim = products.select("product_id", "product_name")
     out = (per.join(dim, per["prod_id"] == dim["product_id"], "left")
            .crossJoin(F.broadcast(total))
@@ -147,8 +169,11 @@ def product_penetration(sales: DataFrame, products: DataFrame) -> DataFrame:
     return out.orderBy(F.col("penetration").desc(), "prod_id")
 
 
-def basket_top_triples(sales: DataFrame, products: DataFrame, n: int = 10, max_basket: int = 200) -> DataFrame:
-    top = top_basket_combinations(sales, "txn_id", "prod_id", n, k=3, max_basket=max_basket)
+def basket_top_triples(sales: DataFrame, products: DataFrame, n: int = 10, txns: DataFrame | None = None) -> DataFrame:
+    pairs = sales.select("txn_id", "prod_id").distinct()
+    if txns is not None:
+        pairs = pairs.join(txns.select("txn_id"), "txn_id", "left_semi")
+    top = top_basket_combinations(pairs, "txn_id", "prod_id", n, k=3)
     names = products.select("product_id", "product_name")
     out = top
     for j in (1, 2, 3):
@@ -165,61 +190,64 @@ def hierarchy_flatten(hierarchy: DataFrame, prices: DataFrame) -> DataFrame:
 
 # -- monthly report -----------------------------------------------------------
 def month_sales(sales: DataFrame, month: int, year: int | None = None) -> DataFrame:
+    """Rows of a month, of joined sales or of ``txns``."""
     return sales.where(month_filter("start_txn_time", month, year))
 
 
-def report_scalars(ms: DataFrame, percentiles: Sequence[int] = PERCENTILES, rounded: bool = True) -> DataFrame:
-    """The nine scalar results of the monthly report in one row (INT results rounded half
-    up as the routines do). One aggregate per transaction feeds all of them: the sums,
-    counts and means in one global aggregate, the percentiles through nearest_rank."""
-    per_txn = ms.groupBy("txn_id").agg(F.count_distinct("prod_id").alias("uniq"), F.sum("qty").alias("qty"),
-                                       F.sum("gross").alias("rev"), F.sum(_disc()).alias("disc_c"))
+def report_totals(ms: DataFrame, txns: DataFrame | None = None, rounded: bool = True) -> DataFrame:
+    """The scalars of the report but for the percentiles, in one row: one aggregate per
+    transaction, one global aggregate."""
+    per_txn = per_transaction(ms, [F.count_distinct("prod_id").alias("uniq"), F.sum("qty").alias("qty"),
+                                   F.sum("gross").alias("rev"), F.sum(_disc()).alias("disc_c")], txns)
     n = F.count(F.lit(1))
     # the report routines return INT (rounded half up); rounded=False keeps exact values
     as_int = round_int if rounded else (lambda c: c.cast("double"))
-    # every scalar comes from the one per-transaction aggregate (one scan of the input)
-    txn = per_txn.agg(
+    return per_txn.agg(
         F.sum("qty").cast("bigint").alias("total_qty"),
         as_int(F.sum("rev")).alias("rev_before_discount"),
         as_int(F.sum("disc_c") / F.lit(100)).alias("total_discount"),
         n.alias("total_unique_transac"),
         as_int(F.when(n > 0, F.sum("uniq").cast("double") / n)).alias("avg_unique_product"),
         as_int(F.when(n > 0, F.sum("disc_c").cast("double") / 100.0 / n)).alias("avg_discount"))
-    pct = pivot_percentiles(nearest_rank(per_txn, "rev", percentiles), percentiles,
-                            "revenue_at_percentile_")
-    pct = pct.select(*[money(c).alias(c) for c in pct.columns])
-    out = txn.crossJoin(pct)
+
+
+def report_scalars(ms: DataFrame, percentiles: Sequence[int] = PERCENTILES, rounded: bool = True,
+                   txns: DataFrame | None = None) -> DataFrame:
+    """All nine scalar results of the monthly report in one row."""
+    pct = txn_revenue_percentiles(ms, percentiles, txns)
+    out = report_totals(ms, txns, rounded).crossJoin(F.broadcast(pct))  # one row each
     return out.select("total_qty", "rev_before_discount", "total_discount", "total_unique_transac",
                       "avg_unique_product", *[f"revenue_at_percentile_{p}" for p in percentiles],
                       "avg_discount")
 
 
 def monthly_report(sales: DataFrame, products: DataFrame, month: int, year: int | None = None,
-                   top: int = 3, persist: bool = True, rounded: bool = True) -> dict[str, DataFrame]:
-    """All 21 results of the monthly report as lazy DataFrames over one filtered input.
-
-    The month filter runs once; with ``persist`` the filtered rows are cached
-    (MEMORY_AND_DISK, recomputed from lineage if an executor is lost) because every
-    result reads them. The caller owns ``unpersist``.
-    """
-    ms = month_sales(sales, month, year)
-    if persist:
-        ms = ms.persist()
-    scal = report_scalars(ms, rounded=rounded)
-    out = {c: scal.select(c) for c in scal.columns}
+                   top: int = 3, rounded: bool = True, txns: DataFrame | None = None,
+                   percentiles: Sequence[int] = PERCENTILES) -> dict[str, DataFrame]:
+    """All 21 results of the monthly report as lazy DataFrames, from joined sales or from
+    lines and ``txns``."""
+    if txns is None:
+        ms, mt = month_sales(sales, month, year), None
+        lines = ms
+    else:
+        ms, mt = sales, month_sales(txns, month, year)
+        lines = sales.join(mt.select("txn_id"), "txn_id", "left_semi")
+    scal = report_scalars(ms, percentiles, rounded, mt)
+    totals_only = report_totals(ms, mt, rounded)
+    out = {c: (totals_only if c in totals_only.columns else scal).select(c) for c in scal.columns}
     out.update({
-        "member_split": txn_member_split(ms),
-        "member_avg_revenue": txn_member_avg_revenue(ms),
-        "top_products": top_products_by_revenue(ms, products, top),
-        "segment_totals": level_totals(ms, products, "segment_name"),
-        "segment_top_seller": level_top_seller(ms, products, "segment_name"),
-        "category_totals": level_totals(ms, products, "category_name"),
-        "category_top_seller": level_top_seller(ms, products, "category_name"),
-        "product_share": product_share_in_segment(ms, products),
-        "segment_share": segment_share_in_category(ms, products),
-        "category_share": category_share_of_total(ms, products),
-        "penetration": product_penetration(ms, products),
-        "top_triples": basket_top_triples(ms, products, 1),
+        "member_split": txn_member_split(ms, mt),
+        "member_avg_revenue": txn_member_avg_revenue(ms, mt),
+        "top_products": top_products_by_revenue(lines, products, top),
+        "segment_totals": level_totals(lines, products, "segment_name"),
+        "segment_top_seller": level_top_seller(lines, products, "segment_name"),
+        "category_totals": level_totals(lines, products, "category_name"),
+        "category_top_seller": level_top_seller(lines, products, "category_name"),
+        "product_share": product_share_in_segment(lines, products),
+        "segment_share": segment_share_in_category(lines, products),
+        "category_share": category_share_of_total(lines, products),
+        "penetration": product_penetration(ms, products, mt),
+        "top_triples": basket_top_triples(ms, products, 1, mt),
         "scalars": scal,
     })
     return out

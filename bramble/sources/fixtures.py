@@ -82,19 +82,26 @@ class Fixtures:
 
     # -- sales family -------------------------------------------------------
     @property
-    def sales(self) -> DataFrame:
-        li = self.t.lineitem.select("l_orderkey", "l_suppkey", "l_quantity",
-                                    "l_extendedprice", "l_discount")
-        o = self.t.orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
-        return li.join(o, li.l_orderkey == o.o_orderkey).select(
+    def sales_lines(self) -> DataFrame:
+        """The part of ``sales`` that lineitem alone has; every line has its order."""
+        return self.t.lineitem.select(
             F.col("l_orderkey").alias("txn_id"),
             F.col("l_suppkey").alias("prod_id"),
             F.col("l_quantity").cast("int").alias("qty"),
             F.col("l_extendedprice").cast("decimal(18,2)").alias("gross"),
-            F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
+            F.round(F.col("l_discount") * 100).cast("int").alias("discount"))
+
+    @property
+    def transactions(self) -> DataFrame:
+        """The part of ``sales`` that orders have, one row per transaction."""
+        return self.t.orders.select(
+            F.col("o_orderkey").alias("txn_id"),
             F.when(F.col("o_orderstatus") == "F", "t").otherwise("f").alias("member"),
-            F.col("o_orderdate").alias("start_txn_time"),
-        )
+            F.col("o_orderdate").alias("start_txn_time"))
+
+    @property
+    def sales(self) -> DataFrame:
+        return self.sales_lines.join(self.transactions, "txn_id")
 
     @property
     def product_details(self) -> DataFrame:
