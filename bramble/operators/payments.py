@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
-from bramble.operators.skew import hot_keys, sequence_columns
+from bramble.operators.skew import hot_splits, sequence_columns
 
 
 def drift_anchor(d0: Column) -> Column:
@@ -63,8 +63,8 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     Plan: broadcast join to the plan lookup; the LEAD window over plan rows, a narrow
     ``explode(sequence)`` of the month indexes, then the numbering / previous-payment
     window. Both windows run per (customer, bucket) via
-    :func:`bramble.operators.skew.sequence_columns`, so a customer with a very large
-    share of the rows is split by date range instead of sorted in one task.
+    :func:`bramble.operators.skew.sequence_columns`; the buckets of both come from the plan
+    rows, since a customer pays at most once a plan row and month.
     """
     order = list(order)
     base = subs.join(F.broadcast(plans.select("plan_id", "plan_name", F.col("price").alias("amount"))),
@@ -78,47 +78,27 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
         horizon = F.col("_horizon")
     base = base.withColumn("_hz", horizon)
 
-    # Hot customers for both ordered steps from ONE aggregate over the plan rows: plan rows
-    # per customer for the LEAD step, and an upper bound of payments per customer for the
-    # numbering step (plan rows + months from the first start to the horizon + 1; buckets
-    # only need to follow the date order, so a bound is enough).
-    st = base.groupBy(customer).agg(F.count(F.lit(1)).alias("_cnt"),
-                                    F.min(F.unix_date("start_date")).alias("_lo"),
-                                    F.max(F.unix_date("start_date")).alias("_hi"),
-                                    F.max(F.unix_date("_hz")).alias("_hzd"))
-    st = st.withColumn("_bound", F.col("_cnt") + F.floor((F.col("_hzd") - F.col("_lo")) / 28) + 2)
-    hot_plans = hot_keys(st, customer, "_cnt", "_lo", "_hi", **split_kw)
-    hot_pay = hot_keys(st, customer, "_bound", "_lo", "_hzd", **split_kw)
-
-    def plan_rows(rows: DataFrame) -> DataFrame:
-        """LEAD(start_date) per customer, then the end of each paying plan row."""
-        nxt = sequence_columns(rows, customer, order, F.unix_date("start_date"),
-                               lead={"_next_start": "start_date"}, hot=hot_plans)
-        end = F.coalesce(F.col("_next_start"), F.col("_hz"))
-        return nxt.where(F.col("amount").isNotNull()).select(
-            customer, *order[1:], "plan_name", "amount", "start_date", end.alias("_end"),
-            *([drift_anchor(F.col("start_date")).alias("_cal")] if anchor == "drift" else []))
-
-    def expand(paying: DataFrame) -> DataFrame:
-        """One row per payment: narrow explode of the month indexes, closed-form dates."""
-        n = F.when(F.col("plan_name").isin(*once_plans), F.lit(0)).otherwise(
-            F.months_between(F.trunc("_end", "month"), F.trunc("start_date", "month")).cast("int"))
-        exp = paying.withColumn("_i", F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(0)))))
-        facts = F.col("_cal") if anchor == "drift" else None
-        exp = exp.withColumn("payment_date", drift_month_dates(F.col("start_date"), F.col("_i"), anchor, facts))
-        in_range = (F.col("payment_date") <= F.col("_end")) if inclusive_end else (F.col("payment_date") < F.col("_end"))
-        # only what numbering and output need crosses the next shuffle
-        return exp.where((F.col("_i") == 0) | in_range).select(
-            customer, *order[1:], "plan_name", "payment_date", "amount")
-
-    exp = expand(plan_rows(base))
-    # the hot customers' payments by a short path (their plan rows only) for the bucket
-    # summary of the numbering step, instead of filtering the full payment plan again
-    exp_hot = expand(plan_rows(base.join(F.broadcast(hot_pay.select(customer)), customer, "left_semi")))
-    exp = sequence_columns(exp, customer, ["payment_date", *order[1:]], F.unix_date("payment_date"),
+    rest = [F.col(c) for c in order[1:]]
+    splits = hot_splits(base, customer, [F.unix_date("start_date"), *rest], **split_kw)
+    nxt = sequence_columns(base, customer, order, [F.unix_date("start_date"), *rest],
+                           lead={"_next_start": "start_date"}, splits=splits)
+    end = F.coalesce(F.col("_next_start"), F.col("_hz"))
+    paying = nxt.where(F.col("amount").isNotNull()).select(
+        customer, *order[1:], "plan_name", "amount", "start_date", end.alias("_end"),
+        *([drift_anchor(F.col("start_date")).alias("_cal")] if anchor == "drift" else []))
+
+    # one row per payment: narrow explode of the month indexes, closed-form dates
+    n = F.when(F.col("plan_name").isin(*once_plans), F.lit(0)).otherwise(
+        F.months_between(F.trunc("_end", "month"), F.trunc("start_date", "month")).cast("int"))
+    exp = paying.withColumn("_i", F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(0)))))
+    facts = F.col("_cal") if anchor == "drift" else None
+    exp = exp.withColumn("payment_date", drift_month_dates(F.col("start_date"), F.col("_i"), anchor, facts))
+    in_range = (F.col("payment_date") <= F.col("_end")) if inclusive_end else (F.col("payment_date") < F.col("_end"))
+    # only what numbering and output need crosses the next shuffle
+    exp = exp.where((F.col("_i") == 0) | in_range).select(customer, *order[1:], "plan_name", "payment_date", "amount")
+    exp = sequence_columns(exp, customer, ["payment_date", *order[1:]], [F.unix_date("payment_date"), *rest],
                            row_number="payment_order",
-                           lag={"_prev_plan": "plan_name", "_prev_amount": "amount"},
-                           hot=hot_pay, hot_rows=exp_hot)
+                           lag={"_prev_plan": "plan_name", "_prev_amount": "amount"}, splits=splits)
     credit = F.col("_prev_plan").isin(*credit_from) & F.col("plan_name").isin(*credit_to)
     amount = F.when(credit, F.col("amount") - F.col("_prev_amount")).otherwise(F.col("amount"))
     # amount stays DECIMAL so sums over payments are exact; present it with money()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -58,24 +58,16 @@ def nth_in_order(df: DataFrame, key: str, order: Sequence[str], n: int,
     """The n-th row per ``key`` in ascending ``order`` (order columns must make rows
     unique, e.g. end with a row id): ROW_NUMBER() ... = n.
 
-    Built from hash aggregates instead of a window: MIN(struct(order..., carry...)) per
-    key gives the first row; rows after it are kept by a join with that one-row-per-key
-    frame and the next MIN is taken, n times. Aggregates combine map-side, so a key
-    holding a large share of the rows is never sorted inside one task; the joins against
-    one row per key are broadcast or AQE-split when skewed.
+    ``row_number() == n``: Spark keeps at most n rows per key and input task before the
+    shuffle (partial WindowGroupLimit), so a key holding a large share of the rows brings
+    n rows a task to its window, and the input is read once.
     """
+    if n < 1:
+        raise ValueError("n must be >= 1")
     order, carry = list(order), list(carry)
-    st = F.struct(*[F.col(c) for c in order + carry])
-    rows = df.select(key, st.alias("_s"))
-    for i in range(1, n + 1):
-        first = rows.groupBy(key).agg(F.min("_s").alias("_m"))
-        if i == n:
-            return first.select(key, *[F.col(f"_m.{c}").alias(c) for c in order + carry])
-        rows = (rows.join(first, key)
-                .where(F.struct(*[F.col(f"_s.{c}") for c in order]) >
-                       F.struct(*[F.col(f"_m.{c}") for c in order]))
-                .select(key, "_s"))
-    raise ValueError("n must be >= 1")
+    w = Window.partitionBy(key).orderBy(*order)
+    return (df.select(key, *order, *carry).withColumn("_rn", F.row_number().over(w))
+            .where((F.col("_rn") <= n) & (F.col("_rn") == n)).drop("_rn"))
 
 
 def last_as_of(df: DataFrame, key: str, order: Sequence[str], as_of_col: str, as_of,
@@ -89,10 +81,10 @@ def last_as_of(df: DataFrame, key: str, order: Sequence[str], as_of_col: str, as
 
 def time_since_first(df: DataFrame, key: str, date: str, pred: Column, alias: str = "days") -> DataFrame:
     """Rows matching ``pred`` with the days since their key's first ``date`` (over all
-    rows of the key). The first dates are one row per key (hash aggregate), joined back;
-    a key with very many rows is a skewed join key on one side only, which AQE splits."""
+    rows of the key), one per key and date. Both sides of the join are combined first:
+    one first date per key, and distinct (key, date) pairs, at most one a day."""
     first = df.groupBy(key).agg(F.min(date).alias("_first"))
-    return (df.where(pred).join(first, key)
+    return (df.where(pred).select(key, date).distinct().join(first, key)
             .withColumn(alias, F.datediff(F.col(date), F.col("_first"))).drop("_first"))
 
 

@@ -2,23 +2,23 @@
 that stay parallel when one key holds a large share of all rows.
 
 A plain ``Window.partitionBy(key)`` sorts every key inside one task; a key with a third of
-the data would then run on one core. Here keys are split first:
-
-* one hash aggregate counts rows per key (map-side combine, only the key and three numbers
-  are shuffled); the *hot* keys are the ``max_hot`` (10^4) keys with the most rows among
-  those above ``min_hot_rows`` (a top-k, no sort of the data). The hot-key table has at
-  most ``max_hot`` rows, so it is broadcast; every key left out holds at most
-  N / ``max_hot`` rows (at least ``max_hot`` keys are at least as large);
-* rows of a hot key get a bucket ``_b``: an equal-width slice of the key's ordering value
-  (``rank``, a number that is non-decreasing in the window order), about
-  ``rows_per_bucket`` rows each; all other rows get ``_b = 0``;
-* windows run on ``(key, _b)``, so a hot key is spread over many tasks;
-* a bucket-level summary (count, first row, last row, sums; one row per hot bucket) with a
-  small window per key repairs what crosses bucket edges: row-number offsets, previous row
-  of a bucket's first row, next row of its last row, sums of later buckets.
-
-Ordinary keys pay one extra aggregate over (key, count) and two broadcast joins; their
-window is the same single exchange as before.
+the data would then run on one core. Here rows get a bucket ``_b`` that follows the window
+order, and windows run on ``(key, _b)``:
+
+* one hash aggregate counts the rows per key; keys above ``min_hot_rows`` are hot, however
+  many they are;
+* the splitters of a hot key are quantiles of its ordering value, about one per
+  ``rows_per_bucket`` rows (so there are at most N / ``rows_per_bucket`` of them in all, which
+  is what is broadcast), 1023 a key at most;
+* rows strictly between two splitters share an even bucket, rows equal to a splitter an odd
+  one. An odd bucket holds one value only; where it is still hot (a cluster of ties), it is
+  split again by the next ordering value, e.g. the row id;
+* a summary per (key, bucket) (count, first row, last row, sums) with a small window per key
+  repairs what crosses bucket edges: row-number offsets, previous row of a bucket's first
+  row, next row of its last row, sums of later buckets. Both the windows and the summary
+  read the same exchange on (key, bucket), so the input plan runs once for both.
+
+Ordinary keys have the one bucket 0.
 """
 
 from __future__ import annotations
@@ -28,76 +28,85 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_HOT = 10_000
 MIN_HOT_ROWS = 1_000_000
 ROWS_PER_BUCKET = 200_000
-
-
-def key_stats(df: DataFrame, key: str, rank: Column) -> DataFrame:
-    """Rows per key and the range of the ordering value (one hash aggregate)."""
-    r = rank.cast("double")
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"), F.min(r).alias("_lo"), F.max(r).alias("_hi"))
-
-
-def hot_keys(stats: DataFrame, key: str, count: str = "_cnt", lo: str = "_lo", hi: str = "_hi", *,
-             max_hot: int = MAX_HOT, min_hot_rows: int = MIN_HOT_ROWS,
-             rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """The (at most) ``max_hot`` keys with the most rows among keys above
-    ``min_hot_rows``: a key left out has no more rows than each of ``max_hot`` kept keys,
-    so at most N / max_hot. Output (key, _lo, _hi, _nb = number of buckets), at most
-    ``max_hot`` rows. ``count`` may be an upper bound of the rows per key: buckets only
-    need to be non-decreasing in the ordering value, so the bound affects balance only."""
-    return (stats.where(F.col(count) > F.lit(min_hot_rows))
-            .orderBy(F.col(count).desc(), F.col(key)).limit(max_hot)
-            .select(key, F.col(lo).cast("double").alias("_lo"), F.col(hi).cast("double").alias("_hi"),
-                    F.ceil(F.col(count) / F.lit(rows_per_bucket)).alias("_nb")))
-
-
-def assign_buckets(df: DataFrame, key: str, rank: Column, hot: DataFrame) -> DataFrame:
-    """``df`` plus ``_b`` (equal-width bucket of ``rank`` inside a hot key, else 0) and
-    ``_hot``. ``hot`` has at most ``max_hot`` rows, so it is broadcast."""
-    r = rank.cast("double")
-    d = df.join(F.broadcast(hot), key, "left")
-    width = F.col("_hi") - F.col("_lo") + F.lit(1.0)
-    b = F.least(F.floor((r - F.col("_lo")) / width * F.col("_nb")), F.col("_nb") - 1).cast("long")
-    return d.select(*[F.col(c) for c in df.columns],
-                    F.when(F.col("_nb").isNull(), F.lit(0).cast("long")).otherwise(b).alias("_b"),
-                    F.col("_nb").isNotNull().alias("_hot"))
-
-
-def split_hot_keys(df: DataFrame, key: str, rank: Column, **split_kw) -> DataFrame:
-    """``df`` plus ``_b`` (bucket inside the key) and ``_hot`` (key was split)."""
-    return assign_buckets(df, key, rank, hot_keys(key_stats(df, key, rank), key, **split_kw))
-
-
-def sequence_columns(df: DataFrame, key: str, order: Sequence[str], rank: Column, *,
+_GRID = 1024
+_RADIX = 2 * _GRID
+
+
+def _part(splits: str, rank: Column) -> Column:
+    """Bucket of ``rank`` among sorted splitters: 2 * (splitters below) + (is one itself), by
+    binary search."""
+    size, at = F.size(splits), lambda i: F.get(splits, i)
+    below = F.aggregate(F.array(*[F.lit(1 << j) for j in range(9, -1, -1)]), F.lit(0),
+                        lambda p, step: F.when((p + step <= size) & (at(p + step - 1) < rank), p + step).otherwise(p))
+    return F.coalesce(2 * below + F.coalesce((at(below) == rank).cast("int"), F.lit(0)), F.lit(0)).cast("long")
+
+
+def _into(df: DataFrame, key: str, level: DataFrame, rank: Column) -> DataFrame:
+    """``df`` (with _b, _hot) one level deeper; rows of groups without splitters get part 0."""
+    lv = F.broadcast(level.select(F.col(key).alias("_hk"), F.col("_b").alias("_hb"), "_s"))  # N / rows_per_bucket numbers
+    d = df.join(lv, F.col(key).eqNullSafe(F.col("_hk")) & (F.col("_b") == F.col("_hb")), "left")
+    hot = F.col("_s").isNotNull()
+    keep = [c for c in df.columns if c not in ("_b", "_hot")]
+    return d.select(*keep, (F.col("_b") * _RADIX + F.when(hot, _part("_s", rank.cast("double"))).otherwise(F.lit(0))).alias("_b"),
+                    (F.col("_hot") | hot).alias("_hot"))
+
+
+def hot_splits(df: DataFrame, key: str, ranks: Sequence[Column], min_hot_rows: int = MIN_HOT_ROWS,
+               rows_per_bucket: int = ROWS_PER_BUCKET) -> list[DataFrame]:
+    """Splitters (key, _b, _s) of the hot keys, one frame per ordering value in ``ranks`` (the
+    window order, outermost first; all numeric)."""
+    names = [f"_r{j}" for j in range(len(ranks))]
+    d = df.select(key, *[r.cast("double").alias(n) for r, n in zip(ranks, names)])
+    d = d.withColumn("_b", F.lit(0).cast("long")).withColumn("_hot", F.lit(False))
+    levels = []
+    for j, name in enumerate(names):
+        # deeper levels only for buckets of one value: odd ones
+        group = d if j == 0 else d.where(F.col("_hot") & (F.col("_b") % 2 == 1))
+        counts = (group.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_hot_rows)
+                  .select(F.col(key).alias("_hk"), F.col("_b").alias("_hb"), "_n"))
+        rows = group.join(F.broadcast(counts), F.col(key).eqNullSafe(F.col("_hk")) & (F.col("_b") == F.col("_hb")))
+        grid = rows.groupBy(key, "_b").agg(
+            F.max("_n").alias("_n"), F.percentile_approx(name, [i / _GRID for i in range(1, _GRID)], 10_000).alias("_q"))
+        wanted = F.least(F.lit(_GRID - 1), F.ceil(F.col("_n") / rows_per_bucket)).cast("int")
+        picked = F.transform(F.sequence(F.lit(1), wanted), lambda i: F.get(
+            "_q", F.floor(i * F.lit(_GRID) / (wanted + 1)).cast("int") - 1))
+        level = grid.select(key, "_b", F.array_distinct(picked).alias("_s"))
+        levels.append(level)
+        if j + 1 < len(names):
+            d = _into(d, key, level, F.col(name))
+    return levels
+
+
+def add_buckets(df: DataFrame, key: str, ranks: Sequence[Column], splits: list[DataFrame] | None = None,
+                **split_kw) -> DataFrame:
+    """``df`` plus ``_b`` (bucket inside the key, non-decreasing along ``ranks``) and ``_hot``
+    (the key was split). ``splits`` may come from a cheaper frame with the same keys."""
+    splits = hot_splits(df, key, ranks, **split_kw) if splits is None else splits
+    d = df.withColumn("_b", F.lit(0).cast("long")).withColumn("_hot", F.lit(False))
+    for level, rank in zip(splits, ranks):
+        d = _into(d, key, level, rank)
+    return d
+
+
+def sequence_columns(df: DataFrame, key: str, order: Sequence[str], ranks: Sequence[Column], *,
                      row_number: str | None = None, lag: dict[str, str] | None = None,
-                     lead: dict[str, str] | None = None, hot: DataFrame | None = None,
-                     hot_rows: DataFrame | None = None, **split_kw) -> DataFrame:
+                     lead: dict[str, str] | None = None, splits: list[DataFrame] | None = None,
+                     **split_kw) -> DataFrame:
     """ROW_NUMBER / LAG(col) / LEAD(col) over (PARTITION BY key ORDER BY order), hot keys
     split into buckets. ``order`` must be a total order inside a key (end it with a row
-    id); ``rank`` must be non-decreasing along it. ``lag`` / ``lead`` map output column ->
-    source column.
-
-    ``hot`` (from :func:`hot_keys`) may be given when a cheaper source already knows the
-    hot keys; ``hot_rows`` may give the rows of the hot keys by a cheaper path than
-    filtering ``df`` (same rows, same columns), e.g. when ``df`` is the end of a long plan.
-    """
+    id); ``ranks`` are the leading order columns as numbers. ``lag`` / ``lead`` map output
+    column -> source column."""
     order, lag, lead = list(order), dict(lag or {}), dict(lead or {})
-    if hot is None:
-        hot = hot_keys(key_stats(df, key, rank), key, **split_kw)
-    split = assign_buckets(df, key, rank, hot)
-    carry_last = order + [c for c in lag.values() if c not in order]
-    carry_first = order + [c for c in lead.values() if c not in order]
-    # the bucket summary reads only the hot keys' rows (a broadcast semi join first), not
-    # the window output, so the window runs once; with no hot key it is empty
-    src = (hot_rows if hot_rows is not None else df).join(F.broadcast(hot.select(key)), key, "left_semi")
-    summ = (assign_buckets(src, key, rank, hot).groupBy(key, "_b")
-            .agg(F.count(F.lit(1)).alias("_cnt"),
-                 F.min(F.struct(*[F.col(c) for c in carry_first])).alias("_first"),
-                 F.max(F.struct(*[F.col(c) for c in carry_last])).alias("_last")))
+    # one exchange for the windows and the summary: both read all of its columns, and the
+    # summary is cut to hot keys only after its aggregate
+    split = add_buckets(df, key, ranks, splits, **split_kw).repartition(key, "_b")
+    whole = F.struct(*[F.col(c) for c in order + [c for c in split.columns if c not in order]])
+    summ = (split.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_cnt"), F.min(whole).alias("_first"),
+                                         F.max(whole).alias("_last"), F.max("_hot").alias("_split")).where("_split"))
     ws = Window.partitionBy(key).orderBy("_b")
-    summ = summ.select(key, "_b",
+    summ = summ.select(F.col(key).alias("_hk"), F.col("_b").alias("_hb"),
                        F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
                                   F.lit(0)).alias("_off"),
                        F.lag("_last").over(ws).alias("_prev_last"),
@@ -106,7 +115,7 @@ def sequence_columns(df: DataFrame, key: str, order: Sequence[str], rank: Column
     local = {"_rn": F.row_number().over(w), "_more": F.lead(F.lit(1)).over(w).isNotNull()}
     local.update({out: F.lag(src_col).over(w) for out, src_col in lag.items()})
     local.update({out: F.lead(src_col).over(w) for out, src_col in lead.items()})
-    d = split.withColumns(local).join(summ, [key, "_b"], "left")
+    d = split.withColumns(local).join(summ, F.col(key).eqNullSafe(F.col("_hk")) & (F.col("_b") == F.col("_hb")), "left")
     fixed = {}
     if row_number:
         fixed[row_number] = (F.col("_rn") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint")
@@ -121,18 +130,19 @@ def sequence_columns(df: DataFrame, key: str, order: Sequence[str], rank: Column
 def later_sums(df: DataFrame, key: str, order: str, rank: Column, sums: dict[str, str],
                **split_kw) -> DataFrame:
     """For every row: SUM(col) over the rows of the same key whose ``order`` value is
-    strictly greater (equal values are peers, not later). Hot keys split by value range,
-    so peers always share a bucket."""
-    split = split_hot_keys(df, key, rank, **split_kw)
-    whole = Window.partitionBy(key, "_b")
-    upto = whole.orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    d = split.withColumns({out: F.coalesce(F.sum(src).over(whole) - F.sum(src).over(upto), F.lit(0))
+    strictly greater (equal values are peers, not later). Hot keys are split by the order
+    value only, so peers always share a bucket."""
+    split = add_buckets(df, key, [rank], **split_kw).repartition(key, "_b")
+    part = Window.partitionBy(key, "_b")
+    upto = part.orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    d = split.withColumns({out: F.coalesce(F.sum(src).over(part) - F.sum(src).over(upto), F.lit(0))
                            for out, src in sums.items()})
-    summ = split.where("_hot").groupBy(key, "_b").agg(*[F.sum(src).alias(f"_bs_{out}") for out, src in sums.items()])
+    summ = (split.groupBy(key, "_b").agg(F.max("_hot").alias("_split"), *[F.sum(src).alias(f"_bs_{out}") for out, src in sums.items()])
+            .where("_split"))
     after = Window.partitionBy(key).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
-    summ = summ.select(key, "_b", *[F.coalesce(F.sum(f"_bs_{out}").over(after), F.lit(0)).alias(f"_after_{out}")
-                                    for out in sums])
-    d = d.join(summ, [key, "_b"], "left")
+    summ = summ.select(F.col(key).alias("_hk"), F.col("_b").alias("_hb"),
+                       *[F.coalesce(F.sum(f"_bs_{out}").over(after), F.lit(0)).alias(f"_after_{out}") for out in sums])
+    d = d.join(summ, F.col(key).eqNullSafe(F.col("_hk")) & (F.col("_b") == F.col("_hb")), "left")
     keep = [c for c in df.columns if c not in sums]
     return d.select(*keep, *[(F.col(out) + F.coalesce(F.col(f"_after_{out}"), F.lit(0))).alias(out)
                              for out in sums])

@@ -166,7 +166,8 @@ class Fixtures:
         Queries that only need visit order sort by (event_time, event_id) directly."""
         from bramble.operators.skew import sequence_columns
         from bramble.operators.sequences import time_rank
-        return sequence_columns(self.clicks, "visit_id", ["event_time", "event_id"], time_rank("event_time"),
+        return sequence_columns(self.clicks, "visit_id", ["event_time", "event_id"],
+                                [time_rank("event_time"), F.col("event_id")],
                                 row_number="sequence_number")
 
     @property

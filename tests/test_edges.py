@@ -61,7 +61,7 @@ def test_nearest_rank_matches_sort(spark, seed):
     vals += [Decimal("12.34")] * 700              # heavy duplicate
     df = spark.createDataFrame([(v,) for v in vals], "v decimal(18,2)")
     ps = [1, 10, 25, 33, 50, 67, 75, 99, 100]
-    got = {r.percentile: r.value for r in nearest_rank(df, "v", ps, bins=16).collect()}
+    got = {r.percentile: r.value for r in nearest_rank(df, "v", ps, accuracy=20, splitters=4).collect()}
     assert got == {p: _nearest_rank_brute(vals, p) for p in ps}
 
 
@@ -243,7 +243,7 @@ def test_pct1_half_up(spark):
 
 
 # -- hot-key split (thresholds forced low so the split path runs) -----------------
-HOT = dict(max_hot=3, min_hot_rows=20, rows_per_bucket=7)
+HOT = dict(min_hot_rows=20, rows_per_bucket=7)
 
 
 def test_sequence_columns_hot_split_matches_window(spark):
@@ -253,7 +253,7 @@ def test_sequence_columns_hot_split_matches_window(spark):
             for i in range(400)]
     df = spark.createDataFrame(rows, "k long, t long, p int, id long, x double")
     order = ["t", "p", "id"]
-    got = sequence_columns(df, "k", order, F.col("t"), row_number="rn", lag={"px": "x"},
+    got = sequence_columns(df, "k", order, [F.col(c) for c in order], row_number="rn", lag={"px": "x"},
                            lead={"nt": "t", "nx": "x"}, **HOT)
     w = Window.partitionBy("k").orderBy(*order)
     want = (df.withColumn("rn", F.row_number().over(w)).withColumn("px", F.lag("x").over(w))
@@ -305,7 +305,7 @@ def test_top_sets_with_big_baskets_match_brute_force(spark, seed, hot_items, n):
     rows += [(1001 + j, i) for j in range(3) for i in rnd.sample(range(1, 30), 12)]  # a few more big ones
     df = spark.createDataFrame(rows, "txn long, item long")
     got = [(-r.baskets, (r.item_1, r.item_2, r.item_3))
-           for r in top_basket_combinations(df, "txn", "item", n, max_basket=8).collect()]
+           for r in top_basket_combinations(df, "txn", "item", n).collect()]
     assert got == _brute_top_sets(rows, n)
 
 
@@ -316,7 +316,7 @@ def test_top_sets_only_in_big_baskets(spark):
     rows += [(100 + t, i) for t in range(4) for i in (200 + t, 300 + t, 400 + t)]
     df = spark.createDataFrame(rows, "txn long, item long")
     got = [(-r.baskets, (r.item_1, r.item_2, r.item_3))
-           for r in top_basket_combinations(df, "txn", "item", 2, max_basket=8).collect()]
+           for r in top_basket_combinations(df, "txn", "item", 2).collect()]
     assert got == _brute_top_sets(rows, 2)
 
 
