@@ -38,6 +38,7 @@ from bramble.llm.textbytes import Words, mix
 
 WINDOW = 50
 GRAM = 25
+MEMORY = 500_000  # stretches that a task remembers to have listed
 BLOCK_BITS = 16  # counters of a block of the sketch
 _ROWS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 _LOW = np.uint64(0xFFFFFFFF)
@@ -171,21 +172,25 @@ def candidates(docs: DataFrame, window: int, gram: int, max_log_width: int) -> D
     shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, log_width, window, gram))  # 2^(log_width - 2) bytes
 
     def pick(it):
-        words, bits = Words(), shared.value
+        words, bits, listed = Words(), shared.value, set()
         for b in batches(it, 4 << 20):
             o = Occurrences(words, [utf8(t) for t in b.column(2).to_pylist()], window, gram)
             hit = np.flatnonzero(repeated(bits, o.key, log_width))
             if len(hit):
-                n = o.n[hit]
-                at = np.repeat(o.offsets[hit] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()),
-                                                 pa.array(o.window_hashes[at].view(np.int64)))
                 doc = pa.array(o.doc[hit])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(doc), b.column(1).take(doc), pa.array(o.key[hit].view(np.int64)),
-                     pa.array(o.stretch[hit].view(np.int64)), pa.array(o.first[hit].astype(np.int32)),
-                     pa.array(n.astype(np.int32)), lists],
-                    names=["doc_id", "sig", "key", "stretch", "first", "n", "windows"])
+                names = ["doc_id", "sig", "key", "stretch", "first", "n", "windows"]
+                plain = [b.column(0).take(doc), b.column(1).take(doc), pa.array(o.key[hit].view(np.int64)),
+                         pa.array(o.stretch[hit].view(np.int64)), pa.array(o.first[hit].astype(np.int32)),
+                         pa.array(o.n[hit].astype(np.int32))]
+                # a task lists the windows of a stretch once; copies leave them out
+                new = np.array([s not in listed and not listed.add(s) for s in o.stretch[hit].tolist()])
+                if len(listed) > MEMORY:
+                    listed.clear()
+                n = np.where(new, o.n[hit], 0)
+                at = np.repeat(o.offsets[hit] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(o.window_hashes[at].view(np.int64)), mask=pa.array(~new))
+                yield pa.RecordBatch.from_arrays([*plain, lists], names=names)
 
     found = docs.mapInArrow(pick, "doc_id bigint, sig bigint, key bigint, stretch bigint, first int, n int, windows array<bigint>")
     return write_shared(found.withColumn("rank", _rank()), "substring-candidates")
@@ -199,13 +204,16 @@ def removals(found: DataFrame) -> DataFrame:
     """(doc_id, sig, cuts): per document an array of (first, mask), bit i of the mask set
     where the window that starts at word first + i is removed."""
     classes = write_shared(found.groupBy("key", "stretch").agg(
-        F.min("rank").alias("owner"), F.max("rank").alias("latest"), F.first("n").alias("n"),
-        F.first("windows").alias("windows")), "substring-classes")
+        F.min("rank").alias("owner"), F.max("rank").alias("latest"), F.max("n").alias("n")), "substring-classes")
     shared = (classes.groupBy("key").agg(F.count("*").alias("classes"), F.min("owner").alias("a"), F.max("latest").alias("b"))
               .where("a < b").select("key", "classes"))  # in one document only: nothing to remove
-    alive = classes.join(shared, "key")
+    alive = classes.join(shared, "key").select("key", "stretch", "owner", "n", "classes")
     alone = alive.where("classes = 1").select("key", "stretch", F.array_repeat("owner", F.col("n")).alias("owners"))
-    windows = alive.where("classes > 1").select("key", "stretch", "owner", F.posexplode("windows").alias("i", "window"))
+    # only grams with several classes need their windows, once per class
+    several_classes = alive.where("classes > 1").select("key", "stretch", "owner")
+    listed = (found.where("windows is not null").join(several_classes.select("key", "stretch"), ["key", "stretch"], "left_semi")
+              .groupBy("key", "stretch").agg(F.first("windows").alias("windows")))
+    windows = listed.join(several_classes, ["key", "stretch"]).select("key", "stretch", "owner", F.posexplode("windows").alias("i", "window"))
     first = windows.groupBy("key", "window").agg(F.min("owner").alias("owner"))
     several = (windows.drop("owner").join(first, ["key", "window"]).groupBy("key", "stretch")
                .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "owner"))), lambda x: x["owner"]).alias("owners")))
