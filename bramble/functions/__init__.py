@@ -1,3 +1 @@
-from bramble.functions.columns import (  # noqa: F401
-    ratio, pct1, round_int, month_filter, in_year, money, discount_amount_cents, tie_break,
-)
+"""Column helpers."""

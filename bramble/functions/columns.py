@@ -20,10 +20,10 @@ def ratio(num, den) -> Column:
 
 def pct1(num, den) -> Column:
     """ROUND(100 * num / den, 1) for non-negative integer counts, rounded half up on the
-    exact rational value: floor((2000*num + den) / (2*den)) / 10."""
-    num, den = _c(num), _c(den)
-    q = F.floor((F.lit(2000) * num + den).cast("double") / (F.lit(2) * den).cast("double"))
-    return F.when(den != 0, q / F.lit(10.0))
+    exact rational value: (2000*num + den) div (2*den), over 10, in whole numbers."""
+    num, den = _c(num).cast("bigint"), _c(den).cast("bigint")
+    top, bottom = F.lit(2000) * num + den, F.lit(2) * den
+    return F.when(den != 0, ((top - F.pmod(top, bottom)) / bottom) / F.lit(10.0))
 
 
 def round_int(x) -> Column:
@@ -36,11 +36,6 @@ def money(x) -> Column:
     return _c(x).cast("double")
 
 
-def discount_amount_cents(gross="gross", discount="discount") -> Column:
-    """gross * discount (percent) kept exact; divide the SUM by 100 at the end."""
-    return _c(gross) * _c(discount)
-
-
 def month_filter(ts, month: int, year: int | None = None) -> Column:
     """MONTH(ts) = month (all years, as written in the reference routines); with ``year``
     it becomes a half-open range on the raw column so Parquet can prune row groups."""
@@ -57,7 +52,3 @@ def in_year(d, year: int) -> Column:
     """YEAR(d) = year written as a date range (pushed down to the scan)."""
     d = _c(d)
     return (d >= F.lit(dt.date(year, 1, 1))) & (d < F.lit(dt.date(year + 1, 1, 1)))
-
-
-def tie_break(*cols) -> list[Column]:
-    return [_c(c) for c in cols]

@@ -3,8 +3,9 @@
 Pattern used throughout: when a metric is "distinct entities satisfying a condition",
 aggregate to (group, entity) first and then count / sum flags per group. Both steps are
 plain hash aggregates with map-side partial aggregation, so a hot group (one key
-holding a third of all rows) is pre-combined on every mapper before it is shuffled,
-and no Expand of several COUNT(DISTINCT ...) is needed.
+holding a third of all rows) is pre-combined on every mapper before it is shuffled
+(given that no join on that key has dealt its raw rows out before), and no Expand of
+several COUNT(DISTINCT ...) is needed.
 """
 
 from __future__ import annotations
@@ -21,11 +22,6 @@ def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
-def global_agg(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
-    """One-row frame of aggregates (partial aggregation per partition, one final merge)."""
-    return df.agg(*[c.alias(n) for n, c in measures.items()])
-
-
 def distinct_flags(df: DataFrame, entity: str, flags: Mapping[str, Column],
                    by: Sequence[str] | str | None = None, total: str | None = "total") -> DataFrame:
     """Per group ``by``: number of distinct ``entity`` values (as ``total``) and, for each
@@ -84,7 +80,7 @@ def counts_with_totals(df: DataFrame, key: str, label: str, entity: str,
                .select(label, count_alias))
     rows = df.agg(F.count(entity).alias("_rows"))
     dist = count_distinct(df, entity, alias="_dist")
-    totals = rows.crossJoin(dist).select(
+    totals = rows.crossJoin(F.broadcast(dist)).select(
         F.explode(F.array(
             F.struct(F.lit(total_label).alias(label), F.col("_rows").alias(count_alias)),
             F.struct(F.lit(distinct_label).alias(label), F.col("_dist").alias(count_alias)),
@@ -105,9 +101,10 @@ def distinct_by_period(df: DataFrame, ts: str, entity: str, period: str = "month
 def count_by_lookup(df: DataFrame, key: str, lookup: DataFrame, name: str, counted: str,
                     alias: str) -> DataFrame:
     """COUNT(counted) per ``lookup.name`` after a left join on ``key``. Counted per key
-    first, so the (bounded, broadcast) lookup joins one row per key, then summed per name."""
+    first, so the lookup joins one row per key (broadcast where Spark finds it small), then
+    summed per name."""
     per_key = df.groupBy(key).agg(F.count(counted).alias("_n"))
-    return (per_key.join(F.broadcast(lookup.select(key, name)), key, "left")
+    return (per_key.join(lookup.select(key, name), key, "left")
             .groupBy(name).agg(F.sum("_n").cast("bigint").alias(alias)))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
 from bramble.operators.aggregates import count_distinct
+from bramble.operators.skew import add_buckets
 
 
 def funnel(events: DataFrame, item: Sequence[str], visit: str, view: Column, add: Column,
@@ -38,34 +39,41 @@ def funnel(events: DataFrame, item: Sequence[str], visit: str, view: Column, add
                  F.count(F.when(F.col("_purchase"), F.lit(1))).alias("purchases")))
 
 
-def ordered_list(value: Column, order: Sequence[Column]) -> Column:
-    """Aggregate: array of ``value`` in ``order`` (NULL values dropped)."""
-    st = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], value.alias("_v"))
-    return F.array_sort(F.collect_list(F.when(value.isNotNull(), st)))
+def ordered_concat(df: DataFrame, by: Sequence[str] | str, values: dict[str, Column], order: Sequence[str],
+                   ranks: Sequence[Column], sep: str, **split_kw) -> DataFrame:
+    """GROUP_CONCAT(value ORDER BY order SEPARATOR sep) per group, for each of ``values``; NULL
+    values are left out, and a group without any has NULL.
 
+    A group with very many rows is cut into slices along the order (``ranks``: the leading
+    order columns as numbers, see :mod:`bramble.operators.skew`); each slice is sorted and
+    joined to text by itself, then the slices' texts are joined in order."""
+    by = [by] if isinstance(by, str) else list(by)
+    rows = add_buckets(df.withColumn("_key", F.struct(*by)), "_key", ranks, **split_kw)
 
-def join_list(arr: Column, sep: str) -> Column:
-    """Array of ordered structs -> 'a<sep>b<sep>c', NULL when empty (like GROUP_CONCAT)."""
-    vals = F.transform(arr, lambda s: s["_v"].cast("string"))
-    return F.when(F.size(arr) > 0, F.array_join(vals, sep))
-
+    def text(sorted_rows: str, field: str) -> Column:
+        some = F.filter(F.transform(F.col(sorted_rows), lambda x: x[field]), lambda v: v.isNotNull())
+        return F.when(F.size(some) > 0, F.array_join(some, sep))
 
-def ordered_concat(df: DataFrame, by: Sequence[str] | str, value: Column, order: Sequence[Column],
-                   sep: str, alias: str) -> DataFrame:
-    """GROUP_CONCAT(value ORDER BY order SEPARATOR sep) per group."""
-    by = [by] if isinstance(by, str) else list(by)
-    return df.groupBy(*by).agg(join_list(ordered_list(value, order), sep).alias(alias))
+    one = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                   *[v.cast("string").alias(f"_v_{a}") for a, v in values.items()])
+    slices = (rows.groupBy("_key", "_b").agg(F.array_sort(F.collect_list(one)).alias("_rows"))
+              .select("_key", F.struct("_b", *[text("_rows", f"_v_{a}").alias(f"_v_{a}") for a in values]).alias("_slice")))
+    whole = slices.groupBy("_key").agg(F.array_sort(F.collect_list("_slice")).alias("_slices"))
+    return whole.select("_key.*", *[text("_slices", f"_v_{a}").alias(a) for a in values])
 
 
 def attribute_interval(df: DataFrame, at: str, intervals: DataFrame, name: str,
-                       start: str, end: str) -> DataFrame:
+                       start: str, end: str, max_intervals: int = 100_000) -> DataFrame:
     """Left range join: the interval whose [start, end] (inclusive) contains ``at``; if
-    several do, the one with the earliest start, then the smallest name.
+    several do, the one with the earliest start, then the smallest name, then the earliest end.
 
-    ``intervals`` is a small lookup (campaign calendar) and is broadcast: a broadcast
+    ``intervals`` is a calendar (a campaign list, not data that grow with the events) and is
+    broadcast; ``max_intervals`` rows are the proven bound, more raise an error. A broadcast
     nested-loop left join finds candidates and a broadcast anti join drops candidates
     beaten by an earlier overlapping interval. No shuffle of ``df``.
     """
+    if intervals.limit(max_intervals + 1).count() > max_intervals:
+        raise ValueError(f"more than {max_intervals} intervals")
     iv = F.broadcast(intervals.select(F.col(name).alias("_name"), F.col(start).alias("_s"),
                                       F.col(end).alias("_e")))
     iv2 = F.broadcast(intervals.select(F.col(name).alias("_name2"), F.col(start).alias("_s2"),

@@ -50,7 +50,8 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
                      skip_plans: Sequence[str] = ("trial",),
                      credit_from: Sequence[str] = ("pro monthly", "basic monthly"),
                      credit_to: Sequence[str] = ("pro annual",),
-                     anchor: str = "drift", inclusive_end: bool = True, **split_kw) -> DataFrame:
+                     anchor: str = "drift", inclusive_end: bool = True, tie_rank: Column | None = None,
+                     **split_kw) -> DataFrame:
     """Payments implied by plan changes.
 
     Each non-skipped plan row (optionally only rows starting in ``year``) runs until the
@@ -60,15 +61,16 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     previous plan. Payments are numbered per customer; a payment of a ``credit_to`` plan
     right after a ``credit_from`` payment is reduced by that previous amount.
 
-    Plan: broadcast join to the plan lookup; the LEAD window over plan rows, a narrow
+    Plan: join to the plan lookup (broadcast where Spark finds it small); the LEAD window over plan rows, a narrow
     ``explode(sequence)`` of the month indexes, then the numbering / previous-payment
     window. Both windows run per (customer, bucket) via
     :func:`bramble.operators.skew.sequence_columns`; the buckets of both come from the plan
-    rows, since a customer pays at most once a plan row and month.
+    rows, since a customer pays at most once a plan row and month. Inside one date, rows are
+    split by ``tie_rank``: the other order columns as one number (default: plan id * 2^44 +
+    row id, exact for plan ids under 512 and row ids under 2^44).
     """
     order = list(order)
-    base = subs.join(F.broadcast(plans.select("plan_id", "plan_name", F.col("price").alias("amount"))),
-                     "plan_id", "left")
+    base = subs.join(plans.select("plan_id", "plan_name", F.col("price").alias("amount")), "plan_id", "left")
     base = base.where(~F.col("plan_name").isin(*skip_plans))
     if year is not None:
         base = base.where(F.col("start_date").between(F.lit(f"{year}-01-01").cast("date"),
@@ -78,9 +80,9 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
         horizon = F.col("_horizon")
     base = base.withColumn("_hz", horizon)
 
-    rest = [F.col(c) for c in order[1:]]
-    splits = hot_splits(base, customer, [F.unix_date("start_date"), *rest], **split_kw)
-    nxt = sequence_columns(base, customer, order, [F.unix_date("start_date"), *rest],
+    tie = tie_rank if tie_rank is not None else F.col(order[1]) * float(1 << 44) + F.col(order[2])
+    splits = hot_splits(base, customer, [F.unix_date("start_date"), tie], **split_kw)
+    nxt = sequence_columns(base, customer, order, [F.unix_date("start_date"), tie],
                            lead={"_next_start": "start_date"}, splits=splits)
     end = F.coalesce(F.col("_next_start"), F.col("_hz"))
     paying = nxt.where(F.col("amount").isNotNull()).select(
@@ -96,7 +98,7 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     in_range = (F.col("payment_date") <= F.col("_end")) if inclusive_end else (F.col("payment_date") < F.col("_end"))
     # only what numbering and output need crosses the next shuffle
     exp = exp.where((F.col("_i") == 0) | in_range).select(customer, *order[1:], "plan_name", "payment_date", "amount")
-    exp = sequence_columns(exp, customer, ["payment_date", *order[1:]], [F.unix_date("payment_date"), *rest],
+    exp = sequence_columns(exp, customer, ["payment_date", *order[1:]], [F.unix_date("payment_date"), tie],
                            row_number="payment_order",
                            lag={"_prev_plan": "plan_name", "_prev_amount": "amount"}, splits=splits)
     credit = F.col("_prev_plan").isin(*credit_from) & F.col("plan_name").isin(*credit_to)

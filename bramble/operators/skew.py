@@ -72,7 +72,9 @@ def hot_splits(df: DataFrame, key: str, ranks: Sequence[Column], min_hot_rows: i
         wanted = F.least(F.lit(_GRID - 1), F.ceil(F.col("_n") / rows_per_bucket)).cast("int")
         picked = F.transform(F.sequence(F.lit(1), wanted), lambda i: F.get(
             "_q", F.floor(i * F.lit(_GRID) / (wanted + 1)).cast("int") - 1))
-        level = grid.select(key, "_b", F.array_distinct(picked).alias("_s"))
+        # kept: a few numbers that several later steps read; any value of them is right, since
+        # buckets only need to follow the order
+        level = grid.select(key, "_b", F.array_distinct(picked).alias("_s")).persist()
         levels.append(level)
         if j + 1 < len(names):
             d = _into(d, key, level, F.col(name))

@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
 from bramble.operators.aggregates import conditional_counts, count_by_lookup, count_distinct, distinct_by_period
-from bramble.operators.funnel import (attribute_interval, conversion_metrics, funnel, join_list,
-                                      ordered_concat, ordered_list)
+from bramble.operators.funnel import attribute_interval, conversion_metrics, funnel, ordered_concat
 from bramble.operators.ranking import leaders, top_n
-from bramble.operators.sequences import later_pairs
+from bramble.operators.sequences import later_pairs, time_rank
 from bramble.operators.shares import share_of_total
 from bramble.sources.tables import Tables
 
@@ -63,8 +62,7 @@ def event_type_share(clicks: DataFrame, names: DataFrame, unit: str = "event") -
         return (share_of_total(per, "visits", alias="visit_pct", total=total)
                 .orderBy(F.col("visits").desc(), "event_name"))
     per = _events_per_name(clicks, names, "visits")
-    total = clicks.agg(F.count("visit_id"))
-    return (share_of_total(per, "visits", alias="visit_pct", total=total)
+    return (share_of_total(per, "visits", alias="visit_pct")  # every event is in one of the rows
             .orderBy(F.col("visits").desc(), "event_name"))
 
 
@@ -154,32 +152,29 @@ def avg_conversion_rates(product_sales: DataFrame) -> DataFrame:
 
 
 # -- part 4: campaigns ---------------------------------------------------------
-def _cart_list(ev: DataFrame):
-    return ordered_list(F.when(F.col("event_type") == ADD, F.col("page_name")),
-                        [F.col("event_time"), F.col("event_id")])
-
-
 def cart_contents(clicks: DataFrame, pages: DataFrame) -> DataFrame:
     ev = _with_page(clicks.where(F.col("event_type") == ADD), pages)
-    return ordered_concat(ev, "visit_id", F.col("page_name"), [F.col("event_time"), F.col("event_id")],
-                          ", ", "cart_products")
+    return ordered_concat(ev, "visit_id", {"cart_products": F.col("page_name")}, ["event_time", "event_id"],
+                          [time_rank("event_time"), F.col("event_id")], ", ")
 
 
 def campaign_performance(clicks: DataFrame, users: DataFrame, campaigns: DataFrame,
                          pages: DataFrame) -> DataFrame:
     """One row per (user, visit): start time, campaign running at the visit start, event
-    counts by type and the ordered cart text. Events are aggregated to the visit once
-    (one shuffle, cart list included); users are joined to the per-visit rows, and the
+    counts by type and the ordered cart text. Events are aggregated to the visit, cart adds
+    to their text by :func:`cart_contents`; users are joined to the per-visit rows, and the
     campaign calendar is matched by a broadcast range join on the visit start.
     Precondition (true for cookie-based visits): a visit belongs to one cookie."""
-    ev = _with_page(clicks, pages)
+    ev = clicks
     counts = {"view_product": VIEW, "add_cart": ADD, "purchases": PURCHASE,
               "impressions": IMPRESSION, "clicks": CLICK}
     visits = ev.groupBy("visit_id", "cookie_id").agg(
         F.min("event_time").alias("visit_start_time"),
         *[F.sum(F.when(F.col("event_type") == c, 1).otherwise(0)).cast("bigint").alias(k)
-          for k, c in counts.items()],
-        join_list(_cart_list(ev), ", ").alias("cart_products"))
+          for k, c in counts.items()])
+    carts = cart_contents(clicks, pages)
+    visits = visits.join(carts.withColumnRenamed("visit_id", "_cart_visit"),
+                         F.col("visit_id").eqNullSafe(F.col("_cart_visit")), "left").drop("_cart_visit")
     with_user = visits.join(users.select("cookie_id", "user_id"), "cookie_id", "left")
     attributed = attribute_interval(with_user, "visit_start_time", campaigns, "campaign_name",
                                     "start_date", "end_date")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from bramble.functions.columns import in_year, money, pct1
 from bramble.operators.aggregates import (bucketize, count_distinct, counts_with_totals, distinct_by_period,
                                           distinct_flags, distinct_share)
-from bramble.operators.funnel import join_list, ordered_list
+from bramble.operators.funnel import ordered_concat
 from bramble.operators.payments import churn_over, payment_schedule
 from bramble.operators.sequences import last_as_of, mean_time_since_first, nth_in_order, time_since_first
 from bramble.sources.fixtures import CHURN, PRO_ANNUAL, REPORT_YEAR, SINCE_DATE, TRIAL, BASIC_MONTHLY, PRO_MONTHLY
@@ -35,12 +35,9 @@ def _customers(subs: DataFrame) -> DataFrame:
 
 # -- A: journey ------------------------------------------------------------------
 def customer_journey(subs: DataFrame, plans: DataFrame) -> DataFrame:
-    s = _named(subs, plans)
-    order = [F.col(c) for c in ORDER]
-    # one aggregate per customer builds both strings
-    return s.groupBy("customer_id").agg(
-        join_list(ordered_list(F.col("plan_name"), order), " -> ").alias("journey"),
-        join_list(ordered_list(F.col("start_date").cast("string"), order), " -> ").alias("time_line"))
+    return ordered_concat(_named(subs, plans), "customer_id",
+                          {"journey": F.col("plan_name"), "time_line": F.col("start_date").cast("string")}, ORDER,
+                          [F.unix_date("start_date"), F.col("plan_id") * float(1 << 44) + F.col("sub_id")], " -> ")
 
 
 # -- B: questions ----------------------------------------------------------------
@@ -56,7 +53,7 @@ def trials_by_month(subs: DataFrame) -> DataFrame:
 def plan_events_by_year(subs: DataFrame, plans: DataFrame, since: str = SINCE_DATE) -> DataFrame:
     c = distinct_flags(subs, "customer_id", {"event_2021": F.col("start_date") >= F.lit(since).cast("date")},
                        by="plan_id", total="event_2020")
-    return (F.broadcast(plans.select("plan_id", "plan_name")).join(c, "plan_id", "left")
+    return (plans.select("plan_id", "plan_name").join(c, "plan_id", "left")
             .select("plan_id", "plan_name", F.coalesce("event_2020", F.lit(0)).alias("event_2020"),
                     F.coalesce("event_2021", F.lit(0)).alias("event_2021")))
 
@@ -71,7 +68,7 @@ def second_plans(subs: DataFrame) -> DataFrame:
 
 def churn_after_trial(subs: DataFrame) -> DataFrame:
     n = second_plans(subs).agg(F.count(F.when(F.col("plan_id") == CHURN, 1)).alias("churn_after_trial_count"))
-    return (n.crossJoin(_customers(subs))
+    return (n.crossJoin(F.broadcast(_customers(subs)))
             .select("churn_after_trial_count",
                     pct1("churn_after_trial_count", "_customers").alias("churn_after_trial_pct")))
 
@@ -91,7 +88,7 @@ def plan_snapshot_at(subs: DataFrame, plans: DataFrame, at: str = f"{REPORT_YEAR
     cur = last_as_of(subs, "customer_id", ORDER, "start_date", F.lit(at).cast("date"))
     per = cur.groupBy("plan_id").agg(F.count(F.lit(1)).alias("customer_count"))
     total = cur.agg(F.count(F.lit(1)).alias("_customers"))
-    return (F.broadcast(plans.select("plan_id", "plan_name")).join(per, "plan_id", "left")
+    return (plans.select("plan_id", "plan_name").join(per, "plan_id", "left")
             .crossJoin(F.broadcast(total))
             .select("plan_id", "plan_name", F.coalesce("customer_count", F.lit(0)).alias("customer_count"),
                     pct1(F.coalesce("customer_count", F.lit(0)), "_customers").alias("customer_pct")))
@@ -101,7 +98,7 @@ def annual_upgrades_in_year(subs: DataFrame, plans: DataFrame, year: int = REPOR
     s = _named(subs.where(in_year("start_date", year)), plans).where(F.col("plan_name") == "pro annual")
     n = count_distinct(s, "customer_id", alias="num_customer")
     name = s.agg(F.max("plan_name").alias("plan_name"))
-    return name.crossJoin(n)
+    return name.crossJoin(F.broadcast(n))
 
 
 def days_to_upgrade(subs: DataFrame) -> DataFrame:

@@ -1,11 +1,8 @@
-"""Session helpers: a SparkSession tuned for the operators, plus checkpoint handling."""
+"""A SparkSession with the settings that the operators expect."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every run wants. Shuffle partitions are sized per run (cluster: thousands,
 # AQE coalesces the small ones; tests: a handful).
@@ -31,29 +28,4 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            # a machine-local folder would not survive the loss of that machine
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
-        configured = tempfile.mkdtemp(prefix="bramble-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return builder.getOrCreate()

@@ -149,7 +149,7 @@ class Fixtures:
         visit_block = ((F.dayofmonth("ts") - 1) / 5).cast("bigint")
         df = e.select(
             F.col("event_id"),
-            F.concat(F.col("user_id").cast("string"), F.lit("-"),
+            F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMM"), F.lit("-"),
                      visit_block.cast("string")).alias("visit_id"),
             F.col("user_id").cast("string").alias("cookie_id"),
             F.pmod(F.get_json_object("props", "$.k").try_cast("int"), F.lit(N_PAGES)).alias("page_id"),
@@ -269,7 +269,7 @@ SQL_CTES: dict[str, str] = {
         FROM supplier""",
     "clicks_base": f"""
         SELECT event_id,
-               CAST(user_id AS VARCHAR) || '-' || CAST((day(ts) - 1) // 5 AS VARCHAR) AS visit_id,
+               CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m') || '-' || CAST((day(ts) - 1) // 5 AS VARCHAR) AS visit_id,
                CAST(user_id AS VARCHAR) AS cookie_id,
                CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % {N_PAGES} AS INTEGER) AS page_id,
                {_event_code_sql()} AS event_type,

@@ -22,13 +22,6 @@ def save_table(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), mo
     return df.sparkSession.read.format(fmt).load(path)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, *, mode: str = "overwrite") -> DataFrame:
-    """Catalog table bucketed and sorted by ``key``: later joins / aggregates on ``key``
-    between tables with the same bucket count skip the shuffle."""
-    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-    return df.sparkSession.table(table)
-
-
 def temp_view(df: DataFrame, name: str, *, persist: bool = False) -> DataFrame:
     """CREATE TEMPORARY TABLE AS SELECT: a session view, cached when read repeatedly."""
     if persist:

@@ -153,7 +153,7 @@ def test_overlapping_campaigns_pick_earliest_start(spark):
 def test_cart_order_follows_event_order(spark):
     df = spark.createDataFrame([("v", 3, "Apple"), ("v", 1, "Pear"), ("v", 2, None), ("w", 1, None)],
                                "visit string, seq int, name string")
-    out = {r.visit: r.cart for r in ordered_concat(df, "visit", F.col("name"), [F.col("seq")], ", ", "cart").collect()}
+    out = {r.visit: r.cart for r in ordered_concat(df, "visit", {"cart": F.col("name")}, ["seq"], [F.col("seq")], ", ").collect()}
     assert out == {"v": "Pear, Apple", "w": None}
 
 
