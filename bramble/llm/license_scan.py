@@ -151,3 +151,50 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _place(template: list[str], phrase: list[str]) -> int:
     return next(i for i in range(len(template)) if template[i:i + len(phrase)] == phrase)
+
+
+def oracle(anchors: int = 2) -> str:
+    """The same in DuckDB SQL: all words as rows, postings met by (document, template, start)."""
+    rows = ", ".join(f"({t}, '{label}', string_split('{words}', ' '), string_split('{phrase}', ' '), {_place(words.split(), phrase.split())})"
+                     for t, (label, words, phrase) in enumerate(TEMPLATES))
+    return rf"""
+WITH tpl AS (SELECT * FROM (VALUES {rows}) v(t, label, tw, phrase, place)
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS ws
+  FROM documents
+), vocabulary AS (SELECT DISTINCT unnest(tw) AS w FROM tpl
+), seen AS (SELECT w, count(*) AS n FROM (SELECT unnest(list_distinct(ws)) AS w FROM d) GROUP BY w
+), idf AS (
+  SELECT w, ln(((SELECT count(*) FROM d) + 1) / (coalesce(n, 0) + 1)) + 1 AS idf FROM vocabulary LEFT JOIN seen USING (w)
+), anchor AS (
+  SELECT t, w, place + list_position(phrase, w) - 1 AS o, row_number() OVER (PARTITION BY t ORDER BY idf DESC, w) AS r
+  FROM (SELECT DISTINCT t, place, phrase, unnest(phrase) AS w FROM tpl) JOIN idf USING (w)
+  QUALIFY r <= {anchors}
+), named AS (
+  SELECT rid, t, i - 1 - o AS start, r FROM (SELECT rid, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM d) JOIN anchor USING (w)
+), places AS (
+  SELECT rid, t, start, count(*) AS met FROM named GROUP BY ALL HAVING min(r) = 1
+), scored AS (
+  SELECT p.rid, p.t, p.start, tpl.label,
+         p.met >= (SELECT count(*) FROM anchor a WHERE a.t = p.t) AND p.start + place >= 0
+           AND d.ws[p.start + place + 1:p.start + place + len(phrase)] = phrase AS ok,
+         (SELECT sum(CASE WHEN p.start + j >= 0 AND d.ws[p.start + j + 1] = x.w THEN idf ELSE 0 END) / sum(idf)
+          FROM (SELECT unnest(tpl.tw) AS w, unnest(range(0, len(tpl.tw))) AS j) x JOIN idf USING (w)) AS share
+  FROM places p JOIN tpl USING (t) JOIN d USING (rid)
+), found AS (
+  SELECT rid, count(*) FILTER (WHERE ok AND t < {len(BASE)}) AS n_base,
+         min(start) FILTER (WHERE ok AND t < {len(BASE)}) AS first_word, max(start) FILTER (WHERE ok AND t < {len(BASE)}) AS last_word,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE ok AND t < {len(BASE)})), ',') AS base_labels,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE ok)), ',') AS labels,
+         max(CASE WHEN ok THEN 0.5 + share / 2 ELSE share / 2 END) AS score
+  FROM scored GROUP BY rid
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6) AS score
+FROM d LEFT JOIN found USING (rid)
+"""
+
+
+ORACLE = oracle()

@@ -183,3 +183,66 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       base_failed().alias("base_failed"), "failed_rules",
                       (~base_failed() & (F.col("failed_rules") == "")).alias("kept"))
+
+
+def oracle(max_false_rejection: float = 0.05, delta: float = 0.05, good_weight: int = 10) -> str:
+    """The same in DuckDB SQL: windows by their text, the tail as a plain sum."""
+    ladder = ", ".join(f"('{r}', {j}, {c})" for r, cs in RULES.items() for j, c in enumerate(cs))
+    risk = f"{max_false_rejection / len(RULES)!r}"
+    return rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS txt,
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
+  FROM documents
+), windows AS (
+  SELECT rid, i, array_to_string(ws[i:i + 4], ' ') AS seq
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM t WHERE len(ws) >= 5)
+), again AS (
+  SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, seq) AS c FROM windows) WHERE c > 1
+), covered AS (
+  SELECT rid, count(DISTINCT i + j) AS n FROM again CROSS JOIN range(0, 5) r(j) GROUP BY rid
+), s AS (
+  SELECT t.rid, doc_id, stratum, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         length(regexp_replace(txt, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         len(ls) AS n_lines, length(regexp_replace(txt, '[^A-Z]', '', 'g')) AS n_upper,
+         length(regexp_replace(txt, '[^!?=~^]', '', 'g')) AS n_marks,
+         len([i FOR i IN range(2, len(ws) + 1) IF ws[i] = ws[i - 1]]) AS n_echoes
+  FROM t LEFT JOIN covered c USING (rid)
+), valued AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         MAP {{'symbol_share': coalesce(n_symbols / nullif(word_chars, 0), 0.0), 'upper_share': coalesce(n_upper / nullif(word_chars, 0), 0.0),
+              'mark_share': coalesce(n_marks / nullif(word_chars, 0), 0.0), 'dup_line_share': coalesce(n_dup_lines / nullif(n_lines, 0), 0.0),
+              'repeat_share': coalesce(n_repeat_words / nullif(n_words, 0), 0.0), 'echo_share': coalesce(n_echoes / nullif(n_words, 0), 0.0),
+              'word_length': coalesce(word_chars / nullif(n_words, 0), 0.0)}} AS vals
+  FROM s
+), known AS (
+  SELECT doc_id, max(quality) = 1 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), holdout AS (
+  SELECT stratum, good, vals FROM valued JOIN known USING (doc_id) WHERE NOT base_failed
+), ladder AS (SELECT * FROM (VALUES {ladder}) l(rule, j, cutoff)
+), counted AS (
+  SELECT stratum, rule, j, cutoff::DOUBLE AS cutoff, count(*) FILTER (WHERE good) AS n,
+         count(*) FILTER (WHERE good AND vals[rule] > cutoff) AS k, count(*) FILTER (WHERE NOT good AND vals[rule] > cutoff) AS hits
+  FROM holdout CROSS JOIN ladder GROUP BY ALL
+), tailed AS (
+  SELECT *, CASE WHEN k >= n * {risk} THEN 1.0 ELSE list_sum([
+           exp(lgamma(n + 1) - (CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END) - lgamma(n - i + 1) + i * ln({risk}) + (n - i) * ln(1 - {risk}))
+           FOR i IN range(0, k + 1)]) END AS p
+  FROM counted
+), chosen AS (
+  SELECT stratum, rule, cutoff FROM tailed
+  WHERE p <= {delta} / ((SELECT count(DISTINCT stratum) FROM counted) * {len(RULES)}) AND hits - {good_weight} * k > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY hits - {good_weight} * k DESC, j DESC) = 1
+), failing AS (
+  SELECT v.rid, string_agg(c.rule, ',' ORDER BY list_position({list(RULES)!r}, c.rule)) AS failed
+  FROM valued v JOIN chosen c ON c.stratum = v.stratum AND v.vals[c.rule] > c.cutoff GROUP BY v.rid
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       coalesce(failed, '') AS failed_rules, NOT base_failed AND failed IS NULL AS kept
+FROM valued LEFT JOIN failing USING (rid)
+"""
+
+
+ORACLE = oracle()

@@ -66,5 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_license_scan": license_scan.ORACLE,
+    "op7_quality_rules": quality_rules.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op10_substring_dedup": substring_dedup.ORACLE,
 }

@@ -298,3 +298,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     out = rows.select(*docs.columns, "_cuts").mapInArrow(cut, docs.schema)
     return out.withColumn("n_chars", F.char_length(whole_text(text_col)).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+ORACLE = r"""
+WITH split AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws
+  FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, ws FROM split WHERE len(ws) >= 50
+), keyed AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS seq FROM windows
+), owners AS (
+  SELECT seq, min(doc_id) AS first_doc FROM keyed GROUP BY seq
+), gone AS (
+  SELECT DISTINCT k.doc_id, k.i + o.j AS p
+  FROM keyed k JOIN owners w USING (seq) CROSS JOIN range(0, 50) o(j)
+  WHERE w.first_doc < k.doc_id
+), cut AS (
+  SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT s.doc_id, len(s.ws) AS n_words, coalesce(len(c.ps), 0) AS n_removed,
+         CASE WHEN c.ps IS NULL THEN s.ws
+              ELSE [x[1] FOR x IN list_zip(s.ws, range(1, len(s.ws) + 1)) IF NOT list_contains(c.ps, x[2])] END AS ks
+  FROM split s LEFT JOIN cut c USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(ks, ' '), '')) AS kept_sha256 FROM kept
+"""
