@@ -67,23 +67,23 @@ def top_basket_combinations(df: DataFrame, basket: str, item: str, n: int, k: in
     core = support.orderBy(F.col("_s").desc(), "item_1").limit(core_items).select("item_1")
     counted = (_enumerate(items.join(F.broadcast(core), "item_1", "left_semi"), k)  # core_items rows
                .groupBy(*cols).agg(F.count(F.lit(1)).alias("baskets")))
-    least = counted.orderBy(*rank).limit(n).agg(
-        F.when(F.count(F.lit(1)) >= n, F.min("baskets")).otherwise(F.lit(1)).alias("_least"))
-    bound = F.broadcast(least.select("_least", F.greatest("_least", F.lit(2)).alias("_t")))  # one row
+    # one number, taken when the query is built, so that the plan below stays small
+    least = counted.orderBy(*rank).limit(n).agg(F.when(F.count(F.lit(1)) >= n, F.min("baskets"))).first()[0] or 1
+    t = max(least, 2)
 
     def frequent(sets: DataFrame, size: int) -> DataFrame:
         counts = sets.groupBy(*_cols(size)).agg(F.count(F.lit(1)).alias("baskets"))
-        return counts.crossJoin(bound).where(F.col("baskets") >= F.col("_t")).select(*_cols(size), "baskets")
+        return counts.where(F.col("baskets") >= t)
 
     sets = items
     for size in range(1, k):
         sets = _grow(sets.join(frequent(sets, size).drop("baskets"), _cols(size), "left_semi"), size)
-    shared = frequent(sets, k).orderBy(*rank).limit(n)
-
-    by_id = Window.partitionBy("_b").orderBy("item_1")
-    smallest = (items.crossJoin(bound).where("_least = 1").select("_b", "item_1")
-                .withColumn("_r", F.row_number().over(by_id)).where(F.col("_r") <= n + k - 1).drop("_r"))
-    single = _enumerate(smallest, k).select(*cols).distinct().orderBy(*cols).limit(n).withColumn("baskets", F.lit(1).cast("bigint"))
-    # a set of both kinds keeps its full count
-    best = shared.unionByName(single).groupBy(*cols).agg(F.max("baskets").alias("baskets"))
-    return best.orderBy(*rank).limit(n)
+    best = frequent(sets, k).orderBy(*rank).limit(n)
+    if least == 1:  # sets of one basket can rank
+        by_id = Window.partitionBy("_b").orderBy("item_1")
+        smallest = items.withColumn("_r", F.row_number().over(by_id)).where(F.col("_r") <= n + k - 1).drop("_r")
+        single = _enumerate(smallest, k).select(*cols).distinct().orderBy(*cols).limit(n)
+        # a set of both kinds keeps its full count
+        best = (best.unionByName(single.withColumn("baskets", F.lit(1).cast("bigint")))
+                .groupBy(*cols).agg(F.max("baskets").alias("baskets")).orderBy(*rank).limit(n))
+    return best
