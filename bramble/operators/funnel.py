@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
-from bramble.operators.aggregates import count_distinct
 from bramble.operators.skew import add_buckets
 
 
@@ -91,24 +90,26 @@ def conversion_metrics(df: DataFrame, by: Sequence[str], user: str, visit: str,
     """Per group: distinct users, distinct visits reaching each step (step column != 0),
     means of count columns, and ratios between step counts.
 
-    Two branches: distinct users per group, and one (group, visit) aggregate that yields
-    both the per-visit step flags and the partial sums / counts of the means (a NULL
-    visit forms its own row: it counts for the means, not for the distinct visits).
+    Each row counts twice, for its user and for its visit, so one read and one aggregate per
+    (group, user or visit) give both the distinct counts and the partial sums of the means (a
+    NULL visit forms its own row: it counts for the means, not for the distinct visits).
     """
     by = list(by)
-    users = count_distinct(df, user, by=by, alias="user_count")
-    pv = df.groupBy(*by, visit).agg(
-        *[F.max(F.coalesce(F.col(c) != 0, F.lit(False)).cast("int")).alias(f"_f_{k}") for k, c in steps.items()],
-        *[F.sum(c).alias(f"_s_{k}") for k, c in means.items()],
-        *[F.count(c).alias(f"_n_{k}") for k, c in means.items()])
-    has_visit = F.col(visit).isNotNull()
-    g = pv.groupBy(*by).agg(
-        *[F.coalesce(F.sum(F.when(has_visit, F.col(f"_f_{k}"))), F.lit(0)).cast("bigint").alias(k) for k in steps],
-        *[(F.sum(f"_s_{k}").cast("double") / F.sum(f"_n_{k}").cast("double")).alias(k) for k in means])
-    ren = g.select(*[F.col(b).alias(f"_r_{b}") for b in by], *[c for c in g.columns if c not in by])
-    out = users.join(ren, [users[b].eqNullSafe(ren[f"_r_{b}"]) for b in by], "full").select(
-        *[F.coalesce(users[b], ren[f"_r_{b}"]).alias(b) for b in by],
-        F.coalesce(F.col("user_count"), F.lit(0)).alias("user_count"),
-        *[F.coalesce(F.col(k), F.lit(0)).cast("bigint").alias(k) for k in steps], *means)
+    none = {f"_f_{k}": F.lit(None).cast("int") for k in steps} | {f"_m_{k}": F.lit(None).cast("double") for k in means}
+    seen = {f"_f_{k}": F.coalesce(F.col(c) != 0, F.lit(False)).cast("int") for k, c in steps.items()}
+    seen |= {f"_m_{k}": F.col(c).cast("double") for k, c in means.items()}
+
+    def row(kind: str, entity: str, values: dict[str, Column]) -> Column:
+        return F.struct(F.lit(kind).alias("_kind"), F.col(entity).cast("string").alias("_id"), *[v.alias(n) for n, v in values.items()])
+
+    rows = df.select(*by, F.explode(F.array(row("user", user, none), row("visit", visit, seen))).alias("_r")).select(*by, "_r.*")
+    per = rows.groupBy(*by, "_kind", "_id").agg(
+        *[F.max(f"_f_{k}").alias(f"_f_{k}") for k in steps],
+        *[F.sum(f"_m_{k}").alias(f"_s_{k}") for k in means], *[F.count(f"_m_{k}").alias(f"_n_{k}") for k in means])
+    known = F.col("_id").isNotNull()
+    out = per.groupBy(*by).agg(
+        F.count_if(known & (F.col("_kind") == "user")).alias("user_count"),
+        *[F.count_if(known & (F.col(f"_f_{k}") == 1)).alias(k) for k in steps],
+        *[(F.sum(f"_s_{k}") / F.when(F.sum(f"_n_{k}") > 0, F.sum(f"_n_{k}")).cast("double")).alias(k) for k in means])
     return out.select(*by, "user_count", *steps, *means,
                       *[ratio(n, d).alias(k) for k, (n, d) in rates.items()])

@@ -158,28 +158,29 @@ def cart_contents(clicks: DataFrame, pages: DataFrame) -> DataFrame:
                           [time_rank("event_time"), F.col("event_id")], ", ")
 
 
-def campaign_performance(clicks: DataFrame, users: DataFrame, campaigns: DataFrame,
-                         pages: DataFrame) -> DataFrame:
-    """One row per (user, visit): start time, campaign running at the visit start, event
-    counts by type and the ordered cart text. Events are aggregated to the visit, cart adds
-    to their text by :func:`cart_contents`; users are joined to the per-visit rows, and the
-    campaign calendar is matched by a broadcast range join on the visit start.
-    Precondition (true for cookie-based visits): a visit belongs to one cookie."""
-    ev = clicks
+def campaign_visits(clicks: DataFrame, users: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """One row per (user, visit): start time, campaign running at the visit start and event
+    counts by type. Events are aggregated to the visit once, users are joined to the
+    per-visit rows, and the campaign calendar is matched by a broadcast range join on the
+    visit start. Precondition (true for cookie-based visits): a visit belongs to one cookie."""
     counts = {"view_product": VIEW, "add_cart": ADD, "purchases": PURCHASE,
               "impressions": IMPRESSION, "clicks": CLICK}
-    visits = ev.groupBy("visit_id", "cookie_id").agg(
+    visits = clicks.groupBy("visit_id", "cookie_id").agg(
         F.min("event_time").alias("visit_start_time"),
         *[F.sum(F.when(F.col("event_type") == c, 1).otherwise(0)).cast("bigint").alias(k)
           for k, c in counts.items()])
-    carts = cart_contents(clicks, pages)
-    visits = visits.join(carts.withColumnRenamed("visit_id", "_cart_visit"),
-                         F.col("visit_id").eqNullSafe(F.col("_cart_visit")), "left").drop("_cart_visit")
     with_user = visits.join(users.select("cookie_id", "user_id"), "cookie_id", "left")
     attributed = attribute_interval(with_user, "visit_start_time", campaigns, "campaign_name",
                                     "start_date", "end_date")
-    return attributed.select("user_id", "visit_id", "campaign_name", "visit_start_time",
-                             *counts, "cart_products")
+    return attributed.select("user_id", "visit_id", "campaign_name", "visit_start_time", *counts)
+
+
+def campaign_performance(clicks: DataFrame, users: DataFrame, campaigns: DataFrame,
+                         pages: DataFrame) -> DataFrame:
+    """:func:`campaign_visits` and the ordered cart text of each visit."""
+    visits = campaign_visits(clicks, users, campaigns)
+    carts = cart_contents(clicks, pages).withColumnRenamed("visit_id", "_cart_visit")
+    return visits.join(carts, F.col("visit_id").eqNullSafe(F.col("_cart_visit")), "left").drop("_cart_visit")
 
 
 _STEPS = {"view_count": "view_product", "addcart_count": "add_cart", "purchase_count": "purchases"}
@@ -219,7 +220,8 @@ def _perf(spark, sf_dir):
 
 def _by(*by, not_null=False):
     def run(spark, sf_dir):
-        perf = _perf(spark, sf_dir)
+        fx = _fx(spark, sf_dir)
+        perf = campaign_visits(fx.clicks, fx.users, fx.campaign_identifier)
         if not_null:
             perf = perf.where(F.col(by[0]).isNotNull())
         return campaign_metrics(perf, list(by))
