@@ -10,8 +10,8 @@ the text alone. Feature lists are made in parallel; one task holds the bounded s
 the epochs in a fixed order, so a retried task gives the same model.
 
 With two classes the score is a logistic function of a mean over words, so the model folds to
-one number per hash (``Model.fold``); every task scores whole texts with it, remembering
-the words it has seen (up to ``MEMORY`` of them).
+one number per hash (``Model.fold``); every task scores whole texts with it, each different
+word of a batch once.
 
 Null and empty texts are scored by the pads alone; labels that are null or of unknown
 documents are not used, repeated labels of one document count once by the largest; without
@@ -21,7 +21,7 @@ columns are not read.
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from dataclasses import dataclass
 from itertools import islice
 from operator import eq
@@ -32,23 +32,43 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from bramble.llm.shared import batches, utf8, whole_text
+from bramble.llm.textbytes import Rolling, mix
 
 LOG_BUCKETS = 18
 DIM = 16
-MEMORY = 300_000
 THRESHOLD = 0.3
 PAD, ECHO, PADS = b" pad", b" echo", 8  # with a blank, so no word is equal to them
 
 
-def word_buckets(word: bytes) -> list[int]:
-    """Buckets of a word: the whole word, then its character 3- and 4-grams."""
-    mask = (1 << LOG_BUCKETS) - 1
-    crc = zlib.crc32
-    s = f"<{word.decode('utf-8', 'replace')}>"
-    out = [crc(word, 1) & mask]
-    for n in (3, 4):
-        out += [crc(s[i:i + n].encode("utf-8", "replace")) & mask for i in range(len(s) - n + 1)]
-    return out
+class Buckets:
+    """Buckets of many words at once: the whole word and its character 3- and 4-grams, each
+    by a rolling hash of its code points."""
+
+    def __init__(self):
+        self.rolling = Rolling(0x9E3779B97F4A7C15)
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(buckets, the word each belongs to, number of buckets per word)."""
+        texts = [f"<{w.decode('utf-8', 'replace')}>" for w in words]
+        size = np.array([len(t) for t in texts])
+        start = np.concatenate([[0], np.cumsum(size)[:-1]])
+        code = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+        owner = np.repeat(np.arange(len(texts)), size)
+        room = np.repeat(start + size, size) - np.arange(len(code))  # characters from here to the word's end
+        prefix = self.rolling.prefix(code + np.uint64(1))
+        ids, of_word = [self.rolling.spans(prefix, start, start + size)], [np.arange(len(texts))]
+        for n in (3, 4):
+            at = np.flatnonzero(room >= n)
+            ids.append(self.rolling.spans(prefix, at, at + n) ^ np.uint64(n * 0x5851F42D4C957F2D & (1 << 64) - 1))
+            of_word.append(owner[at])
+        bucket = (mix(np.concatenate(ids)) >> np.uint64(64 - LOG_BUCKETS)).astype(np.int64)
+        of_word = np.concatenate(of_word)
+        return bucket, of_word, np.bincount(of_word, minlength=len(texts))
+
+    def means(self, words: list[bytes], table: np.ndarray) -> np.ndarray:
+        """Mean of the table over each word's buckets."""
+        bucket, of_word, n = self.of(words)
+        return np.bincount(of_word, table[bucket], len(words)) / n
 
 
 def document_words(text: bytes) -> tuple[list[bytes], int, int]:
@@ -59,19 +79,17 @@ def document_words(text: bytes) -> tuple[list[bytes], int, int]:
     return words, echoes, len(words) + echoes + PADS
 
 
-def document_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+def document_features(text: bytes, buckets: Buckets) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, weights) of a document: distinct, in order, weights adding up to 1."""
-    ids, weights = [], []
     words, echoes, items = document_words(text)
-    counts = {PAD: PADS, ECHO: echoes}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
-    for w, c in counts.items():
-        b = word_buckets(w)
-        ids += b
-        weights += [c / (items * len(b))] * len(b)
-    distinct, where = np.unique(np.array(ids, np.int32), return_inverse=True)
-    return distinct, np.bincount(where, weights).astype(np.float32)
+    counts = Counter(words)
+    counts[PAD] = PADS
+    if echoes:
+        counts[ECHO] = echoes
+    bucket, of_word, n = buckets.of(list(counts))
+    weight = np.fromiter(counts.values(), float, len(counts)) / (items * n)
+    distinct, where = np.unique(bucket, return_inverse=True)
+    return distinct.astype(np.int32), np.bincount(where, weight[of_word]).astype(np.float32)
 
 
 @dataclass
@@ -123,11 +141,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
             .select("order", "label", "text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = 4000) -> Model | None:
-    """The model, or None without labels of both classes."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        train_rows: int = 4000) -> tuple[np.ndarray, float] | None:
+    """The folded model (one number per bucket, and a constant), or None without labels of
+    both classes. The vectors stay in the training task; 1 MB comes to the driver."""
     def features(it):
+        buckets = Buckets()
         for b in batches(it):
-            made = [document_features(utf8(t)) for t in b.column(2).to_pylist()]
+            made = [document_features(utf8(t), buckets) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([m[0].tobytes() for m in made]), pa.array([m[1].tobytes() for m in made])],
                 names=["order", "label", "ids", "weights"])
@@ -138,42 +159,31 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for y, i, w in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
                 samples.append((y, np.frombuffer(i, np.int32), np.frombuffer(w, np.float32)))
         if len({y for y, _, _ in samples}) == 2:
-            m = train(samples)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in (m.embedding, m.output, m.bias)],
-                                             names=["embedding", "output", "bias"])
+            table, constant = train(samples).fold()
+            yield pa.RecordBatch.from_arrays([pa.array([table.astype(np.float32).tobytes()]), pa.array([constant])],
+                                             names=["fold", "constant"])
 
     rows = training_rows(docs, labels, id_col, text_col, train_rows)
     lists = rows.mapInArrow(features, "order bigint, label int, ids binary, weights binary")
     # one task on purpose: a bounded sample, in one order whatever the partitions were
     made = (lists.repartition(1).sortWithinPartitions("order", "ids")
-            .mapInArrow(learn, "embedding binary, output binary, bias binary").collect())
-    if not made:
-        return None
-    return Model(np.frombuffer(bytes(made[0].embedding), np.float32).reshape(-1, DIM),
-                 np.frombuffer(bytes(made[0].output), np.float32).reshape(2, DIM), np.frombuffer(bytes(made[0].bias), np.float32))
+            .mapInArrow(learn, "fold binary, constant double").collect())
+    return (np.frombuffer(bytes(made[0].fold), np.float32), made[0].constant) if made else None
 
 
-def scores(docs: DataFrame, model: Model | None, text_col: str = "text", name: str = "score") -> DataFrame:
+def scores(docs: DataFrame, model: tuple[np.ndarray, float] | None, text_col: str = "text", name: str = "score") -> DataFrame:
     """``docs`` and a column ``name``: the probability of class 1."""
-    table, constant = model.fold() if model else (np.zeros(1 << LOG_BUCKETS, np.float32), 0.0)
-    shared = docs.sparkSession.sparkContext.broadcast(table.astype(np.float32))  # 2^18 numbers
+    table, constant = model or (np.zeros(1 << LOG_BUCKETS, np.float32), 0.0)
+    shared = docs.sparkSession.sparkContext.broadcast(table)  # 2^18 numbers
 
     def run(it):
-        table, memory = shared.value, {}
-        pad, echo = (float(table[word_buckets(w)].mean()) for w in (PAD, ECHO))
-        for b in batches(it):
-            out = []
-            for text in b.column(text_col).to_pylist():
-                words, echoes, items = document_words(utf8(text))
-                total = PADS * pad + echoes * echo
-                for w in words:
-                    s = memory.get(w)
-                    if s is None:
-                        if len(memory) >= MEMORY:
-                            memory.clear()
-                        s = memory[w] = float(table[word_buckets(w)].mean())
-                    total += s
-                out.append(constant + total / items)
+        table, buckets = shared.value, Buckets()
+        pad, echo = buckets.means([PAD, ECHO], table).tolist()
+        for b in batches(it, 4 << 20):
+            read = [document_words(utf8(t)) for t in b.column(text_col).to_pylist()]
+            different = list(set().union(*(w for w, _, _ in read)))
+            value = dict(zip(different, buckets.means(different, table).tolist() if different else ())).__getitem__
+            out = [constant + (PADS * pad + echoes * echo + sum(map(value, words))) / items for words, echoes, items in read]
             z = np.clip(np.array(out), -700, 700)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-z)))], names=[*b.schema.names, name])
 

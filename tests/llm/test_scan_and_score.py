@@ -114,9 +114,20 @@ def test_good_rows_are_kept(spark):
 
 # ---- quality classifier
 
+def test_buckets_of_a_word_do_not_depend_on_its_company():
+    b = quality_classifier.Buckets()
+    words = [b"a", "h\u00e9llo".encode(), b"", b"abcdef", b"\xff\xfe", b" pad"]
+    together, owner, n = b.of(words)
+    for i, w in enumerate(words):
+        alone, _, k = b.of([w])
+        assert sorted(alone) == sorted(together[owner == i]) and k[0] == n[i]
+        size = len(w.decode("utf-8", "replace")) + 2
+        assert n[i] == 1 + max(0, size - 2) + max(0, size - 3)
+
+
 def test_features_add_up_to_one():
     for text in (b"", b"a", "é漢 a a a".encode()):
-        ids, weights = quality_classifier.document_features(text)
+        ids, weights = quality_classifier.document_features(text, quality_classifier.Buckets())
         assert len(set(ids.tolist())) == len(ids) and abs(float(weights.sum()) - 1) < 1e-5
 
 
@@ -134,8 +145,8 @@ def test_held_out_accuracy(spark):
 def test_training_never_sees_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
     flipped = labels.withColumn("quality", F.when(quality_classifier.held_out("doc_id"), 1 - F.col("quality")).otherwise(F.col("quality")))
-    a = quality_classifier.fit(docs, labels).fold()
-    b = quality_classifier.fit(docs.repartition(5), flipped).fold()
+    a = quality_classifier.fit(docs, labels)
+    b = quality_classifier.fit(docs.repartition(5), flipped)
     assert a[1] == b[1] and (a[0] == b[0]).all()
 
 
