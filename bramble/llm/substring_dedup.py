@@ -167,6 +167,8 @@ def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def candidates(docs: DataFrame, window: int, gram: int, max_log_width: int) -> DataFrame:
     """Occurrences of grams that the sketch estimates as repeated: doc_id, sig, key, stretch,
     first (word of the first window), n (windows), windows (their hashes)."""
+    if not 0 < window - gram < 63:
+        raise ValueError("the gram must be shorter than the window, by less than 63 words")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     log_width = min(max_log_width, max(BLOCK_BITS, (size // 16).bit_length()))
     shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, log_width, window, gram))  # 2^(log_width - 2) bytes
