@@ -67,13 +67,16 @@ def nearest_rank(values: DataFrame, value: str, percentiles: Sequence[int],
     ps = sorted({int(p) for p in percentiles})
     pct = values.sparkSession.createDataFrame(
         [(p,) for p in ps], T.StructType([T.StructField("percentile", T.IntegerType())]))
-    slack = 2.0 / accuracy
+    # below and above by three times the sketch's error: two ranks at least are left when N is
+    # ``accuracy`` or more, while rounding moves the position by half a rank
+    slack = 3.0 / accuracy
 
     def sketch(at: Sequence[float]) -> Column:
         return F.percentile_approx("_d", [float(x) for x in at], accuracy)
 
     def edge(q: str, i: int, inside: bool, outside: float) -> Column:
-        return F.get(q, F.lit(i)) if inside else F.lit(outside)
+        wide = F.lit(outside)  # fewer rows than that: the slice is all of them
+        return F.when(F.col("_n") >= accuracy, F.get(q, F.lit(i))).otherwise(wide) if inside else wide
 
     # rank = ROUND(p * N / 100) half up, in exact integer arithmetic; rank 0 has no row
     stats = v.agg(F.count(F.lit(1)).alias("_n"), sketch([max(0.0, p / 100 - slack) for p in ps]).alias("_ql"),

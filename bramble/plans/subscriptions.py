@@ -132,7 +132,8 @@ def payments_all(subs: DataFrame, plans: DataFrame) -> DataFrame:
     return payment_schedule(subs, plans, subs.agg(F.max("start_date")))
 
 
-def _present(p: DataFrame) -> DataFrame:
+def present(p: DataFrame) -> DataFrame:
+    """Payments with the amount as DOUBLE."""
     return p.withColumn("amount", money("amount"))
 
 
@@ -192,8 +193,8 @@ QUERIES = {
     "days_to_upgrade": _s(days_to_upgrade),
     "days_to_upgrade_buckets": _s(days_to_upgrade_buckets),
     "downgrades_in_year": _s(downgrades_in_year),
-    "payments_year": _sp(lambda s, p: _present(payments_year(s, p))),
-    "payments_all": _sp(lambda s, p: _present(payments_all(s, p))),
+    "payments_year": _sp(lambda s, p: present(payments_year(s, p))),
+    "payments_all": _sp(lambda s, p: present(payments_all(s, p))),
     "revenue_by_month": _rev,
     "monthly_churn": _churn,
 }

@@ -41,3 +41,25 @@ def register_views(spark: SparkSession, sf_dir: str, names: Sequence[str] | None
     for n in names:
         getattr(fx, n).createOrReplaceTempView(n)
     return names
+
+
+def register_derived(spark: SparkSession, sf_dir: str, folder: str | None = None) -> list[str]:
+    """Register the tables that the case studies build once and read often (product_sales,
+    category_sales, campaign_performance, payments) as temp views. With ``folder`` each is
+    written there first, so that what reads it does not build it again; the functions of
+    ``bramble.plans`` that depend on one take the saved frame as well."""
+    from bramble.plans import clicks as C
+    from bramble.plans import subscriptions as U
+    from bramble.sources.tables import Tables
+    fx = Tables(spark, sf_dir).fixtures
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df = save_table(df, f"{folder.rstrip('/')}/{name}") if folder else df
+        df.createOrReplaceTempView(name)
+        return df
+
+    product_sales = keep("product_sales", C.product_funnel(fx.clicks, fx.page_hierarchy))
+    keep("category_sales", C.category_funnel(product_sales, fx.page_hierarchy))
+    keep("campaign_performance", C.campaign_performance(fx.clicks, fx.users, fx.campaign_identifier, fx.page_hierarchy))
+    keep("payments", U.present(U.payments_all(fx.subscriptions, fx.plans)))
+    return ["product_sales", "category_sales", "campaign_performance", "payments"]

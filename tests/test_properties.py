@@ -50,14 +50,44 @@ def test_triple_count_bounded_by_pair_counts(spark):
         assert j.where(F.col("pc").isNull() | (F.col("baskets") > F.col("pc"))).count() == 0
 
 
+REPORT_KEYS = {
+    "total_qty": "report_total_qty", "rev_before_discount": "report_gross_revenue", "total_discount": "report_total_discount",
+    "total_unique_transac": "report_unique_txn", "avg_unique_product": "report_avg_unique_products",
+    "avg_discount": "report_avg_discount", "member_split": "report_member_split",
+    "member_avg_revenue": "report_member_avg_revenue", "top_products": "report_top_products",
+    "segment_totals": "report_segment_totals", "segment_top_seller": "report_segment_top_seller",
+    "category_totals": "report_category_totals", "category_top_seller": "report_category_top_seller",
+    "product_share": "report_product_share", "segment_share": "report_segment_share", "category_share": "report_category_share",
+    "penetration": "report_penetration", "top_triples": "report_top_triples", "scalars": "monthly_report"}
+
+
 def test_monthly_report_dict_matches_keys(spark):
     fx = Tables(spark, SF_SMALL).fixtures
-    rep = S.monthly_report(fx.sales, fx.product_details, REPORT_MONTH)
+    rep = S.monthly_report(fx.sales_lines, fx.product_details, REPORT_MONTH, txns=fx.transactions)
     assert len(rep) == 22  # 9 scalars + 12 result tables + the one-row scalar frame
     q = entry_mod.queries()
-    pairs = {"member_split": "report_member_split", "segment_totals": "report_segment_totals",
-             "category_top_seller": "report_category_top_seller", "penetration": "report_penetration",
-             "top_triples": "report_top_triples", "scalars": "monthly_report"}
-    for name, key in pairs.items():
-        assert sorted(rep[name].collect()) == sorted(q[key](spark, SF_SMALL).collect()), name
-    assert rep["total_qty"].first()[0] == q["report_total_qty"](spark, SF_SMALL).first()[0]
+    for name, key in REPORT_KEYS.items():
+        assert sorted(map(tuple, rep[name].collect())) == sorted(map(tuple, q[key](spark, SF_SMALL).collect())), name
+    percentiles = q["report_revenue_percentile"](spark, SF_SMALL).first()
+    assert tuple(rep[f"revenue_at_percentile_{p}"].first()[0] for p in (25, 50, 75)) == tuple(percentiles)
+
+
+def test_report_of_other_months_percentiles_and_n(spark, duck_small):
+    """Both forms of the input, and plain SQL, at parameters other than the registered ones."""
+    from bramble.sources.fixtures import with_views
+    fx = Tables(spark, SF_SMALL).fixtures
+    month, top, ps = 7, 5, (10, 90)
+    a = S.monthly_report(fx.sales_lines, fx.product_details, month, top=top, txns=fx.transactions, percentiles=ps)
+    b = S.monthly_report(fx.sales, fx.product_details, month, top=top, percentiles=ps)
+    assert set(a) == set(b)
+    for name in ("scalars", "member_split", "top_products", "penetration", "category_share"):
+        assert sorted(map(tuple, a[name].collect())) == sorted(map(tuple, b[name].collect())), name
+    want = duck_small.execute(with_views(f"""
+        SELECT p.product_name, CAST(SUM(s.gross) AS DOUBLE) AS rev FROM sales s JOIN product_details p ON p.product_id = s.prod_id
+        WHERE MONTH(s.start_txn_time) = {month} GROUP BY 1 ORDER BY SUM(s.gross) DESC, 1 LIMIT {top}""")).fetchall()
+    assert [tuple(r) for r in a["top_products"].collect()] == want
+    revs = [r[0] for r in duck_small.execute(with_views(f"""
+        SELECT CAST(SUM(gross) AS DOUBLE) FROM sales WHERE MONTH(start_txn_time) = {month} GROUP BY txn_id ORDER BY 1""")).fetchall()]
+    scalars = a["scalars"].first()
+    for p in ps:
+        assert scalars[f"revenue_at_percentile_{p}"] == revs[(len(revs) * p + 50) // 100 - 1]

@@ -50,6 +50,14 @@ def test_percentiles_with_far_outliers(spark):
     assert got == {p: (values[(n * p + 50) // 100 - 1] if (n * p + 50) // 100 else None) for p in (0, 25, 50, 75, 100)}
 
 
+def test_percentiles_at_many_sizes(spark):
+    """Positions between two ranks, below and above the sketch's accuracy."""
+    for n in (1, 2, 7, 124, 1003, 9999, 10_000, 10_007, 25_003):
+        ps = (1, 10, 33, 50, 90, 99)
+        got = {r.percentile: r.value for r in nearest_rank(spark.range(n).select((F.col("id") * 3).alias("v")), "v", ps).collect()}
+        assert got == {p: (3 * ((n * p + 50) // 100 - 1) if (n * p + 50) // 100 else None) for p in ps}, n
+
+
 def _before_first_exchange(df) -> str:
     """The plan below the lowest exchange that reads lineitem."""
     plan = df._jdf.queryExecution().executedPlan().toString()
