@@ -179,7 +179,7 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, float] | None, text_col: st
     def run(it):
         table, buckets = shared.value, Buckets()
         pad, echo = buckets.means([PAD, ECHO], table).tolist()
-        for b in batches(it, 4 << 20):
+        for b in batches(it, 1 << 20):
             read = [document_words(utf8(t)) for t in b.column(text_col).to_pylist()]
             different = list(set().union(*(w for w, _, _ in read)))
             value = dict(zip(different, buckets.means(different, table).tolist() if different else ())).__getitem__

@@ -50,7 +50,7 @@ def whole_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
-def batches(it, max_bytes: int = 8 << 20):
+def batches(it, max_bytes: int = 2 << 20):
     """Slices of the incoming record batches whose Arrow data stay near ``max_bytes`` (a
     single longer row comes alone)."""
     for b in it:

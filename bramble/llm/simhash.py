@@ -156,7 +156,7 @@ def _place(fps: DataFrame, visits: bool) -> DataFrame:
     schema = pa.schema([("anchor", pa.int64()), ("fp", pa.int64())])
 
     def run(it):
-        for b in batches(it, 1 << 17):
+        for b in batches(it, 1 << 16):
             fp = b.column(0).to_numpy().view(np.uint64)
             key, row = anchors(fp, visits)
             yield record_batch(schema, [key, fp.view(np.int64)[row]])

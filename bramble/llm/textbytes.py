@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 _SEED = 20240229
-_PIECE = 1 << 20  # bytes hashed at once
+_PIECE = 1 << 18  # bytes hashed at once
 
 
 def mix(x: np.ndarray) -> np.ndarray:
