@@ -8,7 +8,7 @@ Mapping (see FIXTURES.md):
   product_details     supplier -> nation (segment) -> region (category)
   product_hierarchy   region / nation / supplier stacked as an adjacency list
   product_prices      supplier account balance as price
-  clicks              events: visit = user and 5-day block, page = props.k mod 13
+  clicks              events: visit = user, month and 5-day block, page = props.k mod 13
   users               distinct event users, 50 user ids over 150 cookies
   subscriptions       orders: customer, plan = order priority digit - 1, order date
 """
