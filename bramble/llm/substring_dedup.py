@@ -94,62 +94,84 @@ def cells(keys: np.ndarray, log_width: int) -> list[np.ndarray]:
     return [mix(keys ^ seed) >> np.uint64(64 - log_width) for seed in _ROWS]
 
 
-def sketch(docs: DataFrame, log_width: int, window: int, gram: int, flush: int = 1 << 20) -> np.ndarray:
-    """Bits (row, counter) of the merged count-min sketch: counted at least twice."""
+def _emit(keys: list[np.ndarray], log_width: int) -> pa.RecordBatch:
+    """The counters that some keys touch: per block those touched once and more often."""
     blocks = 1 << max(0, log_width - BLOCK_BITS)
-    per_block = np.uint64(min(BLOCK_BITS, log_width))
-    schema = pa.schema([("block", pa.int32()), ("once", pa.binary()), ("more", pa.binary())])
-
-    def emit(keys: list[np.ndarray]):
-        block, once, more = [], [], []
-        for row, cell in enumerate(cells(np.concatenate(keys), log_width)):
-            cell, count = np.unique(cell, return_counts=True)
-            b = (cell >> per_block).astype(np.int64)
-            low = (cell & np.uint64((1 << int(per_block)) - 1)).astype(np.uint16)
-            cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]]))
-            for i, j in zip(cut[:-1], cut[1:]):
-                block.append(row * blocks + int(b[i]))
-                once.append(low[i:j][count[i:j] == 1].tobytes())
-                more.append(low[i:j][count[i:j] > 1].tobytes())
-        return record_batch(schema, [block, once, more])
-
-    def count(it):
-        words, keys, held = Words(), [], 0
-        for b in batches(it):
-            k = Occurrences(words, [utf8(t) for t in b.column(0).to_pylist()], window, gram).key
-            keys.append(k)
-            held += len(k)
-            if held >= flush:
-                yield emit(keys)
-                keys, held = [], 0
-        if held:
-            yield emit(keys)
+    per_block = min(BLOCK_BITS, log_width)
+    block, once, more = [], [], []
+    for row, cell in enumerate(cells(np.concatenate(keys), log_width)):
+        cell, count = np.unique(cell, return_counts=True)
+        b = (cell >> np.uint64(per_block)).astype(np.int64)
+        low = (cell & np.uint64((1 << per_block) - 1)).astype(np.uint16)
+        cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]]))
+        for i, j in zip(cut[:-1], cut[1:]):
+            block.append(row * blocks + int(b[i]))
+            once.append(low[i:j][count[i:j] == 1].tobytes())
+            more.append(low[i:j][count[i:j] > 1].tobytes())
+    return record_batch(pa.schema([("block", pa.int32()), ("once", pa.binary()), ("more", pa.binary())]), [block, once, more])
+
+
+def _merged(parts: DataFrame, log_width: int, least: int) -> np.ndarray:
+    """Bits (row, counter) of the merged partial sketches: counted ``least`` times or more."""
+    per_block = min(BLOCK_BITS, log_width)
+    schema = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
 
     def merge(it):
         current, counters = None, None
-        out = lambda: record_batch(merged, [[current], [np.packbits(counters > 1, bitorder="little").tobytes()]])
+        out = lambda: record_batch(schema, [[current], [np.packbits(counters >= least, bitorder="little").tobytes()]])
         for b in it:
             for block, once, more in zip(*(b.column(i).to_pylist() for i in range(3))):
                 if block != current:
                     if current is not None:
                         yield out()
-                    current, counters = block, np.zeros(1 << int(per_block), np.uint8)
+                    current, counters = block, np.zeros(1 << per_block, np.uint8)
                 at = np.frombuffer(once, np.uint16)  # distinct counters within a row
                 counters[at] = np.minimum(counters[at] + 1, 2)
                 counters[np.frombuffer(more, np.uint16)] = 2
         if current is not None:
             yield out()
 
-    merged = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
-    parts = docs.select("text").mapInArrow(count, "block int, once binary, more binary")
     parts = parts.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, bits binary")
     bits = np.zeros(len(_ROWS) << log_width >> 3, np.uint8)
-    size = 1 << int(per_block) >> 3
+    size = 1 << per_block >> 3
     for r in parts.toLocalIterator(prefetchPartitions=False) if log_width > 28 else parts.collect():
         bits[r.block * size:(r.block + 1) * size] = np.frombuffer(bytes(r.bits), np.uint8)
     return bits
 
 
+def _emitted(batches_of_keys, log_width: int, flush: int = 1 << 20):
+    keys, held = [], 0
+    for k in batches_of_keys:
+        keys.append(k)
+        held += len(k)
+        if held >= flush:
+            yield _emit(keys, log_width)
+            keys, held = [], 0
+    if held:
+        yield _emit(keys, log_width)
+
+
+_PARTS = "block int, once binary, more binary"
+
+
+def sketch(docs: DataFrame, log_width: int, window: int, gram: int) -> np.ndarray:
+    """Bits of the count-min sketch of all occurrences' grams: counted at least twice."""
+    def count(it):
+        words = Words()
+        grams = (Occurrences(words, [utf8(t) for t in b.column(0).to_pylist()], window, gram).key for b in batches(it))
+        yield from _emitted(grams, log_width)
+
+    return _merged(docs.select("text").mapInArrow(count, _PARTS), log_width, 2)
+
+
+def key_filter(rows: DataFrame, log_width: int) -> np.ndarray:
+    """Bits of the column ``key``, one for each counter that some key has."""
+    def count(it):
+        yield from _emitted((b.column(0).to_numpy().view(np.uint64) for b in it if b.num_rows), log_width)
+
+    return _merged(rows.select("key").mapInArrow(count, _PARTS), log_width, 1)
+
+
 def repeated(bits: np.ndarray, keys: np.ndarray, log_width: int) -> np.ndarray:
     """Which keys every row of the sketch estimates at two or more."""
     ok = np.ones(len(keys), bool)
@@ -164,8 +186,8 @@ def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        whole_text(text_col).alias("text"))
 
 
-def candidates(docs: DataFrame, window: int, gram: int, max_log_width: int) -> DataFrame:
-    """Occurrences of grams that the sketch estimates as repeated: doc_id, sig, key, stretch,
+def candidates(docs: DataFrame, window: int, gram: int, max_log_width: int) -> tuple[DataFrame, int]:
+    """(occurrences, log of the sketch's width). Occurrences of grams that the sketch estimates as repeated: doc_id, sig, key, stretch,
     first (word of the first window), n (windows), windows (their hashes)."""
     if not 0 < window - gram < 63:
         raise ValueError("the gram must be shorter than the window, by less than 63 words")
@@ -195,34 +217,51 @@ def candidates(docs: DataFrame, window: int, gram: int, max_log_width: int) -> D
                 yield pa.RecordBatch.from_arrays([*plain, lists], names=names)
 
     found = docs.mapInArrow(pick, "doc_id bigint, sig bigint, key bigint, stretch bigint, first int, n int, windows array<bigint>")
-    return write_shared(found.withColumn("rank", _rank()), "substring-candidates")
+    return write_shared(found.withColumn("rank", _rank()), "substring-candidates"), log_width
 
 
 def _rank() -> Column:
     return F.coalesce("doc_id", F.lit(2 ** 63 - 1))
 
 
-def removals(found: DataFrame) -> DataFrame:
+def removals(found: DataFrame, log_width: int) -> DataFrame:
     """(doc_id, sig, cuts): per document an array of (first, mask), bit i of the mask set
     where the window that starts at word first + i is removed."""
-    classes = write_shared(found.groupBy("key", "stretch").agg(
-        F.min("rank").alias("owner"), F.max("rank").alias("latest"), F.max("n").alias("n")), "substring-classes")
+    classes = write_shared(found.groupBy("key", "stretch").agg(F.min("rank").alias("owner"), F.max("rank").alias("latest")),
+                           "substring-classes")
     shared = (classes.groupBy("key").agg(F.count("*").alias("classes"), F.min("owner").alias("a"), F.max("latest").alias("b"))
               .where("a < b").select("key", "classes"))  # in one document only: nothing to remove
-    alive = classes.join(shared, "key").select("key", "stretch", "owner", "n", "classes")
-    alone = alive.where("classes = 1").select("key", "stretch", F.array_repeat("owner", F.col("n")).alias("owners"))
-    # only grams with several classes need their windows, once per class
-    several_classes = alive.where("classes > 1").select("key", "stretch", "owner")
-    listed = (found.where("windows is not null").join(several_classes.select("key", "stretch"), ["key", "stretch"], "left_semi")
+    alive = write_shared(classes.join(shared, "key").select("key", "stretch", "owner", "classes"), "substring-shared")
+    alone = alive.where("classes = 1").select("key", "stretch", "owner", F.lit(None).cast("array<bigint>").alias("owners"))
+    # only grams with several classes need their windows, once per class; a filter of their
+    # keys (as large as the sketch) spares the others the shuffle
+    many = alive.where("classes > 1").select("key", "stretch", "owner")
+    wanted = found.sparkSession.sparkContext.broadcast(key_filter(many, log_width))
+
+    def pick(it):
+        bits = wanted.value
+        for b in it:
+            hit = np.flatnonzero(repeated(bits, b.column(0).to_numpy().view(np.uint64), log_width))
+            if len(hit):
+                yield b.take(pa.array(hit))
+
+    listed = (found.where("windows is not null").select("key", "stretch", "windows")
+              .mapInArrow(pick, "key bigint, stretch bigint, windows array<bigint>")
               .groupBy("key", "stretch").agg(F.first("windows").alias("windows")))
-    windows = listed.join(several_classes, ["key", "stretch"]).select("key", "stretch", "owner", F.posexplode("windows").alias("i", "window"))
+    windows = listed.join(many, ["key", "stretch"]).select("key", "stretch", "owner", F.posexplode("windows").alias("i", "window"))
     first = windows.groupBy("key", "window").agg(F.min("owner").alias("owner"))
     several = (windows.drop("owner").join(first, ["key", "window"]).groupBy("key", "stretch")
-               .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "owner"))), lambda x: x["owner"]).alias("owners")))
-    mask = F.aggregate(
-        F.transform("owners", lambda o, i: F.when(o < F.col("rank"), F.call_function("shiftleft", F.lit(1).cast("bigint"), i))
-                    .otherwise(F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))
-    cut = (found.select("doc_id", "sig", "key", "stretch", "first", "rank").join(alone.union(several), ["key", "stretch"])
+               .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "owner"))), lambda x: x["owner"]).alias("owners"))
+               .select("key", "stretch", F.lit(None).cast("bigint").alias("owner"), "owners"))
+
+    def bit(i: Column | str) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(i) if isinstance(i, str) else i)
+
+    none = F.lit(0).cast("bigint")
+    each = F.aggregate(F.transform("owners", lambda o, i: F.when(o < F.col("rank"), bit(i)).otherwise(none)),
+                       none, lambda a, x: a.bitwiseOR(x))
+    mask = F.when(F.col("owner").isNull(), each).when(F.col("owner") < F.col("rank"), bit("n") - 1).otherwise(none)
+    cut = (found.select("doc_id", "sig", "key", "stretch", "first", "n", "rank").join(alone.union(several), ["key", "stretch"])
            .select("doc_id", "sig", "first", mask.alias("mask")).where("mask <> 0"))
     return cut.groupBy("doc_id", "sig").agg(F.collect_set(F.struct("first", "mask")).alias("cuts"))
 
@@ -241,7 +280,7 @@ def covered(cuts, n_words: int, window: int) -> np.ndarray:
 
 def _with_cuts(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int, max_log_width: int) -> DataFrame:
     picked = _picked(docs, id_col, text_col)
-    cuts = write_shared(removals(candidates(picked, window, gram, max_log_width)), "substring-cuts").select(
+    cuts = write_shared(removals(*candidates(picked, window, gram, max_log_width)), "substring-cuts").select(
         F.col("doc_id").alias("_cut_id"), F.col("sig").alias("_cut_sig"), F.col("cuts").alias("_cuts"))
     return docs.join(cuts, F.xxhash64(whole_text(text_col)).eqNullSafe(F.col("_cut_sig"))
                      & F.col(id_col).cast("bigint").eqNullSafe(F.col("_cut_id")), "left").drop("_cut_id", "_cut_sig")
