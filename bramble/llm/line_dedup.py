@@ -1,14 +1,21 @@
 """Line deduplication by pairwise alignment of overlapping documents.
 
-Lines (\\n-split, with a word in them) are known by a 128-bit hash and by which occurrence of
-it within their document they are, so a key stands once in a document. Shared keys name the
-overlapping pairs: a rare line (in ``rare_docs`` documents at most) pairs a later document
-with every earlier holder, a more frequent one with its earliest holder, so the pairs stay
-linear in the lines however often one occurs. Each pair's shared lines are aligned by patience
-diff: lines unique in both documents are anchors, their longest increasing sequence is kept,
-and the gaps between are filled the same way with the other shared lines. Aligned lines that
-follow each other in both documents form common blocks, and the later document loses the
-blocks of ``min_words`` words or more; shorter coincidences stay.
+Lines (\\n-split, with a word in them) are known by a 128-bit hash. A window is a shortest run of
+lines with ``min_words`` words, from a line on or up to a line; every line of a common block
+lies in a window inside the block, so documents with a common block share a window. Shared
+windows only name the pairs: a rare one (in ``rare_docs`` documents at most) pairs a later
+document with every earlier holder, a more frequent one with its earliest holder, the n-th of
+a document with the earliest holder of n. Each pair is aligned over the two documents' whole
+line lists. Aligned lines that follow each other in both documents form common blocks, and the
+later document loses the blocks of ``min_words`` words or more; shorter coincidences stay.
+Where a shared window doesn't go, since the alignment with its holder crosses it, its other
+earlier holders are tried in rounds, each with some ``GROWTH`` times as many, until it goes or
+none is left. So the result is that of aligning all pairs, while the pairs stay near linear
+in the lines.
+
+Alignment is a patience diff: lines unique in both documents are anchors, their longest
+increasing sequence is kept, and the gaps between are filled the same way with the other
+shared lines, matched by which occurrence of the line within its document they are.
 
 Order is by doc_id, null last; rows with equal doc_ids are ordered by their texts' hash, and
 rows equal in both are one document. Null text stays null and has no lines; blank lines stay;
@@ -22,64 +29,133 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bramble.llm.shared import batches, utf8, whole_text, write_shared
 
 RARE_DOCS = 4
 MIN_WORDS = 5
+GROWTH = 16
 
 
 def split_lines(text: bytes) -> list[bytes]:
     return text.split(b"\n")
 
 
-def lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(rank, sig, pos, key, occurrence, alone, words): one row per line with a word; pos
-    counts such lines, alone tells that the line stands once in its document."""
-    picked = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(2 ** 63 - 1)).alias("rank"),
-                         F.xxhash64(whole_text(text_col)).alias("sig"), whole_text(text_col).alias("text"))
-    names = ["rank", "sig", "pos", "key", "occurrence", "alone", "words"]
+def ranked(id_col: str, text_col: str) -> list[Column]:
+    return [F.coalesce(F.col(id_col).cast("bigint"), F.lit(2 ** 63 - 1)).alias("rank"), F.xxhash64(whole_text(text_col)).alias("sig")]
+
+
+def line_lists(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(rank, sig, keys, words): one row per document that has lines with a word; keys has
+    16 bytes for each of these lines, words their numbers of words (4 bytes each)."""
+    picked = docs.select(*ranked(id_col, text_col), whole_text(text_col).alias("text"))
 
     def run(it):
         for b in batches(it):
-            doc, pos, key, occurrence, alone, words = [], [], [], [], [], []
+            row, keys, words = [], [], []
             for d, text in enumerate(b.column(2).to_pylist()):
                 own = [(xxhash.xxh3_128_digest(x), n) for x in split_lines(utf8(text)) if (n := len(x.split()))]
-                seen: dict[bytes, int] = {}
-                for k, _ in own:
-                    seen[k] = seen.get(k, 0) + 1
+                if own:
+                    row.append(d)
+                    keys.append(b"".join(k for k, _ in own))
+                    words.append(np.array([n for _, n in own], np.int32).tobytes())
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(keys, pa.binary()),
+                                              pa.array(words, pa.binary())], names=["rank", "sig", "keys", "words"])
+
+    # rows equal in doc_id and text are one document
+    return picked.mapInArrow(run, "rank bigint, sig bigint, keys binary, words binary").distinct()
+
+
+def windows(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(first line, line after the last) of the shortest runs of lines with enough words that
+    start at a line or end at one."""
+    out, end, total = set(), 0, 0
+    for start, n in enumerate(words):
+        while end < len(words) and total < min_words:
+            total += words[end]
+            end += 1
+        if total < min_words:
+            break
+        out.add((start, end))
+        total -= n
+    start, total = len(words), 0
+    for end in range(len(words), 0, -1):
+        while start and total < min_words:
+            start -= 1
+            total += words[start]
+        if total < min_words:
+            break
+        out.add((start, end))
+        total -= words[end - 1]
+    return sorted(out)
+
+
+def window_rows(lists: DataFrame, min_words: int) -> DataFrame:
+    """(rank, sig, start, end, key, occurrence): the windows of each document."""
+    def run(it):
+        for b in batches(it, 1 << 18):
+            row, starts, ends, keys, occurrence = [], [], [], [], []
+            for d, (k, n) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
                 at: dict[bytes, int] = {}
-                for p, (k, n) in enumerate(own):
-                    at[k] = at.get(k, 0) + 1
-                    doc.append(d)
-                    pos.append(p)
-                    key.append(k)
-                    occurrence.append(at[k])
-                    alone.append(seen[k] == 1)
-                    words.append(n)
-            row = pa.array(doc, pa.int64())
+                for start, end in windows(np.frombuffer(n, np.int32).tolist(), min_words):
+                    key = k[16 * start:16 * end] if end == start + 1 else xxhash.xxh3_128_digest(k[16 * start:16 * end])
+                    at[key] = at.get(key, 0) + 1
+                    row.append(d)
+                    starts.append(start)
+                    ends.append(end)
+                    keys.append(key)
+                    occurrence.append(at[key])
+            at_row = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(row), b.column(1).take(row), pa.array(pos, pa.int32()), pa.array(key, pa.binary()),
-                 pa.array(occurrence, pa.int32()), pa.array(alone, pa.bool_()), pa.array(words, pa.int32())], names=names)
+                [b.column(0).take(at_row), b.column(1).take(at_row), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()),
+                 pa.array(keys, pa.binary()), pa.array(occurrence, pa.int32())],
+                names=["rank", "sig", "start", "end", "key", "occurrence"])
+
+    return lists.mapInArrow(run, "rank bigint, sig bigint, start int, end int, key binary, occurrence int")
+
+
+def follows(o: str = "o.") -> Column:
+    return (F.col("rank") > F.col(f"{o}o_rank")) | ((F.col("rank") == F.col(f"{o}o_rank")) & (F.col("sig") > F.col(f"{o}o_sig")))
+
+
+HOLDER = ["rank as o_rank", "sig as o_sig"]
+
+
+def shared_windows(lists: DataFrame, min_words: int) -> DataFrame:
+    """Windows in several documents, with their number (docs) and the earliest (o)."""
+    rows = write_shared(window_rows(lists, min_words), "line-windows")
+    held = rows.where("occurrence = 1").groupBy("key").agg(
+        F.count("*").alias("docs"), F.min(F.expr("struct(rank as o_rank, sig as o_sig)")).alias("o")).where("docs > 1")
+    return write_shared(rows.join(held, "key"), "line-shared")
+
+
+def first_pairs(known: DataFrame, rare_docs: int) -> DataFrame:
+    """(rank, sig, o_rank, o_sig) of a later and an earlier document with a common window."""
+    pair = ["rank", "sig", "o_rank", "o_sig"]
+    once = known.where("occurrence = 1")
+    star = once.where(follows()).select("rank", "sig", "o.*")
+    rare = once.where(F.col("docs").between(3, rare_docs))
+    others = rare.selectExpr("key", *HOLDER)
+    again = known.where("occurrence > 1").drop("o", "docs")
+    held = again.groupBy("key", "occurrence").agg(F.min(F.expr("struct(rank as o_rank, sig as o_sig)")).alias("o"))
+    return (star.union(rare.drop("o").join(others, "key").where(follows("")).select(*pair))
+            .union(again.join(held, ["key", "occurrence"]).where(follows()).select("rank", "sig", "o.*")).distinct())
 
-    return picked.mapInArrow(run, "rank bigint, sig bigint, pos int, key binary, occurrence int, alone boolean, words int")
 
+def last_turn() -> Column:
+    return F.floor(F.log("docs") / F.log(F.lit(float(GROWTH)))).cast("int")
 
-def shared_lines(rows: DataFrame, rare_docs: int) -> DataFrame:
-    """(rank, sig, o_rank, o_sig, pos, o_pos, alone, words): lines of a later document and
-    the same line in the earlier one that it is paired with."""
-    key = ["key", "occurrence"]
-    holder = F.struct(F.col("rank").alias("o_rank"), F.col("sig").alias("o_sig"), F.col("pos").alias("o_pos"), F.col("alone").alias("o_alone"))
-    rows = rows.distinct()  # rows equal in doc_id and text are one document
-    held = write_shared(rows.groupBy(*key).agg(F.count("*").alias("docs"), F.min(holder).alias("o")).where("docs > 1"), "line-holders")
-    known = rows.join(held, key)
-    later = (F.col("rank") > F.col("o.o_rank")) | ((F.col("rank") == F.col("o.o_rank")) & (F.col("sig") > F.col("o.o_sig")))
-    out = ["rank", "sig", "o.o_rank", "o.o_sig", "pos", "o.o_pos", (F.col("alone") & F.col("o.o_alone")).alias("alone"), "words"]
-    star = known.where(later).select(*out)
-    rare = known.where(later & F.col("docs").between(3, rare_docs)).drop("o", "docs")
-    others = rare.select(*key, holder.alias("o"))
-    return star.union(rare.join(others, key).where(later).select(*out))
+
+def next_pairs(left: DataFrame, known: DataFrame, turn: int) -> DataFrame:
+    """Pairs of the windows left with this round's share of their other earlier holders: a
+    holder's hash deals it to a round, each with ``GROWTH`` times the holders of the last."""
+    tries = left.select("key", "rank", "sig", "docs").distinct()
+    last = last_turn()
+    zeros = F.length(F.regexp_extract(F.lower(F.hex(F.xxhash64("key", "rank", "sig"))), "(0*)$", 1))
+    holders = known.where("occurrence = 1").where(last - F.least(zeros, last) == turn).selectExpr("key", *HOLDER)
+    return tries.join(holders, "key").where(follows("")).select("rank", "sig", "o_rank", "o_sig").distinct()
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -138,22 +214,58 @@ def common_blocks(matches: list[tuple[int, int, bool, int]], min_words: int) ->
     return out + (block if total >= min_words else [])
 
 
-def removals(docs: DataFrame, id_col: str, text_col: str, rare_docs: int, min_words: int) -> DataFrame:
-    """(rank, sig, gone): the line numbers that each document loses."""
-    rows = write_shared(lines(docs, id_col, text_col), "line-hashes")
-    pairs = (shared_lines(rows, rare_docs).groupBy("rank", "sig", "o_rank", "o_sig")
-             .agg(F.collect_list(F.struct("pos", "o_pos", "alone", "words")).alias("matches")))
+def pair_cut(keys: list[bytes], words: list[int], others: list[bytes], min_words: int) -> list[int]:
+    """The line numbers that a document loses to an earlier one."""
+    def numbered(own: list[bytes]) -> dict[tuple[bytes, int], int]:
+        at: dict[bytes, int] = {}
+        out = {}
+        for p, k in enumerate(own):
+            at[k] = at.get(k, 0) + 1
+            out[k, at[k]] = p
+        return out
+
+    mine, theirs = numbered(keys), numbered(others)
+    return common_blocks([(p, theirs[x], (x[0], 2) not in mine and (x[0], 2) not in theirs, words[p])
+                          for x, p in mine.items() if x in theirs], min_words)
+
+
+def aligned_cuts(pairs: DataFrame, lists: DataFrame, min_words: int) -> DataFrame:
+    """(rank, sig, gone): the line numbers that each pair's later document loses."""
+    def listed(keys: bytes) -> list[bytes]:
+        return [keys[i:i + 16] for i in range(0, len(keys), 16)]
 
     def run(it):
         for b in batches(it):
-            gone = [common_blocks([(m["pos"], m["o_pos"], m["alone"], m["words"]) for m in ms], min_words)
-                    for ms in b.column(2).to_pylist()]
+            gone = [pair_cut(listed(k), np.frombuffer(n, np.int32).tolist(), listed(o), min_words)
+                    for k, n, o in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(gone, pa.list_(pa.int32()))],
                                              names=["rank", "sig", "gone"])
 
-    cut = pairs.select("rank", "sig", "matches").mapInArrow(run, "rank bigint, sig bigint, gone array<int>")
-    return cut.where(F.size("gone") > 0).groupBy("rank", "sig").agg(
-        F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    earlier = lists.selectExpr(*HOLDER, "keys as o_keys")
+    both = pairs.join(earlier, ["o_rank", "o_sig"]).join(lists, ["rank", "sig"]).select("rank", "sig", "keys", "words", "o_keys")
+    return both.mapInArrow(run, "rank bigint, sig bigint, gone array<int>").where(F.size("gone") > 0)
+
+
+def gathered(cuts: DataFrame) -> DataFrame:
+    return cuts.groupBy("rank", "sig").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+
+
+def removals(docs: DataFrame, id_col: str, text_col: str, rare_docs: int, min_words: int) -> DataFrame:
+    """(rank, sig, gone): the line numbers that each document loses."""
+    lists = write_shared(line_lists(docs, id_col, text_col), "line-lists")
+    known = shared_windows(lists, min_words)
+    cuts = write_shared(gathered(aligned_cuts(first_pairs(known, rare_docs), lists, min_words)), "line-cuts")
+    left, new, turn = known.where(follows() & (F.col("docs") > F.greatest(F.lit(rare_docs), F.lit(2)))).drop("o"), cuts, 0
+    while True:
+        stays = F.col("gone").isNull() | (F.size(F.array_except(F.sequence("start", F.col("end") - 1), "gone")) > 0)
+        left = write_shared(left.join(new, ["rank", "sig"], "left").where(stays).drop("gone"), "line-left")
+        last = left.agg(F.max(last_turn())).first()[0]
+        if last is None or turn > last:
+            return gathered(cuts)
+        new = write_shared(gathered(aligned_cuts(next_pairs(left, known, turn), lists, min_words)), "line-cuts")
+        cuts = cuts.union(new)
+        new = gathered(cuts)  # the lines of a window may go in different rounds
+        turn += 1
 
 
 def remove_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare_docs: int = RARE_DOCS,
