@@ -13,9 +13,10 @@ earlier holders are tried in rounds, each with some ``GROWTH`` times as many, un
 none is left. So the result is that of aligning all pairs, while the pairs stay near linear
 in the lines.
 
-Alignment is a patience diff: lines unique in both documents are anchors, their longest
-increasing sequence is kept, and the gaps between are filled the same way with the other
-shared lines, matched by which occurrence of the line within its document they are.
+Alignment is a patience diff: equal lines at both ends of a gap (at first, the documents) are
+aligned, lines unique in both sides of the gap are anchors, their longest increasing sequence
+is kept, and the gaps between are aligned anew. A gap without such lines is aligned by a
+longest common subsequence; runs then move beside the next one where equal lines allow it.
 
 Order is by doc_id, null last; rows with equal doc_ids are ordered by their texts' hash, and
 rows equal in both are one document. Null text stays null and has no lines; blank lines stay;
@@ -36,6 +37,7 @@ from bramble.llm.shared import batches, utf8, whole_text, write_shared
 RARE_DOCS = 4
 MIN_WORDS = 5
 GROWTH = 16
+HELD_BITS = 1 << 28
 
 
 def split_lines(text: bytes) -> list[bytes]:
@@ -200,33 +202,121 @@ def align(matches: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
 
 
 def common_blocks(matches: list[tuple[int, int, bool, int]], min_words: int) -> list[int]:
-    """Line numbers of the later document that lie in aligned blocks of enough words."""
-    words = {(m[0], m[1]): m[3] for m in matches}
+    """Line numbers of the later document that lie in aligned blocks of enough words, from
+    matches given one by one."""
+    return enough(align([m[:3] for m in matches]), {m[0]: m[3] for m in matches}, min_words)
+
+
+def enough(pairs: list[tuple[int, int]], words: list[int] | dict[int, int], min_words: int) -> list[int]:
+    """Positions in the later document of the aligned blocks of enough words."""
     out, block, total = [], [], 0
     last = None
-    for pair in align([m[:3] for m in matches]):
+    for pair in pairs:
         if last is None or pair != (last[0] + 1, last[1] + 1):
             out += block if total >= min_words else []
             block, total = [], 0
         block.append(pair[0])
-        total += words[pair]
+        total += words[pair[0]]
         last = pair
     return out + (block if total >= min_words else [])
 
 
+def common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
+    """Longest common subsequence, bit-parallel (a row of the table is one integer); long
+    inputs are halved as in Hirschberg's algorithm, so that the rows held stay bounded."""
+    def rows(x: list, y: list):
+        at: dict = {}
+        for j, k in enumerate(y):
+            at.setdefault(k, []).append(j)
+        full = (1 << len(y)) - 1
+        v = full
+        for k in x:
+            mask = bytearray(len(y) // 8 + 1)
+            for j in at.get(k, ()):
+                mask[j >> 3] |= 1 << (j & 7)
+            u = v & int.from_bytes(mask, "little")
+            v = ((v + u) | (v - u)) & full
+            yield v  # bit j is 0 where the length grows at y[j]
+
+    if not a or not b:
+        return []
+    if len(a) > 1 and len(a) * len(b) > HELD_BITS:
+        half = len(a) // 2
+        for top in rows(a[:half], b):
+            pass
+        for low in rows(a[:half - 1:-1], b[::-1]):
+            pass
+        above, below = f"{top:0{len(b)}b}"[::-1], f"{low:0{len(b)}b}"
+        gain, best, cut = 0, 0, 0
+        for j in range(len(b)):
+            gain += (above[j] == "0") - (below[j] == "0")
+            if gain > best:
+                best, cut = gain, j + 1
+        return common_subsequence(a[:half], b[:cut]) + [(i + half, j + cut) for i, j in common_subsequence(a[half:], b[cut:])]
+    held = list(rows(a, b))
+    out, i, j = [], len(a) - 1, len(b) - 1
+    while i >= 0 and j >= 0:
+        if held[i] >> j & 1:
+            j -= 1
+        elif i and not held[i - 1] >> j & 1:
+            i -= 1
+        else:
+            out.append((i, j))
+            i, j = i - 1, j - 1
+    return out[::-1]
+
+
+def joined_runs(pairs: list[tuple[int, int]], a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
+    """Aligned pairs, a run moved beside the next one where equal lines allow it."""
+    runs: list[list[int]] = []
+    for i, j in pairs:
+        if runs and (i, j) == (runs[-1][0] + runs[-1][2], runs[-1][1] + runs[-1][2]):
+            runs[-1][2] += 1
+        else:
+            runs.append([i, j, 1])
+    out: list[list[int]] = []
+    for i, j, n in reversed(runs):
+        if out:
+            i2, j2, n2 = out[-1]
+            if (i + n == i2 and b[j2 - n:j2] == a[i:i + n]) or (j + n == j2 and a[i2 - n:i2] == b[j:j + n]):
+                out[-1] = [i2 - n, j2 - n, n2 + n]
+                continue
+        out.append([i, j, n])
+    return [(i + k, j + k) for i, j, n in reversed(out) for k in range(n)]
+
+
+def patience(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
+    """Patience diff of two line lists: aligned (position in a, position in b) in order."""
+    out, gaps = [], [(0, len(a), 0, len(b))]
+    while gaps:
+        lo, hi, o_lo, o_hi = gaps.pop()
+        while lo < hi and o_lo < o_hi and a[lo] == b[o_lo]:
+            out.append((lo, o_lo))
+            lo, o_lo = lo + 1, o_lo + 1
+        while lo < hi and o_lo < o_hi and a[hi - 1] == b[o_hi - 1]:
+            hi, o_hi = hi - 1, o_hi - 1
+            out.append((hi, o_hi))
+        here: dict[bytes, int] = {}
+        there: dict[bytes, int] = {}
+        for i in range(lo, hi):
+            here[a[i]] = -1 if a[i] in here else i
+        for j in range(o_lo, o_hi):
+            there[b[j]] = -1 if b[j] in there else j
+        unique = [(i, there[k]) for k, i in here.items() if i >= 0 and there.get(k, -1) >= 0]
+        if unique:
+            anchors = [unique[k] for k in longest_increasing([j for _, j in unique])]
+            out += anchors
+            edges = [(lo - 1, o_lo - 1), *anchors, (hi, o_hi)]
+            gaps += [(i0 + 1, i1, j0 + 1, j1) for (i0, j0), (i1, j1) in zip(edges, edges[1:])]
+        elif both := here.keys() & there.keys():
+            i_at, j_at = [i for i in range(lo, hi) if a[i] in both], [j for j in range(o_lo, o_hi) if b[j] in both]
+            out += [(i_at[i], j_at[j]) for i, j in common_subsequence([a[i] for i in i_at], [b[j] for j in j_at])]
+    return joined_runs(sorted(out), a, b)
+
+
 def pair_cut(keys: list[bytes], words: list[int], others: list[bytes], min_words: int) -> list[int]:
     """The line numbers that a document loses to an earlier one."""
-    def numbered(own: list[bytes]) -> dict[tuple[bytes, int], int]:
-        at: dict[bytes, int] = {}
-        out = {}
-        for p, k in enumerate(own):
-            at[k] = at.get(k, 0) + 1
-            out[k, at[k]] = p
-        return out
-
-    mine, theirs = numbered(keys), numbered(others)
-    return common_blocks([(p, theirs[x], (x[0], 2) not in mine and (x[0], 2) not in theirs, words[p])
-                          for x, p in mine.items() if x in theirs], min_words)
+    return enough(patience(keys, others), words, min_words)
 
 
 def aligned_cuts(pairs: DataFrame, lists: DataFrame, min_words: int) -> DataFrame:
