@@ -244,33 +244,47 @@ def _entropy() -> Column:
     return F.when(total > 1, F.greatest(spread, F.lit(0.0)) / F.log(total)).otherwise(F.lit(1.0))
 
 
-def importance(counts: DataFrame, depth: int = 8) -> DataFrame:
+def importance(counts: DataFrame) -> DataFrame:
     """(host, path, parent, pages, importance, best, in_article) for every node; best is the
-    greatest importance of the node and those below. Children's values reach their parents
-    in ``depth`` steps."""
+    greatest importance of the node and those below. A node's importance is linear in its
+    children's, so values climb by doubled steps: links lead from a node to the one 2^k levels
+    above, with its share in that one's importance, until no path is so deep."""
     nodes = counts.groupBy("host", "path", "kind").agg(
         F.min("parent").alias("parent"), F.sum("n").alias("pages"), F.count("*").alias("styles"), _entropy().alias("h"),
         F.max("article").alias("article"))
-    by_path = nodes.groupBy("host", "path").agg(
+    by_path = write_shared(nodes.groupBy("host", "path").agg(
         F.min("parent").alias("parent"), F.max("pages").alias("pages"), F.max("article").alias("in_article"),
         F.max(F.when(F.col("kind") == "P", F.col("h"))).alias("presentation"),
         F.max(F.when(F.col("kind") == "P", F.col("styles"))).alias("styles"),
         F.max(F.when(F.col("kind") == "C", F.col("h"))).alias("content"),
-        F.max(F.when(F.col("kind") == "C", F.col("pages"))).alias("texts"))
-    own = F.coalesce("content", "presentation")
-    now = write_shared(by_path.withColumn("importance", own).withColumn("best", own), "style-nodes")
-    for step in range(depth):
-        below = now.where("path <> parent").groupBy("host", F.col("parent").alias("path")).agg(
-            (F.sum(F.col("importance") * F.col("pages")) / F.sum("pages")).alias("below"), F.sum("pages").alias("weight"),
-            F.max("best").alias("best_below"))
-        fade = F.pow(F.lit(DECAY), F.least("styles", F.lit(50)))
-        mixed = F.when(F.col("below").isNull(), own).otherwise(
-            (1 - fade) * F.coalesce("presentation", F.lit(0.0)) + fade * F.when(F.col("content").isNull(), F.col("below")).otherwise(
-                (F.col("below") * F.col("weight") + F.col("content") * F.col("texts")) / (F.col("weight") + F.col("texts"))))
-        now = now.join(below, ["host", "path"], "left").withColumn("importance", mixed).withColumn(
-            "best", F.greatest("importance", "best_below")).select(*now.columns)
-        if step % 3 == 2:
-            now = write_shared(now, "style-nodes")
+        F.max(F.when(F.col("kind") == "C", F.col("pages"))).alias("texts")), "style-nodes")
+    below = by_path.where("path <> parent").groupBy("host", F.col("parent").alias("path")).agg(F.sum("pages").alias("weight"))
+    fade = F.pow(F.lit(DECAY), F.least("styles", F.lit(50)))
+    whole = F.col("weight") + F.coalesce("texts", F.lit(0))
+    alone = (1 - fade) * F.coalesce("presentation", F.lit(0.0)) + fade * F.coalesce(F.col("content") * F.col("texts"), F.lit(0.0)) / whole
+    now = write_shared(by_path.join(below, ["host", "path"], "left").withColumn(
+        "importance", F.when(F.col("weight").isNull(), F.coalesce("content", "presentation")).otherwise(alone)).withColumn(
+        "passes", fade / whole), "style-nodes")
+    links = write_shared(now.where("path <> parent").select("host", "path", F.col("parent").alias("up"), "pages").join(
+        now.select("host", F.col("path").alias("up"), "passes"), ["host", "up"]).select(
+        "host", "path", "up", (F.col("pages") * F.col("passes")).alias("share")), "style-links")
+    steps = []
+    # a path is shorter than the table; only paths that collide in their hashes go on for ever
+    for _ in range(by_path.count().bit_length()):
+        if links.isEmpty():
+            break
+        steps.append(links)
+        add = now.join(links, ["host", "path"]).groupBy("host", F.col("up").alias("path")).agg(
+            F.sum(F.col("importance") * F.col("share")).alias("add"))
+        now = write_shared(now.join(add, ["host", "path"], "left").withColumn(
+            "importance", F.col("importance") + F.coalesce("add", F.lit(0.0))).drop("add"), "style-nodes")
+        above = links.selectExpr("host", "path as up", "up as top", "share as more")
+        links = write_shared(links.join(above, ["host", "up"]).select(
+            "host", "path", F.col("top").alias("up"), (F.col("share") * F.col("more")).alias("share")), "style-links")
+    now = now.withColumn("best", F.col("importance"))
+    for links in steps:
+        add = now.join(links, ["host", "path"]).groupBy("host", F.col("up").alias("path")).agg(F.max("best").alias("add"))
+        now = write_shared(now.join(add, ["host", "path"], "left").withColumn("best", F.greatest("best", "add")).drop("add"), "style-nodes")
     return now
 
 
