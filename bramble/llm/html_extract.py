@@ -13,6 +13,8 @@ template, and removed, where its node and all nodes below stay under ``low`` on
 
 Besides, elements that say what they are go first: navigation, header, footer, aside, forms,
 scripts, styles, and classes, ids or roles such as advert, menu, sidebar, notice or comments.
+A layout word on a div or section does not remove an article or main element inside where the
+page has no other, and names such as has-sidebar or content-sidebar-wrap mark nothing.
 Where a page has an article (or main) element, its text is what is left in there; branches
 inside are removed only under ``LOW_IN_ARTICLE``.
 
@@ -63,6 +65,11 @@ masthead menu menubar modal nav navbar navigation newsletter notice notices page
 recommendations related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription
 toolbar topbar widget widgets""".split())
 LAYOUT = frozenset("footer header menu nav navbar sidebar toolbar topbar widget widgets".split())
+# words by which a name tells of a state, such as has-sidebar or comments-open, and of a wrapper
+STATES = frozenset("closed has no open with without".split())
+WRAPS = frozenset("container layout wrap wrapper".split())
+# an element's text: kept, kept where no other article is, dropped but for an article inside, dropped
+KEPT, RESCUED, SOFT, HARD = range(4)
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
@@ -79,22 +86,29 @@ def attributes(text: str) -> dict[str, str]:
     return out
 
 
-def marked(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
-    """Whether the element says that it isn't main text."""
+def marked(tag: str, attrs: dict[str, str], in_article: bool) -> int:
+    """Whether the element says that it isn't main text: HARD, or SOFT where a layout word of
+    a div or section says so, which an article inside outweighs."""
     if tag in NOT_TEXT or (tag == "header" and not in_article):
-        return True
+        return HARD
     if not attrs or tag in ("html", "body"):
-        return False
+        return KEPT
     if attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-        return True
+        return HARD
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
-        return True
-    words = {w.lower() for k in ("class", "id") for w in _WORD.findall(attrs.get(k, ""))}
+        return HARD
+    words: set[str] = set()
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        own = [w.lower() for w in _WORD.findall(name)]
+        if tag in ("div", "section") and (not STATES.isdisjoint(own) or own[:1] == ["content"] and own[-1] in WRAPS):
+            own = [w for w in own if w not in LAYOUT and w not in ("comment", "comments")]  # tells of the layout inside
+        words.update(own)
     if tag in ("article", "main"):
         words -= LAYOUT  # "with-sidebar" and the like tell of the layout around it
     elif in_article:
         words.discard("header")  # the head of the article itself
-    return not MARKS.isdisjoint(words)
+    marks = words & MARKS
+    return HARD if marks - LAYOUT or (marks and (in_article or tag not in ("div", "section"))) else SOFT if marks else KEPT
 
 
 class Page:
@@ -105,13 +119,19 @@ class Page:
         self.blocks: list[tuple[int, str, bool]] = []
         self.parents: dict[int, int] = {0: 0}
         self.sequences: list[tuple[int, int]] = []
-        # open elements: tag, path hash, marked, in article, hash of the children so far
-        self.open: list[list] = [["", 0, False, False, 0]]
+        # articles in wrappers with a layout word: used where the page has no other
+        self.rescued: list[tuple[int, str, bool]] = []
+        self.rescued_sequences: list[tuple[int, int]] = []
+        # open elements: tag, path hash, mark, in article, hash of the children so far
+        self.open: list[list] = [["", 0, KEPT, False, 0]]
         self.text: list[str] = []
         self.parse(html)
         while len(self.open) > 1:
             self.close()
         self.flush()
+        if not any(article for _, _, article in self.blocks):
+            self.blocks += self.rescued
+            self.sequences += self.rescued_sequences
 
     def flush(self) -> None:
         if self.text:
@@ -119,8 +139,8 @@ class Page:
             self.text = []
             if words:
                 _, path, removed, article, _ = self.holder
-                if not removed:
-                    self.blocks.append((path, words, article))
+                if removed <= RESCUED:
+                    (self.rescued if removed else self.blocks).append((path, words, article))
 
     def block_parent(self) -> list:
         return next(x for x in reversed(self.open) if x[0] not in INLINE)
@@ -129,12 +149,12 @@ class Page:
         tag, path, removed, _, children = self.open[-1]
         if tag not in INLINE:
             self.flush()
-            if not removed:
-                self.sequences.append((path, children))
+            if removed <= RESCUED:
+                (self.rescued_sequences if removed else self.sequences).append((path, children))
         self.open.pop()
 
     def say(self, text: str) -> None:
-        if text and not self.open[-1][2]:
+        if text and self.open[-1][2] <= RESCUED:
             if not self.text:
                 self.holder = self.block_parent()
             self.text.append(text)
@@ -151,7 +171,7 @@ class Page:
             if tag == "br":
                 self.say(" ")
             if tag not in VOID:
-                self.open.append([tag, parent[1], parent[2] or marked(tag, attrs, parent[3]), parent[3], 0])
+                self.open.append([tag, parent[1], max(parent[2], marked(tag, attrs, parent[3])), parent[3], 0])
             return
         self.flush()
         look = " ".join([tag, *sorted({w.lower() for w in _WORD.findall(attrs.get("class", "")) if not w.isdigit()})])
@@ -160,8 +180,11 @@ class Page:
         holder[4] = zlib.crc32(look.encode("utf-8", "replace"), holder[4])
         if tag in VOID:
             return
-        removed = parent[2] or marked(tag, attrs, parent[3])
+        mark = marked(tag, attrs, parent[3])
+        removed = max(parent[2], mark)
         article = parent[3] or tag in ("article", "main") or attrs.get("role", "").lower() == "main" or attrs.get("itemprop") == "articleBody"
+        if article and removed == SOFT and mark == KEPT and not parent[3]:
+            removed = RESCUED
         self.parents.setdefault(path, holder[1])
         self.open.append([tag, path, removed, article, 0])
 
