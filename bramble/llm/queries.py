@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bramble.llm import (exact_dedup, html_extract, license_scan, line_dedup, packing, quality_classifier,
+from bramble.llm import (byte_bpe, exact_dedup, html_extract, license_scan, line_dedup, packing, quality_classifier,
                          quality_rules, sentencepiece_codec, simhash, substring_dedup)
 from bramble.llm.shared import table
 
@@ -52,6 +52,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_html_extract": op2_html_extract,
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
