@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bramble.llm import (byte_bpe, exact_dedup, html_extract, license_scan, line_dedup, packing, quality_classifier,
+from bramble.llm import (byte_bpe, conversation_repair, exact_dedup, html_extract, license_scan, line_dedup, packing, quality_classifier,
                          quality_rules, sentencepiece_codec, simhash, substring_dedup)
 from bramble.llm.shared import table
 
@@ -56,6 +56,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_html_extract": op2_html_extract,
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_substring_dedup": op10_substring_dedup,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
