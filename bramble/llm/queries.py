@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bramble.llm import (byte_bpe, conversation_repair, exact_dedup, html_extract, license_scan, line_dedup, packing, quality_classifier,
+from bramble.llm import (byte_bpe, collocations, conversation_repair, exact_dedup, html_extract, license_scan, line_dedup, packing, quality_classifier,
                          quality_rules, sentencepiece_codec, simhash, substring_dedup)
 from bramble.llm.shared import table
 
@@ -52,6 +52,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_conversation_repair": op13_conversation_repair,
 }
@@ -80,4 +85,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_quality_rules": quality_rules.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_phrase_collocations": collocations.ORACLE,
 }
