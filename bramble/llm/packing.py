@@ -12,7 +12,9 @@ whose lengths are powers of two, which need no padding.
 
 Token ids come from the byte-level BPE vocabulary; the fast ``tiktoken`` reader of the same
 vocabulary gives the same ids as ``tokenizers`` (a test compares them), with its one special
-token read where its string stands in a text, as there. Every document ends with id 0.
+token read where its string stands in a text, as there. Where its matcher gives up (runs of
+white space of a million characters), ``tokenizers`` reads the text. Every document ends with
+id 0.
 
 Null text counts as empty (id 0 alone); repeated rows and null doc_ids are packed like
 others; an empty table gives an empty result; other columns are not read.
@@ -43,6 +45,22 @@ def tokenizer(ranks_path: str | None = None):
                              special_tokens={"<|endoftext|>": 50256})
 
 
+class Encoder:
+    """Ids of a text by the fast reader, or by ``tokenizers`` where its matcher runs out of stack."""
+
+    def __init__(self, ranks_path: str | None = None, json_path: str | None = None):
+        self.fast, self.json_path, self.slow = tokenizer(ranks_path), json_path, None
+
+    def __call__(self, text: str) -> list[int]:
+        try:
+            return self.fast.encode(text, allowed_special="all")
+        except ValueError:
+            if self.slow is None:
+                from tokenizers import Tokenizer
+                self.slow = Tokenizer.from_file(self.json_path or public_tokenizers.path("byte_bpe_50k.json"))
+            return self.slow.encode(text, add_special_tokens=False).ids
+
+
 class Tournament:
     """First bin with room: leaves hold the room of each bin, parents the larger child's."""
 
@@ -138,7 +156,8 @@ def pack_group(lengths: list[int], length: int = LENGTH) -> list[list[Piece]]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-         group_docs: int = 512, group_tokens: int = 1 << 22, ranks_path: str | None = None) -> DataFrame:
+         group_docs: int = 512, group_tokens: int = 1 << 22, ranks_path: str | None = None,
+         json_path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     groups = max(1, -(-docs.count() // group_docs))
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -149,7 +168,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     schema = pa.schema([(n, pa.int64()) for n in names])
 
     def run(it):
-        encode = tokenizer(ranks_path).encode
+        encode = Encoder(ranks_path, json_path)
         group, next_id, ids, tokens, held = None, 0, [], [], 0
 
         def packed():
@@ -172,7 +191,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
                     yield out
                     next_id, ids, tokens, held = (next_id + used if g == group else 0), [], [], 0
                 group = g
-                t = np.array([*encode(utf8(text).decode("utf-8", "replace"), allowed_special="all"), END], "<u4")
+                t = np.array([*encode(utf8(text).decode("utf-8", "replace")), END], "<u4")
                 ids.append(doc_id)
                 tokens.append(t)
                 held += len(t)

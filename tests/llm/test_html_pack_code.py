@@ -95,9 +95,10 @@ def check_pieces(rows, got, encode):
     texts = {}
     for d, t in rows:
         texts.setdefault(d, set()).add(t or "")
+    made = {t: np.array(encode(t) + [0], "<u4") for own in texts.values() for t in own}
     sequences, total = {}, 0
     for r in got:
-        options = [np.array(encode(t) + [0], "<u4") for t in texts[r.doc_id]]
+        options = [made[t] for t in texts[r.doc_id]]
         assert any(len(a) == r.doc_tokens and zlib.crc32(a[r.start:r.start + r.length].tobytes()) == r.ids_crc32 for a in options)
         sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
         total += r.length

@@ -8,46 +8,13 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_mod
 import corpus_pipeline
-from bramble.llm import line_dedup, queries
+from bramble.llm import queries
 from bramble.llm.shared import write_shared
 from conftest import SF_MID, SF_SMALL
 from helpers import components, documents, fingerprint, odd_rows, without_repeats
 from oracle_harness import compare, duck
 from test_html_pack_code import check_pieces
-
-
-def brute_lines(texts: dict) -> dict:
-    """Texts without the aligned blocks that they share with earlier documents."""
-    held: dict = {}
-    lines: dict = {}
-    for d in sorted(texts):
-        own = [x for x in (texts[d] or "").split("\n") if x.encode().split()]
-        seen: dict = {}
-        lines[d] = []
-        for p, x in enumerate(own):
-            seen[x] = seen.get(x, 0) + 1
-            lines[d].append((x, seen[x], own.count(x) == 1))
-            held.setdefault((x, seen[x]), []).append((d, p, own.count(x) == 1))
-    pairs: dict = {}
-    for d, own in lines.items():
-        for p, (x, n, alone) in enumerate(own):
-            earlier = [h for h in held[x, n] if h[0] < d]
-            if len(held[x, n]) > line_dedup.RARE_DOCS:
-                earlier = earlier[:1]
-            for o, q, o_alone in earlier:
-                pairs.setdefault((d, o), []).append((p, q, alone and o_alone, len(x.encode().split())))
-    gone: dict = {}
-    for (d, _), matches in pairs.items():
-        gone.setdefault(d, set()).update(line_dedup.common_blocks(matches, line_dedup.MIN_WORDS))
-    out = {}
-    for d, t in texts.items():
-        p, kept = -1, []
-        for x in (t or "").split("\n"):
-            p += bool(x.encode().split())
-            if not (x.encode().split() and p in gone.get(d, ())):
-                kept.append(x)
-        out[d] = "\n".join(kept)
-    return out
+from test_line_pairs import brute_all_pairs
 
 
 def test_stages_equal_brute_force(spark):
@@ -63,7 +30,7 @@ def test_stages_equal_brute_force(spark):
     texts = {n: {r.doc_id: r.text for r in df.collect()} for n, df in out.items() if n != "packing"}
     scored = queries.op4_quality_classifier(spark, sf).collect()
     assert set(texts["quality_classifier"]) == {r.doc_id for r in scored if r.predicted == 1}
-    assert texts["line_dedup"] == brute_lines(texts["quality_classifier"])
+    assert texts["line_dedup"] == brute_all_pairs(texts["quality_classifier"])
     fps = {d: fingerprint(t) for d, t in texts["line_dedup"].items()}
     group = components(sorted(fps), lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 4)
     assert texts["simhash_near_dedup"] == {d: t for d, t in texts["line_dedup"].items() if group[d] == d}
@@ -100,10 +67,11 @@ def test_good_documents_stay(spark):
 @pytest.mark.parametrize("key", sorted(queries.QUERIES))
 def test_queries_cover_whole_tables(spark, key):
     got = entry_mod.queries()[key](spark, SF_SMALL)
-    tables = duck(SF_SMALL)
-    n = tables.execute(f"select count(*) from {'pages' if key.startswith('op2_') else 'documents'}").fetchone()[0]
+    of = {"op2": "count(*) from pages", "op11": "count(distinct lang) from documents", "op13": "count(distinct conv_id) from conversations"}
+    n = duck(SF_SMALL).execute(f"select {of.get(key.split('_')[0], 'count(*) from documents')}").fetchone()[0]
     rows = got.collect()
-    assert (len({r.doc_id for r in rows}) if key.startswith("op6_") else len(rows)) == n
+    distinct = {"op6": "doc_id", "op11": "lang"}.get(key.split("_")[0])
+    assert (len({r[distinct] for r in rows}) if distinct else len(rows)) == n
 
 
 @pytest.mark.parametrize("key", sorted(queries.ORACLE_SQL))
@@ -115,7 +83,6 @@ def test_oracle(spark, key):
     assert ok, msg
 
 
-
 def test_contract_names():
     names = set(entry_mod.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
