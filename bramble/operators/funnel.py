@@ -1,5 +1,4 @@
-"""Clickstream operators: product funnel, ordered concatenation, visit summary with
-campaign attribution, conversion metrics."""
+"""Clickstream operators: product funnel, ordered concatenation, conversion metrics."""
 
 from __future__ import annotations
 
@@ -61,29 +60,6 @@ def ordered_concat(df: DataFrame, by: Sequence[str] | str, values: dict[str, Col
     return whole.select("_key.*", *[text("_slices", f"_v_{a}").alias(a) for a in values])
 
 
-def attribute_interval(df: DataFrame, at: str, intervals: DataFrame, name: str,
-                       start: str, end: str, max_intervals: int = 100_000) -> DataFrame:
-    """Left range join: the interval whose [start, end] (inclusive) contains ``at``; if
-    several do, the one with the earliest start, then the smallest name, then the earliest end.
-
-    ``intervals`` is a calendar (a campaign list, not data that grow with the events) and is
-    broadcast; ``max_intervals`` rows are the proven bound, more raise an error. A broadcast
-    nested-loop left join finds candidates and a broadcast anti join drops candidates
-    beaten by an earlier overlapping interval. No shuffle of ``df``.
-    """
-    if intervals.limit(max_intervals + 1).count() > max_intervals:
-        raise ValueError(f"more than {max_intervals} intervals")
-    iv = F.broadcast(intervals.select(F.col(name).alias("_name"), F.col(start).alias("_s"),
-                                      F.col(end).alias("_e")))
-    iv2 = F.broadcast(intervals.select(F.col(name).alias("_name2"), F.col(start).alias("_s2"),
-                                       F.col(end).alias("_e2")))
-    cand = df.join(iv, F.col(at).between(F.col("_s"), F.col("_e")), "left")
-    beaten = (F.col(at).between(F.col("_s2"), F.col("_e2"))
-              & ((F.col("_s2") < F.col("_s")) | ((F.col("_s2") == F.col("_s")) & (F.col("_name2") < F.col("_name")))))
-    best = cand.join(iv2, beaten, "left_anti")
-    return best.drop("_s", "_e").withColumnRenamed("_name", name)
-
-
 def conversion_metrics(df: DataFrame, by: Sequence[str], user: str, visit: str,
                        steps: dict[str, str], means: dict[str, str],
                        rates: dict[str, tuple[str, str]]) -> DataFrame:

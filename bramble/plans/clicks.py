@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
 from bramble.operators.aggregates import conditional_counts, count_by_lookup, count_distinct, distinct_by_period
-from bramble.operators.funnel import attribute_interval, conversion_metrics, funnel, ordered_concat
+from bramble.operators.funnel import conversion_metrics, funnel, ordered_concat
+from bramble.operators.intervals import attribute_interval
 from bramble.operators.ranking import leaders, top_n
 from bramble.operators.sequences import later_pairs, time_rank
 from bramble.operators.shares import share_of_total
@@ -161,8 +162,8 @@ def cart_contents(clicks: DataFrame, pages: DataFrame) -> DataFrame:
 def campaign_visits(clicks: DataFrame, users: DataFrame, campaigns: DataFrame) -> DataFrame:
     """One row per (user, visit): start time, campaign running at the visit start and event
     counts by type. Events are aggregated to the visit once, users are joined to the
-    per-visit rows, and the campaign calendar is matched by a broadcast range join on the
-    visit start. Precondition (true for cookie-based visits): a visit belongs to one cookie."""
+    per-visit rows, and the campaign calendar is matched by an interval lookup of the visit
+    start. Precondition (true for cookie-based visits): a visit belongs to one cookie."""
     counts = {"view_product": VIEW, "add_cart": ADD, "purchases": PURCHASE,
               "impressions": IMPRESSION, "clicks": CLICK}
     visits = clicks.groupBy("visit_id", "cookie_id").agg(

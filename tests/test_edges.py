@@ -11,7 +11,8 @@ from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
 from bramble.operators.basket import basket_combinations
-from bramble.operators.funnel import attribute_interval, ordered_concat
+from bramble.operators.funnel import ordered_concat
+from bramble.operators.intervals import attribute_interval
 from bramble.operators.payments import drift_month_dates, payment_schedule
 from bramble.operators.ranking import nearest_rank, top_per_group
 from bramble.operators.sequences import later_pairs, nth_in_order
