@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
-from bramble.operators.skew import add_buckets
+from bramble.operators.skew import add_buckets, hot_splits
 
 
 def funnel(events: DataFrame, item: Sequence[str], visit: str, view: Column, add: Column,
@@ -46,7 +46,8 @@ def ordered_concat(df: DataFrame, by: Sequence[str] | str, values: dict[str, Col
     order columns as numbers, see :mod:`bramble.operators.skew`); each slice is sorted and
     joined to text by itself, then the slices' texts are joined in order."""
     by = [by] if isinstance(by, str) else list(by)
-    rows = add_buckets(df.withColumn("_key", F.struct(*by)), "_key", ranks, **split_kw)
+    keyed = df.withColumn("_key", F.struct(*by))
+    splits = hot_splits(keyed, "_key", ranks, **split_kw)
 
     def text(sorted_rows: str, field: str) -> Column:
         some = F.filter(F.transform(F.col(sorted_rows), lambda x: x[field]), lambda v: v.isNotNull())
@@ -54,6 +55,10 @@ def ordered_concat(df: DataFrame, by: Sequence[str] | str, values: dict[str, Col
 
     one = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                    *[v.cast("string").alias(f"_v_{a}") for a, v in values.items()])
+    if not splits:
+        return (df.groupBy(*by).agg(F.array_sort(F.collect_list(one)).alias("_rows"))
+                .select(*by, *[text("_rows", f"_v_{a}").alias(a) for a in values]))
+    rows = add_buckets(keyed, "_key", ranks, splits)
     slices = (rows.groupBy("_key", "_b").agg(F.array_sort(F.collect_list(one)).alias("_rows"))
               .select("_key", F.struct("_b", *[text("_rows", f"_v_{a}").alias(f"_v_{a}") for a in values]).alias("_slice")))
     whole = slices.groupBy("_key").agg(F.array_sort(F.collect_list("_slice")).alias("_slices"))

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bramble.operators.skew import bind
 from bramble.sources.shared import stored
 
 FANOUT = 1024
@@ -74,7 +75,8 @@ def _at_or_before(starts: Column, x: Column, fanout: int, field: str | None = No
         return item[field] if field else item
 
     jumps = F.array(*[F.lit(1 << j) for j in range(fanout.bit_length(), -1, -1)])
-    return F.aggregate(jumps, F.lit(0), lambda n, jump: F.when((n + jump <= size) & (start(n + jump - 1) <= x), n + jump).otherwise(n))
+    return bind(x, lambda v: F.aggregate(
+        jumps, F.lit(0), lambda n, jump: F.when((n + jump <= size) & (start(n + jump - 1) <= v), n + jump).otherwise(n)))
 
 
 def attribute_interval(df: DataFrame, at: str, intervals: DataFrame, name: str, start: str, end: str,
