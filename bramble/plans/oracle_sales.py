@@ -188,6 +188,13 @@ WITH wide AS (
 SELECT pr.product_id, CAST(pr.price AS DOUBLE) AS price, w.product_name, w.category_id, w.segment_id,
        w.style_id, w.category_name, w.segment_name, w.style_name
 FROM wide w LEFT JOIN product_prices pr ON pr.id = w.style_id""",
+    "hierarchy_paths": """
+WITH RECURSIVE walk AS (
+  SELECT id, id AS root_id, CAST(0 AS BIGINT) AS depth, level_text AS path FROM product_hierarchy WHERE parent_id IS NULL
+  UNION ALL
+  SELECT h.id, w.root_id, w.depth + 1, w.path || ' > ' || h.level_text
+  FROM walk w JOIN product_hierarchy h ON h.parent_id = w.id)
+SELECT id, root_id, depth, path FROM walk""",
     # monthly report (month only, all years, as the routines filter)
     "report_total_qty": _scalar("total_qty"),
     "report_gross_revenue": _scalar("rev_before_discount"),

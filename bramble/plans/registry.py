@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bramble.operators.hierarchy import paths
 from bramble.plans import sales as S
 from bramble.plans.clicks import QUERIES as CLICK_QUERIES
 from bramble.plans.subscriptions import QUERIES as SUB_QUERIES
@@ -43,17 +44,18 @@ def _txn(fn, *args, **kw) -> Query:
 
 
 def _month_txn(fn, *args, **kw) -> Query:
-    """Lines are combined per transaction before they meet the month's transactions."""
+    """Lines of the month only: they meet the month's transactions before anything is combined
+    or dealt out."""
     def q(spark, sf_dir):
         fx = _fx(spark, sf_dir)
-        return fn(fx.sales_lines, *args, txns=S.month_sales(fx.transactions, REPORT_MONTH), **kw)
+        return fn(S.month_lines(fx.sales_lines, fx.transactions, REPORT_MONTH), *args, **kw)
     return q
 
 
 def _month_txn_prod(fn, *args, **kw) -> Query:
     def q(spark, sf_dir):
         fx = _fx(spark, sf_dir)
-        return fn(fx.sales_lines, fx.product_details, *args, txns=S.month_sales(fx.transactions, REPORT_MONTH), **kw)
+        return fn(S.month_lines(fx.sales_lines, fx.transactions, REPORT_MONTH), fx.product_details, *args, **kw)
     return q
 
 
@@ -74,6 +76,10 @@ def _hierarchy(spark, sf_dir):
     return S.hierarchy_flatten(fx.product_hierarchy, fx.product_prices)
 
 
+def _hierarchy_paths(spark, sf_dir):
+    return paths(_fx(spark, sf_dir).product_hierarchy)
+
+
 _scalars = _month_txn(S.report_scalars)
 _totals = _month_txn(S.report_totals)
 
@@ -100,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "product_penetration": _lines_prod(S.product_penetration),
     "basket_top_triples": _lines_prod(S.basket_top_triples, 10),
     "hierarchy_flatten": _hierarchy,
+    "hierarchy_paths": _hierarchy_paths,
     # sales: monthly report
     "report_total_qty": _select(_totals, "total_qty"),
     "report_gross_revenue": _select(_totals, "rev_before_discount"),
