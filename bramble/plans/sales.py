@@ -221,6 +221,14 @@ def report_scalars(ms: DataFrame, percentiles: Sequence[int] = PERCENTILES, roun
                       "avg_discount")
 
 
+def month_lines(lines: DataFrame, txns: DataFrame, month: int, year: int | None = None) -> DataFrame:
+    """Lines of the month's transactions, with member. The join stands directly on the scan of
+    the lines: a month that fits is broadcast, so other months' lines go no further than their
+    scan; above that, Spark puts a Bloom filter of the month's transactions below the lines'
+    exchange (spark.sql.optimizer.runtime.bloomFilter, thresholds in bramble.session)."""
+    return lines.join(month_sales(txns, month, year).select("txn_id", "member"), "txn_id")
+
+
 def monthly_report(sales: DataFrame, products: DataFrame, month: int, year: int | None = None,
                    top: int = 3, rounded: bool = True, txns: DataFrame | None = None,
                    percentiles: Sequence[int] = PERCENTILES) -> dict[str, DataFrame]:
@@ -230,8 +238,8 @@ def monthly_report(sales: DataFrame, products: DataFrame, month: int, year: int
         ms, mt = month_sales(sales, month, year), None
         lines = ms
     else:
-        ms, mt = sales, month_sales(txns, month, year)
-        lines = sales.join(mt.select("txn_id"), "txn_id", "left_semi")
+        ms, mt = month_lines(sales, txns, month, year), None
+        lines = ms
     scal = report_scalars(ms, percentiles, rounded, mt)
     totals_only = report_totals(ms, mt, rounded)
     out = {c: (totals_only if c in totals_only.columns else scal).select(c) for c in scal.columns}

@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a month's transactions may be large and still prune the lines; the filter itself is bounded
+    # (8 MB, good for some ten million transactions) and never drops a match
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64g",
 }
 
 

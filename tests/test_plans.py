@@ -59,3 +59,24 @@ def test_basket_plan_stays_small(spark):
     p = _plan(entry_mod.queries()["basket_top_triples"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
     assert p.count("FileScan parquet") <= 40
+
+
+def test_month_filter_stands_on_the_scan_of_the_lines(spark):
+    """Other months' lines go no further than their scan: by a broadcast, or by a Bloom filter
+    below the first exchange where the month's transactions are too many for one."""
+    fx = Tables(spark, SF_SMALL).fixtures
+    p = S.report_totals(S.month_lines(fx.sales_lines, fx.transactions, 3))._jdf.queryExecution().optimizedPlan().toString()
+    assert p.index("Aggregate") < p.index("Join") < p.index("l_orderkey")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+            "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = S.report_totals(S.month_lines(fx.sales_lines, fx.transactions, 3, 1998))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("SortMergeJoin"):]
+        assert "might_contain" in below.split("FileScan")[0]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
