@@ -17,6 +17,7 @@ from bramble.functions.columns import in_year, money, pct1
 from bramble.operators.aggregates import (bucketize, count_distinct, counts_with_totals, distinct_by_period,
                                           distinct_flags, distinct_share)
 from bramble.operators.funnel import ordered_concat
+from bramble.operators.payment_rules import required_payments
 from bramble.operators.payments import churn_over, payment_schedule
 from bramble.operators.sequences import last_as_of, mean_time_since_first, nth_in_order, time_since_first
 from bramble.sources.fixtures import CHURN, PRO_ANNUAL, REPORT_YEAR, SINCE_DATE, TRIAL, BASIC_MONTHLY, PRO_MONTHLY
@@ -132,6 +133,11 @@ def payments_all(subs: DataFrame, plans: DataFrame) -> DataFrame:
     return payment_schedule(subs, plans, subs.agg(F.max("start_date")))
 
 
+def payments_required(subs: DataFrame, plans: DataFrame) -> DataFrame:
+    """Payments by the stated billing rules, up to the last start date of the log."""
+    return required_payments(subs, plans, subs.agg(F.max("start_date")))
+
+
 def present(p: DataFrame) -> DataFrame:
     """Payments with the amount as DOUBLE."""
     return p.withColumn("amount", money("amount"))
@@ -195,6 +201,7 @@ QUERIES = {
     "downgrades_in_year": _s(downgrades_in_year),
     "payments_year": _sp(lambda s, p: present(payments_year(s, p))),
     "payments_all": _sp(lambda s, p: present(payments_all(s, p))),
+    "payments_required": _sp(lambda s, p: present(payments_required(s, p))),
     "revenue_by_month": _rev,
     "monthly_churn": _churn,
 }
