@@ -6,22 +6,30 @@
    more than ``bucket_capacity`` distinct keys are split into two one bit longer. The
    directory maps every slot (prefix of the deepest length) to its bucket; it has one row
    per ``bucket_capacity`` keys or so.
-3. Texts are grouped by (bucket, key, normalised text): Spark compares the bytes, and the
-   map-side combine turns a hot text into one row per task before the shuffle. What is left
-   is one chain entry per different text; entries with the same key form a collision chain.
+3. Texts are grouped by (key, normalised text): Spark compares the bytes, and the map-side
+   combine turns a hot text into one row per task before the shuffle. What is left is one
+   chain entry per different text; entries with the same key form a collision chain.
 4. Owner tasks take contiguous key ranges, number the chains and write the index files,
    one folder per bucket.
-5. Entries look their text up in the index by (bucket, key, sha256).
+5. ``lookup``: an entry finds its bucket through its slot of the directory, and there the
+   chain of its key. In a chain of one entry all texts with this key are that text, by the
+   comparison of step 3. Longer chains are walked: their rows' normalised texts are read
+   again and compared byte by byte with each text of the chain.
+6. Of rows that tie in doc_id, length and text exactly one is kept.
 
 Null text counts as empty; an empty table gives an empty result; rows with a null doc_id
 take part and lose ties against rows with one; repeated rows stay separate rows of the
-result, and each row that has the kept doc_id and the kept length counts as kept. Other
-columns are not read, whatever their names.
+result, one of them kept. The id may be of any type that has an order (whole numbers of 64
+bits are compared in a hash aggregate, others in a sorted one). Other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from bramble.llm.shared import whole_text, write_shared
 
@@ -85,29 +93,69 @@ def _unrank() -> list[Column]:
             F.expr(f"rank div {_STEP}").alias("keep_code_points")]
 
 
+def _chains(norm: DataFrame) -> DataFrame:
+    """One row per different text: key, norm, group_size, keep_id, keep_code_points."""
+    groups = norm.groupBy("key", "norm")
+    if isinstance(norm.schema["doc_id"].dataType, IntegralType):
+        return (groups.agg(F.count("*").alias("group_size"), F.max(_rank()).alias("rank"))
+                .select("key", "norm", "group_size", *_unrank()))
+    first = F.min(F.struct((-F.col("n_code_points")).alias("less"), F.col("doc_id").isNull().alias("none"), "doc_id"))
+    return (groups.agg(F.count("*").alias("group_size"), first.alias("first"))
+            .select("key", "norm", "group_size", F.col("first.doc_id").alias("keep_id"), (-F.col("first.less")).alias("keep_code_points")))
+
+
+def _in_bucket(df: DataFrame, slots: DataFrame, depth: int) -> DataFrame:
+    """``df`` with the bucket that the directory names for its keys."""
+    return df.withColumn("slot", slot(F.col("key"), depth)).join(slots.select("slot", "bucket"), "slot").drop("slot")
+
+
+def build_index(norm: DataFrame, slots: DataFrame, depth: int) -> DataFrame:
+    """The index files: bucket, key, chain (place in the key's chain), chain_length,
+    group_size, keep_id, keep_code_points."""
+    of_key = Window.partitionBy("key")
+    entries = _chains(norm).withColumn("sha", F.sha2("norm", 256)).drop("norm")
+    entries = (_in_bucket(entries, slots, depth).repartitionByRange("key")
+               .withColumns({"chain": F.row_number().over(of_key.orderBy("sha")), "chain_length": F.count("*").over(of_key)}))
+    return write_shared(entries.select("key", "chain", "chain_length", "group_size", "keep_id", "keep_code_points", "bucket"),
+                        "exact-index", partition_by=("bucket",))
+
+
+def lookup(entries: DataFrame, norm: DataFrame, index: DataFrame, slots: DataFrame, depth: int) -> DataFrame:
+    """doc_id, n_code_points, sha, text_id, keep_id, keep_code_points, group_size per entry;
+    ``text_id`` (key, chain) names the text."""
+    told = ["doc_id", "n_code_points", "sha", "text_id", "keep_id", "keep_code_points", "group_size"]
+    alone = index.where("chain_length = 1").drop("chain_length")
+    found = (_in_bucket(entries, slots, depth).join(alone, ["bucket", "key"])
+             .withColumn("text_id", F.struct("key", "chain")).select(*told))
+    clash = index.where("chain_length > 1").select("key").distinct()
+    if clash.isEmpty():
+        return found
+    rows = norm.join(clash, "key")
+    number = F.row_number().over(Window.partitionBy("key").orderBy("norm"))
+    chain = _chains(rows).withColumn("chain", number).withColumnsRenamed({"key": "chain_key", "norm": "chain_norm"})
+    walked = (rows.join(chain, (F.col("key") == F.col("chain_key")) & (F.col("norm") == F.col("chain_norm")))
+              .withColumn("sha", F.unhex(F.sha2("norm", 256))).withColumn("text_id", F.struct("key", "chain")))
+    return found.unionByName(walked.select(*told))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                bucket_capacity: int = 1 << 20) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+                bucket_capacity: int = 1 << 20, hash_key: Callable[[str], Column] = F.xxhash64) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256. ``hash_key``
+    makes the 64-bit key of the normalised text."""
     whole = whole_text(text_col)
     norm = docs.select(F.col(id_col).alias("doc_id"), F.char_length(whole).cast("long").alias("n_code_points"),
                        normalised(text_col).alias("norm"))
-    norm = norm.withColumn("key", F.xxhash64("norm"))
+    norm = norm.withColumn("key", hash_key("norm").cast("long"))
     entries = write_shared(norm.select("doc_id", "n_code_points", "key", F.unhex(F.sha2("norm", 256)).alias("sha")),
                            "exact-entries")
     slots, depth = directory(entries.select("key").distinct(), bucket_capacity)
-
-    chains = (norm.groupBy("key", "norm").agg(F.count("*").alias("group_size"), F.max(_rank()).alias("rank"))
-              .select("key", F.unhex(F.sha2("norm", 256)).alias("sha"), "group_size", *_unrank()))
-    in_chain = Window.partitionBy("key").orderBy("sha")
-    index = (chains.withColumn("slot", slot(F.col("key"), depth)).join(slots.select("slot", "bucket"), "slot")
-             .drop("slot").repartitionByRange("key")
-             .withColumn("chain", F.row_number().over(in_chain)))
-    index = write_shared(index.select("key", "chain", "sha", "group_size", "keep_id", "keep_code_points", "bucket"),
-                         "exact-index", partition_by=("bucket",))
-
-    found = entries.join(index.select("key", "sha", "group_size", "keep_id", "keep_code_points"), ["key", "sha"])
-    holds = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_code_points") == F.col("keep_code_points"))
-    return found.select("doc_id", "keep_id", "group_size", holds.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    index = build_index(norm, slots, depth)
+    found = lookup(entries, norm, index, slots, depth).withColumn("row", F.monotonically_increasing_id())
+    found = write_shared(found, "exact-found")  # the row numbers hold from here on
+    best = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_code_points") == F.col("keep_code_points"))
+    stays = found.where(best).groupBy("text_id").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("stays"))
+    return found.join(stays, "row", "left").select(
+        "doc_id", "keep_id", "group_size", F.coalesce("stays", F.lit(False)).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 ORACLE = r"""

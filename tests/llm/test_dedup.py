@@ -122,22 +122,49 @@ def brute_exact(rows):
     groups = {}
     for d, t in rows:
         groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), d is None, d or 0, d))
-    out = []
+    out, taken = [], set()
     for d, t in rows:
         norm = re.sub(r"[\x20\x09-\x0D]", "", t or "")
         best = min(groups[norm])
-        out.append((d, best[3], len(groups[norm]), d == best[3] and -best[0] == len(t or ""), hashlib.sha256(norm.encode()).hexdigest()))
+        kept = d == best[3] and -best[0] == len(t or "") and norm not in taken
+        if kept:
+            taken.add(norm)
+        out.append((d, best[3], len(groups[norm]), kept, hashlib.sha256(norm.encode()).hexdigest()))
     return sorted(out, key=str)
 
 
 @pytest.mark.parametrize("capacity", [1 << 20, 3])
 def test_exact_dedup_odd_rows(spark, capacity):
-    docs = documents(spark, odd_rows())
+    rows = odd_rows() + [(5, "twice"), (5, "twice"), (5, "twi ce"), (None, "no id"), (None, "no id")]
+    docs = documents(spark, rows)
     got = exact_dedup.exact_dedup(docs, bucket_capacity=capacity).collect()
-    assert sorted(map(tuple, got), key=str) == brute_exact(odd_rows())
+    assert sorted(map(tuple, got), key=str) == brute_exact(rows)
     assert exact_dedup.exact_dedup(docs.limit(0)).count() == 0
 
 
+def test_exact_dedup_of_a_table_through_many_buckets(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    got = exact_dedup.exact_dedup(docs, bucket_capacity=16).collect()
+    assert sorted(map(tuple, got), key=str) == brute_exact(rows)
+
+
+def test_exact_dedup_walks_chains_of_one_key(spark):
+    """Four keys only, so nearly every chain holds several texts."""
+    rows = odd_rows() + [(100 + i, f"text {i % 40}") for i in range(200)]
+    docs = documents(spark, rows)
+    got = exact_dedup.exact_dedup(docs, bucket_capacity=2, hash_key=lambda c: F.crc32(F.encode(c, "UTF-8")) % 4).collect()
+    assert sorted(map(tuple, got), key=str) == brute_exact(rows)
+
+
+def test_exact_dedup_with_text_ids(spark):
+    rows = [("b", "x y"), ("a", "xy "), ("c", "xy"), (None, "x y"), ("a", "xy "), (None, "z")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = sorted((tuple(r)[:4] for r in exact_dedup.exact_dedup(docs).collect()), key=str)
+    assert got == sorted([("b", "a", 5, False), ("a", "a", 5, True), ("c", "a", 5, False), (None, "a", 5, False), ("a", "a", 5, False),
+                          (None, None, 1, True)], key=str)
+
+
 def test_directory_splits_only_overfull_buckets(spark):
     # 40 keys under prefix 00..., 2 under 11...
     keys = spark.createDataFrame([(i << 55,) for i in range(40)] + [(-1,), (-2 << 40,)], "key long")
