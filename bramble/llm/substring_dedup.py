@@ -18,7 +18,9 @@ windows is one occurrence, about one per 13 words.
 4. Every occurrence takes from its class which of its windows a smaller document owns, and
    every text drops the words that those windows cover.
 
-Windows are compared by the hashes of gram and window together (128 bits).
+Windows are compared by the hash of their gram and, among windows with the same gram, by a
+hash of the whole window to another base over other numbers of the words: different windows
+with the same gram agree with odds of about 2^-64, others with about 2^-128.
 
 Null text counts as empty; texts under 50 words lose nothing; rows with the same doc_id do
 not remove words of each other; a null doc_id counts as larger than any other; an empty
@@ -58,15 +60,15 @@ class Occurrences:
     """The runs of windows with one representative, in a batch of texts."""
 
     def __init__(self, words: Words, texts: list[bytes], window: int = WINDOW, gram: int = GRAM):
-        self.docs, hashes, _ = words.read(texts)
-        m = len(hashes)
+        self.docs, numbers, again, _ = words.read(texts)
+        m = len(numbers)
         empty = np.zeros(0, np.int64)
         self.doc, self.first, self.n, self.place = empty, empty, empty, empty
         self.key = self.stretch = np.zeros(0, np.uint64)
         self.window_hashes = np.zeros(0, np.uint64)
         if m < window:
             return
-        prefix = words.of_words.prefix(hashes)
+        prefix = words.of_words.prefix(numbers)
         at = np.arange(m - gram + 1)
         grams = words.of_words.spans(prefix, at, at + gram)
         least = sliding_min((grams & ~_LOW) | at.astype(np.uint64), window - gram + 1)
@@ -81,9 +83,11 @@ class Occurrences:
         first, self.n = start[runs], np.diff(np.concatenate([runs, [len(start)]]))
         self.key = grams[gram_at[runs]]
         self.place = gram_at[runs] - first
-        self.stretch = mix(words.of_words.spans(prefix, first, first + self.n + window - 1)
+        whole = words.of_words_again
+        prefix = whole.prefix(again)
+        self.stretch = mix(whole.spans(prefix, first, first + self.n + window - 1)
                            ^ mix((self.place.astype(np.uint64) << np.uint64(32)) | self.n.astype(np.uint64)))
-        self.window_hashes = words.of_words.spans(prefix, start, start + window)
+        self.window_hashes = whole.spans(prefix, start, start + window)
         self.offsets = np.concatenate([[0], np.cumsum(self.n)])
         self.doc = np.searchsorted(self.docs, first, "right") - 1
         self.first = first - self.docs[self.doc]
@@ -325,7 +329,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for k, cuts in enumerate(all_cuts):
                 if cuts:
                     raw = utf8(texts[k])
-                    _, _, start = words.read([raw])
+                    *_, start = words.read([raw])
                     gone = covered(cuts, len(start), window)
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
                     stop = np.concatenate([start, [len(raw)]])
