@@ -13,10 +13,16 @@ template, and removed, where its node and all nodes below stay under ``low`` on
 
 Besides, elements that say what they are go first: navigation, header, footer, aside, forms,
 scripts, styles, and classes, ids or roles such as advert, menu, sidebar, notice or comments.
-A layout word on a div or section does not remove an article or main element inside where the
-page has no other, and names such as has-sidebar or content-sidebar-wrap mark nothing.
-Where a page has an article (or main) element, its text is what is left in there; branches
-inside are removed only under ``LOW_IN_ARTICLE``.
+A layout word on a div or section, or a form that is the body's child, does not remove an
+article or main element inside where the page has no other, nor its text where the page has
+no article and no other text. Names that tell of a state, a topic or the page
+(has-sidebar, no-ads, comments-open, category-cookies, sidebar-right-page,
+content-sidebar-wrap) mark nothing, an article or main element is marked only by names made of
+such words alone, and headings are not marked by names.
+Where a page has an article (or main) element, its text is what is left in there, unless the
+prose beside it (blocks of ``PROSE`` characters or more) is over ``BESIDE`` times as long: then
+the article is a teaser, and the text is what stands beside it. Branches inside an article are
+removed only under ``LOW_IN_ARTICLE``, and its headings only with a branch around them.
 
 Text: character references are decoded, white space in a block becomes one space, blocks are
 trimmed and joined in page order by a line break. Unclosed and stray tags are tolerated, raw
@@ -45,6 +51,8 @@ LOW = 0.15
 LOW_IN_ARTICLE = 0.05
 MIN_PAGES = 8
 VARIED = 0.3
+PROSE = 80
+BESIDE = 4
 
 # HTML's own element classes, and words by which pages mark what is not text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -67,9 +75,16 @@ toolbar topbar widget widgets""".split())
 LAYOUT = frozenset("footer header menu nav navbar sidebar toolbar topbar widget widgets".split())
 # words by which a name tells of a state, such as has-sidebar or comments-open, and of a wrapper
 STATES = frozenset("closed has no open with without".split())
+AFTER = frozenset("closed open".split())  # stand after the word that they are about
 WRAPS = frozenset("container layout wrap wrapper".split())
-# an element's text: kept, kept where no other article is, dropped but for an article inside, dropped
-KEPT, RESCUED, SOFT, HARD = range(4)
+PAGES = frozenset("body layout page site template".split())
+SUBJECTS = frozenset("category format genre subject tag tags topic".split())
+# marks that are also titles of sections, from which ids are made
+TITLES = frozenset("copyright disclaimer discussion notice notices recommendations related".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# an element's text: kept, kept where no other article is, dropped but for an article inside or
+# where nothing else is (in a form around all, then under a layout word), dropped
+KEPT, RESCUED, FORM, SOFT, HARD = range(5)
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
@@ -86,9 +101,36 @@ def attributes(text: str) -> dict[str, str]:
     return out
 
 
-def marked(tag: str, attrs: dict[str, str], in_article: bool) -> int:
+def named(tag: str, attrs: dict[str, str], in_article: bool) -> set[str]:
+    """The marks among the words of the element's class and id."""
+    found: set[str] = set()
+    for attribute in ("class", "id"):
+        for name in attrs.get(attribute, "").split():
+            own = [w.lower() for w in _WORD.findall(name)]
+            marks = [w for w in own if w in MARKS]
+            if not marks or own[0] in SUBJECTS:
+                continue
+            if tag in ("article", "main"):
+                # the words around a mark tell of the layout beside it or of a state
+                found.update(marks if len(marks) == len(own) else ())
+                continue
+            if attribute == "id" and (in_article or tag == "section"):
+                marks = [w for w in marks if w not in TITLES]
+            if tag in ("div", "section"):
+                if own[-1] in PAGES and len(own) > 1:
+                    marks = [w for w in marks if w not in LAYOUT]
+                if not STATES.isdisjoint(own) or own[:1] == ["content"] and own[-1] in WRAPS:
+                    about = {a if b in AFTER else b for a, b in zip(own, own[1:]) if b in AFTER or (a in STATES and a not in AFTER)}
+                    marks = [w for w in marks if w not in LAYOUT and w not in about and w not in ("comment", "comments")]
+            found.update(marks)
+    return found
+
+
+def marked(tag: str, attrs: dict[str, str], in_article: bool, holder: str = "-") -> int:
     """Whether the element says that it isn't main text: HARD, or SOFT where a layout word of
-    a div or section says so, which an article inside outweighs."""
+    a div or section says so, or FORM right in the body; an article inside outweighs these."""
+    if tag == "form" and holder in ("", "html", "body"):
+        return FORM
     if tag in NOT_TEXT or (tag == "header" and not in_article):
         return HARD
     if not attrs or tag in ("html", "body"):
@@ -97,17 +139,13 @@ def marked(tag: str, attrs: dict[str, str], in_article: bool) -> int:
         return HARD
     if "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return HARD
-    words: set[str] = set()
-    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
-        own = [w.lower() for w in _WORD.findall(name)]
-        if tag in ("div", "section") and (not STATES.isdisjoint(own) or own[:1] == ["content"] and own[-1] in WRAPS):
-            own = [w for w in own if w not in LAYOUT and w not in ("comment", "comments")]  # tells of the layout inside
-        words.update(own)
+    if tag in HEADINGS:
+        return KEPT
+    marks = named(tag, attrs, in_article)
     if tag in ("article", "main"):
-        words -= LAYOUT  # "with-sidebar" and the like tell of the layout around it
+        marks -= LAYOUT
     elif in_article:
-        words.discard("header")  # the head of the article itself
-    marks = words & MARKS
+        marks.discard("header")  # the head of the article itself
     return HARD if marks - LAYOUT or (marks and (in_article or tag not in ("div", "section"))) else SOFT if marks else KEPT
 
 
@@ -116,49 +154,61 @@ class Page:
     left its path and child sequence."""
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[int, str, bool]] = []
+        # blocks and child sequences by mark: under RESCUED those of articles that are used where
+        # the page has no other, under FORM and SOFT those used where it has nothing else
+        self.blocks_of: list[list[tuple[int, str, bool]]] = [[] for _ in range(HARD)]
+        self.sequences_of: list[list[tuple[int, int]]] = [[] for _ in range(HARD)]
         self.parents: dict[int, int] = {0: 0}
-        self.sequences: list[tuple[int, int]] = []
-        # articles in wrappers with a layout word: used where the page has no other
-        self.rescued: list[tuple[int, str, bool]] = []
-        self.rescued_sequences: list[tuple[int, int]] = []
-        # open elements: tag, path hash, mark, in article, hash of the children so far
-        self.open: list[list] = [["", 0, KEPT, False, 0]]
+        self.headings: set[int] = set()
+        self.has_article = False
+        # open elements: tag, path hash, mark, in article, hash of the children so far, the
+        # nearest block (itself or around it)
+        root: list = ["", 0, KEPT, False, 0]
+        root.append(root)
+        self.open: list[list] = [root]
+        self.count: Counter = Counter()  # open elements by tag
         self.text: list[str] = []
         self.parse(html)
         while len(self.open) > 1:
             self.close()
         self.flush()
-        if not any(article for _, _, article in self.blocks):
-            self.blocks += self.rescued
-            self.sequences += self.rescued_sequences
+        used = [KEPT]
+        if not any(article for _, _, article in self.blocks_of[KEPT]):
+            used.append(RESCUED)
+        if not self.has_article and not any(self.blocks_of[mark] for mark in used):
+            used.append(FORM if self.blocks_of[FORM] else SOFT)
+        self.blocks = [b for mark in used for b in self.blocks_of[mark]]
+        self.sequences = [x for mark in used for x in self.sequences_of[mark]]
 
     def flush(self) -> None:
         if self.text:
             words = _SPACE.sub(" ", entities.unescape("".join(self.text))).strip()
             self.text = []
             if words:
-                _, path, removed, article, _ = self.holder
-                if removed <= RESCUED:
-                    (self.rescued if removed else self.blocks).append((path, words, article))
-
-    def block_parent(self) -> list:
-        return next(x for x in reversed(self.open) if x[0] not in INLINE)
+                _, path, removed, article, *_ = self.holder
+                self.blocks_of[removed].append((path, words, article))
 
     def close(self) -> None:
-        tag, path, removed, _, children = self.open[-1]
+        tag, path, removed, _, children, _ = self.open[-1]
         if tag not in INLINE:
             self.flush()
-            if removed <= RESCUED:
-                (self.rescued_sequences if removed else self.sequences).append((path, children))
+            if removed < HARD:
+                self.sequences_of[removed].append((path, children))
+        self.count[tag] -= 1
         self.open.pop()
 
     def say(self, text: str) -> None:
-        if text and self.open[-1][2] <= RESCUED:
+        if text and self.open[-1][2] < HARD:
             if not self.text:
-                self.holder = self.block_parent()
+                self.holder = self.open[-1][5]
             self.text.append(text)
 
+    def enter(self, tag: str, path: int, removed: int, article: bool, holder: list | None) -> None:
+        element = [tag, path, removed, article, 0]
+        element.append(element if holder is None else holder)
+        self.open.append(element)
+        self.count[tag] += 1
+
     def start(self, tag: str, raw: str) -> None:
         if tag in CLOSES_P:
             self.close_up_to("p", "button table td th")
@@ -166,38 +216,45 @@ class Page:
             for other in SIBLINGS[tag][0].split():
                 self.close_up_to(other, SIBLINGS[tag][1])
         parent = self.open[-1]
+        holder = parent[5]
         attrs = attributes(raw) if raw.strip(" /\n\t\r") else {}
         if tag in INLINE:
             if tag == "br":
                 self.say(" ")
             if tag not in VOID:
-                self.open.append([tag, parent[1], max(parent[2], marked(tag, attrs, parent[3])), parent[3], 0])
+                mark = marked(tag, attrs, parent[3])
+                self.enter(tag, parent[1], max(parent[2], mark), parent[3], holder)
             return
         self.flush()
         look = " ".join([tag, *sorted({w.lower() for w in _WORD.findall(attrs.get("class", "")) if not w.isdigit()})])
-        holder = self.block_parent()
         path = zlib.crc32(look.encode("utf-8", "replace"), holder[1]) | (zlib.adler32(look.encode("utf-8", "replace"), holder[1] & 0xFFFF) & 0x7FFF) << 32
         holder[4] = zlib.crc32(look.encode("utf-8", "replace"), holder[4])
         if tag in VOID:
             return
-        mark = marked(tag, attrs, parent[3])
+        mark = marked(tag, attrs, parent[3], holder[0])
         removed = max(parent[2], mark)
         article = parent[3] or tag in ("article", "main") or attrs.get("role", "").lower() == "main" or attrs.get("itemprop") == "articleBody"
-        if article and removed == SOFT and mark == KEPT and not parent[3]:
+        if article and removed in (FORM, SOFT) and mark == KEPT and not parent[3]:
             removed = RESCUED
+        self.has_article |= article and removed <= RESCUED
+        if tag in HEADINGS:
+            self.headings.add(path)
         self.parents.setdefault(path, holder[1])
-        self.open.append([tag, path, removed, article, 0])
+        self.enter(tag, path, removed, article, None)
 
     def close_up_to(self, tag: str, scope: str) -> None:
         """Close the nearest open ``tag`` and all inside it, unless an element of ``scope``
         stands between."""
+        if not self.count[tag]:
+            return
+        stops = scope.split()
         for i in range(len(self.open) - 1, 0, -1):
             name = self.open[i][0]
             if name == tag:
                 while len(self.open) > i:
                     self.close()
                 return
-            if name in scope.split():
+            if name in stops:
                 return
 
     def parse(self, html: str) -> None:
@@ -211,7 +268,7 @@ class Page:
             if m[1] or m[4]:
                 if tag in INLINE:
                     self.close_up_to(tag, "p div td th li article section body")
-                elif tag == "p" and not any(x[0] == "p" for x in self.open):
+                elif tag == "p" and not self.count["p"]:
                     self.flush()
                 else:
                     self.close_up_to(tag, "")
@@ -321,17 +378,23 @@ def templates(nodes: DataFrame, min_pages: int, low: float) -> DataFrame:
 
 def page_text(html: str | None, low: set[int]) -> str:
     page = Page(html or "")
+    known: dict[int, bool] = {0: True}
 
     def stays(path: int) -> bool:
-        while path:
-            if path in low:
-                return False
+        climbed = []
+        while path not in known and path not in low:
+            climbed.append(path)
             path = page.parents[path]
-        return True
-
-    blocks = [b for b in page.blocks if not low or stays(b[0])]
-    inside = [b for b in blocks if b[2]]
-    return "\n".join(text for _, text, _ in inside or blocks)
+        known.update(dict.fromkeys(climbed, known.get(path, False)))
+        return known.get(path, False)
+
+    # a heading of an article goes only with a branch around it
+    blocks = [b for b in page.blocks if not low or stays(page.parents[b[0]] if b[2] and b[0] in page.headings else b[0])]
+    inside, beside = ([b for b in blocks if b[2] == article] for article in (True, False))
+    prose = sum(len(text) for _, text, _ in beside if len(text) >= PROSE)
+    if prose > BESIDE * sum(len(text) for _, text, _ in inside):
+        inside = beside
+    return "\n".join(text for _, text, _ in inside or beside)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
