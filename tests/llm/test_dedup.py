@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from bramble.llm import exact_dedup, line_dedup, simhash, substring_dedup
 from bramble.llm.components import connected_components
+from bramble.llm.textbytes import Words
 from conftest import SF_MID, SF_SMALL
 from helpers import components, documents, fingerprint, odd_rows, without_repeats
 from oracle_harness import duck
@@ -200,6 +201,25 @@ def test_substring_dedup_of_overlapping_shifts(spark):
     assert {d: hashlib.sha256(b" ".join(t.encode().split())).hexdigest() for d, t in cut.items()} == {d: w[2] for d, w in want.items()}
 
 
+def test_words_built_to_collide_stay_apart(spark):
+    """The Thue-Morse word of two letters and its complement agree under any polynomial modulo
+    2^64; in two documents that differ in this word alone no window is shared."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << 11))
+    words = [f"w{i}" for i in range(50)]
+    docs = documents(spark, [(1, " ".join([*words[:25], a, *words[25:]])),
+                             (2, " ".join([*words[:25], a.translate(str.maketrans("ab", "ba")), *words[25:]]))])
+    got = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(docs).collect()}
+    assert got == {1: 0, 2: 0}
+
+
+def test_words_of_one_batch_have_their_own_numbers():
+    texts = ["a", "a\0", "\0a", "\0", "\0\0", "ä", "abcdefgh", "abcdefgh\0", "abcdefghi", "\0" * 9, "\0" * 8]
+    docs, first, second, start = Words().read([t.encode() for t in texts])
+    assert docs.tolist() == list(range(len(texts) + 1)) and len(set(first.tolist())) == len(set(second.tolist())) == len(texts)
+    _, again, _, _ = Words().read([" ".join(reversed(texts)).encode()])
+    assert again.tolist() == first.tolist()[::-1]
+
+
 def test_saturated_sketch_loses_nothing(spark):
     rows = load(SF_SMALL)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
