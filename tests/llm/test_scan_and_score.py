@@ -159,3 +159,16 @@ def test_quality_classifier_odd_rows(spark):
     assert {r.score for r in none} == {0.5}
     assert quality_classifier.quality_classifier(docs.limit(0), labels).count() == 0
     assert quality_classifier.keep_good(docs, labels).columns == docs.columns
+
+
+def test_quality_rules_equal_sql_where_cutoffs_reject(spark):
+    """At sf0.1 strata are large enough for safe cutoffs, so the method's verdicts are compared too."""
+    sf = "/root/testdata/sf0.1"
+    key = "op7_quality_rules"
+    import __spark_entry__ as entry_mod
+    got = entry_mod.queries()[key](spark, sf)
+    columns = ["doc_id", "base_failed", "kept"]
+    rows = sorted(tuple(r) for r in got.select(columns).collect())
+    assert sum(not base and not kept for _, base, kept in rows) > 100
+    want = duck(sf).execute(f"SELECT {', '.join(columns)} FROM ({entry_mod.oracle_sql()[key]}) ORDER BY doc_id").fetchall()
+    assert rows == want
