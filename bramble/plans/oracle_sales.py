@@ -217,3 +217,37 @@ SELECT id, root_id, depth, path FROM walk""",
     "report_top_triples": _month(_triples(MS, 1)),
     "monthly_report": _SCALARS,
 }
+
+
+# all results of the report in one table: result -> (key, columns that name a row, measures)
+_RESULTS = {
+    "scalars": ("monthly_report", "", "total_qty rev_before_discount total_discount total_unique_transac avg_unique_product "
+                "revenue_at_percentile_25 revenue_at_percentile_50 revenue_at_percentile_75 avg_discount"),
+    "member_split": ("report_member_split", "", "total member_transac member_transac_pct nonmember_transac nonmember_transac_pct"),
+    "member_avg_revenue": ("report_member_avg_revenue", "member", "avg_rev"),
+    "top_products": ("report_top_products", "product_name", "rev"),
+    "segment_totals": ("report_segment_totals", "segment_name", "qty rev discount"),
+    "segment_top_seller": ("report_segment_top_seller", "segment_name top_selling", "max_qty"),
+    "category_totals": ("report_category_totals", "category_name", "qty rev discount"),
+    "category_top_seller": ("report_category_top_seller", "category_name top_selling", "max_qty"),
+    "product_share": ("report_product_share", "segment_name product_name", "rev_pct"),
+    "segment_share": ("report_segment_share", "category_name segment_name", "rev_pct"),
+    "category_share": ("report_category_share", "category_name", "rev_pct"),
+    "penetration": ("report_penetration", "prod_id product_name", "transac penetration"),
+    "top_triples": ("report_top_triples", "p1 p2 p3", "time"),
+}
+
+
+def _all_results() -> str:
+    ctes, rows = [], []
+    for name, (key, labels, measures) in _RESULTS.items():
+        ctes.append(f"res_{name} AS ({SALES_SQL[key]})")
+        cols = [f"CAST({c} AS VARCHAR)" for c in labels.split()]
+        cols += ["CAST(NULL AS VARCHAR)"] * (3 - len(cols))
+        named = ", ".join(f"{c} AS label_{i}" for i, c in enumerate(cols, 1))
+        rows += [f"SELECT '{name}' AS result, {named}, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM res_{name}"
+                 for m in measures.split()]
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(rows)
+
+
+SALES_SQL["monthly_report_results"] = _all_results()

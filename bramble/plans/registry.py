@@ -80,6 +80,11 @@ def _hierarchy_paths(spark, sf_dir):
     return paths(_fx(spark, sf_dir).product_hierarchy)
 
 
+def _report_rows(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    return S.report_rows(S.stored_report(fx.sales_lines, fx.transactions, fx.product_details, REPORT_MONTH, top=3))
+
+
 _scalars = _month_txn(S.report_scalars)
 _totals = _month_txn(S.report_totals)
 
@@ -128,6 +133,7 @@ QUERIES: dict[str, Query] = {
     "report_penetration": _month_txn_prod(S.product_penetration),
     "report_top_triples": _month_txn_prod(S.basket_top_triples, 1),
     "monthly_report": _scalars,
+    "monthly_report_results": _report_rows,
 }
 
 

@@ -32,13 +32,15 @@ from bramble.operators.basket import top_basket_combinations
 from bramble.operators.hierarchy import flatten_hierarchy
 from bramble.operators.ranking import nearest_rank, pivot_percentiles, top_n, top_per_group
 from bramble.operators.shares import share_of_parent, share_of_total
+from bramble.sources.shared import stored
 
 PERCENTILES = (25, 50, 75)
 
 
-def _disc():
-    """Discount amount in 1/100 units (exact DECIMAL): gross * discount percent."""
-    return F.col("gross") * F.col("discount")
+def _disc(sales: DataFrame):
+    """Discount amount in 1/100 units (exact DECIMAL): gross * discount percent, or its sum
+    where the lines are combined already (:func:`report_facts`)."""
+    return F.col("disc_c") if "disc_c" in sales.columns else F.col("gross") * F.col("discount")
 
 
 def _disc_total(c: str = "disc_c"):
@@ -49,7 +51,7 @@ def _disc_total(c: str = "disc_c"):
 def totals(sales: DataFrame) -> DataFrame:
     return sales.agg(F.sum("qty").cast("bigint").alias("total_quantity"),
                      money(F.sum("gross")).alias("total_rev_before_discount"),
-                     (F.sum(_disc()).cast("double") / F.lit(100.0)).alias("total_discount"))
+                     (F.sum(_disc(sales)).cast("double") / F.lit(100.0)).alias("total_discount"))
 
 
 # -- part 2: transactions ---------------------------------------------------
@@ -84,7 +86,7 @@ def txn_revenue_percentiles(sales: DataFrame, percentiles: Sequence[int] = PERCE
 
 
 def txn_avg_discount(sales: DataFrame) -> DataFrame:
-    return avg_of_group(sales, "txn_id", F.sum(_disc()), alias="discount_per_transac", scale=100)
+    return avg_of_group(sales, "txn_id", F.sum(_disc(sales)), alias="discount_per_transac", scale=100)
 
 
 def txn_member_split(sales: DataFrame, txns: DataFrame | None = None) -> DataFrame:
@@ -108,7 +110,7 @@ def txn_member_avg_revenue(sales: DataFrame, txns: DataFrame | None = None) -> D
 def _by_product(sales: DataFrame, products: DataFrame, attrs: Sequence[str]) -> DataFrame:
     """Sales aggregated to prod_id, then the product attributes joined (left)."""
     agg = sales.groupBy("prod_id").agg(F.sum("qty").alias("qty"), F.sum("gross").alias("rev"),
-                                       F.sum(_disc()).alias("disc_c"))
+                                       F.sum(_disc(sales)).alias("disc_c"))
     dim = products.select(F.col("product_id"), *attrs)
     return agg.join(dim, agg["prod_id"] == dim["product_id"], "left").drop("product_id")
 
@@ -198,7 +200,7 @@ def report_totals(ms: DataFrame, txns: DataFrame | None = None, rounded: bool =
     """The scalars of the report but for the percentiles, in one row: one aggregate per
     transaction, one global aggregate."""
     per_txn = per_transaction(ms, [F.count_distinct("prod_id").alias("uniq"), F.sum("qty").alias("qty"),
-                                   F.sum("gross").alias("rev"), F.sum(_disc()).alias("disc_c")], txns)
+                                   F.sum("gross").alias("rev"), F.sum(_disc(ms)).alias("disc_c")], txns)
     n = F.count(F.lit(1))
     # the report routines return INT (rounded half up); rounded=False keeps exact values
     as_int = round_int if rounded else (lambda c: c.cast("double"))
@@ -240,6 +242,13 @@ def monthly_report(sales: DataFrame, products: DataFrame, month: int, year: int
     else:
         ms, mt = month_lines(sales, txns, month, year), None
         lines = ms
+    return report_results(ms, lines, products, top, rounded, mt, percentiles)
+
+
+def report_results(ms: DataFrame, lines: DataFrame, products: DataFrame, top: int, rounded: bool,
+                   mt: DataFrame | None, percentiles: Sequence[int]) -> dict[str, DataFrame]:
+    """The results of the report from the month's sales ``ms`` (and, for results of products
+    alone, its ``lines``)."""
     scal = report_scalars(ms, percentiles, rounded, mt)
     totals_only = report_totals(ms, mt, rounded)
     out = {c: (totals_only if c in totals_only.columns else scal).select(c) for c in scal.columns}
@@ -259,3 +268,57 @@ def monthly_report(sales: DataFrame, products: DataFrame, month: int, year: int
         "scalars": scal,
     })
     return out
+
+
+# -- the whole report from one written table -----------------------------------
+# which columns of a result name its rows; the others are its measures
+REPORT_LABELS: dict[str, tuple[str, ...]] = {
+    "scalars": (),
+    "member_split": (),
+    "member_avg_revenue": ("member",),
+    "top_products": ("product_name",),
+    "segment_totals": ("segment_name",),
+    "segment_top_seller": ("segment_name", "top_selling"),
+    "category_totals": ("category_name",),
+    "category_top_seller": ("category_name", "top_selling"),
+    "product_share": ("segment_name", "product_name"),
+    "segment_share": ("category_name", "segment_name"),
+    "category_share": ("category_name",),
+    "penetration": ("prod_id", "product_name"),
+    "top_triples": ("p1", "p2", "p3"),
+}
+
+
+def report_facts(lines: DataFrame, txns: DataFrame, month: int, year: int | None = None) -> DataFrame:
+    """One row per (transaction, product) of the month, with sums of quantity, revenue and
+    discount and the member flag: all that any result of the report reads. The lines combine on
+    the mappers; a transaction with very many lines is spread by its products."""
+    ms = month_lines(lines, txns, month, year)
+    # the member flag hangs on the transaction; as a key it keeps the aggregate a hash aggregate
+    return ms.groupBy("txn_id", "prod_id", "member").agg(F.sum("qty").alias("qty"), F.sum("gross").alias("gross"),
+                                                         F.sum(_disc(ms)).alias("disc_c"))
+
+
+def stored_report(lines: DataFrame, txns: DataFrame, products: DataFrame, month: int, year: int | None = None,
+                  top: int = 3, rounded: bool = True, percentiles: Sequence[int] = PERCENTILES) -> dict[str, DataFrame]:
+    """:func:`monthly_report` with the month's facts written once to the shared folder: the
+    lines are read once, for all 21 results, which then read the written rows. Writing is a
+    Spark action at the call."""
+    facts = stored(report_facts(lines, txns, month, year), "report-facts")
+    return report_results(facts, facts, products, top, rounded, None, percentiles)
+
+
+def report_rows(results: dict[str, DataFrame]) -> DataFrame:
+    """All results of a report as one table: result, label_1 to label_3 (what names the row),
+    measure, value (DOUBLE)."""
+    out = None
+    for name, labels in REPORT_LABELS.items():
+        df = results[name]
+        named = [F.col(c).cast("string") for c in labels] + [F.lit(None).cast("string")] * (3 - len(labels))
+        measures = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"))
+                             for c in df.columns if c not in labels])
+        rows = (df.select(F.lit(name).alias("result"), *[c.alias(f"label_{i}") for i, c in enumerate(named, 1)],
+                          F.explode(measures).alias("_m"))
+                .select("result", "label_1", "label_2", "label_3", "_m.measure", "_m.value"))
+        out = rows if out is None else out.unionAll(rows)
+    return out

@@ -13,7 +13,7 @@ KEYS = sorted(set(entry_mod.queries()) - set(entry_mod.LLM_QUERIES))
 
 def test_contract_shape():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
-    assert len([k for k in q if k not in entry_mod.LLM_QUERIES]) == 78
+    assert len([k for k in q if k not in entry_mod.LLM_QUERIES]) == 79
     assert set(o) <= set(q)
     assert all(isinstance(v, str) and v.strip() for v in o.values())
 
@@ -73,4 +73,4 @@ def test_entry_module_imports_without_spark():
             "print(len(q), len(o))")
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr[-2000:]
-    assert out.stdout.split()[-2:] == ["78", "78"]
+    assert out.stdout.split()[-2:] == ["79", "79"]

@@ -80,3 +80,23 @@ def test_month_filter_stands_on_the_scan_of_the_lines(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_stored_report_reads_the_lines_once(spark):
+    """The 21 results read the written facts; only those with product attributes read the
+    product tables besides."""
+    fx = Tables(spark, SF_SMALL).fixtures
+    results = S.stored_report(fx.sales_lines, fx.transactions, fx.product_details, 3, top=3)
+    direct = S.monthly_report(fx.sales_lines, fx.product_details, 3, top=3, txns=fx.transactions)
+    assert set(results) == set(direct) and len(set(results) - {"scalars"}) == 21
+    for name, df in results.items():
+        files = set(re.findall(r"(\w+)\.parquet", " ".join(df.inputFiles())))
+        assert "lineitem" not in files and "orders" not in files, name
+        assert sorted(map(str, df.collect())) == sorted(map(str, direct[name].collect())), name
+
+
+def test_report_facts_combine_below_the_exchange(spark):
+    fx = Tables(spark, SF_SMALL).fixtures
+    p = S.report_facts(fx.sales_lines, fx.transactions, 3)._jdf.queryExecution().sparkPlan().toString()
+    assert p.count("HashAggregate") == 2 and "partial_sum" in p
+    assert p.count("FileScan parquet") == 2
