@@ -28,13 +28,15 @@ def funnel(events: DataFrame, item: Sequence[str], visit: str, view: Column, add
               .where(F.col("_paid") == 1))
     flagged = (per_iv.join(bought, visit, "left")
                .withColumn("_purchase", (F.col("_add") == 1) & F.col("_paid").eqNullSafe(1)))
+    # counted by all item columns first: a hash aggregate, which MAX of a text is not
+    counts = flagged.groupBy(*item).agg(
+        F.count(F.when(F.col("_view") == 1, F.lit(1))).alias("views"),
+        F.count(F.when(F.col("_add") == 1, F.lit(1))).alias("cart_adds"),
+        F.count(F.when((F.col("_add") == 1) & ~F.col("_purchase"), F.lit(1))).alias("abandoned"),
+        F.count(F.when(F.col("_purchase"), F.lit(1))).alias("purchases"))
     key, rest = item[0], item[1:]
-    return (flagged.groupBy(key)
-            .agg(*[F.max(c).alias(c) for c in rest],
-                 F.count(F.when(F.col("_view") == 1, F.lit(1))).alias("views"),
-                 F.count(F.when(F.col("_add") == 1, F.lit(1))).alias("cart_adds"),
-                 F.count(F.when((F.col("_add") == 1) & ~F.col("_purchase"), F.lit(1))).alias("abandoned"),
-                 F.count(F.when(F.col("_purchase"), F.lit(1))).alias("purchases")))
+    return counts.groupBy(key).agg(*[F.max(c).alias(c) for c in rest],
+                                   *[F.sum(c).alias(c) for c in ("views", "cart_adds", "abandoned", "purchases")])
 
 
 def ordered_concat(df: DataFrame, by: Sequence[str] | str, values: dict[str, Column], order: Sequence[str],
@@ -67,14 +69,19 @@ def ordered_concat(df: DataFrame, by: Sequence[str] | str, values: dict[str, Col
 
 def conversion_metrics(df: DataFrame, by: Sequence[str], user: str, visit: str,
                        steps: dict[str, str], means: dict[str, str],
-                       rates: dict[str, tuple[str, str]]) -> DataFrame:
+                       rates: dict[str, tuple[str, str]], apart: bool = False) -> DataFrame:
     """Per group: distinct users, distinct visits reaching each step (step column != 0),
     means of count columns, and ratios between step counts.
 
     Each row counts twice, for its user and for its visit, so one read and one aggregate per
     (group, user or visit) give both the distinct counts and the partial sums of the means (a
     NULL visit forms its own row: it counts for the means, not for the distinct visits).
+
+    ``apart`` groups visits and users apart and joins the groups, for a table bucketed by the
+    visit: the visits then need no exchange, and of the users only distinct ones are shuffled.
     """
+    if apart:
+        return _metrics_apart(df, list(by), user, visit, steps, means, rates)
     by = list(by)
     none = {f"_f_{k}": F.lit(None).cast("int") for k in steps} | {f"_m_{k}": F.lit(None).cast("double") for k in means}
     seen = {f"_f_{k}": F.coalesce(F.col(c) != 0, F.lit(False)).cast("int") for k, c in steps.items()}
@@ -94,3 +101,20 @@ def conversion_metrics(df: DataFrame, by: Sequence[str], user: str, visit: str,
         *[(F.sum(f"_s_{k}") / F.when(F.sum(f"_n_{k}") > 0, F.sum(f"_n_{k}")).cast("double")).alias(k) for k in means])
     return out.select(*by, "user_count", *steps, *means,
                       *[ratio(n, d).alias(k) for k, (n, d) in rates.items()])
+
+
+def _metrics_apart(df: DataFrame, by: list[str], user: str, visit: str, steps: dict[str, str], means: dict[str, str],
+                   rates: dict[str, tuple[str, str]]) -> DataFrame:
+    per_visit = df.groupBy(*by, visit).agg(
+        *[F.max(F.coalesce(F.col(c) != 0, F.lit(False)).cast("int")).alias(f"_f_{k}") for k, c in steps.items()],
+        *[F.sum(F.col(c).cast("double")).alias(f"_s_{k}") for k, c in means.items()],
+        *[F.count(c).alias(f"_n_{k}") for k, c in means.items()])
+    known = F.col(visit).isNotNull()
+    visits = per_visit.groupBy(*by).agg(
+        *[F.count_if(known & (F.col(f"_f_{k}") == 1)).alias(k) for k in steps],
+        *[(F.sum(f"_s_{k}") / F.when(F.sum(f"_n_{k}") > 0, F.sum(f"_n_{k}")).cast("double")).alias(k) for k in means])
+    users = df.select(*by, user).distinct().groupBy(*[F.col(c).alias(f"_by_{c}") for c in by]).agg(F.count(user).alias("user_count"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return visits.join(users, same).select(*by, "user_count", *steps, *means, *[ratio(n, d).alias(k) for k, (n, d) in rates.items()])

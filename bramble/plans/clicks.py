@@ -3,8 +3,8 @@
 Inputs: ``clicks`` (event_id, visit_id, cookie_id, page_id, event_type, event_time,
 sequence_number), ``users`` (user_id, cookie_id), and the small lookups
 ``event_identifier``, ``page_hierarchy`` and ``campaign_identifier``. The lookups describe
-the site (event kinds, pages, campaign calendar); their size does not grow with traffic,
-so they are broadcast. Event codes: 1 page view, 2 cart add, 3 purchase, 4 impression,
+the site (event kinds, pages, campaign calendar); the planner broadcasts them by its own
+size check. Event codes: 1 page view, 2 cart add, 3 purchase, 4 impression,
 5 click.
 """
 
@@ -26,7 +26,7 @@ VIEW, ADD, PURCHASE, IMPRESSION, CLICK = 1, 2, 3, 4, 5
 
 
 def _with_page(clicks: DataFrame, pages: DataFrame, cols=("page_name",)) -> DataFrame:
-    return clicks.join(F.broadcast(pages.select("page_id", *cols)), "page_id", "left")
+    return clicks.join(pages.select("page_id", *cols), "page_id", "left")
 
 
 # -- part 2: digital analysis -------------------------------------------------
@@ -57,7 +57,7 @@ def event_type_share(clicks: DataFrame, names: DataFrame, unit: str = "event") -
     case study's query does); ``unit='visit'`` counts distinct visits with that event
     (what its question asks), as a share of all distinct visits."""
     if unit == "visit":
-        named = clicks.join(F.broadcast(names), "event_type", "left")
+        named = clicks.join(names, "event_type", "left")
         per = count_distinct(named, "visit_id", by="event_name", alias="visits")
         total = count_distinct(clicks, "visit_id", alias="_t")
         return (share_of_total(per, "visits", alias="visit_pct", total=total)
@@ -85,7 +85,7 @@ def checkout_without_purchase(clicks: DataFrame, pages: DataFrame, unit: str = "
 def top_pages_by_views(clicks: DataFrame, pages: DataFrame, n: int = 3) -> DataFrame:
     per_page = (clicks.where(F.col("event_type") == VIEW).groupBy("page_id")
                 .agg(F.count("visit_id").alias("_n")))
-    per = (per_page.join(F.broadcast(pages.select("page_id", "page_name")), "page_id", "left")
+    per = (per_page.join(pages.select("page_id", "page_name"), "page_id", "left")
            .groupBy("page_name").agg(F.sum("_n").cast("bigint").alias("views")))
     return top_n(per, [F.col("views").desc(), F.col("page_name").asc_nulls_first()], n)
 
@@ -93,8 +93,7 @@ def top_pages_by_views(clicks: DataFrame, pages: DataFrame, n: int = 3) -> DataF
 def category_views_and_adds(clicks: DataFrame, pages: DataFrame) -> DataFrame:
     per_page = conditional_counts(clicks, "page_id", {"_v": F.col("event_type") == VIEW,
                                                       "_a": F.col("event_type") == ADD}, value="visit_id")
-    cats = F.broadcast(pages.where(F.col("product_category").isNotNull())
-                       .select("page_id", "product_category"))
+    cats = pages.where(F.col("product_category").isNotNull()).select("page_id", "product_category")
     return (per_page.join(cats, "page_id").groupBy("product_category")
             .agg(F.sum("_v").cast("bigint").alias("views"), F.sum("_a").cast("bigint").alias("cart_adds")))
 
@@ -110,8 +109,8 @@ def top_products_by_purchase(clicks: DataFrame, pages: DataFrame, n: int = 3) ->
 
 # -- part 3: product funnel -----------------------------------------------------
 def product_funnel(clicks: DataFrame, pages: DataFrame) -> DataFrame:
-    prod_pages = F.broadcast(pages.where(F.col("product_id").isNotNull())
-                             .select("page_id", "product_id", F.col("page_name").alias("product")))
+    prod_pages = (pages.where(F.col("product_id").isNotNull())
+                  .select("page_id", "product_id", F.col("page_name").alias("product")))
     ev = clicks.join(prod_pages, "page_id")
     pf = funnel(ev, ["product_id", "product"], "visit_id",
                 view=F.col("event_type") == VIEW, add=F.col("event_type") == ADD,
@@ -120,7 +119,7 @@ def product_funnel(clicks: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def category_funnel(product_sales: DataFrame, pages: DataFrame) -> DataFrame:
-    cat = F.broadcast(pages.where(F.col("product_id").isNotNull()).select("product_id", "product_category"))
+    cat = pages.where(F.col("product_id").isNotNull()).select("product_id", "product_category")
     return (product_sales.join(cat, "product_id", "left").groupBy("product_category")
             .agg(F.sum("views").cast("bigint").alias("views"),
                  F.sum("cart_adds").cast("bigint").alias("cart_adds"),
@@ -191,8 +190,8 @@ _RATES = {"view_to_add_cvr": ("addcart_count", "view_count"),
           "conv_rate": ("purchase_count", "view_count")}
 
 
-def campaign_metrics(perf: DataFrame, by: list[str]) -> DataFrame:
-    return conversion_metrics(perf, by, "user_id", "visit_id", _STEPS, _MEANS, _RATES)
+def campaign_metrics(perf: DataFrame, by: list[str], apart: bool = False) -> DataFrame:
+    return conversion_metrics(perf, by, "user_id", "visit_id", _STEPS, _MEANS, _RATES, apart)
 
 
 # -- registry bindings ---------------------------------------------------------

@@ -27,7 +27,7 @@ ORDER = ["start_date", "plan_id", "sub_id"]
 
 
 def _named(subs: DataFrame, plans: DataFrame) -> DataFrame:
-    return subs.join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id", "left")
+    return subs.join(plans.select("plan_id", "plan_name"), "plan_id", "left")
 
 
 def _customers(subs: DataFrame) -> DataFrame:
@@ -143,13 +143,17 @@ def present(p: DataFrame) -> DataFrame:
     return p.withColumn("amount", money("amount"))
 
 
+def with_month(payments: DataFrame) -> DataFrame:
+    """Payments with the year and month of the payment date."""
+    return payments.withColumns({"year": F.year("payment_date"), "month": F.month("payment_date")})
+
+
 def revenue_by_month(payments: DataFrame) -> DataFrame:
     """Per (year, month): distinct paying customers and total amount, plan <> trial. One
     pass: amount per (month, customer) then counts and sums per month (both aggregates
     combine on the mappers)."""
-    p = (payments.where(F.col("plan_id") != TRIAL)
-         .select(F.year("payment_date").alias("year"), F.month("payment_date").alias("month"),
-                 "customer_id", "amount"))
+    dated = payments if {"year", "month"} <= set(payments.columns) else with_month(payments)
+    p = dated.where(F.col("plan_id") != TRIAL).select("year", "month", "customer_id", "amount")
     # NULL customers form one group: COUNT(customer_id) skips it, SUM still adds its amount
     per = p.groupBy("year", "month", "customer_id").agg(F.sum("amount").alias("_a"))
     return per.groupBy("year", "month").agg(F.count("customer_id").alias("num_pay"),

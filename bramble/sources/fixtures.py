@@ -15,11 +15,8 @@ Mapping (see FIXTURES.md):
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Fixed values of the small dimension tables (constant lookups, not data-scaled).
@@ -176,38 +173,28 @@ class Fixtures:
                 .select((F.col("user_id") % 50).alias("user_id"),
                         F.col("user_id").cast("string").alias("cookie_id")))
 
+    def _lookup(self, rows: list[tuple], **types: str) -> DataFrame:
+        """Fixed rows as a local relation: the planner knows their size, so its own check
+        broadcasts them, and any larger table put in their place is joined as it needs."""
+        given = self.spark.sql(_values(rows, list(types)))
+        return given.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+
     @property
     def event_identifier(self) -> DataFrame:
-        schema = T.StructType([T.StructField("event_type", T.IntegerType()),
-                               T.StructField("event_name", T.StringType())])
-        return self.spark.createDataFrame(EVENT_NAMES, schema)
+        return self._lookup(EVENT_NAMES, event_type="int", event_name="string")
 
     @property
     def page_hierarchy(self) -> DataFrame:
-        schema = T.StructType([T.StructField("page_id", T.IntegerType()),
-                               T.StructField("page_name", T.StringType()),
-                               T.StructField("product_category", T.StringType()),
-                               T.StructField("product_id", T.IntegerType())])
-        return self.spark.createDataFrame(PAGES, schema)
+        return self._lookup(PAGES, page_id="int", page_name="string", product_category="string", product_id="int")
 
     @property
     def campaign_identifier(self) -> DataFrame:
-        schema = T.StructType([T.StructField("campaign_name", T.StringType()),
-                               T.StructField("start_date", T.StringType()),
-                               T.StructField("end_date", T.StringType())])
-        df = self.spark.createDataFrame(CAMPAIGNS, schema)
-        return df.select("campaign_name",
-                         F.col("start_date").cast("timestamp_ntz").alias("start_date"),
-                         F.col("end_date").cast("timestamp_ntz").alias("end_date"))
+        return self._lookup(CAMPAIGNS, campaign_name="string", start_date="timestamp_ntz", end_date="timestamp_ntz")
 
     # -- subscriptions family -----------------------------------------------
     @property
     def plans(self) -> DataFrame:
-        schema = T.StructType([T.StructField("plan_id", T.IntegerType()),
-                               T.StructField("plan_name", T.StringType()),
-                               T.StructField("price", T.DecimalType(18, 2))])
-        rows = [(i, n, None if p is None else Decimal(p)) for i, n, p in PLANS]
-        return self.spark.createDataFrame(rows, schema)
+        return self._lookup(PLANS, plan_id="int", plan_name="string", price="decimal(18,2)")
 
     @property
     def subscriptions(self) -> DataFrame:

@@ -22,6 +22,22 @@ def save_table(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), mo
     return df.sparkSession.read.format(fmt).load(path)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str, *,
+                  sort: Sequence[str] | None = None) -> DataFrame:
+    """CREATE TABLE ... CLUSTERED BY: ``df`` as a catalog table of ``buckets`` files by the hash
+    of ``keys``, sorted inside by ``sort`` (the keys unless given). Grouping, windows and joins on
+    the keys (or on more columns) then read it without an exchange. Rows are dealt out once, by
+    the hash that names the bucket, so every bucket is one file. Equal keys share a file: choose
+    keys under which no value holds much of the table, or add columns that every reader groups
+    by."""
+    keys, sort = list(keys), list(sort or keys)
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*sort).saveAsTable(name))
+    return spark.table(name)
+
+
 def temp_view(df: DataFrame, name: str, *, persist: bool = False) -> DataFrame:
     """CREATE TEMPORARY TABLE AS SELECT: a session view, cached when read repeatedly."""
     if persist:
@@ -63,3 +79,29 @@ def register_derived(spark: SparkSession, sf_dir: str, folder: str | None = None
     keep("campaign_performance", C.campaign_performance(fx.clicks, fx.users, fx.campaign_identifier, fx.page_hierarchy))
     keep("payments", U.present(U.payments_all(fx.subscriptions, fx.plans)))
     return ["product_sales", "category_sales", "campaign_performance", "payments"]
+
+
+def save_bucketed_tables(spark: SparkSession, sf_dir: str, folder: str, buckets: int) -> dict[str, DataFrame]:
+    """The tables that many keys group by visit or customer, bucketed so that those need no
+    exchange of the rows: clicks_by_visit (funnels, cart texts, visit aggregates), visits_by_visit
+    (``campaign_by_*``, with ``conversion_metrics(..., apart=True)``), subscriptions_by_customer
+    (payment windows) and payments_by_month (``revenue_by_month``; the month is a bucket column
+    besides the customer, so a customer with very many payments spreads)."""
+    from bramble.plans import clicks as C
+    from bramble.plans import subscriptions as U
+    from bramble.sources.tables import Tables
+    fx = Tables(spark, sf_dir).fixtures
+    at = folder.rstrip("/")
+
+    def keep(name: str, df: DataFrame, *keys: str) -> DataFrame:
+        return save_bucketed(df, name, keys, buckets, f"{at}/{name}")
+
+    clicks = keep("clicks_by_visit", fx.clicks, "visit_id")
+    subs = keep("subscriptions_by_customer", fx.subscriptions, "customer_id")
+    payments = U.payments_all(subs, fx.plans)
+    return {
+        "clicks_by_visit": clicks,
+        "visits_by_visit": keep("visits_by_visit", C.campaign_visits(clicks, fx.users, fx.campaign_identifier), "visit_id"),
+        "subscriptions_by_customer": subs,
+        "payments_by_month": keep("payments_by_month", U.with_month(payments), "customer_id", "year", "month"),
+    }
