@@ -8,8 +8,9 @@ windows is one occurrence, about one per 13 words.
 1. Count-min sketch: every task counts its grams in two rows of counters (saturating at 2)
    and emits the counters it touched; owner tasks merge the partial sketches per block of
    counters. What is left is one bit per counter: counted at least twice. The sketch has
-   about five counters per gram of the input, up to ``max_log_width``; beyond that it lets
-   more windows pass, which costs time, not results.
+   about five counters per gram of the input at every size. Up to 2^``max_log_width`` counters a
+   row (the bound of the broadcast) its bits go to all tasks; a wider one stays with the owner
+   tasks of its blocks, the grams meet it there, and occurrences find their grams by a join.
 2. A second pass writes only the occurrences that both rows estimate as repeated, with a hash
    of their whole stretch of words and of each window.
 3. Exact grouping. Occurrences with the same stretch form a class (copies collapse here,
@@ -43,6 +44,7 @@ GRAM = 25
 MEMORY = 500_000  # stretches that a task remembers to have listed
 BLOCK_BITS = 16  # counters of a block of the sketch
 _ROWS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
+_BLOCK = np.uint64(0x9FB21C651E98DF25)
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -185,25 +187,98 @@ def repeated(bits: np.ndarray, keys: np.ndarray, log_width: int) -> np.ndarray:
     return ok
 
 
+def blocked(keys: np.ndarray, log_width: int, block_bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of a sketch in blocks: the block of each key, and its counter there in each row."""
+    block = (mix(keys ^ _BLOCK) >> np.uint64(64 - (log_width - block_bits))).astype(np.int64) if log_width > block_bits \
+        else np.zeros(len(keys), np.int64)
+    return block, cells(keys, block_bits)
+
+
+def repeated_keys(docs: DataFrame, log_width: int, window: int, gram: int) -> DataFrame:
+    """The distinct grams (``key``) that a sketch of any width estimates at two or more. A gram
+    has its counters of both rows in one block; an owner task holds one block at a time
+    (2^24 counters a row at most), its different grams, and nothing of the other blocks."""
+    block_bits = min(log_width, max(BLOCK_BITS, min(24, log_width - 14)))
+    spec = pa.schema([("block", pa.int64()), ("keys", pa.binary())])
+
+    def deal(it):
+        words = Words()
+
+        def out(keys):
+            keys = np.concatenate(keys)
+            block = blocked(keys, log_width, block_bits)[0]
+            order = np.lexsort((keys, block))
+            keys, block = keys[order], block[order]
+            # a gram that a flush has more than twice need not be told of thrice
+            again = np.concatenate([[False, False], (keys[2:] == keys[:-2]) & (block[2:] == block[:-2])])[:len(keys)]
+            keys, block = keys[~again], block[~again]
+            cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+            return record_batch(spec, [block[cut[:-1]], [keys[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])]])
+
+        held, n = [], 0
+        for b in batches(it):
+            k = Occurrences(words, [utf8(t) for t in b.column(0).to_pylist()], window, gram).key
+            held.append(k)
+            n += len(k)
+            if n >= 1 << 20:
+                yield out(held)
+                held, n = [], 0
+        if n:
+            yield out(held)
+
+    def meet(it):
+        current, counters, met, waiting = None, None, np.zeros(0, np.uint64), []
+
+        def passed():
+            keys = np.unique(np.concatenate([met, *waiting]))
+            ok = np.ones(len(keys), bool)
+            for row, cell in enumerate(cells(keys, block_bits)):
+                ok &= counters[row][cell] >= 2
+            return pa.RecordBatch.from_arrays([pa.array(keys[ok].view(np.int64))], names=["key"])
+
+        for b in it:
+            for block, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if block != current:
+                    if current is not None:
+                        yield passed()
+                    current, met, waiting = block, np.zeros(0, np.uint64), []
+                    counters = [np.zeros(1 << block_bits, np.uint8) for _ in _ROWS]
+                keys = np.frombuffer(raw, np.uint64)
+                for row, cell in enumerate(cells(keys, block_bits)):
+                    cell, n = np.unique(cell, return_counts=True)
+                    counters[row][cell] = np.minimum(counters[row][cell] + np.minimum(n, 2), 2)
+                waiting.append(keys)
+                if sum(map(len, waiting)) > max(1 << 16, len(met)):
+                    met, waiting = np.unique(np.concatenate([met, *waiting])), []
+        if current is not None:
+            yield passed()
+
+    parts = docs.select("text").mapInArrow(deal, "block bigint, keys binary")
+    return write_shared(parts.repartition("block").sortWithinPartitions("block").mapInArrow(meet, "key bigint"), "substring-grams")
+
+
 def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(whole_text(text_col)).alias("sig"),
                        whole_text(text_col).alias("text"))
 
 
-def candidates(docs: DataFrame, window: int, gram: int, max_log_width: int) -> tuple[DataFrame, int]:
-    """(occurrences, log of the sketch's width). Occurrences of grams that the sketch estimates as repeated: doc_id, sig, key, stretch,
+def candidates(docs: DataFrame, window: int, gram: int, max_log_width: int,
+               log_width: int | None = None) -> tuple[DataFrame, int | None]:
+    """(occurrences, log of the sketch's width, None where it is not broadcast). Occurrences of grams that the sketch estimates as repeated: doc_id, sig, key, stretch,
     first (word of the first window), n (windows), windows (their hashes)."""
     if not 0 < window - gram < 63:
         raise ValueError("the gram must be shorter than the window, by less than 63 words")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    log_width = min(max_log_width, max(BLOCK_BITS, (size // 16).bit_length()))
-    shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, log_width, window, gram))  # 2^(log_width - 2) bytes
+    log_width = log_width or max(BLOCK_BITS, (size // 16).bit_length())
+    wide = log_width > max_log_width
+    grams = repeated_keys(docs, log_width, window, gram) if wide else None
+    shared = None if wide else docs.sparkSession.sparkContext.broadcast(sketch(docs, log_width, window, gram))  # 2^(log_width - 2) bytes
 
     def pick(it):
-        words, bits, listed = Words(), shared.value, set()
+        words, bits, listed = Words(), None if shared is None else shared.value, set()
         for b in batches(it):
             o = Occurrences(words, [utf8(t) for t in b.column(2).to_pylist()], window, gram)
-            hit = np.flatnonzero(repeated(bits, o.key, log_width))
+            hit = np.arange(len(o.key)) if bits is None else np.flatnonzero(repeated(bits, o.key, log_width))
             if len(hit):
                 doc = pa.array(o.doc[hit])
                 names = ["doc_id", "sig", "key", "stretch", "first", "n", "windows"]
@@ -221,14 +296,16 @@ def candidates(docs: DataFrame, window: int, gram: int, max_log_width: int) -> t
                 yield pa.RecordBatch.from_arrays([*plain, lists], names=names)
 
     found = docs.mapInArrow(pick, "doc_id bigint, sig bigint, key bigint, stretch bigint, first int, n int, windows array<bigint>")
-    return write_shared(found.withColumn("rank", _rank()), "substring-candidates"), log_width
+    if wide:
+        found = found.join(grams, "key", "left_semi")
+    return write_shared(found.withColumn("rank", _rank()), "substring-candidates"), None if wide else log_width
 
 
 def _rank() -> Column:
     return F.coalesce("doc_id", F.lit(2 ** 63 - 1))
 
 
-def removals(found: DataFrame, log_width: int) -> DataFrame:
+def removals(found: DataFrame, log_width: int | None) -> DataFrame:
     """(doc_id, sig, cuts): per document an array of (first, mask), bit i of the mask set
     where the window that starts at word first + i is removed."""
     classes = write_shared(found.groupBy("key", "stretch").agg(F.min("rank").alias("owner"), F.max("rank").alias("latest")),
@@ -238,9 +315,9 @@ def removals(found: DataFrame, log_width: int) -> DataFrame:
     alive = write_shared(classes.join(shared, "key").select("key", "stretch", "owner", "classes"), "substring-shared")
     alone = alive.where("classes = 1").select("key", "stretch", "owner", F.lit(None).cast("array<bigint>").alias("owners"))
     # only grams with several classes need their windows, once per class; a filter of their
-    # keys (as large as the sketch) spares the others the shuffle
+    # keys (as large as the sketch, where that is broadcast) spares the others the shuffle
     many = alive.where("classes > 1").select("key", "stretch", "owner")
-    wanted = found.sparkSession.sparkContext.broadcast(key_filter(many, log_width))
+    wanted = None if log_width is None else found.sparkSession.sparkContext.broadcast(key_filter(many, log_width))
 
     def pick(it):
         bits = wanted.value
@@ -249,9 +326,10 @@ def removals(found: DataFrame, log_width: int) -> DataFrame:
             if len(hit):
                 yield b.take(pa.array(hit))
 
-    listed = (found.where("windows is not null").select("key", "stretch", "windows")
-              .mapInArrow(pick, "key bigint, stretch bigint, windows array<bigint>")
-              .groupBy("key", "stretch").agg(F.first("windows").alias("windows")))
+    listed = found.where("windows is not null").select("key", "stretch", "windows")
+    if wanted is not None:
+        listed = listed.mapInArrow(pick, "key bigint, stretch bigint, windows array<bigint>")
+    listed = listed.groupBy("key", "stretch").agg(F.first("windows").alias("windows"))
     windows = listed.join(many, ["key", "stretch"]).select("key", "stretch", "owner", F.posexplode("windows").alias("i", "window"))
     first = windows.groupBy("key", "window").agg(F.min("owner").alias("owner"))
     several = (windows.drop("owner").join(first, ["key", "window"]).groupBy("key", "stretch")
@@ -282,18 +360,20 @@ def covered(cuts, n_words: int, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _with_cuts(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int, max_log_width: int) -> DataFrame:
+def _with_cuts(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int, max_log_width: int,
+               log_width: int | None = None) -> DataFrame:
     picked = _picked(docs, id_col, text_col)
-    cuts = write_shared(removals(*candidates(picked, window, gram, max_log_width)), "substring-cuts").select(
+    cuts = write_shared(removals(*candidates(picked, window, gram, max_log_width, log_width)), "substring-cuts").select(
         F.col("doc_id").alias("_cut_id"), F.col("sig").alias("_cut_sig"), F.col("cuts").alias("_cuts"))
     return docs.join(cuts, F.xxhash64(whole_text(text_col)).eqNullSafe(F.col("_cut_sig"))
                      & F.col(id_col).cast("bigint").eqNullSafe(F.col("_cut_id")), "left").drop("_cut_id", "_cut_sig")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                    gram: int = GRAM, max_log_width: int = 30) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256."""
-    rows = _with_cuts(docs.select(id_col, text_col), id_col, text_col, window, gram, max_log_width)
+                    gram: int = GRAM, max_log_width: int = 30, log_width: int | None = None) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_sha256. ``log_width`` sets the
+    sketch's width, which else follows the input's size."""
+    rows = _with_cuts(docs.select(id_col, text_col), id_col, text_col, window, gram, max_log_width, log_width)
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 

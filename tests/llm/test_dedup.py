@@ -228,6 +228,31 @@ def test_saturated_sketch_loses_nothing(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("log_width, max_log_width", [(6, 30), (6, 5), (12, 11), (20, 19)])
+def test_sketch_of_any_width_loses_nothing(spark, log_width, max_log_width):
+    """Broadcast or met in blocks, saturated or wide."""
+    rows = load(SF_SMALL)
+    docs = documents(spark, rows)
+    want = without_repeats(dict(rows), 50)
+    got = substring_dedup.substring_dedup(docs, max_log_width=max_log_width, log_width=log_width).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == want
+
+
+@pytest.mark.parametrize("log_width, share", [(20, 0.001), (6, 1.0)])
+def test_blocks_of_the_sketch_pass_repeated_grams_and_few_others(spark, log_width, share):
+    rows = load(SF_MID)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    counts = {}
+    words = Words()
+    for _, t in rows:
+        for k in substring_dedup.Occurrences(words, [(t or "").encode()]).key.view(np.int64).tolist():
+            counts[k] = counts.get(k, 0) + 1
+    got = [r.key for r in substring_dedup.repeated_keys(docs, log_width, 50, 25).collect()]
+    repeated = {k for k, n in counts.items() if n > 1}
+    assert len(got) == len(set(got)) and repeated <= set(got) <= set(counts)
+    assert len(set(got) - repeated) <= share * (len(counts) - len(repeated))
+
+
 def test_substring_dedup_odd_rows(spark):
     docs = documents(spark, odd_rows())
     got = substring_dedup.substring_dedup(docs).collect()
