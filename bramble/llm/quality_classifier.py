@@ -14,7 +14,8 @@ one number per hash (``Model.fold``); every task scores whole texts with it, eac
 word of a batch once.
 
 Null and empty texts are scored by the pads alone; labels that are null or of unknown
-documents are not used, repeated labels of one document count once by the largest; without
+documents are not used, repeated labels of one document count once by the largest, repeated
+rows of one doc_id train once by their least text; without
 labels of both classes every score is 0.5; an empty table gives an empty result; other
 columns are not read.
 """
@@ -131,14 +132,15 @@ def held_out(id_col: str) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, train_rows: int) -> DataFrame:
-    """(order, label, text) of the labelled sample."""
+    """(order, label, text) of the labelled sample: ``train_rows`` rows at most, one a label. Of
+    several rows with one id the least text is taken, found on the mappers."""
     known = (labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("label"))
              .where(~held_out("doc_id")).withColumn("order", F.xxhash64("doc_id")))
     picked = [known.where(F.col("label") == c).orderBy("order", "doc_id").limit(train_rows // 2) for c in (0, 1)]
     sample = picked[0].union(picked[1]).withColumnRenamed("doc_id", "_label_id")
     return (docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("text"))
             .join(F.broadcast(sample), F.col("_id") == F.col("_label_id"))  # train_rows rows at most
-            .select("order", "label", "text"))
+            .groupBy("_id", "order", "label").agg(F.min("text").alias("text")).select("order", "label", "text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -1,6 +1,8 @@
 import math
 import re
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +152,29 @@ def test_training_never_sees_held_out_labels(spark):
     assert a[1] == b[1] and (a[0] == b[0]).all()
 
 
+def test_training_sample_is_bounded_in_rows(spark):
+    """A doc_id that holds most rows trains once, by its least text."""
+    docs = documents(spark, [(1, f"hot {i}") for i in range(300)] + [(2, "two"), (3, "three"), (6, None)])
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (6, 0)], "doc_id long, quality int")
+    known = [i for i in (1, 2, 3, 6) if zlib.crc32(str(i).encode()) % 5]
+    rows = quality_classifier.training_rows(docs, labels, "doc_id", "text", 100).collect()
+    text, label = {1: "hot 0", 2: "two", 3: "three", 6: ""}, {1: 1, 2: 0, 3: 1, 6: 0}
+    assert sorted((r.label, r.text) for r in rows) == sorted((label[i], text[i]) for i in known)
+    assert quality_classifier.training_rows(docs, labels, "doc_id", "text", 2).count() <= 2
+
+
+def test_scores_equal_the_definition(spark):
+    """Folded scores against the mean over each document's features, by plain Python."""
+    rng = np.random.default_rng(3)
+    table = rng.normal(size=1 << quality_classifier.LOG_BUCKETS).astype(np.float32)
+    rows = [(i, t) for i, t in enumerate(["", None, "one", "one one two", "a b a b b", "é ü " * 50, "x" * 500])]
+    got = quality_classifier.scores(documents(spark, rows).select("doc_id", "text"), (table, -0.25)).collect()
+    for r in got:
+        ids, weights = quality_classifier.document_features((r.text or "").encode(), quality_classifier.Buckets())
+        z = -0.25 + sum(float(table[i]) * float(w) for i, w in zip(ids, weights))
+        assert abs(r.score - 1 / (1 + math.exp(-z))) < 1e-5
+
+
 def test_quality_classifier_odd_rows(spark):
     docs = documents(spark, odd_rows())
     labels = spark.createDataFrame([(4, 1, 0), (7, 0, 0), (None, 1, 0), (8, None, 0), (99, 0, 0)], "doc_id long, quality int, toxic int")
