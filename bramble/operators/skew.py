@@ -41,6 +41,12 @@ _RADIX = 2 * _GRID
 _LEVELS = 5  # of 11 bits each in a bucket number; five levels hold 10^15 buckets a key
 
 
+def task_count(df: DataFrame, rows: float, per_task: int) -> int:
+    """Tasks for an exchange after which ``rows`` rows are made, about ``per_task`` in each.
+    Spark sizes tasks by the bytes they read, which do not tell what a task makes of them."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-int(rows) // per_task))
+
+
 def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once a row, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
