@@ -27,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bramble.operators.skew import hot_splits, sequence_columns
+from bramble.operators.payments import PLAN_ROWS_PER_TASK
+from bramble.operators.skew import hot_splits, sequence_columns, task_count
 
 
 def _months(later: Column, earlier: Column) -> Column:
@@ -76,13 +77,15 @@ def effective_plans(subs: DataFrame, plans: DataFrame, *, customer: str = "custo
 
 def required_payments(subs: DataFrame, plans: DataFrame, horizon: Column | DataFrame, *, customer: str = "customer_id",
                       basic: str = "basic monthly", monthly: str = "pro monthly", annual: str = "pro annual",
-                      skip: str = "trial", **split_kw) -> DataFrame:
+                      skip: str = "trial", rows_per_task: int = PLAN_ROWS_PER_TASK, **split_kw) -> DataFrame:
     """Every payment up to ``horizon`` (a date, or a one-row frame of one): ``customer``,
     plan_id, plan_name, payment_date, amount (DECIMAL) and payment_order. A customer pays at
-    most once a day. An empty log gives no payment."""
+    most once a day. An empty log gives no payment. Payments are made and numbered in tasks of
+    about ``rows_per_task`` plan rows."""
+    tasks = task_count(subs, subs.count(), rows_per_task)
     splits = hot_splits(subs.select(customer, "start_date"), customer, [F.unix_date("start_date")], **split_kw)
     took = effective_plans(subs, plans, customer=customer, basic=basic, monthly=monthly, annual=annual, skip=skip, splits=splits)
-    took = sequence_columns(took, customer, ["since"], [F.unix_date("since")], splits=splits, lead={"_until": "since"})
+    took = sequence_columns(took, customer, ["since"], [F.unix_date("since")], splits=splits, lead={"_until": "since"}, tasks=tasks)
     if isinstance(horizon, DataFrame):
         took = took.crossJoin(F.broadcast(horizon.toDF("_horizon")))
         horizon = F.col("_horizon")
@@ -95,4 +98,4 @@ def required_payments(subs: DataFrame, plans: DataFrame, horizon: Column | DataF
     amount = F.when(F.col("_i") == 0, F.col("price") - F.coalesce("credit", F.lit(0))).otherwise(F.col("price"))
     paid = paid.select(customer, "plan_id", "plan_name", "payment_date", amount.alias("amount"))
     return sequence_columns(paid, customer, ["payment_date"], [F.unix_date("payment_date")], splits=splits,
-                            row_number="payment_order")
+                            row_number="payment_order", tasks=tasks, dealt=True)

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import ratio
-from bramble.operators.skew import hot_splits, sequence_columns
+from bramble.operators.skew import hot_splits, sequence_columns, task_count
+
+# a plan row makes a payment a month, all held by the windows and counts of its task
+PLAN_ROWS_PER_TASK = 100_000
 
 
 def drift_anchor(d0: Column) -> Column:
@@ -51,7 +54,7 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
                      credit_from: Sequence[str] = ("pro monthly", "basic monthly"),
                      credit_to: Sequence[str] = ("pro annual",),
                      anchor: str = "drift", inclusive_end: bool = True, tie_rank: Column | None = None,
-                     **split_kw) -> DataFrame:
+                     rows_per_task: int = PLAN_ROWS_PER_TASK, **split_kw) -> DataFrame:
     """Payments implied by plan changes.
 
     Each non-skipped plan row (optionally only rows starting in ``year``) runs until the
@@ -65,11 +68,13 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     ``explode(sequence)`` of the month indexes, then the numbering / previous-payment
     window. Both windows run per (customer, bucket) via
     :func:`bramble.operators.skew.sequence_columns`; the buckets of both come from the plan
-    rows, since a customer pays at most once a plan row and month. Inside one date, rows are
-    split by ``tie_rank``: the other order columns as one number (default: plan id * 2^44 +
+    rows, since a customer pays at most once a plan row and month. Both windows and the explode
+    between them run in tasks of about ``rows_per_task`` plan rows, so that what a task holds
+    does not grow with the log. Inside one date, rows are split by ``tie_rank``: the other order columns as one number (default: plan id * 2^44 +
     row id, exact for plan ids under 512 and row ids under 2^44).
     """
     order = list(order)
+    tasks = task_count(subs, subs.count(), rows_per_task)
     base = subs.join(plans.select("plan_id", "plan_name", F.col("price").alias("amount")), "plan_id", "left")
     base = base.where(~F.col("plan_name").isin(*skip_plans))
     if year is not None:
@@ -83,7 +88,7 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     tie = tie_rank if tie_rank is not None else F.col(order[1]) * float(1 << 44) + F.col(order[2])
     splits = hot_splits(base, customer, [F.unix_date("start_date"), tie], **split_kw)
     nxt = sequence_columns(base, customer, order, [F.unix_date("start_date"), tie],
-                           lead={"_next_start": "start_date"}, splits=splits)
+                           lead={"_next_start": "start_date"}, splits=splits, tasks=tasks)
     end = F.coalesce(F.col("_next_start"), F.col("_hz"))
     paying = nxt.where(F.col("amount").isNotNull()).select(
         customer, *order[1:], "plan_name", "amount", "start_date", end.alias("_end"),
@@ -100,7 +105,8 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: Column | DataFr
     exp = exp.where((F.col("_i") == 0) | in_range).select(customer, *order[1:], "plan_name", "payment_date", "amount")
     exp = sequence_columns(exp, customer, ["payment_date", *order[1:]], [F.unix_date("payment_date"), tie],
                            row_number="payment_order",
-                           lag={"_prev_plan": "plan_name", "_prev_amount": "amount"}, splits=splits)
+                           lag={"_prev_plan": "plan_name", "_prev_amount": "amount"}, splits=splits,
+                           tasks=tasks, dealt=True)
     credit = F.col("_prev_plan").isin(*credit_from) & F.col("plan_name").isin(*credit_to)
     amount = F.when(credit, F.col("amount") - F.col("_prev_amount")).otherwise(F.col("amount"))
     # amount stays DECIMAL so sums over payments are exact; present it with money()

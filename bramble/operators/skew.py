@@ -122,14 +122,17 @@ def add_buckets(df: DataFrame, key: str, ranks: Sequence[Column], splits: list[D
 def sequence_columns(df: DataFrame, key: str, order: Sequence[str], ranks: Sequence[Column], *,
                      row_number: str | None = None, lag: dict[str, str] | None = None,
                      lead: dict[str, str] | None = None, splits: list[DataFrame] | None = None,
-                     **split_kw) -> DataFrame:
+                     tasks: int | None = None, dealt: bool = False, **split_kw) -> DataFrame:
     """ROW_NUMBER / LAG(col) / LEAD(col) over (PARTITION BY key ORDER BY order), hot keys
     split into buckets. ``order`` must be a total order inside a key (end it with a row
     id); ``ranks`` are the leading order columns as numbers. ``lag`` / ``lead`` map output
-    column -> source column."""
+    column -> source column. ``tasks`` sets the number of tasks that the windows run in, where
+    the rows multiply after them (:func:`task_count`); ``dealt``: where no key is hot, ``df``
+    comes by key in such tasks already."""
     order, lag, lead = list(order), dict(lag or {}), dict(lead or {})
     splits = hot_splits(df, key, ranks, **split_kw) if splits is None else splits
     if not splits:
+        df = df.repartition(tasks, key) if tasks and not dealt else df
         w = Window.partitionBy(key).orderBy(*order)
         made = {row_number: F.row_number().over(w).cast("bigint")} if row_number else {}
         made.update({out: F.lag(c).over(w) for out, c in lag.items()})
@@ -137,7 +140,7 @@ def sequence_columns(df: DataFrame, key: str, order: Sequence[str], ranks: Seque
         return df.select(*[c for c in df.columns if c not in made], *[v.alias(k) for k, v in made.items()])
     # one exchange for the windows and the summary: both read all of its columns, and the
     # summary is cut to hot keys only after its aggregate
-    split = add_buckets(df, key, ranks, splits).repartition(key, "_b")
+    split = add_buckets(df, key, ranks, splits).repartition(*([tasks] if tasks else []), key, "_b")
     whole = F.struct(*[F.col(c) for c in order + [c for c in split.columns if c not in order]])
     summ = (split.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_cnt"), F.min(whole).alias("_first"),
                                          F.max(whole).alias("_last"), F.max("_hot").alias("_split")).where("_split"))
