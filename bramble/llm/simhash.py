@@ -173,8 +173,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     home = _place(fps, False).withColumnRenamed("fp", "a")
     visitor = _place(fps, True).withColumnRenamed("fp", "b")
     near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    # each pair meets from both sides; one of them is enough
-    return (home.join(visitor, (home["anchor"] == visitor["anchor"]) & near & (F.col("a") < F.col("b")))
+    # each pair meets from both sides; one of them is enough. The planner takes a side to be as
+    # large as the fingerprints, though it has 6 or 100 rows for each, so it must not broadcast one
+    return (home.hint("merge").join(visitor.hint("merge"), (home["anchor"] == visitor["anchor"]) & near & (F.col("a") < F.col("b")))
             .select("a", "b").distinct())
 
 

@@ -80,6 +80,15 @@ def test_links_equal_brute_force_in_dense_cluster(spark):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), max_bits=5)
 
 
+def test_homes_and_visitors_are_not_broadcast(spark):
+    """They have 6 and 100 rows or so for each fingerprint; the planner counts one."""
+    found = simhash.links(spark.range(1000).select(F.xxhash64("id").alias("fp")))
+    plan = lambda: found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan() and "Broadcast" not in plan()
+    found.collect()
+    assert "SortMergeJoin" in plan() and "Broadcast" not in plan()
+
+
 @pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
 def test_simhash_equals_brute_force(spark, sf):
     rows = load(sf)
