@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_mod
 import corpus_pipeline
-from bramble.llm import queries
+from bramble.llm import queries, simhash
 from bramble.llm.shared import write_shared
 from conftest import SF_MID, SF_SMALL
 from helpers import components, documents, fingerprint, odd_rows, without_repeats
@@ -86,3 +86,12 @@ def test_oracle(spark, key):
 def test_contract_names():
     names = set(entry_mod.queries())
     assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
+
+
+def test_near_duplicate_stage_broadcasts_no_multiplied_rows(spark, monkeypatch):
+    """Its anchors are a hundred rows for each fingerprint, which the planner cannot know."""
+    seen, whole = [], simhash.connected_components
+    monkeypatch.setattr(simhash, "connected_components", lambda edges: seen.append(edges) or whole(edges))
+    assert corpus_pipeline.drop_near_duplicates(spark, documents(spark, odd_rows()), "").count() > 5
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
